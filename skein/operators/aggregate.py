@@ -19,11 +19,13 @@ def aggregate_rounds(
     df: DataFrame,
     group_cols: Sequence[str] = ("fight_url", "fighter"),
     max_cols: Sequence[str] = ("round",),
-    order_col: str = "round",
+    order_col: str | Sequence[str] = "round",
 ) -> DataFrame:
     """A1: per (match, participant): ``max`` of ``max_cols``, ``sum`` of every other numeric
-    or boolean column (sum of nothing = 0), first non-NULL (in ``order_col`` order) of every
-    other column. Rows with a NULL group key are dropped."""
+    or boolean column (sum of nothing = 0), first non-NULL (in ``order_col`` order, extra
+    columns break ties) of every other column. Rows with a NULL group key are dropped."""
+    ocols = [order_col] if isinstance(order_col, str) else list(order_col)
+    okey = F.struct(*[F.col(c) for c in ocols]) if len(ocols) > 1 else F.col(ocols[0])
     keyed = df
     for g in group_cols:
         keyed = keyed.where(F.col(g).isNotNull())
@@ -39,7 +41,9 @@ def aggregate_rounds(
         elif isinstance(f.dataType, T.NumericType):
             aggs.append(F.coalesce(F.sum(c), F.lit(0)).alias(c))
         else:
-            aggs.append(F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order_col))).alias(c))
+            if c in ocols:
+                continue
+            aggs.append(F.min_by(c, F.when(F.col(c).isNotNull(), okey)).alias(c))
     return keyed.groupBy(*group_cols).agg(*aggs)
 
 

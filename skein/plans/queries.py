@@ -333,3 +333,324 @@ def asof_forward(spark, d):
     p, v = _purchases_views(spark, d)
     return AS.asof_join(p, v, on="ts", by="user_id", payload=["view_id", "view_value"], direction="forward",
                         right_ties=["view_id"])
+
+
+# ---------------------------------------------------------------- W11 / W12 / J8 (opponents)
+
+from skein.operators import aggregate as AG  # noqa: E402
+from skein.operators import opponent as OP  # noqa: E402
+from skein.operators import profile as PR  # noqa: E402
+from skein.operators import reshape as RS  # noqa: E402
+from skein.functions import scalars as S  # noqa: E402
+
+_OWN_SQL = f"""
+{MATCHES_SQL},
+x AS (SELECT *, CASE WHEN result = 'Win' THEN 1 ELSE 0 END AS win, CASE WHEN result = 'Loss' THEN 1 ELSE 0 END AS loss FROM lg),
+own AS (SELECT fight_url, fighter_url, opp_url, event_date,
+          count(*) OVER wi AS n_in,
+          coalesce(sum(win) OVER wi, 0) AS wins_in, coalesce(sum(loss) OVER wi, 0) AS losses_in,
+          sum(win) OVER wa AS wins_after, sum(loss) OVER wa AS losses_after
+        FROM x
+        WINDOW wa AS (PARTITION BY fighter_url ORDER BY event_date, fight_url ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+               wi AS (PARTITION BY fighter_url ORDER BY event_date, fight_url ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+src AS (SELECT fighter_url AS k, event_date AS d, fight_url AS m,
+          CASE WHEN n_in > 0 THEN wins_in END AS wi, CASE WHEN n_in > 0 THEN losses_in END AS li,
+          wins_after AS wa, losses_after AS la FROM own),
+bk AS (SELECT * FROM (SELECT l.fight_url, l.fighter_url, s.wi, s.li,
+          row_number() OVER (PARTITION BY l.fight_url, l.fighter_url ORDER BY s.d DESC NULLS LAST, s.m DESC NULLS LAST) AS rn
+        FROM own l LEFT JOIN src s ON s.k = l.opp_url AND s.d <= l.event_date) WHERE rn = 1),
+fw AS (SELECT * FROM (SELECT l.fight_url, l.fighter_url, s.wa, s.la,
+          row_number() OVER (PARTITION BY l.fight_url, l.fighter_url ORDER BY s.d ASC NULLS LAST, s.m ASC NULLS LAST) AS rn
+        FROM own l LEFT JOIN src s ON s.k = l.opp_url AND s.d >= l.event_date) WHERE rn = 1),
+oa AS (SELECT o.fight_url, o.fighter_url, o.event_date,
+           CAST(bk.wi AS BIGINT) AS opp_cumulative_wins_in, CAST(bk.li AS BIGINT) AS opp_cumulative_losses_in,
+           CAST(fw.wa AS BIGINT) AS opp_cumulative_wins_after, CAST(fw.la AS BIGINT) AS opp_cumulative_losses_after
+         FROM own o JOIN bk USING (fight_url, fighter_url) JOIN fw USING (fight_url, fighter_url))
+"""
+
+_OPP_COLS = ["opp_cumulative_wins_in", "opp_cumulative_losses_in", "opp_cumulative_wins_after", "opp_cumulative_losses_after"]
+
+
+def _own(spark, d, strategy=None):
+    return W.results_own_stats(long(spark, d), "fighter_url", LONG_ORDER, rolling=False, time_diffs=False, strategy=strategy)
+
+
+@query("opponent_asof", f"""
+WITH {_OWN_SQL}
+SELECT fight_url, fighter_url, {", ".join(_OPP_COLS)} FROM oa
+""")
+def opponent_asof(spark, d):
+    """W11 (as-of lookups, backward for incoming and forward for after)."""
+    out = OP.opponent_records(_own(spark, d), on="asof")
+    return out.select("fight_url", "fighter_url", *[F.col(c).cast("bigint").alias(c) for c in _OPP_COLS])
+
+
+@query("opponent_match", f"""
+WITH {_OWN_SQL}
+SELECT o.fight_url, o.fighter_url,
+  CAST(s.wi AS BIGINT) AS opp_cumulative_wins_in, CAST(s.li AS BIGINT) AS opp_cumulative_losses_in,
+  CAST(s.wa AS BIGINT) AS opp_cumulative_wins_after, CAST(s.la AS BIGINT) AS opp_cumulative_losses_after
+FROM own o LEFT JOIN src s ON s.k = o.opp_url AND s.m = o.fight_url
+""")
+def opponent_match(spark, d):
+    """W11 with ``on='match'``: the opponent's own row of the same match."""
+    out = OP.opponent_records(_own(spark, d), on="match")
+    return out.select("fight_url", "fighter_url", *[F.col(c).cast("bigint").alias(c) for c in _OPP_COLS])
+
+
+@query("opponent_totals", f"""
+WITH {_OWN_SQL}
+SELECT fight_url, fighter_url,
+  {", ".join(f"CAST(sum(coalesce({c}, 0)) OVER w AS BIGINT) AS total_{c}" for c in _OPP_COLS)}
+FROM oa {W_LONG}
+""")
+def opponent_totals(spark, d):
+    """Running sums of the opponents' records over own matches."""
+    out = OP.opponent_totals(OP.opponent_records(_own(spark, d), on="asof"), "fighter_url", LONG_ORDER)
+    return out.select("fight_url", "fighter_url", *[F.col(f"total_{c}").cast("bigint").alias(f"total_{c}") for c in _OPP_COLS])
+
+
+@query("opponent_swap", f"""
+WITH {MATCHES_SQL},
+r AS (SELECT fight_url, fighter_url, row_number() OVER (PARTITION BY fight_url ORDER BY fighter_url) AS rn,
+             count(*) OVER (PARTITION BY fight_url) AS cnt FROM lg)
+SELECT a.fight_url, a.fighter_url, b.fighter_url AS opp_url
+FROM r a LEFT JOIN r b ON a.fight_url = b.fight_url AND b.rn = a.cnt + 1 - a.rn
+""")
+def opponent_swap(spark, d):
+    """Opponent by reversing each match's participant list."""
+    lg = long(spark, d).select("fight_url", "fighter_url")
+    return OP.opponent_by_reversal(lg, "fight_url", "fighter_url", order=["fighter_url"])
+
+
+# ---------------------------------------------------------------- A1 / A2 and W13-W16 (rounds)
+
+
+def _rounds_view(spark, d):
+    li = table(spark, d, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("fight_url"),
+        F.col("l_suppkey").alias("fighter"),
+        F.col("l_linenumber").alias("round"),
+        F.col("l_partkey").alias("part"),
+        F.col("l_quantity").alias("kd"),
+        F.col("l_quantity").alias("sig_str_landed"),
+        (F.col("l_quantity") + F.floor(F.col("l_tax") * 100).cast("double")).alias("sig_str_attempted"),
+        F.floor(F.col("l_discount") * 100).cast("double").alias("td_landed"),
+        F.floor(F.col("l_tax") * 100).cast("double").alias("td_attempted"),
+        F.col("l_returnflag").alias("flag"),
+    )
+
+
+_ROUNDS_SQL = """
+rv AS (SELECT l_orderkey AS fight_url, l_suppkey AS fighter, l_linenumber AS round, l_partkey AS part,
+              l_quantity AS kd, l_quantity AS sig_str_landed, l_quantity + floor(l_tax * 100) AS sig_str_attempted,
+              floor(l_discount * 100) AS td_landed, floor(l_tax * 100) AS td_attempted, l_returnflag AS flag
+       FROM lineitem),
+fa AS (SELECT fight_url, fighter, max(round) AS round, coalesce(sum(kd), 0) AS kd,
+              coalesce(sum(sig_str_landed), 0) AS sig_str_landed, coalesce(sum(sig_str_attempted), 0) AS sig_str_attempted,
+              coalesce(sum(td_landed), 0) AS td_landed, coalesce(sum(td_attempted), 0) AS td_attempted,
+              arg_min(flag, round * 1000000 + part) FILTER (WHERE flag IS NOT NULL) AS flag
+       FROM rv WHERE fight_url IS NOT NULL AND fighter IS NOT NULL GROUP BY fight_url, fighter),
+fac AS (SELECT *, CASE WHEN sig_str_attempted > 0 THEN sig_str_landed / sig_str_attempted END AS sig_accuracy,
+                  CASE WHEN td_attempted > 0 THEN td_landed / td_attempted END AS td_accuracy FROM fa),
+fd AS (SELECT fac.*, o_orderdate AS event_date FROM fac JOIN orders ON fight_url = o_orderkey)
+"""
+
+_FIGHT_METRICS = ["kd", "sig_str_landed", "td_landed", "td_attempted"]
+
+
+def _fights(spark, d):
+    fa = AG.aggregate_rounds(_rounds_view(spark, d), order_col=["round", "part"]).drop("part")
+    fa = AG.accuracy(fa)
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("fight_url"), F.col("o_orderdate").alias("event_date"))
+    return fa.join(o, "fight_url")
+
+
+@query("rounds_to_fight", f"""
+WITH {_ROUNDS_SQL}
+SELECT fight_url, fighter, CAST(round AS BIGINT) AS round, round(kd, 4) AS kd, round(sig_str_landed, 4) AS sig_str_landed,
+       round(sig_str_attempted, 4) AS sig_str_attempted, round(td_landed, 4) AS td_landed,
+       round(td_attempted, 4) AS td_attempted, flag FROM fa
+""")
+def rounds_to_fight(spark, d):
+    """A1: rounds -> one row per (match, participant)."""
+    fa = AG.aggregate_rounds(_rounds_view(spark, d), order_col=["round", "part"])
+    return fa.select("fight_url", "fighter", F.col("round").cast("bigint").alias("round"),
+                     *[r4(c).alias(c) for c in ["kd", "sig_str_landed", "sig_str_attempted", "td_landed", "td_attempted"]],
+                     "flag")
+
+
+@query("accuracy", f"""
+WITH {_ROUNDS_SQL}
+SELECT fight_url, fighter, round(sig_accuracy, 4) AS sig_accuracy, round(td_accuracy, 4) AS td_accuracy FROM fac
+""")
+def accuracy(spark, d):
+    """A2: landed / attempted when attempted > 0."""
+    fa = AG.accuracy(AG.aggregate_rounds(_rounds_view(spark, d), order_col=["round", "part"]))
+    return fa.select("fight_url", "fighter", r4("sig_accuracy").alias("sig_accuracy"), r4("td_accuracy").alias("td_accuracy"))
+
+
+_W_F = "(PARTITION BY fighter ORDER BY event_date, fight_url ROWS BETWEEN {})"
+
+
+def _metric_cum_sql():
+    parts = []
+    for m in _FIGHT_METRICS:
+        cur = _W_F.format("UNBOUNDED PRECEDING AND CURRENT ROW")
+        inn = _W_F.format("UNBOUNDED PRECEDING AND 1 PRECEDING")
+        parts += [
+            f"round(CASE WHEN {m} IS NOT NULL THEN sum({m}) OVER {cur} END, 4) AS cum_{m}_current",
+            f"round(CASE WHEN {m} IS NOT NULL THEN sum({m}) OVER {cur} END / (fight_order + 1), 4) AS avg_{m}_current",
+            f"round(coalesce(sum({m}) OVER {inn}, 0), 4) AS cum_{m}_in",
+            f"round(CASE WHEN fight_order > 0 THEN coalesce(sum({m}) OVER {inn}, 0) / fight_order END, 4) AS avg_{m}_in",
+        ]
+    return (f"WITH {_ROUNDS_SQL}, fo AS (SELECT *, row_number() OVER (PARTITION BY fighter ORDER BY event_date, fight_url) - 1 "
+            f"AS fight_order FROM fd)\nSELECT fight_url, fighter, " + ",\n".join(parts) + " FROM fo")
+
+
+def _metric_stats(spark, d):
+    return W.metric_stats(_fights(spark, d), "fighter", ["event_date", "fight_url", "fighter"], _FIGHT_METRICS)
+
+
+@query("metric_cumulative", _metric_cum_sql())
+def metric_cumulative(spark, d):
+    """Cumulative current / incoming per metric with averages."""
+    out = _metric_stats(spark, d)
+    cols = []
+    for m in _FIGHT_METRICS:
+        cols += [f"cum_{m}_current", f"avg_{m}_current", f"cum_{m}_in", f"avg_{m}_in"]
+    return out.select("fight_url", "fighter", *[r4(c).alias(c) for c in cols])
+
+
+def _metric_roll_sql():
+    parts = []
+    for w in (3, 5):
+        spec = _W_F.format(f"{w} PRECEDING AND 1 PRECEDING")
+        for m in _FIGHT_METRICS:
+            parts += [f"round(sum({m}) OVER {spec}, 4) AS rolling_{w}_{m}_in",
+                      f"round(avg({m}) OVER {spec}, 4) AS rolling_{w}_avg_{m}_in"]
+        parts.append(f"CAST(count(*) OVER {spec} AS BIGINT) AS rolling_{w}_fights_in")
+    return f"WITH {_ROUNDS_SQL}\nSELECT fight_url, fighter, " + ",\n".join(parts) + " FROM fd"
+
+
+@query("metric_rolling", _metric_roll_sql())
+def metric_rolling(spark, d):
+    """Rolling incoming sums, means and counts per metric."""
+    out = _metric_stats(spark, d)
+    cols = []
+    for w in (3, 5):
+        for m in _FIGHT_METRICS:
+            cols += [r4(f"rolling_{w}_{m}_in").alias(f"rolling_{w}_{m}_in"), r4(f"rolling_{w}_avg_{m}_in").alias(f"rolling_{w}_avg_{m}_in")]
+        cols.append(f"rolling_{w}_fights_in")
+    return out.select("fight_url", "fighter", *cols)
+
+
+@query("fight_order", f"""
+WITH {_ROUNDS_SQL}
+SELECT fight_url, fighter, CAST(row_number() OVER (PARTITION BY fighter ORDER BY event_date, fight_url) - 1 AS BIGINT) AS fight_order
+FROM fd
+""")
+def fight_order(spark, d):
+    """0-based order of each participant's matches."""
+    return _metric_stats(spark, d).select("fight_url", "fighter", "fight_order")
+
+
+def _opp_metric_sql():
+    metrics = _FIGHT_METRICS
+    cur = _W_F.format("UNBOUNDED PRECEDING AND CURRENT ROW")
+    inn = _W_F.format("UNBOUNDED PRECEDING AND 1 PRECEDING")
+    stat_cols = []
+    for m in metrics:
+        stat_cols += [
+            f"coalesce(sum({m}) OVER {inn}, 0) AS cum_{m}_in",
+            f"CASE WHEN fight_order > 0 THEN coalesce(sum({m}) OVER {inn}, 0) / fight_order END AS avg_{m}_in",
+            f"CASE WHEN {m} IS NOT NULL THEN sum({m}) OVER {cur} END AS cum_{m}_current",
+            f"CASE WHEN {m} IS NOT NULL THEN sum({m}) OVER {cur} END / (fight_order + 1) AS avg_{m}_current",
+        ]
+    in_names = [f"cum_{m}_in" for m in metrics] + [f"avg_{m}_in" for m in metrics]
+    cur_names = [f"cum_{m}_current" for m in metrics] + [f"avg_{m}_current" for m in metrics]
+    return f"""
+WITH {_ROUNDS_SQL},
+fo AS (SELECT *, row_number() OVER (PARTITION BY fighter ORDER BY event_date, fight_url) - 1 AS fight_order FROM fd),
+st AS (SELECT fight_url, fighter, event_date, fight_order, {", ".join(stat_cols)} FROM fo),
+rk AS (SELECT fight_url, fighter, row_number() OVER (PARTITION BY fight_url ORDER BY fighter) AS rn,
+              count(*) OVER (PARTITION BY fight_url) AS cnt FROM st),
+op AS (SELECT a.fight_url, a.fighter, b.fighter AS opp_url FROM rk a LEFT JOIN rk b
+       ON a.fight_url = b.fight_url AND b.rn = a.cnt + 1 - a.rn),
+l AS (SELECT st.fight_url, st.fighter, st.event_date, op.opp_url FROM st JOIN op USING (fight_url, fighter)),
+bk AS (SELECT * FROM (SELECT l.fight_url, l.fighter, {", ".join(f"s.{c}" for c in in_names)},
+          row_number() OVER (PARTITION BY l.fight_url, l.fighter ORDER BY s.event_date DESC NULLS LAST, s.fight_url DESC NULLS LAST) AS rn
+        FROM l LEFT JOIN st s ON s.fighter = l.opp_url AND s.event_date <= l.event_date) WHERE rn = 1),
+fw AS (SELECT * FROM (SELECT l.fight_url, l.fighter, {", ".join(f"s.{c}" for c in cur_names)},
+          row_number() OVER (PARTITION BY l.fight_url, l.fighter ORDER BY s.event_date ASC NULLS LAST, s.fight_url ASC NULLS LAST) AS rn
+        FROM l LEFT JOIN st s ON s.fighter = l.opp_url AND s.event_date >= l.event_date) WHERE rn = 1)
+SELECT bk.fight_url, bk.fighter AS fighter_url, l.opp_url,
+  {", ".join(f"round(bk.{c}, 4) AS opp_{c}" for c in in_names)},
+  {", ".join(f"round(fw.{c}, 4) AS opp_{c}" for c in cur_names)}
+FROM bk JOIN fw USING (fight_url, fighter) JOIN l USING (fight_url, fighter)
+"""
+
+
+@query("opponent_metrics", _opp_metric_sql())
+def opponent_metrics(spark, d):
+    """J8 + W16: opponent per-metric cumulative stats via as-of lookups."""
+    st = _metric_stats(spark, d)
+    st = OP.opponent_by_reversal(st, "fight_url", "fighter", order=["fighter"])
+    out = OP.opponent_metrics(st, _FIGHT_METRICS, entity_col="fighter")
+    names = [f"opp_cum_{m}_in" for m in _FIGHT_METRICS] + [f"opp_avg_{m}_in" for m in _FIGHT_METRICS]
+    names += [f"opp_cum_{m}_current" for m in _FIGHT_METRICS] + [f"opp_avg_{m}_current" for m in _FIGHT_METRICS]
+    return out.select("fight_url", F.col("fighter").alias("fighter_url"), "opp_url", *[r4(c).alias(c) for c in names])
+
+
+@query("synthetic_date", """
+SELECT o_orderkey, strftime(DATE '1970-01-01' + CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS INTEGER), '%Y-%m-%d') AS event_date
+FROM orders
+""")
+def synthetic_date(spark, d):
+    """1970-01-01 + row index (days) over a total order."""
+    o = table(spark, d, "orders").select("o_orderkey")
+    out = W.synthetic_dates(o, ["o_orderkey"])
+    return out.select("o_orderkey", F.date_format("event_date", "yyyy-MM-dd").alias("event_date"))
+
+
+# ---------------------------------------------------------------- A3 / A4 / A7
+
+
+@query("avg_interval", """
+SELECT o_custkey, round(floor((epoch_us(max(o_orderdate)) - epoch_us(min(o_orderdate))) / 86400000000) / (count(o_orderdate) - 1), 4)
+       AS avg_interval
+FROM orders GROUP BY o_custkey HAVING count(o_orderdate) > 1
+""")
+def avg_interval(spark, d):
+    """A3 (+P5): mean days between matches, entities with 2+ dates."""
+    out = AG.avg_interval(table(spark, d, "orders"), "o_custkey", "o_orderdate")
+    return out.select("o_custkey", r4("avg_interval").alias("avg_interval"))
+
+
+@query("avg_interval_days", """
+SELECT o_custkey, CASE WHEN count(o_orderdate) > 1 THEN
+  CAST(floor((epoch_us(max(o_orderdate)) - epoch_us(min(o_orderdate))) / (count(o_orderdate) - 1) / 86400000000) AS BIGINT) END
+  AS avg_interval_days
+FROM orders GROUP BY o_custkey
+""")
+def avg_interval_days(spark, d):
+    """A4: floored mean interval, NULL for a single date."""
+    return AG.avg_interval_days(table(spark, d, "orders"), "o_custkey", "o_orderdate")
+
+
+@query("interval_histogram", """
+WITH a AS (SELECT floor((epoch_us(max(o_orderdate)) - epoch_us(min(o_orderdate))) / 86400000000) / (count(o_orderdate) - 1) AS x
+           FROM orders GROUP BY o_custkey HAVING count(o_orderdate) > 1),
+b AS (SELECT min(x) AS lo, max(x) AS hi FROM a),
+w AS (SELECT lo, CASE WHEN hi > lo THEN (hi - lo) / 40 ELSE 1.0 END AS width FROM b),
+c AS (SELECT CAST(least(floor((x - lo) / width), 39) AS INTEGER) AS bin, count(*) AS n FROM a, w GROUP BY 1)
+SELECT CAST(g.bin AS BIGINT) AS bin, round(lo + g.bin * width, 4) AS bin_start, round(lo + (g.bin + 1) * width, 4) AS bin_end,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(40)) g CROSS JOIN w LEFT JOIN c ON c.bin = g.bin
+""")
+def interval_histogram(spark, d):
+    """40-bin histogram of the A3 distribution."""
+    h = AG.histogram(AG.avg_interval(table(spark, d, "orders"), "o_custkey", "o_orderdate"), "avg_interval", 40)
+    return h.select(F.col("bin").cast("bigint").alias("bin"), r4("bin_start").alias("bin_start"),
+                    r4("bin_end").alias("bin_end"), F.col("count").cast("bigint").alias("count"))
