@@ -654,3 +654,296 @@ def interval_histogram(spark, d):
     h = AG.histogram(AG.avg_interval(table(spark, d, "orders"), "o_custkey", "o_orderdate"), "avg_interval", 40)
     return h.select(F.col("bin").cast("bigint").alias("bin"), r4("bin_start").alias("bin_start"),
                     r4("bin_end").alias("bin_end"), F.col("count").cast("bigint").alias("count"))
+
+
+# ---------------------------------------------------------------- A8 / F1-F5 / P6
+
+
+_RM_CATS = [f"{r}_{m}" for r in ("draw", "loss", "win") for m in ("decision", "knockout", "other", "submission")]
+_METHOD_TYPE_SQL = ("CASE WHEN method IN ('U-DEC', 'S-DEC', 'M-DEC') THEN 'Decision' WHEN method = 'KO/TKO' THEN 'Knockout' "
+                    "WHEN method = 'SUB' THEN 'Submission' ELSE 'Other' END")
+
+
+def _outcome_sql():
+    sums = ",\n".join(
+        f"CAST(sum(CASE WHEN rm = '{c}' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS \"total_{c}\"" for c in _RM_CATS
+    )
+    unions = []
+    for m in ("Knockout", "Submission", "Decision"):
+        for outcome, word in (("wins", "win"), ("losses", "loss")):
+            unions.append(f"SELECT fighter_url, '{m}' AS method, '{outcome}' AS outcome, "
+                          f"CAST(coalesce(\"total_{word}_{m.lower()}\", 0) AS BIGINT) AS n FROM r WHERE rn = 1")
+    return f"""
+WITH {MATCHES_SQL},
+x AS (SELECT *, lower(result) || '_' || lower({_METHOD_TYPE_SQL}) AS rm FROM lg),
+t AS (SELECT fighter_url, event_date, fight_url, {sums} FROM x {W_LONG}),
+r AS (SELECT *, row_number() OVER (PARTITION BY fighter_url ORDER BY event_date DESC, fight_url) AS rn FROM t)
+""" + "\nUNION ALL\n".join(unions)
+
+
+@query("outcome_matrix", _outcome_sql())
+def outcome_matrix(spark, d):
+    """C8 + C16 + W1 + W5 + A8: wins/losses by method from each participant's latest totals."""
+    lg = long(spark, d).withColumn("method_type", S.method_type("method"))
+    lg = lg.withColumn("result_method", S.composite_label("result", "method_type"))
+    tot = W.career_totals(lg, "fighter_url", LONG_ORDER, dummy_cols=["result_method"], row_count_col=None,
+                          categories={"result_method": _RM_CATS})
+    latest = W.latest_per_entity(tot, "fighter_url", "event_date", ties=["fight_url"])
+    return AG.outcome_matrix(latest, "fighter_url")
+
+
+AS_OF = "2002-01-01"
+
+
+def _careers(spark, d):
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer").select("c_custkey", F.date_add(F.lit("1950-01-01").cast("date"), F.col("c_custkey").cast("int")).alias("date_of_birth"))
+    df = o.join(c, o["o_custkey"] == c["c_custkey"]).select(
+        "o_custkey", "o_orderkey", "o_orderdate", "date_of_birth",
+        F.when(F.col("o_orderstatus") == "F", "Win").when(F.col("o_orderstatus") == "O", "Loss").otherwise("Draw").alias("result"),
+        F.floor("o_totalprice").cast("double").alias("fight_duration_seconds"),
+    )
+    return W.career_totals(df, "o_custkey", ["o_orderdate", "o_orderkey"], dummy_cols=["result"],
+                           numerical_cols=["fight_duration_seconds"], row_count_col="total_fights",
+                           categories={"result": ["draw", "loss", "win"]})
+
+
+_CAREERS_SQL = """
+cj AS (SELECT o_custkey, o_orderkey, o_orderdate, DATE '1950-01-01' + CAST(c_custkey AS INTEGER) AS date_of_birth,
+              CASE o_orderstatus WHEN 'F' THEN 'Win' WHEN 'O' THEN 'Loss' ELSE 'Draw' END AS result,
+              CAST(floor(o_totalprice) AS DOUBLE) AS fight_duration_seconds
+       FROM orders JOIN customer ON o_custkey = c_custkey),
+ct AS (SELECT *, sum(CASE WHEN result = 'Win' THEN 1 ELSE 0 END) OVER w AS total_win,
+              sum(CASE WHEN result = 'Loss' THEN 1 ELSE 0 END) OVER w AS total_loss,
+              sum(CASE WHEN result = 'Draw' THEN 1 ELSE 0 END) OVER w AS total_draw,
+              sum(fight_duration_seconds) OVER w AS total_fight_duration_seconds
+       FROM cj WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+"""
+
+
+def _clock_sql(x: str) -> str:
+    n = f"CAST(trunc({x}) AS BIGINT)"
+    days = f"CAST(floor({n} / 86400) AS BIGINT)"
+    rem = f"({n} - {days} * 86400)"
+    clock = (f"CAST(CAST(floor({rem} / 3600) AS BIGINT) AS VARCHAR) || ':' || "
+             f"lpad(CAST(CAST(floor(({rem} % 3600) / 60) AS BIGINT) AS VARCHAR), 2, '0') || ':' || "
+             f"lpad(CAST({rem} % 60 AS VARCHAR), 2, '0')")
+    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {days} = 0 THEN {clock} ELSE CAST({days} AS VARCHAR) || "
+            f"CASE WHEN abs({days}) = 1 THEN ' day, ' ELSE ' days, ' END || {clock} END")
+
+
+@query("entity_profile", f"""
+WITH {_CAREERS_SQL},
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn,
+              row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS nf FROM ct),
+iv AS (SELECT o_custkey, CASE WHEN count(o_orderdate) > 1 THEN CAST(floor((epoch_us(max(o_orderdate)) - epoch_us(min(o_orderdate)))
+              / (count(o_orderdate) - 1) / 86400000000) AS BIGINT) END AS avg_interval_days FROM orders GROUP BY o_custkey)
+SELECT r.o_custkey,
+  CAST(floor(floor((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(CAST(date_of_birth AS TIMESTAMP))) / 86400000000) / 365) AS BIGINT) AS age,
+  CAST(floor((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(o_orderdate)) / 86400000000) AS BIGINT) AS time_since_last_days,
+  iv.avg_interval_days,
+  CAST(total_win AS VARCHAR) || '-' || CAST(total_loss AS VARCHAR) || '-' || CAST(total_draw AS VARCHAR) AS record_wld,
+  {_clock_sql('total_fight_duration_seconds')} AS total_time_display,
+  strftime(o_orderdate, '%B %d, %Y') AS last_date_display,
+  CAST(nf AS BIGINT) AS total_fights
+FROM r LEFT JOIN iv ON iv.o_custkey = r.o_custkey
+WHERE r.rn = 1
+""")
+def entity_profile(spark, d):
+    """F1-F4 (+C19-C21): one profile row per customer as of 2002-01-01."""
+    prof = PR.entity_profile(_careers(spark, d), AS_OF, entity_col="o_custkey", date_col="o_orderdate",
+                             ties=("o_orderkey",), dob_col="date_of_birth")
+    return prof.select("o_custkey", "age", "time_since_last_days", "avg_interval_days", "record_wld",
+                       "total_time_display", "last_date_display", "total_fights")
+
+
+@query("history", f"""
+WITH {_CAREERS_SQL}
+SELECT o_custkey, strftime(o_orderdate, '%B %d, %Y') AS o_orderdate, o_orderkey, result,
+       {_clock_sql('fight_duration_seconds')} AS fight_duration
+FROM ct
+""")
+def history(spark, d):
+    """P6 + C19 + C20 + O3: per-match history rows, newest first."""
+    return PR.history(_careers(spark, d), entity_col="o_custkey", columns=("o_orderdate", "o_orderkey", "result", "fight_duration"),
+                      date_col="o_orderdate")
+
+
+# ---------------------------------------------------------------- J1-J3, J7, D3
+
+
+@query("left_dim", """
+SELECT l_orderkey AS event_url, l_linenumber, l_partkey, l_suppkey, o_orderdate AS event_date, o_orderstatus AS event
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+""")
+def left_dim(spark, d):
+    """Left join of the event dimension, date renamed to event_date."""
+    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("event_url"), "l_linenumber", "l_partkey", "l_suppkey")
+    ev = table(spark, d, "orders").select(F.col("o_orderkey").alias("event_url"), F.col("o_orderdate").alias("date"),
+                                           F.col("o_orderstatus").alias("event"))
+    return J.merge_events(li, ev)
+
+
+@query("distinct_bridge", f"""
+WITH {MATCHES_SQL}
+SELECT l_orderkey AS fight_url, l_suppkey AS fighter, l_linenumber AS round, l_partkey AS part, b.event_url
+FROM lineitem LEFT JOIN (SELECT DISTINCT fight_url, event_url FROM lg) b ON l_orderkey = b.fight_url
+""")
+def distinct_bridge(spark, d):
+    """Left join of the distinct (match, event) bridge."""
+    rv = _rounds_view(spark, d).select("fight_url", "fighter", "round", "part")
+    return J.merge_results(rv, long(spark, d))
+
+
+@query("dim_dedupe", f"""
+WITH {MATCHES_SQL},
+s AS (SELECT s_suppkey AS fighter_url, s_name, s_acctbal FROM supplier),
+ds AS (SELECT DISTINCT * FROM (SELECT * FROM s UNION ALL SELECT * FROM s))
+SELECT fight_url, lg.fighter_url, s_name, s_acctbal FROM lg LEFT JOIN ds ON lg.fighter_url = ds.fighter_url
+""")
+def dim_dedupe(spark, d):
+    """J3 + A5: full-row dedupe of a duplicated dimension, then left join."""
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("fighter_url"), "s_name", "s_acctbal")
+    return J.merge_entities(long(spark, d).select("fight_url", "fighter_url"), s.unionByName(s)).select(
+        "fight_url", "fighter_url", "s_name", "s_acctbal")
+
+
+def _nat_sides(spark, d):
+    a = table(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_size")
+    b = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), "s_nationkey")
+    return a, b
+
+
+for _how, _sql_how in (("outer", "FULL OUTER"), ("inner", "INNER"), ("left", "LEFT"), ("right", "RIGHT")):
+    def _nat(spark, d, _h=_how):
+        a, b = _nat_sides(spark, d)
+        return J.natural_join(a, b, _h).select("id", "p_size", "s_nationkey")
+
+    _nat.__doc__ = f"J7: natural join on the common columns, how={_how}."
+    query(f"natural_join_{_how}", f"""
+WITH a AS (SELECT p_partkey AS id, p_size FROM part), b AS (SELECT s_suppkey AS id, s_nationkey FROM supplier)
+SELECT id, p_size, s_nationkey FROM a {_sql_how} JOIN b USING (id)
+""")(_nat)
+
+
+@query("null_safe_join", """
+WITH a AS (SELECT c_custkey, nullif(c_nationkey, 0) AS nk FROM customer),
+b AS (SELECT nullif(n_nationkey, 0) AS nk, n_name FROM nation)
+SELECT a.c_custkey, coalesce(a.nk, b.nk) AS nk, b.n_name FROM a LEFT JOIN b ON a.nk IS NOT DISTINCT FROM b.nk
+""")
+def null_safe_join(spark, d):
+    """D3: NULL keys match each other (pandas merge semantics) with ``<=>``."""
+    a = table(spark, d, "customer").select("c_custkey", F.nullif(F.col("c_nationkey"), F.lit(0)).alias("nk"))
+    b = table(spark, d, "nation").select(F.nullif(F.col("n_nationkey"), F.lit(0)).alias("nk"), "n_name")
+    return J.join_on(a, b, ["nk"], "left", null_safe=True).select("c_custkey", "nk", "n_name")
+
+
+# ---------------------------------------------------------------- K1-K3, E6, E9, S*, O*
+
+
+@query("worklist_urls", f"""
+WITH {MATCHES_SQL} SELECT event_url FROM m
+""")
+def worklist_urls(spark, d):
+    """K1: projection of the event URL column, duplicates kept."""
+    from skein.plans.testdata import matches
+
+    return RS.event_urls(matches(spark, d))
+
+
+@query("worklist_fights", f"""
+WITH {MATCHES_SQL} SELECT DISTINCT fight_url FROM lg
+""")
+def worklist_fights(spark, d):
+    """K3: distinct match URLs."""
+    return RS.distinct_urls(long(spark, d), "fight_url")
+
+
+@query("worklist_exploded", """
+SELECT DISTINCT u AS url FROM (SELECT unnest(list(l_suppkey)) AS u FROM lineitem GROUP BY l_orderkey)
+""")
+def worklist_exploded(spark, d):
+    """K2: distinct elements of a list column (supplier lists per order)."""
+    lists = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_suppkey").alias("fighters_urls"))
+    return RS.flattened_urls(lists, "fighters_urls", "url")
+
+
+# Display headers of the rounds table and their normalised names.
+_RAW_HEADERS = {"l_orderkey": "Fight URL", "l_suppkey": "Fighter", "l_linenumber": "Round.", "l_quantity": "Sig. str.",
+                "l_discount": "Sig. str. %", "l_tax": "Td %"}
+
+
+@query("normalize_headers", """
+SELECT l_orderkey AS fight_url, l_suppkey AS fighter, l_linenumber AS round, l_quantity AS sig_str,
+       l_discount AS sig_str_pct, l_tax AS td_pct FROM lineitem
+""")
+def normalize_headers(spark, d):
+    """Header normalisation (lower, drop '.', space -> '_', '%' -> 'pct')."""
+    li = table(spark, d, "lineitem").select(*[F.col(k).alias(v) for k, v in _RAW_HEADERS.items()])
+    return RS.normalize_columns(li)
+
+
+@query("validate_split", """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS pr,
+                  CASE WHEN o_orderstatus = 'O' THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) END AS price FROM orders)
+SELECT o_orderkey,
+  CASE WHEN pr IS NULL THEN 'pr is null' WHEN TRY_CAST(price AS DOUBLE) IS NULL THEN 'price is not double' END AS _reason
+FROM o
+""")
+def validate_split(spark, d):
+    """E9 + V1: required / typed field contract -> valid rows and rejected rows with a reason."""
+    from skein.operators.cleaners import validate_rows
+
+    o = table(spark, d, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_orderpriority")).alias("pr"),
+        F.when(F.col("o_orderstatus") == "O", F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("price"),
+    )
+    valid, rejected = validate_rows(o, ["o_orderkey", "pr"], {"price": "double"})
+    return valid.select("o_orderkey", F.lit(None).cast("string").alias("_reason")).unionByName(
+        rejected.select("o_orderkey", "_reason"))
+
+
+def _scratch_path(spark, tag):
+    import uuid
+
+    from skein.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+@query("json_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def json_roundtrip(spark, d):
+    """S5 + S1: write JSON Lines to the shared folder, read back with an explicit schema."""
+    from skein.sources import io
+
+    path = _scratch_path(spark, "json")
+    io.write_json(table(spark, d, "nation"), path)
+    return io.read_json(spark, path, "n_nationkey int, n_name string, n_regionkey int", multiline=False)
+
+
+@query("parquet_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def parquet_roundtrip(spark, d):
+    """S6/S7 + S3: write Parquet (partitioned) to the shared folder and read back."""
+    from skein.sources import io
+
+    path = _scratch_path(spark, "parquet")
+    io.write_parquet(table(spark, d, "nation"), path, partition_by=["n_regionkey"])
+    return io.read_parquet(spark, path, ["n_nationkey", "n_name", "n_regionkey"])
+
+
+@query("sorted_output", f"""
+WITH {MATCHES_SQL} SELECT event_url, fight_url, fighter_url, result FROM lg ORDER BY event_url, fight_url, fighter_url
+""")
+def sorted_output(spark, d):
+    """O1: presentation sort by event, match, participant (NULLs last)."""
+    return RS.sorted_output(long(spark, d).select("event_url", "fight_url", "fighter_url", "result"),
+                            ["event_url", "fight_url", "fighter_url"])
+
+
+@query("tail_n", """
+SELECT o_orderkey, o_custkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 5
+""")
+def tail_n(spark, d):
+    """Last five rows in date order (top-k; the limit is the feature)."""
+    return RS.tail_rows(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], 5)
