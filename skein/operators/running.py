@@ -4,7 +4,9 @@ A *measure* is a window function over the rows of one key in a total order:
 cumulative (sum / count / min / max / last non-null, frame ending at the current or the
 previous row), bounded ROWS frames looking back (``[lo, hi]``, ``lo <= hi <= 0``) and lag.
 
-Two physical strategies give identical results:
+Two physical strategies give identical results; ``auto`` (the default) picks ``window``
+when a size check finds no key above ``spark.skein.window.maxGroupRows`` rows, else
+``chunked``:
 
 ``window``
     ``Window.partitionBy(key).orderBy(order)``: one Exchange + Sort + Window. A key's rows
@@ -40,7 +42,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.session import cut_lineage, window_strategy
+from skein.session import cut_lineage, max_group_rows, window_strategy
 
 _CUMULATIVE = ("sum", "count", "min", "max", "last")
 _FRAMED = ("frame_sum", "frame_count", "frame_avg", "frame_min", "frame_max", "lag")
@@ -154,7 +156,7 @@ def running(
     measures = list(measures)
     if not measures:
         return df
-    strategy = window_strategy(df.sparkSession, strategy)
+    strategy = resolve_strategy(df, keys, strategy)
     if strategy == "window":
         out = _running_window(df, keys, order, measures)
     elif strategy == "chunked":
@@ -167,6 +169,24 @@ def running(
     return out.withColumns({m.name: F.when(~null_key, F.col(m.name)) for m in measures})
 
 
+def resolve_strategy(df: DataFrame, keys: str | Sequence[str], strategy: str | None = None, factor: int = 1) -> str:
+    """Turn ``None``/``auto`` into ``window`` or ``chunked`` with one size check of ``df``'s
+    largest key (times ``factor`` for derived passes whose groups are that much larger).
+    Multi-pass operators resolve once and hand the result to every pass."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    strategy = window_strategy(df.sparkSession, strategy)
+    if strategy != "auto":
+        return strategy
+    return "chunked" if largest_group(df, keys) * factor > max_group_rows(df.sparkSession) else "window"
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Size check behind the ``auto`` strategy: rows of the largest key (partial
+    aggregation of the key columns only; one small result row to the driver)."""
+    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
+    return int(row[0] or 0)
+
+
 def _running_window(df, keys, order, measures):
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.select("*", *[_agg_over(m, m.expr, w).alias(m.name) for m in measures])

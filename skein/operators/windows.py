@@ -89,6 +89,7 @@ def career_totals(
     sums of that value. Category columns are sorted by label per dummy column.
     """
     _require(df, [group_col, *dummy_cols, *numerical_cols])
+    strategy = R.resolve_strategy(df, group_col, strategy)
     categories = categories or {}
     taken = set(df.columns)
     measures = []
@@ -180,6 +181,7 @@ def results_own_stats(
 ) -> DataFrame:
     """W6 (after), W7 (incoming), W8/W9 (fixed windows), W10 (day gaps) in one pass."""
     _require(df, [entity_col, result_col, time_col] + ([date_col] if time_diffs and date_col else []))
+    strategy = R.resolve_strategy(df, entity_col, strategy)
     base = df.withColumns(
         {
             "win": F.coalesce(F.col(result_col) == "Win", F.lit(False)).cast("int"),
@@ -286,6 +288,7 @@ def metric_stats(
     """W13 (0-based order), W14 (cumulative current/incoming + averages), W15 (rolling
     incoming sums, means and counts) for every metric, in one Window pass."""
     _require(df, [entity_col, *metrics])
+    strategy = R.resolve_strategy(df, entity_col, strategy)
     ms = [R.row_number("_n")]
     for m in metrics:
         x = F.col(m).cast("double") if isinstance(df.schema[m].dataType, T.BooleanType) else F.col(m)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from skein.operators import asof as AS
 from skein.operators import joins as J
+from skein.operators import running as RN
 from skein.operators import windows as W
 from skein.plans.testdata import MATCHES_SQL, long, table
 
@@ -372,7 +373,10 @@ _OPP_COLS = ["opp_cumulative_wins_in", "opp_cumulative_losses_in", "opp_cumulati
 
 
 def _own(spark, d, strategy=None):
-    return W.results_own_stats(long(spark, d), "fighter_url", LONG_ORDER, rolling=False, time_diffs=False, strategy=strategy)
+    lg = long(spark, d)
+    strategy = RN.resolve_strategy(lg, "fighter_url", strategy, factor=2)
+    own = W.results_own_stats(lg, "fighter_url", LONG_ORDER, rolling=False, time_diffs=False, strategy=strategy)
+    return own, strategy
 
 
 @query("opponent_asof", f"""
@@ -381,7 +385,8 @@ SELECT fight_url, fighter_url, {", ".join(_OPP_COLS)} FROM oa
 """)
 def opponent_asof(spark, d):
     """W11 (as-of lookups, backward for incoming and forward for after)."""
-    out = OP.opponent_records(_own(spark, d), on="asof")
+    own, st = _own(spark, d)
+    out = OP.opponent_records(own, on="asof", strategy=st)
     return out.select("fight_url", "fighter_url", *[F.col(c).cast("bigint").alias(c) for c in _OPP_COLS])
 
 
@@ -394,7 +399,8 @@ FROM own o LEFT JOIN src s ON s.k = o.opp_url AND s.m = o.fight_url
 """)
 def opponent_match(spark, d):
     """W11 with ``on='match'``: the opponent's own row of the same match."""
-    out = OP.opponent_records(_own(spark, d), on="match")
+    own, st = _own(spark, d)
+    out = OP.opponent_records(own, on="match", strategy=st)
     return out.select("fight_url", "fighter_url", *[F.col(c).cast("bigint").alias(c) for c in _OPP_COLS])
 
 
@@ -406,7 +412,8 @@ FROM oa {W_LONG}
 """)
 def opponent_totals(spark, d):
     """Running sums of the opponents' records over own matches."""
-    out = OP.opponent_totals(OP.opponent_records(_own(spark, d), on="asof"), "fighter_url", LONG_ORDER)
+    own, st = _own(spark, d)
+    out = OP.opponent_totals(OP.opponent_records(own, on="asof", strategy=st), "fighter_url", LONG_ORDER, strategy=st)
     return out.select("fight_url", "fighter_url", *[F.col(f"total_{c}").cast("bigint").alias(f"total_{c}") for c in _OPP_COLS])
 
 
@@ -509,8 +516,11 @@ def _metric_cum_sql():
             f"AS fight_order FROM fd)\nSELECT fight_url, fighter, " + ",\n".join(parts) + " FROM fo")
 
 
-def _metric_stats(spark, d):
-    return W.metric_stats(_fights(spark, d), "fighter", ["event_date", "fight_url", "fighter"], _FIGHT_METRICS)
+def _metric_stats(spark, d, with_strategy=False):
+    fights = _fights(spark, d)
+    st = RN.resolve_strategy(fights, "fighter", None, factor=2)
+    out = W.metric_stats(fights, "fighter", ["event_date", "fight_url", "fighter"], _FIGHT_METRICS, strategy=st)
+    return (out, st) if with_strategy else out
 
 
 @query("metric_cumulative", _metric_cum_sql())
@@ -595,9 +605,9 @@ FROM bk JOIN fw USING (fight_url, fighter) JOIN l USING (fight_url, fighter)
 @query("opponent_metrics", _opp_metric_sql())
 def opponent_metrics(spark, d):
     """J8 + W16: opponent per-metric cumulative stats via as-of lookups."""
-    st = _metric_stats(spark, d)
-    st = OP.opponent_by_reversal(st, "fight_url", "fighter", order=["fighter"])
-    out = OP.opponent_metrics(st, _FIGHT_METRICS, entity_col="fighter")
+    st, strat = _metric_stats(spark, d, with_strategy=True)
+    st = OP.opponent_by_reversal(st, "fight_url", "fighter", order=["fighter"], strategy=strat)
+    out = OP.opponent_metrics(st, _FIGHT_METRICS, entity_col="fighter", strategy=strat)
     names = [f"opp_cum_{m}_in" for m in _FIGHT_METRICS] + [f"opp_avg_{m}_in" for m in _FIGHT_METRICS]
     names += [f"opp_cum_{m}_current" for m in _FIGHT_METRICS] + [f"opp_avg_{m}_current" for m in _FIGHT_METRICS]
     return out.select("fight_url", F.col("fighter").alias("fighter_url"), "opp_url", *[r4(c).alias(c) for c in names])
@@ -947,3 +957,33 @@ SELECT o_orderkey, o_custkey, o_orderdate FROM orders ORDER BY o_orderdate DESC,
 def tail_n(spark, d):
     """Last five rows in date order (top-k; the limit is the feature)."""
     return RS.tail_rows(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], 5)
+
+
+# ---------------------------------------------------------------- skew: hot keys through the chunked engine
+
+
+
+@query("hot_key_running", """
+SELECT event_id, event_type,
+  CAST(row_number() OVER w AS BIGINT) AS n,
+  round(sum(value) OVER w, 4) AS cum_value,
+  CAST(count(value) OVER wi AS BIGINT) AS n_before,
+  round(sum(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS roll3,
+  round(avg(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 4) AS roll5_in,
+  lag(event_id) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS prev_id,
+  min(ts) OVER w AS first_ts
+FROM events
+WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+       wi AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+""")
+def hot_key_running(spark, d):
+    """Running measures over five keys holding ~20% of the rows each, forced through the
+    skew-safe chunked strategy (keys span range partitions: offsets + halo rows)."""
+    ev = table(spark, d, "events").select("event_id", "event_type", "ts", "value")
+    ms = [RN.row_number("n"), RN.cum_sum("cum_value", "value"), RN.cum_count("n_before", "value", inclusive=False),
+          RN.rows_sum("roll3", "value", -2, 0), RN.rows_avg("roll5_in", "value", -5, -1), RN.lag("prev_id", "event_id", 1),
+          RN.cum_min("first_ts", "ts")]
+    out = RN.running(ev, "event_type", RN.order_cols("ts", "event_id"), ms, strategy="chunked")
+    return out.select("event_id", "event_type", F.col("n").cast("bigint").alias("n"), r4("cum_value").alias("cum_value"),
+                      F.col("n_before").cast("bigint").alias("n_before"), r4("roll3").alias("roll3"),
+                      r4("roll5_in").alias("roll5_in"), "prev_id", "first_ts")
