@@ -987,3 +987,163 @@ def hot_key_running(spark, d):
     return out.select("event_id", "event_type", F.col("n").cast("bigint").alias("n"), r4("cum_value").alias("cum_value"),
                       F.col("n_before").cast("bigint").alias("n_before"), r4("roll3").alias("roll3"),
                       r4("roll5_in").alias("roll5_in"), "prev_id", "first_ts")
+
+
+# ---------------------------------------------------------------- E1-E9 page extraction
+
+from skein.sources import extract as EX  # noqa: E402
+
+
+@query("page_links", """
+SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages
+""")
+def page_links(spark, d):
+    """E7 pattern with a link parser: one row per anchor of every page."""
+    out = EX.parsed_rows(EX.extract(table(spark, d, "pages"), "links", keep=("page_id",)))
+    return out.select("page_id", "href")
+
+
+@query("page_titles", """
+SELECT page_id, replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')
+       AS title FROM pages
+""")
+def page_titles(spark, d):
+    """E7 pattern with a title parser (character references decoded)."""
+    out = EX.parsed_rows(EX.extract(table(spark, d, "pages"), "title", keep=("page_id",)))
+    return out.select("page_id", "title")
+
+
+@query("page_errors", """
+SELECT page_id, url, 'no rows parsed' AS _error FROM pages WHERE html NOT LIKE '%b-link_style_black%'
+""")
+def page_errors(spark, d):
+    """E7 error side output: the event-list parser finds nothing on generic pages."""
+    out = EX.extract(table(spark, d, "pages"), "events", keep=("page_id",))
+    return out.where(F.col("_error").isNotNull()).select("page_id", "url", "_error")
+
+
+def _fighter_pages(spark, d):
+    c = table(spark, d, "customer")
+    dob = F.date_format(F.date_add(F.lit("1950-01-01").cast("date"), F.col("c_custkey").cast("int")), "MMM d, yyyy")
+    reach = F.when(F.col("c_acctbal") < 0, F.lit("--")).otherwise(F.concat((F.col("c_nationkey") + 60).cast("string"), F.lit('"')))
+    height = F.concat((5 + F.col("c_nationkey") % 2).cast("string"), F.lit("' "), (F.col("c_nationkey") % 12).cast("string"), F.lit('"'))
+    li = lambda label, v: F.concat(F.lit('<li class="b-list__box-list-item"><i class="b-list__box-item-title">'), F.lit(label),
+                                   F.lit("</i> "), v, F.lit("</li>"))
+    html = F.concat(
+        F.lit('<html><body><span class="b-content__title-highlight"> '), F.col("c_name"), F.lit(" </span>"),
+        F.lit('<span class="b-content__title-record">Record: '), (F.col("c_custkey") % 30).cast("string"), F.lit("-"),
+        F.col("c_nationkey").cast("string"), F.lit("-0</span>"),
+        F.lit('<p class="b-content__Nickname">"'), F.col("c_mktsegment"), F.lit('"</p><ul>'),
+        li("Height:", height), li("Reach:", reach), li("STANCE:", F.lower("c_mktsegment")), li("DOB:", dob),
+        F.lit("</ul></body></html>"),
+    )
+    return c.select(F.col("c_custkey").alias("page_id"), F.concat(F.lit("/fighter/"), F.col("c_custkey").cast("string")).alias("url"),
+                    html.alias("html"))
+
+
+@query("page_record", """
+SELECT '/fighter/' || c_custkey AS url, c_name AS full_name, c_mktsegment AS nickname,
+  CAST(5 + c_nationkey % 2 AS VARCHAR) || ''' ' || CAST(c_nationkey % 12 AS VARCHAR) || '"' AS height,
+  CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(c_nationkey + 60 AS VARCHAR) || '"' END AS reach,
+  lower(c_mktsegment) AS stance,
+  strftime(DATE '1950-01-01' + CAST(c_custkey AS INTEGER), '%b ') || CAST(day(DATE '1950-01-01' + CAST(c_custkey AS INTEGER)) AS VARCHAR)
+    || strftime(DATE '1950-01-01' + CAST(c_custkey AS INTEGER), ', %Y') AS date_of_birth,
+  CAST(c_custkey % 30 AS VARCHAR) || '-' || CAST(c_nationkey AS VARCHAR) || '-0' AS record
+FROM customer
+""")
+def page_record(spark, d):
+    """E5 + E7: profile pages (built from customer rows) -> label/value records."""
+    out = EX.parsed_rows(EX.extract(_fighter_pages(spark, d), "fighters"))
+    return out.select("url", "full_name", "nickname", "height", "reach", "stance", "date_of_birth", "record")
+
+
+# Pages hold at most 64 keys each (bounded groups by construction).
+_PAGE_KEYS = 64
+
+
+def _event_list_pages(spark, d):
+    c = table(spark, d, "customer")
+    n = table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = table(spark, d, "region").select("r_regionkey", "r_name")
+    rows = c.join(J.bounded_dim(n), c["c_nationkey"] == n["n_nationkey"]).join(J.bounded_dim(r), n["n_regionkey"] == r["r_regionkey"])
+    date = F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), F.col("c_custkey").cast("int")), "MMMM d, yyyy")
+    item = F.struct(
+        F.col("c_custkey").alias("k"),
+        F.concat(F.lit('<a class="b-link b-link_style_black" href="/event/'), F.col("c_custkey").cast("string"), F.lit('"> '),
+                 F.col("c_name"), F.lit(" </a>")).alias("a"),
+        F.concat(F.lit('<span class="b-statistics__date"> '), date, F.lit(" </span>")).alias("s"),
+        F.concat(F.lit('<td class="b-statistics__table-col b-statistics__table-col_style_big-top-padding"> '),
+                 F.col("n_name"), F.lit(", "), F.col("r_name"), F.lit(" </td>")).alias("t"),
+    )
+    pages = rows.groupBy(F.floor(F.col("c_custkey") / _PAGE_KEYS).alias("page_id")).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    upcoming_date = '<span class="b-statistics__date">Upcoming</span>'
+    upcoming_loc = '<td class="b-statistics__table-col b-statistics__table-col_style_big-top-padding">TBD</td>'
+    html = F.concat(
+        F.lit("<html><body><table><tr>"),
+        F.array_join(F.transform("items", lambda x: x["a"]), ""),
+        F.lit(upcoming_date), F.array_join(F.transform("items", lambda x: x["s"]), ""),
+        F.lit(upcoming_loc), F.array_join(F.transform("items", lambda x: x["t"]), ""),
+        F.lit("</tr></table></body></html>"),
+    )
+    return pages.select("page_id", F.concat(F.lit("/events/"), F.col("page_id").cast("string")).alias("url"), html.alias("html"))
+
+
+@query("page_table_zip", """
+SELECT c_name AS event, '/event/' || c_custkey AS event_url,
+  strftime(DATE '2000-01-01' + CAST(c_custkey AS INTEGER), '%B ') || CAST(day(DATE '2000-01-01' + CAST(c_custkey AS INTEGER)) AS VARCHAR)
+    || strftime(DATE '2000-01-01' + CAST(c_custkey AS INTEGER), ', %Y') AS date,
+  n_name || ', ' || r_name AS location
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+""")
+def page_table_zip(spark, d):
+    """E1 + E7: event-list pages (<= 64 events each, built from customer rows); names,
+    links, dates and locations zipped positionally after skipping the upcoming entry."""
+    out = EX.parsed_rows(EX.extract(_event_list_pages(spark, d), "events"))
+    return out.select("event", "event_url", "date", "location")
+
+
+def _results_pages(spark, d):
+    from skein.plans.testdata import matches
+
+    m = matches(spark, d)
+    winner = F.when(F.col("fighter1_result") == "Win", "win").when(F.col("fighter1_result") == "Draw", "draw").otherwise("nc")
+    imgs = F.concat(
+        F.when(F.col("method") == "KO/TKO", F.lit('<img src="/i/belt.png"/>')).otherwise(F.lit("")),
+        F.when(F.col("time_seconds") > 150, F.lit('<img src="/i/perf.png"/>')).otherwise(F.lit("")),
+        F.when(F.col("time_seconds") < 30, F.lit('<img src="/i/fight.png"/>')).otherwise(F.lit("")),
+    )
+    row = F.concat(
+        F.lit('<tr class="b-fight-details__table-row b-fight-details__table-row__hover js-fight-details-click" data-link="/fight/'),
+        F.col("fight_url").cast("string"), F.lit('"><td><a class="b-flag"> '), winner, F.lit(" </a></td><td>"),
+        F.lit('<a href="/fighter/'), F.col("fighter1_url").cast("string"), F.lit('">A</a><a href="/fighter/'),
+        F.col("fighter2_url").cast("string"), F.lit('">B</a></td><td></td><td></td><td></td><td></td><td> Class '),
+        (F.col("event_url") % 9).cast("string"), imgs, F.lit(" </td><td> "), F.col("method"),
+        F.lit(" </td><td> "), (F.year("event_date") % 5 + 1).cast("string"), F.lit(" </td><td> "),
+        F.concat((F.col("time_seconds") / 60).cast("int").cast("string"), F.lit(":"),
+                 F.lpad((F.col("time_seconds") % 60).cast("int").cast("string"), 2, "0")),
+        F.lit(" </td></tr>"),
+    )
+    item = F.struct(F.col("fight_url").alias("k"), row.alias("r"))
+    pages = m.groupBy("event_url", F.floor(F.col("fight_url") / _PAGE_KEYS).alias("b")).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    html = F.concat(F.lit("<html><body><table><tbody>"), F.array_join(F.transform("items", lambda x: x["r"]), ""),
+                    F.lit("</tbody></table></body></html>"))
+    return pages.select(F.concat(F.lit("/event/"), F.col("event_url").cast("string"), F.lit("/"), F.col("b").cast("string")).alias("url"),
+                        html.alias("html"))
+
+
+@query("page_results", f"""
+WITH {MATCHES_SQL}
+SELECT '/fight/' || fight_url AS fight_url,
+  CASE WHEN fighter1_result = 'Win' THEN 'win' WHEN fighter1_result = 'Draw' THEN 'draw' ELSE 'nc' END AS winner,
+  ['/fighter/' || fighter1_url, '/fighter/' || fighter2_url] AS fighters_urls,
+  'Class ' || CAST(event_url % 9 AS VARCHAR) AS weight_class, method,
+  CAST(year(event_date) % 5 + 1 AS VARCHAR) AS round,
+  CAST(CAST(trunc(time_seconds / 60) AS INTEGER) AS VARCHAR) || ':' || lpad(CAST(CAST(trunc(time_seconds % 60) AS INTEGER) AS VARCHAR), 2, '0') AS time,
+  method = 'KO/TKO' AS title_fight, time_seconds > 150 AS perf_bonus, time_seconds < 30 AS fight_of_the_night
+FROM m
+""")
+def page_results(spark, d):
+    """E2 + E7: results pages (<= 64 matches each) -> one typed row per match row."""
+    out = EX.parsed_rows(EX.extract(_results_pages(spark, d), "results"))
+    return out.select("fight_url", "winner", "fighters_urls", "weight_class", "method", "round", "time",
+                      "title_fight", "perf_bonus", "fight_of_the_night")
