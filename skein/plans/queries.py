@@ -1147,3 +1147,102 @@ def page_results(spark, d):
     out = EX.parsed_rows(EX.extract(_results_pages(spark, d), "results"))
     return out.select("fight_url", "winner", "fighters_urls", "weight_class", "method", "round", "time",
                       "title_fight", "perf_bonus", "fight_of_the_night")
+
+
+# Round-table headers as displayed (two tables per round section).
+_TOTALS_HEADERS = ["Fighter", "KD", "Sig. str.", "Sig. str. %", "Total str.", "Td %", "Td %", "Sub. att", "Rev.", "Ctrl"]
+_STRIKES_HEADERS = ["Fighter", "Sig. str", "Sig. str. %", "Head", "Body", "Leg", "Distance", "Clinch", "Ground"]
+_TARGETS = ["head", "body", "leg", "distance", "clinch", "ground"]
+
+
+def _round_values(fu, ts, i, j):
+    """Synthetic round statistics of participant j in round i of match fu (Spark side)."""
+    s = lambda c: c.cast("string")
+    a = (ts + i * j) % 40
+    b = a + fu % 7
+    tdv = (i + j) % 4
+    vals = {
+        "kd": s((fu + i + j) % 3),
+        "sig_str": F.concat(s(a), F.lit(" of "), s(b)),
+        "sig_str_pct": F.when(b == 0, F.lit("---")).otherwise(F.concat(s(F.floor(100 * a / b).cast("int")), F.lit("%"))),
+        "total_str": F.concat(s(a + 5), F.lit(" of "), s(b + 9)),
+        "td": F.concat(s(tdv), F.lit(" of "), s(tdv + 2)),
+        "td_pct": F.concat(s(F.floor(100 * tdv / (tdv + 2)).cast("int")), F.lit("%")),
+        "sub_att": s((fu + j) % 2),
+        "rev": F.lit("0"),
+        "ctrl": F.concat(s(i), F.lit(":"), F.lpad(s(fu % 60), 2, "0")),
+    }
+    for k, t in enumerate(_TARGETS, start=1):
+        vals[t] = F.concat(s((a + k) % 10), F.lit(" of "), s((a + k) % 10 + k))
+    return vals
+
+
+def _round_pages(spark, d):
+    from skein.plans.testdata import matches
+
+    m = matches(spark, d).select("fight_url", "fighter1_url", "fighter2_url",
+                                 F.col("time_seconds").cast("int").alias("ts"))
+    fu, ts = F.col("fight_url"), F.col("ts")
+    fighters = F.concat(F.lit('<td><a href="/fighter/'), F.col("fighter1_url").cast("string"), F.lit('">A</a><a href="/fighter/'),
+                        F.col("fighter2_url").cast("string"), F.lit('">B</a></td>'))
+
+    totals_cols = ["kd", "sig_str", "sig_str_pct", "total_str", "td", "td_pct", "sub_att", "rev", "ctrl"]
+    strikes_cols = ["sig_str", "sig_str_pct", *_TARGETS]
+    # one row per (match, round): plain expressions (whole-stage codegen), then each
+    # match's rounds (at most 3) are gathered in order.
+    per_round = m.withColumn("i", F.explode(F.sequence(F.lit(1), (1 + fu % 3).cast("int"))))
+    i = F.col("i")
+    v1, v2 = _round_values(fu, ts, i, 1), _round_values(fu, ts, i, 2)
+
+    def row(cols):
+        cells = [F.concat(F.lit("<td><p> "), v1[c], F.lit(" </p><p> "), v2[c], F.lit(" </p></td>")) for c in cols]
+        return F.concat(F.lit("<tr>"), fighters, *cells, F.lit("</tr>"))
+
+    rows = per_round.select("fight_url", F.struct(i.alias("i"), row(totals_cols).alias("t"), row(strikes_cols).alias("s")).alias("r"))
+    gathered = rows.groupBy("fight_url").agg(F.sort_array(F.collect_list("r")).alias("rs"))
+
+    def table(headers, field):
+        head = "".join(f"<th> {h} </th>" for h in headers)
+        return F.concat(F.lit('<section class="b-fight-details__section js-fight-section"><table class="b-fight-details__table">'
+                              f"<thead><tr>{head}</tr></thead><tbody>"), F.array_join(F.col(f"rs.{field}"), ""),
+                        F.lit("</tbody></table></section>"))
+
+    html = F.concat(F.lit('<html><body><a class="b-link" href="/fight/'), fu.cast("string"), F.lit('">Match</a>'),
+                    table(_TOTALS_HEADERS, "t"), table(_STRIKES_HEADERS, "s"), F.lit("</body></html>"))
+    return gathered.select(F.concat(F.lit("/fight/"), fu.cast("string"), F.lit("/rounds")).alias("url"), html.alias("html"))
+
+
+def _round_values_sql(j: int) -> str:
+    a = f"((ts + i * {j}) % 40)"
+    b = f"({a} + fight_url % 7)"
+    tdv = f"((i + {j}) % 4)"
+    cols = {
+        "kd": f"CAST((fight_url + i + {j}) % 3 AS VARCHAR)",
+        "sig_str": f"CAST({a} AS VARCHAR) || ' of ' || CAST({b} AS VARCHAR)",
+        "sig_str_pct": f"CASE WHEN {b} = 0 THEN '---' ELSE CAST((100 * {a}) // {b} AS VARCHAR) || '%' END",
+        "total_str": f"CAST({a} + 5 AS VARCHAR) || ' of ' || CAST({b} + 9 AS VARCHAR)",
+        "td": f"CAST({tdv} AS VARCHAR) || ' of ' || CAST({tdv} + 2 AS VARCHAR)",
+        "td_pct": f"CAST((100 * {tdv}) // ({tdv} + 2) AS VARCHAR) || '%'",
+        "sub_att": f"CAST((fight_url + {j}) % 2 AS VARCHAR)",
+        "rev": "'0'",
+        "ctrl": "CAST(i AS VARCHAR) || ':' || lpad(CAST(fight_url % 60 AS VARCHAR), 2, '0')",
+    }
+    for k, t in enumerate(_TARGETS, start=1):
+        cols[t] = f"CAST(({a} + {k}) % 10 AS VARCHAR) || ' of ' || CAST(({a} + {k}) % 10 + {k} AS VARCHAR)"
+    return ", ".join(f"{v} AS {k}" for k, v in cols.items())
+
+
+@query("page_rounds", f"""
+WITH {MATCHES_SQL},
+mm AS (SELECT fight_url, fighter1_url, fighter2_url, CAST(time_seconds AS INTEGER) AS ts FROM m),
+r AS (SELECT mm.*, CAST(g.i AS BIGINT) AS i FROM mm, LATERAL (SELECT unnest(range(1, 2 + CAST(fight_url % 3 AS INTEGER))) AS i) g)
+SELECT CAST(i AS INTEGER) AS round, '/fight/' || fight_url || '/rounds' AS fight_url, '/fighter/' || fighter1_url AS fighter,
+       {_round_values_sql(1)} FROM r
+UNION ALL
+SELECT CAST(i AS INTEGER), '/fight/' || fight_url || '/rounds', '/fighter/' || fighter2_url, {_round_values_sql(2)} FROM r
+""")
+def page_rounds(spark, d):
+    """E3 + E4 + E6 + E7: round pages (two tables per section, two stacked values per
+    cell) -> one row per participant per round; the page URL is attached as fight_url."""
+    out = EX.parsed_rows(EX.extract(_round_pages(spark, d), "rounds", attach="fight_url"))
+    return out.select("round", "fight_url", "fighter", *EX.ROUND_FIELDS)
