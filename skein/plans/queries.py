@@ -1246,3 +1246,295 @@ def page_rounds(spark, d):
     cell) -> one row per participant per round; the page URL is attached as fight_url."""
     out = EX.parsed_rows(EX.extract(_round_pages(spark, d), "rounds", attach="fight_url"))
     return out.select("round", "fight_url", "fighter", *EX.ROUND_FIELDS)
+
+
+# ---------------------------------------------------------------- C1-C16 scalars, CL1-CL4 cleaners
+
+from skein.operators import cleaners as CL  # noqa: E402
+from skein.plans import rawdata as RD  # noqa: E402
+
+_WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160)"
+
+
+def q_strip(x):
+    return f"trim({x}, {_WS})"
+
+
+def q_num(x):
+    return f"(CASE WHEN regexp_matches(CAST({x} AS VARCHAR), '{_NUM_RE}') THEN TRY_CAST(trim(CAST({x} AS VARCHAR)) AS DOUBLE) END)"
+
+
+def q_loc(x, part, width=None):
+    parts = f"list_transform(string_split({x}, ','), lambda e: {q_strip('e')})"
+    if part == "city":
+        return f"{parts}[1]"
+    if width is None:
+        if part == "state":
+            return f"CASE WHEN len({parts}) >= 3 THEN {parts}[2] END"
+        return f"CASE WHEN len({parts}) >= 3 THEN {parts}[len({parts})] WHEN len({parts}) = 2 THEN {parts}[2] END"
+    if part == "state":
+        return f"{parts}[2]" if width >= 3 else "CAST(NULL AS VARCHAR)"
+    return f"{parts}[{width}]" if width >= 3 else (f"{parts}[2]" if width == 2 else "CAST(NULL AS VARCHAR)")
+
+
+def q_height(x):
+    pat = r"(\d+)'\s*(\d+)".replace("'", "''")
+    return (f"(TRY_CAST(regexp_extract({x}, '{pat}', 1) AS DOUBLE) * 30.48 + "
+            f"TRY_CAST(regexp_extract({x}, '{pat}', 2) AS DOUBLE) * 2.54)")
+
+
+def q_reach(x):
+    return f"({q_num(q_strip(f'replace({x}, chr(34), {chr(39)}{chr(39)})'))} * 2.54)"
+
+
+def q_time(x):
+    p = f"list_transform(string_split({x}, ':'), lambda e: {q_num('e')})"
+    return (f"(CASE WHEN {x} IS NULL OR {q_strip(x)} = '' THEN NULL WHEN len({p}) = 2 THEN {p}[1] * 60 + {p}[2] "
+            f"WHEN len({p}) = 3 THEN {p}[1] * 3600 + {p}[2] * 60 + {p}[3] END)")
+
+
+def q_lines(x):
+    return f"list_filter(list_transform(string_split({x}, chr(10)), lambda e: {q_strip('e')}), lambda e: e <> '')"
+
+
+def q_method_type(x):
+    return (f"(CASE WHEN {x} IN ('U-DEC', 'S-DEC', 'M-DEC') THEN 'Decision' WHEN {x} = 'KO/TKO' THEN 'Knockout' "
+            f"WHEN {x} = 'SUB' THEN 'Submission' ELSE 'Other' END)")
+
+
+def q_cap(x):
+    return f"(upper(substr({x}, 1, 1)) || lower(substr({x}, 2)))"
+
+
+def q_date(x, fmt):
+    return f"strftime(CAST(try_strptime({q_strip(f'replace({x}, chr(160), chr(32))')}, '{fmt}') AS DATE), '%Y-%m-%d')"
+
+
+def q_label(x):
+    return f"replace(replace({q_strip(f'lower(coalesce(CAST({x} AS VARCHAR), {chr(39)}{chr(39)}))')}, ' ', '_'), '''', '')"
+
+
+def q_int(x):
+    n = q_num(x)
+    return f"(CASE WHEN {n} = floor({n}) THEN CAST({n} AS INTEGER) END)"
+
+
+def q_pct(x):
+    return q_num(f"replace({x}, '%', '')")
+
+
+def q_frac(x, i):
+    return f"TRY_CAST(regexp_extract({x}, '(\\d+)\\s*of\\s*(\\d+)', {i}) AS DOUBLE)"
+
+
+def _day(c):
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+@query("clean_location", f"""
+WITH {RD.RAW_EVENTS_SQL}
+SELECT event_url, {q_loc('location', 'city')} AS city, {q_loc('location', 'state')} AS state, {q_loc('location', 'country')} AS country
+FROM re
+""")
+def clean_location(spark, d):
+    """C1 per row: 3+ parts -> city/state/last, 2 -> city/country, 1 -> city."""
+    loc = S.location_parts("location")
+    return RD.raw_events(spark, d).select("event_url", loc["city"].alias("city"), loc["state"].alias("state"), loc["country"].alias("country"))
+
+
+@query("clean_location_dataset", f"""
+WITH {RD.RAW_EVENTS_SQL}
+SELECT event_url, {q_loc('location', 'city', 4)} AS city, {q_loc('location', 'state', 4)} AS state,
+       {q_loc('location', 'country', 4)} AS country
+FROM re
+""")
+def clean_location_dataset(spark, d):
+    """C1 with the column-wide width rule (widest row decides; here 4 parts)."""
+    ev = RD.raw_events(spark, d)
+    loc = S.location_parts("location", CL.location_width(ev))
+    return ev.select("event_url", loc["city"].alias("city"), loc["state"].alias("state"), loc["country"].alias("country"))
+
+
+@query("clean_height", f"WITH {RD.RAW_FIGHTERS_SQL} SELECT fighter_url, round({q_height('height')}, 4) AS height_cm FROM rf")
+def clean_height(spark, d):
+    """feet/inches text -> centimetres."""
+    return RD.raw_fighters(spark, d).select("fighter_url", r4(S.height_to_cm("height")).alias("height_cm"))
+
+
+@query("clean_reach", f"WITH {RD.RAW_FIGHTERS_SQL} SELECT fighter_url, round({q_reach('reach')}, 4) AS reach_cm FROM rf")
+def clean_reach(spark, d):
+    """Inches text -> centimetres."""
+    return RD.raw_fighters(spark, d).select("fighter_url", r4(S.reach_to_cm("reach")).alias("reach_cm"))
+
+
+@query("clean_time", f"WITH {RD.RAW_RESULTS_SQL} SELECT fight_url, time, {q_time('time')} AS time_seconds FROM rr")
+def clean_time(spark, d):
+    """C4: m:ss / h:mm:ss -> seconds."""
+    return RD.raw_results(spark, d).select("fight_url", "time", S.time_to_seconds("time").alias("time_seconds"))
+
+
+@query("clean_pct", f"WITH {RD.RAW_ROUNDS_SQL} SELECT fight_url, fighter, round, sig_str_pct, {q_pct('sig_str_pct')} AS pct FROM rw")
+def clean_pct(spark, d):
+    """C6: '37%' -> 37.0, '---' -> NULL."""
+    return RD.raw_rounds(spark, d).select("fight_url", "fighter", "round", "sig_str_pct", S.parse_percentage("sig_str_pct").alias("pct"))
+
+
+@query("clean_fraction", f"""
+WITH {RD.RAW_ROUNDS_SQL}
+SELECT fight_url, fighter, round, head, {q_frac('head', 1)} AS landed, {q_frac('head', 2)} AS attempted FROM rw
+""")
+def clean_fraction(spark, d):
+    """C7: 'x of y' -> landed, attempted."""
+    fr = S.parse_fraction("head")
+    return RD.raw_rounds(spark, d).select("fight_url", "fighter", "round", "head", fr["landed"].alias("landed"),
+                                          fr["attempted"].alias("attempted"))
+
+
+@query("clean_method", f"""
+WITH {RD.RAW_RESULTS_SQL}
+SELECT fight_url, {q_lines('method')}[1] AS method_short, {q_lines('method')}[2] AS method_detail FROM rr
+""")
+def clean_method(spark, d):
+    """Multi-line method -> short code and detail."""
+    m = S.split_method("method")
+    return RD.raw_results(spark, d).select("fight_url", m["short"].alias("method_short"), m["detail"].alias("method_detail"))
+
+
+@query("method_type", f"""
+WITH {RD.RAW_RESULTS_SQL}
+SELECT fight_url, {q_method_type(q_lines('method') + '[1]')} AS method_type FROM rr
+""")
+def method_type_q(spark, d):
+    """Method code -> Decision / Knockout / Submission / Other."""
+    return RD.raw_results(spark, d).select("fight_url", S.method_type(S.split_method("method")["short"]).alias("method_type"))
+
+
+@query("capitalize", f"WITH {RD.RAW_RESULTS_SQL} SELECT fight_url, {q_cap('winner')} AS result_type FROM rr")
+def capitalize_q(spark, d):
+    """C11: str.capitalize."""
+    return RD.raw_results(spark, d).select("fight_url", S.capitalize("winner").alias("result_type"))
+
+
+@query("outcomes", f"""
+WITH {RD.RAW_RESULTS_SQL}
+SELECT fight_url, CASE WHEN {q_cap('winner')} = 'Win' THEN 'Win' ELSE {q_cap('winner')} END AS fighter1_result,
+       CASE WHEN {q_cap('winner')} = 'Win' THEN 'Loss' ELSE {q_cap('winner')} END AS fighter2_result FROM rr
+""")
+def outcomes(spark, d):
+    """Win -> (Win, Loss); other labels shared."""
+    o = S.participant_outcomes(S.capitalize("winner"))
+    return RD.raw_results(spark, d).select("fight_url", o["first"].alias("fighter1_result"), o["second"].alias("fighter2_result"))
+
+
+@query("clean_dates", f"""
+WITH {RD.RAW_EVENTS_SQL}, {RD.RAW_FIGHTERS_SQL}
+SELECT 'e' AS src, event_url AS k, {q_date('date', '%B %d, %Y')} AS day FROM re
+UNION ALL
+SELECT 'f', fighter_url, {q_date('date_of_birth', '%b %d, %Y')} FROM rf
+""")
+def clean_dates(spark, d):
+    """Lenient dates in two formats (no-break spaces, blanks and junk -> NULL)."""
+    e = RD.raw_events(spark, d).select(F.lit("e").alias("src"), F.col("event_url").alias("k"),
+                                       _day(S.parse_date("date", "MMMM d, yyyy")).alias("day"))
+    f = RD.raw_fighters(spark, d).select(F.lit("f").alias("src"), F.col("fighter_url").alias("k"),
+                                         _day(S.parse_date("date_of_birth", "MMM d, yyyy")).alias("day"))
+    return e.unionByName(f)
+
+
+@query("to_number", f"""
+WITH {RD.RAW_ROUNDS_SQL}
+SELECT fight_url, fighter, round, {q_num('kd')} AS kd, {q_num('sub_att')} AS sub_att FROM rw
+""")
+def to_number(spark, d):
+    """Lenient numeric ('1e0', ' 2 ' accepted; '3d' rejected)."""
+    return RD.raw_rounds(spark, d).select("fight_url", "fighter", "round", S.to_number("kd").alias("kd"),
+                                          S.to_number("sub_att").alias("sub_att"))
+
+
+@query("list_pair", f"""
+WITH {RD.RAW_RESULTS_SQL} SELECT fight_url, fighters_urls[1] AS fighter1_url, fighters_urls[2] AS fighter2_url FROM rr
+""")
+def list_pair(spark, d):
+    """List positions 0 and 1 (NULL when short)."""
+    return RD.raw_results(spark, d).select("fight_url", S.list_item("fighters_urls", 0).alias("fighter1_url"),
+                                           S.list_item("fighters_urls", 1).alias("fighter2_url"))
+
+
+@query("duration", f"""
+WITH {RD.RAW_RESULTS_SQL}
+SELECT fight_url, {q_time('time')} + ({q_int('round')} - 1) * 300 AS fight_duration_seconds FROM rr
+""")
+def duration(spark, d):
+    """C14: time in final round + 300 s per earlier round."""
+    rr = RD.raw_results(spark, d)
+    rnd = S.to_number("round")
+    rnd = F.when(rnd == F.floor(rnd), rnd.cast("int"))
+    return rr.select("fight_url", S.fight_duration(S.time_to_seconds("time"), rnd).alias("fight_duration_seconds"))
+
+
+@query("label", f"WITH {RD.RAW_RESULTS_SQL} SELECT fight_url, {q_label('weight_class')} AS label FROM rr")
+def label(spark, d):
+    """Category label cleaning."""
+    return RD.raw_results(spark, d).select("fight_url", S.clean_label("weight_class").alias("label"))
+
+
+@query("composite_label", f"""
+WITH {RD.RAW_RESULTS_SQL}
+SELECT fight_url, lower({q_cap('winner')}) || '_' || lower({q_method_type(q_lines('method') + '[1]')}) AS result_method FROM rr
+""")
+def composite_label(spark, d):
+    """lower(result) || '_' || lower(method type)."""
+    rr = RD.raw_results(spark, d)
+    return rr.select("fight_url", S.composite_label(S.capitalize("winner"), S.method_type(S.split_method("method")["short"])).alias("result_method"))
+
+
+@query("clean_events", f"""
+WITH {RD.RAW_EVENTS_SQL}
+SELECT event, event_url, {q_date('date', '%B %d, %Y')} AS date, location, {q_loc('location', 'city')} AS city,
+       {q_loc('location', 'state')} AS state, {q_loc('location', 'country')} AS country FROM re
+""")
+def clean_events(spark, d):
+    """CL1: events cleaner."""
+    out = CL.clean_events(RD.raw_events(spark, d))
+    return out.withColumn("date", _day("date"))
+
+
+@query("clean_results", f"""
+WITH {RD.RAW_RESULTS_SQL},
+c AS (SELECT *, {q_time('time')} AS ts, {q_int('round')} AS rnd, {q_lines('method')} AS ml, {q_cap('winner')} AS rt FROM rr)
+SELECT fight_url, event_url, weight_class, method, rnd AS round, time, title_fight, perf_bonus, fight_of_the_night,
+       ts AS time_seconds, ts + (rnd - 1) * 300 AS fight_duration_seconds, ml[1] AS method_short, ml[2] AS method_detail,
+       rt AS result_type, {q_method_type('ml[1]')} AS method_type, fighters_urls[1] AS fighter1_url,
+       fighters_urls[2] AS fighter2_url, CASE WHEN rt = 'Win' THEN 'Win' ELSE rt END AS fighter1_result,
+       CASE WHEN rt = 'Win' THEN 'Loss' ELSE rt END AS fighter2_result
+FROM c
+""")
+def clean_results(spark, d):
+    """CL2: results cleaner."""
+    return CL.clean_results(RD.raw_results(spark, d))
+
+
+@query("clean_fighters", f"""
+WITH {RD.RAW_FIGHTERS_SQL}
+SELECT full_name, fighter_url, nickname, height, reach, stance, {q_date('date_of_birth', '%b %d, %Y')} AS date_of_birth, record,
+       round({q_height('height')}, 4) AS height_cm, round({q_reach('reach')}, 4) AS reach_cm FROM rf
+""")
+def clean_fighters(spark, d):
+    """CL3: profile cleaner."""
+    out = CL.clean_fighters(RD.raw_fighters(spark, d))
+    return out.withColumns({"date_of_birth": _day("date_of_birth"), "height_cm": r4("height_cm"), "reach_cm": r4("reach_cm")})
+
+
+def _clean_rounds_sql():
+    cols = [f"{q_num('round')} AS round", "fight_url", "fighter", f"{q_num('kd')} AS kd", f"{q_num('sub_att')} AS sub_att",
+            f"{q_num('rev')} AS rev", f"{q_time('ctrl')} AS ctrl_seconds", f"{q_pct('sig_str_pct')} AS sig_str_pct_num",
+            f"{q_pct('td_pct')} AS td_pct_num"]
+    for s in AG.FRACTION_STATS:
+        cols += [f"{q_frac(s, 1)} AS {s}_landed", f"{q_frac(s, 2)} AS {s}_attempted"]
+    return f"WITH {RD.RAW_ROUNDS_SQL} SELECT " + ", ".join(cols) + " FROM rw"
+
+
+@query("clean_rounds", _clean_rounds_sql())
+def clean_rounds(spark, d):
+    """CL4: round-table cleaner (numbers, control seconds, percentages, 9 fraction pairs)."""
+    return CL.clean_rounds(RD.raw_rounds(spark, d))
