@@ -1538,3 +1538,182 @@ def _clean_rounds_sql():
 def clean_rounds(spark, d):
     """CL4: round-table cleaner (numbers, control seconds, percentages, 9 fraction pairs)."""
     return CL.clean_rounds(RD.raw_rounds(spark, d))
+
+
+# ---------------------------------------------------------------- G3 / G4 composites
+
+from skein.plans import pipelines as PL  # noqa: E402
+
+
+def _clean_results_body():
+    return (f"c AS (SELECT *, {q_time('time')} AS ts, {q_int('round')} AS rnd, {q_lines('method')} AS ml, {q_cap('winner')} AS rt FROM rr),\n"
+            "cr AS (SELECT fight_url, event_url, weight_class, method, rnd AS round, time, title_fight, perf_bonus, fight_of_the_night,\n"
+            "  ts AS time_seconds, ts + (rnd - 1) * 300 AS fight_duration_seconds, ml[1] AS method_short, ml[2] AS method_detail,\n"
+            f"  rt AS result_type, {q_method_type('ml[1]')} AS method_type, fighters_urls[1] AS fighter1_url,\n"
+            "  fighters_urls[2] AS fighter2_url, CASE WHEN rt = 'Win' THEN 'Win' ELSE rt END AS fighter1_result,\n"
+            "  CASE WHEN rt = 'Win' THEN 'Loss' ELSE rt END AS fighter2_result FROM c)")
+
+
+_G3_OUT = [
+    "total_fights_after", "cumulative_wins_after", "cumulative_losses_after", "win_rate_after", "avg_time_seconds_after",
+    "total_fights_in", "cumulative_wins_in", "cumulative_losses_in", "win_rate_in", "avg_time_seconds_in",
+    *[f"rolling_{w}_{k}" for w in (3, 5) for k in ("wins", "fights", "win_rate", "avg_time", "wins_in", "fights_in",
+                                                    "win_rate_in", "avg_time_in")],
+    "time_since_first_fight", "time_since_last_fight", *_OPP_COLS, *[f"total_{c}" for c in _OPP_COLS],
+]
+_G3_DOUBLES = {"win_rate_after", "avg_time_seconds_after", "win_rate_in", "avg_time_seconds_in",
+               *[f"rolling_{w}_{k}" for w in (3, 5) for k in ("win_rate", "avg_time", "win_rate_in", "avg_time_in")]}
+
+
+def _g3_sql():
+    W = "(PARTITION BY fighter_url ORDER BY event_date ASC NULLS LAST, fight_url ROWS BETWEEN {} )"
+    wa = W.format("UNBOUNDED PRECEDING AND CURRENT ROW")
+    wi = W.format("UNBOUNDED PRECEDING AND 1 PRECEDING")
+    wo = "(PARTITION BY fighter_url ORDER BY event_date ASC NULLS LAST, fight_url)"
+    roll = []
+    for w in (3, 5):
+        fa, fi = W.format(f"{w - 1} PRECEDING AND CURRENT ROW"), W.format(f"{w} PRECEDING AND 1 PRECEDING")
+        roll += [f"sum(win) OVER {fa} AS r{w}w", f"count(win) OVER {fa} AS r{w}f", f"avg(time_seconds) OVER {fa} AS r{w}t",
+                 f"sum(win) OVER {fi} AS r{w}wi", f"count(win) OVER {fi} AS r{w}fi", f"avg(time_seconds) OVER {fi} AS r{w}ti"]
+    k = "fighter_url IS NULL"
+    nk = lambda e: f"CASE WHEN {k} THEN NULL ELSE {e} END"
+    days = lambda a, b: f"CAST(floor((epoch_us(CAST({a} AS TIMESTAMP)) - epoch_us(CAST({b} AS TIMESTAMP))) / 86400000000) AS BIGINT)"
+    fin = {
+        "total_fights_after": nk("n"), "cumulative_wins_after": nk("w_a"), "cumulative_losses_after": nk("l_a"),
+        "win_rate_after": nk("w_a / n"), "avg_time_seconds_after": nk("CASE WHEN tc_a > 0 THEN ts_a / tc_a END"),
+        "total_fights_in": nk("n - 1"), "cumulative_wins_in": f"coalesce({nk('w_i')}, 0)",
+        "cumulative_losses_in": f"coalesce({nk('l_i')}, 0)",
+        "win_rate_in": nk("CASE WHEN n - 1 > 0 THEN coalesce(w_i, 0) / (n - 1) END"),
+        "avg_time_seconds_in": nk("CASE WHEN tc_i > 0 THEN ts_i / tc_i END"),
+        "time_since_first_fight": nk(days("event_date", "first_d")), "time_since_last_fight": nk(days("event_date", "prev_d")),
+    }
+    for w in (3, 5):
+        fin.update({
+            f"rolling_{w}_wins": nk(f"r{w}w"), f"rolling_{w}_fights": nk(f"r{w}f"),
+            f"rolling_{w}_win_rate": nk(f"r{w}w / r{w}f"), f"rolling_{w}_avg_time": nk(f"r{w}t"),
+            f"rolling_{w}_wins_in": nk(f"r{w}wi"), f"rolling_{w}_fights_in": nk(f"r{w}fi"),
+            f"rolling_{w}_win_rate_in": nk(f"CASE WHEN r{w}fi > 0 THEN r{w}wi / r{w}fi END"), f"rolling_{w}_avg_time_in": nk(f"r{w}ti"),
+        })
+    fin_sql = ",\n  ".join(
+        (f"round({v}, 4) AS {n}" if n in _G3_DOUBLES else f"CAST({v} AS BIGINT) AS {n}") for n, v in fin.items())
+    ewin = "ORDER BY s.d DESC NULLS LAST, s.m DESC NULLS LAST"
+    return f"""
+WITH {RD.RAW_RESULTS_SQL}, {RD.RAW_EVENTS_SQL}, {RD.RAW_FIGHTERS_SQL},
+{_clean_results_body()},
+ce AS (SELECT event_url, CAST(try_strptime({q_strip("replace(date, chr(160), chr(32))")}, '%B %d, %Y') AS DATE) AS event_date FROM re),
+wd AS (SELECT cr.*, ce.event_date FROM cr LEFT JOIN ce USING (event_url)),
+lg3 AS (SELECT fight_url, event_date, fighter1_url AS fighter_url, fighter1_result AS result, time_seconds, 'fighter1' AS role,
+              fighter2_url AS opp_url FROM wd
+       UNION ALL SELECT fight_url, event_date, fighter2_url, fighter2_result, time_seconds, 'fighter2', fighter1_url FROM wd),
+x AS (SELECT *, CASE WHEN result = 'Win' THEN 1 ELSE 0 END AS win, CASE WHEN result = 'Loss' THEN 1 ELSE 0 END AS loss FROM lg3),
+o1 AS (SELECT x.*, row_number() OVER {wo} AS n,
+   sum(win) OVER {wa} AS w_a, sum(loss) OVER {wa} AS l_a, sum(time_seconds) OVER {wa} AS ts_a, count(time_seconds) OVER {wa} AS tc_a,
+   sum(win) OVER {wi} AS w_i, sum(loss) OVER {wi} AS l_i, sum(time_seconds) OVER {wi} AS ts_i, count(time_seconds) OVER {wi} AS tc_i,
+   {", ".join(roll)}, min(event_date) OVER {wa} AS first_d, lag(event_date) OVER {wo} AS prev_d FROM x),
+own AS (SELECT fight_url, fighter_url, opp_url, role, result, event_date,
+  {fin_sql} FROM o1),
+src AS (SELECT fighter_url AS k, event_date AS d, fight_url AS m,
+          CASE WHEN total_fights_in > 0 THEN cumulative_wins_in END AS wi, CASE WHEN total_fights_in > 0 THEN cumulative_losses_in END AS li,
+          cumulative_wins_after AS wa, cumulative_losses_after AS la FROM own WHERE fighter_url IS NOT NULL AND event_date IS NOT NULL),
+bk AS (SELECT * FROM (SELECT l.fight_url, l.role, s.wi, s.li, row_number() OVER (PARTITION BY l.fight_url, l.role {ewin}) AS rn
+        FROM own l LEFT JOIN src s ON s.k = l.opp_url AND s.d <= l.event_date) WHERE rn = 1),
+fw AS (SELECT * FROM (SELECT l.fight_url, l.role, s.wa, s.la,
+          row_number() OVER (PARTITION BY l.fight_url, l.role ORDER BY s.d ASC NULLS LAST, s.m ASC NULLS LAST) AS rn
+        FROM own l LEFT JOIN src s ON s.k = l.opp_url AND s.d >= l.event_date) WHERE rn = 1),
+oa AS (SELECT own.*, CAST(bk.wi AS BIGINT) AS opp_cumulative_wins_in, CAST(bk.li AS BIGINT) AS opp_cumulative_losses_in,
+          CAST(fw.wa AS BIGINT) AS opp_cumulative_wins_after, CAST(fw.la AS BIGINT) AS opp_cumulative_losses_after
+       FROM own JOIN bk USING (fight_url, role) JOIN fw USING (fight_url, role)),
+tt AS (SELECT oa.*, {", ".join(f"CASE WHEN fighter_url IS NULL THEN NULL ELSE CAST(sum(coalesce({c}, 0)) OVER {wa} AS BIGINT) END AS total_{c}" for c in _OPP_COLS)}
+       FROM oa),
+fd AS (SELECT DISTINCT * FROM rf)
+SELECT tt.fight_url, tt.fighter_url, tt.opp_url, tt.role, tt.result, strftime(tt.event_date, '%Y-%m-%d') AS event_date,
+  {", ".join(f"tt.{c}" for c in _G3_OUT)}, fd.full_name, round({q_height('fd.height')}, 4) AS height_cm
+FROM tt LEFT JOIN fd ON tt.fighter_url = fd.fighter_url
+"""
+
+
+@query("results_stats_full", _g3_sql())
+def results_stats_full(spark, d):
+    """G3 end to end: clean results (CL2) + events (CL1) + fighters (CL3) -> J1 -> P1 ->
+    W6-W10 -> W11 (as-of) -> W12 -> J3."""
+    cr = CL.clean_results(RD.raw_results(spark, d))
+    ce = CL.clean_events(RD.raw_events(spark, d)).select("event_url", "date")
+    cf = CL.clean_fighters(RD.raw_fighters(spark, d))
+    out = PL.results_stats(cr, ce, cf)
+    cols = [r4(c).alias(c) if c in _G3_DOUBLES else F.col(c).cast("bigint").alias(c) for c in _G3_OUT]
+    return out.select("fight_url", "fighter_url", "opp_url", "role", "result", _day("event_date").alias("event_date"), *cols,
+                      "full_name", r4("height_cm").alias("height_cm"))
+
+
+_G4_METRICS = ["kd", "sig_str_landed", "ctrl_seconds", "td_attempted"]
+
+
+def _g4_cols():
+    cols = []
+    for m in _G4_METRICS:
+        cols += [f"cum_{m}_current", f"avg_{m}_current", f"cum_{m}_in", f"avg_{m}_in", f"rolling_3_{m}_in",
+                 f"rolling_5_avg_{m}_in", f"opp_cum_{m}_in", f"opp_avg_{m}_current"]
+    return cols
+
+
+def _g4_sql():
+    Wf = "(PARTITION BY fighter ORDER BY event_date ASC NULLS LAST, fight_url ROWS BETWEEN {})"
+    cur, inn = Wf.format("UNBOUNDED PRECEDING AND CURRENT ROW"), Wf.format("UNBOUNDED PRECEDING AND 1 PRECEDING")
+    stat = []
+    for m in _G4_METRICS:
+        stat += [
+            f"CASE WHEN {m} IS NOT NULL THEN sum({m}) OVER {cur} END AS cum_{m}_current",
+            f"CASE WHEN {m} IS NOT NULL THEN sum({m}) OVER {cur} END / (fight_order + 1) AS avg_{m}_current",
+            f"coalesce(sum({m}) OVER {inn}, 0) AS cum_{m}_in",
+            f"CASE WHEN fight_order > 0 THEN coalesce(sum({m}) OVER {inn}, 0) / fight_order END AS avg_{m}_in",
+            f"sum({m}) OVER {Wf.format('3 PRECEDING AND 1 PRECEDING')} AS rolling_3_{m}_in",
+            f"avg({m}) OVER {Wf.format('5 PRECEDING AND 1 PRECEDING')} AS rolling_5_avg_{m}_in",
+        ]
+    in_names = [f"cum_{m}_in" for m in _G4_METRICS]
+    cur_names = [f"avg_{m}_current" for m in _G4_METRICS]
+    sums = ", ".join(f"coalesce(sum({m}), 0) AS {m}" for m in _G4_METRICS)
+    out_cols = []
+    for c in _g4_cols():
+        src = f"bk.{c[4:]}" if c.startswith("opp_cum") else (f"fw.{c[4:]}" if c.startswith("opp_avg") else f"st.{c}")
+        out_cols.append(f"round({src}, 4) AS {c}")
+    return f"""
+WITH {RD.RAW_RESULTS_SQL}, {RD.RAW_EVENTS_SQL}, {RD.RAW_FIGHTERS_SQL}, {RD.RAW_ROUNDS_SQL},
+{_clean_results_body()},
+crd AS (SELECT {q_num('round')} AS round, fight_url, fighter, {q_num('kd')} AS kd, {q_frac('sig_str', 1)} AS sig_str_landed,
+               {q_time('ctrl')} AS ctrl_seconds, {q_frac('td', 2)} AS td_attempted FROM rw),
+br AS (SELECT DISTINCT fight_url, event_url FROM cr),
+ce AS (SELECT event_url, CAST(try_strptime({q_strip("replace(date, chr(160), chr(32))")}, '%B %d, %Y') AS DATE) AS date FROM re),
+j AS (SELECT crd.*, ce.date AS event_date FROM crd LEFT JOIN br USING (fight_url) LEFT JOIN ce ON br.event_url = ce.event_url),
+fa AS (SELECT fight_url, fighter, max(round) AS round, {sums}, max(event_date) AS event_date
+       FROM j WHERE fight_url IS NOT NULL AND fighter IS NOT NULL GROUP BY fight_url, fighter),
+fo AS (SELECT *, row_number() OVER (PARTITION BY fighter ORDER BY event_date ASC NULLS LAST, fight_url) - 1 AS fight_order FROM fa),
+st AS (SELECT fight_url, fighter, event_date, round, fight_order, {", ".join(stat)},
+              CAST(count(*) OVER {Wf.format('3 PRECEDING AND 1 PRECEDING')} AS BIGINT) AS rolling_3_fights_in FROM fo),
+rk AS (SELECT fight_url, fighter, row_number() OVER (PARTITION BY fight_url ORDER BY fighter) AS rn,
+              count(*) OVER (PARTITION BY fight_url) AS cnt FROM st),
+op AS (SELECT a.fight_url, a.fighter, b.fighter AS opp_url FROM rk a LEFT JOIN rk b ON a.fight_url = b.fight_url AND b.rn = a.cnt + 1 - a.rn),
+l AS (SELECT st.fight_url, st.fighter, st.event_date, op.opp_url FROM st JOIN op USING (fight_url, fighter)),
+bk AS (SELECT * FROM (SELECT l.fight_url, l.fighter, {", ".join(f"s.{c}" for c in in_names)},
+          row_number() OVER (PARTITION BY l.fight_url, l.fighter ORDER BY s.event_date DESC NULLS LAST, s.fight_url DESC NULLS LAST) AS rn
+        FROM l LEFT JOIN st s ON s.fighter = l.opp_url AND s.event_date <= l.event_date) WHERE rn = 1),
+fw AS (SELECT * FROM (SELECT l.fight_url, l.fighter, {", ".join(f"s.{c}" for c in cur_names)},
+          row_number() OVER (PARTITION BY l.fight_url, l.fighter ORDER BY s.event_date ASC NULLS LAST, s.fight_url ASC NULLS LAST) AS rn
+        FROM l LEFT JOIN st s ON s.fighter = l.opp_url AND s.event_date >= l.event_date) WHERE rn = 1),
+fd AS (SELECT DISTINCT * FROM rf)
+SELECT st.fight_url, st.fighter AS fighter_url, strftime(st.event_date, '%Y-%m-%d') AS event_date, CAST(st.fight_order AS BIGINT) AS fight_order,
+       l.opp_url, round(st.round, 4) AS round, st.rolling_3_fights_in, {", ".join(out_cols)}, fd.full_name
+FROM st JOIN l USING (fight_url, fighter) JOIN bk USING (fight_url, fighter) JOIN fw USING (fight_url, fighter)
+LEFT JOIN fd ON st.fighter = fd.fighter_url
+"""
+
+
+@query("fight_stats_full", _g4_sql())
+def fight_stats_full(spark, d):
+    """G4 end to end: clean rounds (CL4) -> J2 -> J1 -> A1 -> A2 -> W13-W15 -> J8 -> W16 -> J3."""
+    crd = CL.clean_rounds(RD.raw_rounds(spark, d))
+    cr = CL.clean_results(RD.raw_results(spark, d))
+    ce = CL.clean_events(RD.raw_events(spark, d)).select("event_url", "date")
+    cf = CL.clean_fighters(RD.raw_fighters(spark, d))
+    out = PL.fight_stats(crd, results=cr, events=ce, fighters=cf)
+    return out.select("fight_url", "fighter_url", _day("event_date").alias("event_date"), "fight_order", "opp_url",
+                      r4("round").alias("round"), "rolling_3_fights_in", *[r4(c).alias(c) for c in _g4_cols()], "full_name")

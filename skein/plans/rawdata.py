@@ -73,7 +73,7 @@ def raw_results(spark, d):
     weight = F.concat(F.lit(" Women's "), (F.col("event_url") % 9).cast("string"), F.lit(" Class "))
     return m.select(
         F.concat(F.lit("/fight/"), F.col("fight_url").cast("string")).alias("fight_url"),
-        F.concat(F.lit("/event/"), F.col("event_url").cast("string")).alias("event_url"),
+        F.concat(F.lit("/event/"), F.col("fight_url").cast("string")).alias("event_url"),
         winner.alias("winner"), urls.alias("fighters_urls"), weight.alias("weight_class"), method.alias("method"),
         rnd.alias("round"), time.alias("time"),
         (F.col("method") == "KO/TKO").alias("title_fight"), (F.col("time_seconds") > 150).alias("perf_bonus"),
@@ -82,7 +82,7 @@ def raw_results(spark, d):
 
 
 RAW_RESULTS_SQL = MATCHES_SQL + r""",
-rr AS (SELECT '/fight/' || fight_url AS fight_url, '/event/' || event_url AS event_url,
+rr AS (SELECT '/fight/' || fight_url AS fight_url, '/event/' || fight_url AS event_url,
   CASE WHEN fighter1_result = 'Win' THEN 'win' WHEN fighter1_result = 'Draw' THEN 'draw' ELSE 'nc' END AS winner,
   CASE WHEN fight_url % 13 = 0 THEN ['/fighter/' || fighter1_url] ELSE ['/fighter/' || fighter1_url, '/fighter/' || fighter2_url] END
     AS fighters_urls,
