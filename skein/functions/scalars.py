@@ -212,7 +212,9 @@ def record_string(wins, losses, draws) -> Column:
 
 
 def display_round(c, digits: int = 2) -> Column:
-    """Half-even rounding as Python ``round``."""
+    """Half-even rounding (Python ``round``). Spark rounds the double's shortest decimal
+    form, Python its exact binary value: they differ only when that form ends in 5 at the
+    cut (2.675 -> 2.68 here, 2.67 in Python)."""
     return F.bround(_c(c), digits)
 
 
