@@ -1717,3 +1717,53 @@ def fight_stats_full(spark, d):
     out = PL.fight_stats(crd, results=cr, events=ce, fighters=cf)
     return out.select("fight_url", "fighter_url", _day("event_date").alias("event_date"), "fight_order", "opp_url",
                       r4("round").alias("round"), "rolling_3_fights_in", *[r4(c).alias(c) for c in _g4_cols()], "full_name")
+
+
+# ---------------------------------------------------------------- G2 career table (star join + totals)
+
+_CT_RESULT = ["draw", "loss", "nc", "win"]
+_CT_RM = [f"{r}_{m}" for r in _CT_RESULT for m in ("decision", "knockout", "other", "submission")]
+_CT_WEIGHT = [f"womens_{i}_class" for i in range(9)]
+_CT_NUM = ["title_fight", "perf_bonus", "fight_of_the_night", "fight_duration_seconds"]
+
+
+def _career_table_sql():
+    wa = "(PARTITION BY fighter_url ORDER BY date ASC NULLS LAST, fight_url ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    dums = []
+    for col, cats in (("result", _CT_RESULT), ("rm", _CT_RM), ("weight_class", _CT_WEIGHT)):
+        for c in cats:
+            dums.append(f"CAST(sum(CASE WHEN {q_label(col)} = '{c}' THEN 1 ELSE 0 END) OVER {wa} AS BIGINT) AS \"total_{c}\"")
+    nums = [f"CAST(sum(CAST(coalesce({c}, FALSE) AS INTEGER)) OVER {wa} AS BIGINT) AS total_{c}" for c in _CT_NUM[:3]]
+    nums.append(f"round(sum(coalesce(fight_duration_seconds, 0)) OVER {wa}, 4) AS total_fight_duration_seconds")
+    return f"""
+WITH {RD.RAW_RESULTS_SQL}, {RD.RAW_EVENTS_SQL}, {RD.RAW_FIGHTERS_SQL},
+{_clean_results_body()},
+ce AS (SELECT event, event_url, CAST(try_strptime({q_strip("replace(date, chr(160), chr(32))")}, '%B %d, %Y') AS DATE) AS date FROM re),
+lgc AS (SELECT fight_url, event_url, weight_class, method_type, fight_duration_seconds, title_fight, perf_bonus, fight_of_the_night,
+               fighter1_url AS fighter_url, fighter1_result AS result, fighter2_url AS opp_url FROM cr
+        UNION ALL SELECT fight_url, event_url, weight_class, method_type, fight_duration_seconds, title_fight, perf_bonus,
+               fight_of_the_night, fighter2_url, fighter2_result, fighter1_url FROM cr),
+sj AS (SELECT lgc.*, f.full_name, o.full_name AS opp_full_name, ce.event, ce.date,
+              lower(lgc.result) || '_' || lower(lgc.method_type) AS rm
+       FROM lgc JOIN rf f ON lgc.fighter_url = f.fighter_url JOIN rf o ON lgc.opp_url = o.fighter_url
+       JOIN ce ON lgc.event_url = ce.event_url)
+SELECT fight_url, fighter_url, strftime(date, '%Y-%m-%d') AS date, opp_full_name, event,
+  {", ".join(dums)}, {", ".join(nums)},
+  CAST(row_number() OVER (PARTITION BY fighter_url ORDER BY date ASC NULLS LAST, fight_url) AS BIGINT) AS total_fights
+FROM sj
+"""
+
+
+@query("career_table", _career_table_sql())
+def career_table(spark, d):
+    """Clean results -> P1 -> J4 star join (participant, role-playing opponent, event)
+    -> C16 composite label -> W4 running totals by result, result+method, weight class and
+    the bonus/duration sums."""
+    cr = CL.clean_results(RD.raw_results(spark, d))
+    cf = CL.clean_fighters(RD.raw_fighters(spark, d))
+    ce = CL.clean_events(RD.raw_events(spark, d)).select("event", "event_url", "date")
+    out = PL.career_table(cr, cf, ce, categories={"result": _CT_RESULT, "result_method": _CT_RM, "weight_class": _CT_WEIGHT})
+    tot = [f"total_{c}" for c in _CT_RESULT + _CT_RM + _CT_WEIGHT]
+    return out.select("fight_url", "fighter_url", _day("date").alias("date"), "opp_full_name", "event", *tot,
+                      *[F.col(f"total_{c}").cast("bigint").alias(f"total_{c}") for c in _CT_NUM[:3]],
+                      r4("total_fight_duration_seconds").alias("total_fight_duration_seconds"), "total_fights")

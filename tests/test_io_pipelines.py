@@ -1,0 +1,41 @@
+"""Raw JSON arrays -> cleaners -> clean Parquet layer -> lazy layer load."""
+
+import json
+
+from skein.plans.pipelines import run_clean
+from skein.sources import io
+
+
+def test_run_clean_layers(spark, tmp_path):
+    paths = io.layer_paths(str(tmp_path))
+    raw = {
+        "events": [{"event": "E", "event_url": "/e", "date": "March 30, 2024", "location": "Macau, China"}],
+        "results": [{"fight_url": "/f", "event_url": "/e", "winner": "win", "fighters_urls": ["/a", "/b"], "weight_class": "LW",
+                     "method": "KO/TKO\n Punch", "round": "1", "time": "0:30", "title_fight": True, "perf_bonus": False,
+                     "fight_of_the_night": False}],
+        "fighters": [{"full_name": "A", "fighter_url": "/a", "nickname": None, "height": "5' 10\"", "reach": '70"',
+                      "stance": "Orthodox", "date_of_birth": "Jul 22, 1989", "record": "1-0-0"}],
+        "rounds": [{"round": 1, "fight_url": "/f", "fighter": "/a", "kd": "1", "sig_str": "5 of 9", "sig_str_pct": "55%",
+                    "total_str": "6 of 10", "td": "0 of 1", "td_pct": "0%", "sub_att": "0", "rev": "0", "ctrl": "0:12",
+                    "head": "1 of 2", "body": "1 of 1", "leg": "3 of 6", "distance": "5 of 9", "clinch": "0 of 0",
+                    "ground": "0 of 0"}],
+    }
+    for t, recs in raw.items():
+        p = tmp_path / f"{t}.json"
+        p.write_text(json.dumps(recs))  # one JSON array per file, as the scraper writes it
+        paths["raw"][t] = str(p)
+    run_clean(spark, paths)
+    layer = io.load_layer(spark, paths, "clean")
+    assert layer["events"].first()["country"] == "China"
+    r = layer["results"].first()
+    assert (r["fighter1_url"], r["method_type"], r["fight_duration_seconds"]) == ("/a", "Knockout", 30.0)
+    assert layer["fighters"].first()["height_cm"] == 177.8
+    assert layer["rounds"].first()["ctrl_seconds"] == 12.0
+
+
+def test_json_and_parquet_roundtrip(spark, tmp_path):
+    df = io.rows_to_frame(spark, [(1, "a"), (2, "b")], "k int, v string")
+    io.write_json(df, str(tmp_path / "j"))
+    assert sorted(r["k"] for r in io.read_json(spark, str(tmp_path / "j"), "k int, v string", multiline=False).collect()) == [1, 2]
+    io.write_parquet(df, str(tmp_path / "p"), partition_by=["v"])
+    assert io.read_parquet(spark, str(tmp_path / "p"), ["k", "v"]).count() == 2
