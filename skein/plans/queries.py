@@ -605,8 +605,10 @@ FROM bk JOIN fw USING (fight_url, fighter) JOIN l USING (fight_url, fighter)
 @query("opponent_metrics", _opp_metric_sql())
 def opponent_metrics(spark, d):
     """J8 + W16: opponent per-metric cumulative stats via as-of lookups."""
-    st, strat = _metric_stats(spark, d, with_strategy=True)
-    st = OP.opponent_by_reversal(st, "fight_url", "fighter", order=["fighter"], strategy=strat)
+    fights = _fights(spark, d)
+    strat = RN.resolve_strategy(fights, "fighter", None, factor=2)
+    fights = OP.opponent_by_reversal(fights, "fight_url", "fighter", order=["fighter"], strategy=strat)
+    st = W.metric_stats(fights, "fighter", ["event_date", "fight_url", "fighter"], _FIGHT_METRICS, strategy=strat)
     out = OP.opponent_metrics(st, _FIGHT_METRICS, entity_col="fighter", strategy=strat)
     names = [f"opp_cum_{m}_in" for m in _FIGHT_METRICS] + [f"opp_avg_{m}_in" for m in _FIGHT_METRICS]
     names += [f"opp_cum_{m}_current" for m in _FIGHT_METRICS] + [f"opp_avg_{m}_current" for m in _FIGHT_METRICS]

@@ -15,7 +15,9 @@ from skein.operators.reshape import wide_to_long
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    from skein.sources.io import spread
+
+    return spread(spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet"))
 
 
 # Order status -> result of the first participant; order priority -> method.
