@@ -28,6 +28,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.cleaner.periodicGC.interval", "1min")
         .config("spark.driver.memory", os.environ.get("SKEIN_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
