@@ -122,3 +122,17 @@ def test_union_and_keyed_concat(spark):
 def test_tail_rows(spark):
     df = spark.range(10).withColumn("d", F.col("id"))
     assert [r["id"] for r in RS.tail_rows(df, ["d"], 3).collect()] == [9, 8, 7]
+
+
+def test_small_projections(spark):
+    from skein.functions.scalars import nullif_blank
+    from skein.operators.aggregate import dedupe
+    from skein.operators.cleaners import apply_cleaner
+
+    df = spark.createDataFrame([("a", ""), ("b", "--"), ("b", "--")], "k string, v string")
+    assert RS.rename(df, {"k": "key", "absent": "x"}).columns == ["key", "v"]  # P2: absent ignored
+    assert RS.drop_existing(df, ["v", "absent"]).columns == ["k"]
+    assert [r["o"] for r in df.select(nullif_blank("v", "", "--").alias("o")).collect()] == [None, None, None]  # P8
+    assert dedupe(df).count() == 2 and dedupe(df, ["k"]).count() == 2  # A5
+    assert apply_cleaner(df, lambda d: d.where("k = 'a'")).count() == 1  # CL0
+    assert rows(RS.entity_rows(df, "k", "b"), "k") == [("b",), ("b",)]  # P3
