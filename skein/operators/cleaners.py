@@ -144,6 +144,11 @@ def validate_rows(
     return valid, rejected
 
 
+def validate_raw(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """E9 for a raw table: the row model's required fields must be non-NULL."""
+    return validate_rows(df, REQUIRED_FIELDS[table])
+
+
 def schema_of(table: str) -> str:
     """DDL schema of a raw table (readers take DDL strings)."""
     return RAW_SCHEMAS[table]

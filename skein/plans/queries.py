@@ -1544,7 +1544,7 @@ def clean_rounds(spark, d):
 
 # ---------------------------------------------------------------- G3 / G4 composites
 
-from skein.plans import pipelines as PL  # noqa: E402
+from skein.plans import jobs as PL  # noqa: E402
 
 
 def _clean_results_body():

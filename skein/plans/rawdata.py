@@ -50,10 +50,6 @@ re AS (SELECT 'Event ' || o_orderkey AS event, '/event/' || o_orderkey AS event_
        JOIN region ON n_regionkey = r_regionkey)
 """
 
-# Method codes and the detail line attached to each.
-_METHOD_DETAIL = {"KO/TKO": "Punches", "SUB": "Rear Naked Choke", "U-DEC": "", "S-DEC": "", "DQ": "Illegal Knee"}
-
-
 def raw_results(spark, d):
     m = matches(spark, d)
     ts = F.col("time_seconds").cast("int")

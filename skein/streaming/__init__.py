@@ -1,0 +1,3 @@
+"""Intentionally empty: the reference processes whole files only (no stream source,
+watermark, event-time window, state or late data), so there is nothing to map to
+Structured Streaming."""

@@ -146,3 +146,9 @@ def test_validate_rows(spark):
     from skein.operators.reshape import validate_columns
     with pytest.raises(ValueError):
         validate_columns(df, ["k", "missing"])
+
+
+def test_validate_raw_required_fields(spark):
+    df = spark.createDataFrame([("E", "/e", "March 1, 2020", "X"), ("F", None, "March 2, 2020", "Y")], CL.schema_of("events"))
+    ok, bad = CL.validate_raw(df, "events")
+    assert rows(ok, "event") == [("E",)] and rows(bad, "_reason") == [("event_url is null",)]

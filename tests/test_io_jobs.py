@@ -2,7 +2,7 @@
 
 import json
 
-from skein.plans.pipelines import run_clean
+from skein.plans.jobs import run_clean
 from skein.sources import io
 
 
