@@ -30,12 +30,13 @@ def _plan(df):
 
 
 def test_window_pass_single_exchange(spark):
-    lg = long(spark, SF)
-    out = R.running(lg, "fighter_url", R.order_cols("event_date", "fight_url"), [R.row_number("n"), R.cum_sum("s", "time_seconds"),
-                                                                                 R.rows_avg("a", "time_seconds", -3, -1)], "window")
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Window ") == 1 or plan.count("Window") >= 1
-    assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    ms = [R.row_number("n"), R.cum_sum("s", "value"), R.rows_avg("a", "value", -3, -1), R.lag("p", "ts")]
+    out = R.running(ev, "user_id", R.order_cols("ts", "event_id"), ms, "window")
+    plan = _plan(out)
+    assert plan.count("Exchange hashpartitioning(user_id") == 1 and plan.count("Exchange") == 1
+    assert plan.count("Window [") == 1  # every measure in one Window node
+    assert "Python" not in plan
 
 
 def test_no_python_in_career_queries(spark):
