@@ -181,10 +181,15 @@ def safe_ratio(num, den) -> Column:
     return F.when(_c(den) > 0, _c(num) / _c(den))
 
 
+def wall_micros(a, b) -> Column:
+    """Microseconds from b to a on the wall clock (naive datetimes, as pandas): both sides
+    as TIMESTAMP_NTZ, so the session time zone and its DST changes play no part."""
+    return F.timestamp_diff("MICROSECOND", _c(b).cast("timestamp_ntz"), _c(a).cast("timestamp_ntz"))
+
+
 def day_diff(a, b) -> Column:
     """Whole days from b to a, floored (timedelta.days)."""
-    micros = F.unix_micros(_c(a).cast("timestamp")) - F.unix_micros(_c(b).cast("timestamp"))
-    return F.floor(micros / F.lit(86_400_000_000)).cast("bigint")
+    return F.floor(wall_micros(a, b) / F.lit(86_400_000_000)).cast("bigint")
 
 
 def seconds_to_clock(c) -> Column:

@@ -59,8 +59,8 @@ def accuracy(df: DataFrame, stats: Sequence[str] = FRACTION_STATS) -> DataFrame:
 
 
 def _span_micros(date_col: str):
-    t = F.col(date_col).cast("timestamp")
-    return F.unix_micros(F.max(t)) - F.unix_micros(F.min(t))
+    t = F.col(date_col).cast("timestamp_ntz")
+    return S.wall_micros(F.max(t), F.min(t))
 
 
 def avg_interval(df: DataFrame, entity_col: str, date_col: str, name: str = "avg_interval") -> DataFrame:

@@ -12,7 +12,7 @@ from skein.operators.windows import latest_per_entity
 
 
 def _as_of(as_of) -> Column:
-    return F.to_timestamp(F.lit(str(as_of)))
+    return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
 def age_years(dob, as_of) -> Column:

@@ -152,7 +152,7 @@ def latest_per_entity(
     t = _as_time(df, date_col)
     base = df.withColumn(date_col, t).where(F.col(date_col).isNotNull() & F.col(entity_col).isNotNull())
     row = F.struct(*[F.col(c) for c in cols])
-    tkey = F.unix_micros(F.col(date_col).cast("timestamp"))
+    tkey = S.wall_micros(F.col(date_col), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     if tie == "first":
         pick = F.min_by(row, F.struct(-tkey, *[F.col(c) for c in ties]))
     elif tie == "last":

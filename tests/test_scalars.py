@@ -102,3 +102,16 @@ def test_day_diff_floor_and_display(spark):
     assert df.select(S.day_diff("b", "a").alias("o")).first()["o"] == -1  # floored like timedelta.days
     assert one(spark, S.date_display("v"), dt.date(2024, 3, 5), "v date") == "March 05, 2024"
     assert one(spark, S.record_string(F.lit(3), F.lit(None), F.lit(1)), None) == "3-0-1"
+
+
+def test_day_diff_ignores_session_time_zone(spark):
+    # 8 wall-clock days across a daylight-saving change stay 8 days in any session zone
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.sql("select timestamp_ntz'2020-03-09 00:00:00' a, timestamp_ntz'2020-03-01 00:00:00' b, "
+                       "date'2020-03-09' da, date'2020-03-01' db")
+        r = df.select(S.day_diff("a", "b").alias("t"), S.day_diff("da", "db").alias("d")).first()
+        assert (r["t"], r["d"]) == (8, 8)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
