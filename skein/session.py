@@ -39,9 +39,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; create a scratch one only if none is set."""
+    """Return the session's checkpoint folder (``spark.checkpoint.dir``, the shared folder
+    the cluster names). Only a local-mode session without one gets a scratch folder; on a
+    cluster a machine-local folder would be invisible to the executors, so it is an error."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for lineage cuts")
         current = tempfile.mkdtemp(prefix="skein-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
