@@ -136,3 +136,35 @@ def test_small_projections(spark):
     assert dedupe(df).count() == 2 and dedupe(df, ["k"]).count() == 2  # A5
     assert apply_cleaner(df, lambda d: d.where("k = 'a'")).count() == 1  # CL0
     assert rows(RS.entity_rows(df, "k", "b"), "k") == [("b",), ("b",)]  # P3
+
+
+def test_star_join_and_suffixes(spark):
+    long = spark.createDataFrame([("f1", "e1", "a", "b"), ("f1", "e1", "b", "a"), ("f2", "e9", "a", "z")],
+                                 "fight_url string, event_url string, fighter_url string, opp_url string")
+    ents = spark.createDataFrame([("a", "Ann"), ("b", "Bob")], "fighter_url string, full_name string")
+    evs = spark.createDataFrame([("e1", "2020-01-01")], "event_url string, date string")
+    out = J.star_join(long, ents, evs)
+    # inner joins: the row whose opponent (z) and event (e9) are unknown is lost
+    assert rows(out, "fight_url", "fighter_url", "full_name", "opp_full_name", "date") == [
+        ("f1", "a", "Ann", "Bob", "2020-01-01"), ("f1", "b", "Bob", "Ann", "2020-01-01")]
+    right = spark.createDataFrame([("a", "x", 1)], "fighter_url string, full_name string, n int")
+    assert J.suffix_collisions(ents, right, ["fighter_url"], "_opp_in").columns == ["fighter_url", "full_name_opp_in", "n"]
+
+
+def test_career_table_job(spark):
+    import datetime as dt
+
+    from skein.plans.jobs import career_table
+
+    res = spark.createDataFrame(
+        [("f1", "e1", "a", "b", "Win", "Loss", "Knockout", "LW", True, False, False, 100.0),
+         ("f2", "e2", "a", "b", "Loss", "Win", "Decision", "LW", False, True, False, 900.0)],
+        "fight_url string, event_url string, fighter1_url string, fighter2_url string, fighter1_result string, "
+        "fighter2_result string, method_type string, weight_class string, title_fight boolean, perf_bonus boolean, "
+        "fight_of_the_night boolean, fight_duration_seconds double")
+    ents = spark.createDataFrame([("a", "Ann"), ("b", "Bob")], "fighter_url string, full_name string")
+    evs = spark.createDataFrame([("e1", dt.date(2020, 1, 1)), ("e2", dt.date(2020, 2, 1))], "event_url string, date date")
+    out = {(r["fight_url"], r["fighter_url"]): r for r in career_table(res, ents, evs).collect()}
+    a2 = out[("f2", "a")]
+    assert (a2["total_win"], a2["total_loss"], a2["total_win_knockout"], a2["total_loss_decision"], a2["total_lw"]) == (1, 1, 1, 1, 2)
+    assert (a2["total_title_fight"], a2["total_fight_duration_seconds"], a2["total_fights"], a2["opp_full_name"]) == (1, 1000.0, 2, "Bob")
