@@ -43,11 +43,13 @@ def _is_string(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.StringType)
 
 
-def _dummy_measures(df, column, prefix, categories, clean, qualify, taken):
+def _dummy_measures(df, column, prefix, categories, clean, qualify, taken, drop_null_category=False):
     string = _is_string(df, column)
     label = S.clean_label(column) if clean and string else F.col(column)
     if categories is None:
         categories = category_values(df, column, clean)
+    if drop_null_category:  # D2 option: NULL (cleaned to '') gets no total column
+        categories = [v for v in categories if v != ""]
     out = []
     for v in categories:
         name = f"{prefix}{column}_{v}" if qualify else f"{prefix}{v}"
@@ -82,6 +84,7 @@ def career_totals(
     clean: bool = True,
     qualify: bool = False,
     strategy: str | None = None,
+    drop_null_category: bool = False,
 ) -> DataFrame:
     """W4 (W1 + W2 + W3): running counts per category, running sums, running row count.
 
@@ -94,7 +97,7 @@ def career_totals(
     taken = set(df.columns)
     measures = []
     for c in dummy_cols:
-        measures += _dummy_measures(df, c, prefix, categories.get(c), clean, qualify, taken)
+        measures += _dummy_measures(df, c, prefix, categories.get(c), clean, qualify, taken, drop_null_category)
     coerced = {c: numeric_input(df, c) for c in numerical_cols}
     base = df.withColumns(coerced) if coerced else df
     for c in numerical_cols:

@@ -169,3 +169,10 @@ def test_synthetic_dates(spark):
     df = spark.createDataFrame([(3,), (1,), (2,)], "k int")
     got = rows(W.synthetic_dates(df, ["k"]), "k", "event_date")
     assert got == [(1, dt.date(1970, 1, 1)), (2, dt.date(1970, 1, 2)), (3, dt.date(1970, 1, 3))]
+
+
+def test_null_category_column_and_option(spark):
+    df = _ordered(spark, [("A", "Win"), ("A", None)], "grp string, result string")
+    out = W.dummy_totals(df, "result", "grp", ["i"])
+    assert [r["total_"] for r in out.orderBy("i").collect()] == [0, 1]  # NULL -> category ''
+    assert "total_" not in W.dummy_totals(df, "result", "grp", ["i"], drop_null_category=True).columns
