@@ -1769,3 +1769,41 @@ def career_table(spark, d):
     return out.select("fight_url", "fighter_url", _day("date").alias("date"), "opp_full_name", "event", *tot,
                       *[F.col(f"total_{c}").cast("bigint").alias(f"total_{c}") for c in _CT_NUM[:3]],
                       r4("total_fight_duration_seconds").alias("total_fight_duration_seconds"), "total_fights")
+
+
+@query("hot_key_asof", """
+WITH p AS (SELECT event_id, ts, value, value > 25 AS band FROM events WHERE event_type = 'purchase'),
+v AS (SELECT ts, value > 25 AS band, event_id AS view_id, user_id AS view_user FROM events WHERE event_type = 'view')
+SELECT p.event_id, p.ts, p.band, v.view_id, v.view_user
+FROM p ASOF LEFT JOIN v ON p.band = v.band AND p.ts >= v.ts
+""")
+def hot_key_asof(spark, d):
+    """J5 with a hot ``by`` key: two value bands of ~50% of the rows each, forced through
+    the skew-safe chunked strategy (a band spans many range partitions)."""
+    ev = table(spark, d, "events")
+    band = (F.col("value") > 25).alias("band")
+    p = ev.where(F.col("event_type") == "purchase").select("event_id", "ts", band)
+    v = ev.where(F.col("event_type") == "view").select("ts", band, F.col("event_id").alias("view_id"), F.col("user_id").alias("view_user"))
+    return AS.asof_join(p, v, on="ts", by="band", payload=["view_id", "view_user"], direction="backward",
+                        right_ties=["view_id"], strategy="chunked")
+
+
+def _forced_chunked(fn):
+    def run(spark, d):
+        old = spark.conf.get("spark.skein.window.strategy", None)
+        spark.conf.set("spark.skein.window.strategy", "chunked")
+        try:
+            return fn(spark, d)
+        finally:
+            if old is None:
+                spark.conf.unset("spark.skein.window.strategy")
+            else:
+                spark.conf.set("spark.skein.window.strategy", old)
+
+    run.__doc__ = f"{fn.__name__} with every running pass forced through the skew-safe chunked strategy."
+    return run
+
+
+# The skew-safe path inside the correctness gate: same SQL oracle, chunked plans.
+for _name in ("career_latest", "opponent_asof", "metric_rolling"):
+    query(f"{_name}_chunked", ORACLE[_name])(_forced_chunked(QUERIES[_name]))
