@@ -1137,7 +1137,7 @@ def _results_pages(spark, d):
 WITH {MATCHES_SQL}
 SELECT '/fight/' || fight_url AS fight_url,
   CASE WHEN fighter1_result = 'Win' THEN 'win' WHEN fighter1_result = 'Draw' THEN 'draw' ELSE 'nc' END AS winner,
-  ['/fighter/' || fighter1_url, '/fighter/' || fighter2_url] AS fighters_urls,
+  array_to_string(['/fighter/' || fighter1_url, '/fighter/' || fighter2_url], '|') AS fighters_urls,
   'Class ' || CAST(event_url % 9 AS VARCHAR) AS weight_class, method,
   CAST(year(event_date) % 5 + 1 AS VARCHAR) AS round,
   CAST(CAST(trunc(time_seconds / 60) AS INTEGER) AS VARCHAR) || ':' || lpad(CAST(CAST(trunc(time_seconds % 60) AS INTEGER) AS VARCHAR), 2, '0') AS time,
@@ -1147,8 +1147,9 @@ FROM m
 def page_results(spark, d):
     """E2 + E7: results pages (<= 64 matches each) -> one typed row per match row."""
     out = EX.parsed_rows(EX.extract(_results_pages(spark, d), "results"))
-    return out.select("fight_url", "winner", "fighters_urls", "weight_class", "method", "round", "time",
-                      "title_fight", "perf_bonus", "fight_of_the_night")
+    # the link list is compared as one '|'-joined string (scalar columns only in the gate)
+    return out.select("fight_url", "winner", F.array_join("fighters_urls", "|").alias("fighters_urls"), "weight_class",
+                      "method", "round", "time", "title_fight", "perf_bonus", "fight_of_the_night")
 
 
 # Round-table headers as displayed (two tables per round section).
