@@ -90,3 +90,20 @@ def test_asof_suffix_on_collision(spark):
                     payload=["v"], suffix="_opp_in")
     assert "v_opp_in" in got.columns
     assert got.first()["v_opp_in"] == 9
+
+
+def test_chunked_composite_keys_descending_and_empty(spark):
+    rng = random.Random(3)
+    data = [(rng.choice([0, 0, 0, 1, None]), rng.choice(["a", "b"]), rng.randint(0, 30), i, rng.randint(0, 5)) for i in range(800)]
+    df = spark.createDataFrame(data, "k1 int, k2 string, t int, id int, x int")
+    order = [F.col("t").desc_nulls_last(), F.col("id").desc_nulls_last()]
+    ms = [R.cum_sum("s", "x"), R.rows_sum("r", "x", -3, -1), R.lag("p", "id", 2), R.cum_last("l", F.when(F.col("x") > 3, F.col("id")))]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        a = R.running(df, ["k1", "k2"], order, ms, strategy="window")
+        b = R.running(df, ["k1", "k2"], order, ms, strategy="chunked")
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+        assert R.running(df.limit(0), ["k1", "k2"], order, ms, strategy="chunked").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
