@@ -1806,5 +1806,5 @@ def _forced_chunked(fn):
 
 
 # The skew-safe path inside the correctness gate: same SQL oracle, chunked plans.
-for _name in ("career_latest", "opponent_asof", "metric_rolling"):
+for _name in ("career_latest", "opponent_asof", "metric_rolling", "results_stats_full"):
     query(f"{_name}_chunked", ORACLE[_name])(_forced_chunked(QUERIES[_name]))
