@@ -16,9 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 STRATEGY_CONF = "spark.skein.window.strategy"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "skein") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "skein",
+                  extra: dict | None = None) -> SparkSession:
+    builder = SparkSession.builder
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
