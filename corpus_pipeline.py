@@ -9,9 +9,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import simhash
+from skein.llm import langid, line_dedup, mixing, sentencepieces, simhash
 from skein.llm.common import table, written
 
+LEAST_SCORE = 0.5  # share of the letters that the predicted language must have
+MIN_SITES = 10
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or of which no language has half the letters, go; the
+    label column becomes the predicted language."""
+    model = langid.train(docs)
+    found = langid.identify(docs.select(F.struct(*docs.columns).alias("doc_id"), F.col("text").alias("_text")), model, text_col="_text")
+    kept = found.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col("doc_id")[c].alias(c) for c in docs.columns])
+
+
+def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines on ten or more sources stay in one document only; ``n_chars`` follows."""
+    clean = line_dedup.remove_boilerplate(docs, min_sites=MIN_SITES)
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the smallest id (of
@@ -21,8 +39,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"])).drop("_id").dropDuplicates(["doc_id"])
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as many times as the mix takes it (0, 1 or 2)."""
+    taken = mixing.copies(docs, mixing.balance(docs))
+    each = taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("mix_copies"))))
+    return each.select(*docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids, n_tokens and the text that the ids decode to."""
+    import public_tokenizers
+
+    model = sentencepieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    return sentencepieces.decode(sentencepieces.encode(docs, model), model)
+
+
 STAGES = [
+    ("language ID", language_id),
+    ("line dedup", line_deduplication),
     ("SimHash near-dedup", near_duplicates),
+    ("mixing sources to target weights", mix),
+    ("SentencePiece encoding and decoding", token_ids),
 ]
 
 ORACLE_SQL = None
