@@ -12,9 +12,13 @@ Newton iterations find all lambdas at once: each round is one aggregation over t
 distinct (source, size) pairs, joined to the current lambdas. The start is 0; the dual's
 gradient is concave above 0 and convex below, so the steps approach the root from one side.
 
-Rounding: a document holds copy c (1 or 2) when c - r - u <= cut(s), u in [0, 1) from a hash
-of its id and text. Each source's cut is the one of 4097 grid values whose copies come
-nearest its target, found from a histogram of both break points: at most 4097 rows a source.
+Rounding: copy c (1 or 2) of a document has the break point c - r - u, u in [0, 1) from a hash
+of its id and text; at cut 0 a document has r copies in expectation. Each source's cut is
+the highest grid value whose copies stay within its target, found from a histogram of the
+break points (at most ``5 * GRID`` rows a source). Documents no longer than the words still
+missing then get a further cut, ``LEVELS`` times in all, so what is missing in the end is
+less than the next document that would fit. Within one size a document with an earlier
+break point always goes first.
 
 Scale: documents are never grouped by source without partial aggregation, the source
 table is joined (broadcast only when Spark knows it to be small), and reruns agree because
@@ -33,6 +37,7 @@ from pyspark.sql import functions as F
 from skein.llm.common import stored, word_count, written
 
 GRID = 1024
+LEVELS = 4
 TOLERANCE = 1e-7
 MAX_ROUNDS = 60
 
@@ -108,25 +113,34 @@ def _breaks(size, mean, tilt, id_col: str, text_col: str):
 
 
 def _cuts(docs: DataFrame, state: DataFrame, source_col: str, text_col: str, id_col: str) -> DataFrame:
+    """``state`` with ``cuts``: (cut, longest) per level, each for documents up to ``longest``."""
     state = written(state, "mix-rates")
     s = state.withColumnRenamed("source", "s")
     rows = docs.select(F.col(source_col).alias("source"), F.col(id_col).alias("i"), F.col(text_col).alias("t"), word_count(F.col(text_col)).alias("size")).where("size > 0")
     rows = rows.join(s, F.col("source").eqNullSafe(F.col("s"))).where("target > 0")
-    first = rows.select("source", "size", _breaks(F.col("size"), F.col("mean"), F.col("tilt"), "i", "t").alias("cell"))
-    cells = first.groupBy("source", "cell").agg(F.sum("size").alias("words"))
-    cells = cells.unionAll(cells.select("source", F.col("cell") + GRID, "words")).groupBy("source", "cell").agg(F.sum("words").alias("words"))
-    sums = cells.withColumn("upto", F.sum("words").over(Window.partitionBy("source").orderBy("cell")))
-    best = sums.join(s.select("s", "target"), F.col("source").eqNullSafe(F.col("s"))).groupBy("source").agg(F.min(F.struct(F.abs(F.col("upto") - F.col("target")), "cell")).alias("best"), F.min("cell").alias("low"), F.min_by("words", "cell").alias("low_words"), F.first("target").alias("target"))
-    cut = best.select(F.col("source").alias("c"), F.when(F.col("target") < F.abs(F.col("low_words") - F.col("target")), F.col("low") - 1).otherwise(F.col("best.cell")).alias("cut"))
-    return written(state.join(cut, F.col("source").eqNullSafe(F.col("c")), "left").drop("c"), "mix")
+    first = stored(rows.select("source", "size", _breaks(F.col("size"), F.col("mean"), F.col("tilt"), "i", "t").alias("cell")).groupBy("source", "size", "cell").agg(F.sum("size").alias("words")))
+    breaks = first.unionAll(first.select("source", "size", F.col("cell") + GRID, "words"))
+    level = state.select(F.col("source").alias("s"), F.lit(-1).cast("long").alias("cut"), F.col("target").alias("missing"), F.array().cast("array<struct<cut:bigint,longest:double>>").alias("cuts"))
+    for _ in range(LEVELS):
+        open_ = breaks.join(level.drop("cuts"), F.col("source").eqNullSafe(F.col("s"))).where((F.col("cell") > F.col("cut")) & (F.col("size") <= F.col("missing")))
+        cells = open_.groupBy("source", "cell").agg(F.sum("words").alias("words"), F.first("missing").alias("missing"))
+        within = cells.withColumn("upto", F.sum("words").over(Window.partitionBy("source").orderBy("cell"))).where(F.col("upto") <= F.col("missing"))
+        best = within.groupBy(F.col("source").alias("c")).agg(F.max("cell").alias("new"), F.max("upto").alias("got"))
+        both = level.join(best, F.col("s").eqNullSafe(F.col("c")), "left")
+        cut = F.coalesce("new", "cut")
+        level = written(both.select("s", cut.alias("cut"), (F.col("missing") - F.coalesce("got", F.lit(0))).alias("missing"), F.concat("cuts", F.array(F.struct(cut.alias("cut"), F.col("missing").alias("longest")))).alias("cuts")), "mix-cuts")
+    return written(state.join(level.select("s", "cuts"), F.col("source").eqNullSafe(F.col("s"))).drop("s"), "mix")
 
 
 def copies(docs: DataFrame, mix: DataFrame, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with ``mix_size``, ``mix_source_size``, ``mix_target`` and ``mix_copies``
     (0, 1 or 2; a document without words keeps one copy, which takes no words)."""
-    m = mix.select(*[F.col(c).alias(f"mix_{c}") for c in ("source", "source_size", "mean", "target", "tilt", "cut")])
-    size = word_count(F.col(text_col))
-    both = docs.withColumn("mix_size", size).join(m, F.col(source_col).eqNullSafe(F.col("mix_source")))
-    cell = _breaks(F.col("mix_size"), F.col("mix_mean"), F.col("mix_tilt"), id_col, text_col)
-    n = F.when(F.col("mix_size") == 0, 1).otherwise(F.coalesce((cell <= F.col("mix_cut")).cast("int") + (cell + GRID <= F.col("mix_cut")).cast("int"), F.lit(0)))
-    return both.withColumn("mix_copies", n).drop("mix_source", "mix_mean", "mix_tilt", "mix_cut")
+    m = mix.select(*[F.col(c).alias(f"mix_{c}") for c in ("source", "source_size", "mean", "target", "tilt", "cuts")])
+    both = docs.withColumn("mix_size", word_count(F.col(text_col))).join(m, F.col(source_col).eqNullSafe(F.col("mix_source")))
+    both = both.withColumn("mix_cell", _breaks(F.col("mix_size"), F.col("mix_mean"), F.col("mix_tilt"), id_col, text_col))
+
+    def has(cell):
+        return F.exists("mix_cuts", lambda c: (cell <= c["cut"]) & (F.col("mix_size") <= c["longest"])).cast("int")
+
+    n = F.when(F.col("mix_size") == 0, 1).otherwise(F.coalesce(has(F.col("mix_cell")) + has(F.col("mix_cell") + GRID), F.lit(0)))
+    return both.withColumn("mix_copies", n).drop("mix_source", "mix_mean", "mix_tilt", "mix_cuts", "mix_cell")
