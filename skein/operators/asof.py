@@ -77,7 +77,6 @@ def asof_join(
         F.struct(*[F.col(p).alias(n) for p, n in zip(payload, out_names)]).alias("_ap"),
     )
     unioned = lrows.unionByName(rrows)
-    strategy = R.resolve_strategy(unioned, keys, strategy)
     if direction == "backward":
         order = [F.col("_at").asc_nulls_last(), F.col("_as").asc()] + [
             F.col(f"_rt{i}").asc_nulls_last() for i in range(len(tie_t))

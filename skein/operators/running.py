@@ -4,31 +4,35 @@ A *measure* is a window function over the rows of one key in a total order:
 cumulative (sum / count / min / max / last non-null, frame ending at the current or the
 previous row), bounded ROWS frames looking back (``[lo, hi]``, ``lo <= hi <= 0``) and lag.
 
-Two physical strategies give identical results; ``auto`` (the default) picks ``window``
-when a size check finds no key above ``spark.skein.window.maxGroupRows`` rows, else
-``chunked``:
-
-``window``
-    ``Window.partitionBy(key).orderBy(order)``: one Exchange + Sort + Window. A key's rows
-    all go to one task, so use it only when groups are known to be bounded.
+There is one physical strategy unless a call names another; nothing is decided by data
+size or session settings:
 
 ``chunked`` (default, skew-safe)
     1. ``repartitionByRange(key, order)`` — range bounds come from sampling, so a hot key
        is split over many tasks; every partition holds a contiguous slice of the order.
-       Rows are sorted inside the partition and numbered (``_pos``).
+       Rows are sorted inside the partition, numbered (``_pos``) and written once to the
+       shared checkpoint folder, so every side table reads exactly the rows the main pass
+       reads, and lineage is cut.
     2. Only keys at partition boundaries can continue across partitions. A per-partition
        min/max key table (``#partitions`` rows) finds them; their chunk totals are
-       aggregated (map-side partial aggregation) and prefix-summed into offsets —
-       at most one offset row per partition, so broadcasting it has a proven bound.
+       aggregated (map-side partial aggregation) and prefix-summed into offsets: at most
+       two offset rows per partition (its first and its last key), so their broadcast is
+       bounded by the number of partitions times the measures' width.
     3. Bounded frames and lag need the last ``h`` rows of earlier chunks: those *halo*
        rows are the last ``h`` rows of each partition (a partial top-k, ``h`` rows per
        partition), routed to the following chunks of the same key and marked ``_halo``.
     4. The local window runs over ``(key, _p)`` chunks; cumulative measures add their
        offsets, halo rows are dropped.
-    Cost: one range exchange (materialised with a reliable ``checkpoint`` so that every
-    side table reads exactly the rows the main pass reads and lineage is cut), one hash
-    exchange of the data, plus a few partition-count-sized side tables. No task ever holds
-    more than one range partition.
+    No task ever holds more than one range partition.
+
+``window``
+    ``Window.partitionBy(key).orderBy(order)``: one Exchange + Sort + Window. A key's rows
+    all go to one task: only for groups that the caller knows to be bounded.
+
+Both give the same values, bit for bit: running sums of DOUBLE and FLOAT input are summed
+as DECIMAL(38, 12), where the order of additions cannot matter, and returned as DOUBLE
+(NaN counts as missing; a value of 1e26 or more, or infinite, raises). Bounded frames see
+the same rows in the same order either way.
 
 The order must be total (append unique tie-breakers) so results and retried tasks are
 deterministic. Rows with a NULL key get NULL measures (pandas ``groupby`` drops them).
@@ -36,15 +40,18 @@ deterministic. Rows with a NULL key get NULL measures (pandas ``groupby`` drops
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skein.session import cut_lineage, max_group_rows, window_strategy
+from skein.session import cut_lineage
 
-_CUMULATIVE = ("sum", "count", "min", "max", "last")
+DEFAULT = "chunked"
+_EXACT = T.DecimalType(38, 12)
+_CUMULATIVE = ("sum", "count", "min", "max", "last", "next")
 _FRAMED = ("frame_sum", "frame_count", "frame_avg", "frame_min", "frame_max", "lag")
 
 
@@ -91,6 +98,11 @@ def cum_last(name, expr, inclusive=True) -> Measure:
     return Measure(name, "last", _e(expr), inclusive)
 
 
+def cum_next(name, expr) -> Measure:
+    """First non-NULL value at or after the row."""
+    return Measure(name, "next", _e(expr), True)
+
+
 def row_number(name) -> Measure:
     return Measure(name, "count", F.lit(1), True)
 
@@ -126,6 +138,8 @@ def order_cols(*names, descending: Sequence[str] = ()) -> list[Column]:
 
 def _agg_over(m: Measure, expr: Column, w) -> Column:
     """Window expression of one measure over window spec ``w`` (frames added here)."""
+    if m.kind == "next":  # ``w`` runs backwards: the last value seen so far
+        return F.last(expr, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     if m.kind in _CUMULATIVE:
         frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow if m.inclusive else -1)
         if m.kind == "sum":
@@ -156,40 +170,41 @@ def running(
     measures = list(measures)
     if not measures:
         return df
-    strategy = resolve_strategy(df, keys, strategy)
+    strategy = strategy or DEFAULT
+    summed, doubles = _exact_sums(df, measures)
     if strategy == "window":
-        out = _running_window(df, keys, order, measures)
+        out = _running_window(df, keys, order, summed)
     elif strategy == "chunked":
-        out = _running_chunked(df, keys, order, measures)
+        out = _running_chunked(df, keys, order, summed)
     else:
         raise ValueError(f"unknown strategy {strategy!r}; expected 'chunked' or 'window'")
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()
-    return out.withColumns({m.name: F.when(~null_key, F.col(m.name)) for m in measures})
+    final = {m.name: F.col(m.name).cast("double") if m.name in doubles else F.col(m.name) for m in measures}
+    return out.withColumns({n: F.when(~null_key, c) for n, c in final.items()})
 
 
-def resolve_strategy(df: DataFrame, keys: str | Sequence[str], strategy: str | None = None, factor: int = 1) -> str:
-    """Turn ``None``/``auto`` into ``window`` or ``chunked`` with one size check of ``df``'s
-    largest key (times ``factor`` for derived passes whose groups are that much larger).
-    Multi-pass operators resolve once and hand the result to every pass."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    strategy = window_strategy(df.sparkSession, strategy)
-    if strategy != "auto":
-        return strategy
-    return "chunked" if largest_group(df, keys) * factor > max_group_rows(df.sparkSession) else "window"
+def exact(x: Column) -> Column:
+    """A floating-point column as a number whose sums do not depend on their order."""
+    return F.when(~F.isnan(x), x).cast(_EXACT)
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Size check behind the ``auto`` strategy: rows of the largest key (partial
-    aggregation of the key columns only; one small result row to the driver)."""
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
-    return int(row[0] or 0)
+def _exact_sums(df: DataFrame, measures: list[Measure]) -> tuple[list[Measure], set]:
+    """Running sums of floating-point input become decimal sums (analysis only, no job)."""
+    sums = [m for m in measures if m.kind == "sum"]
+    kinds = df.select(*[m.expr.alias(f"_t{i}") for i, m in enumerate(sums)]).schema.fields if sums else []
+    doubles = {m.name for m, f in zip(sums, kinds) if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return [replace(m, expr=exact(m.expr)) if m.name in doubles else m for m in measures], doubles
 
 
 def _running_window(df, keys, order, measures):
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.select("*", *[_agg_over(m, m.expr, w).alias(m.name) for m in measures])
+    if not any(m.kind == "next" for m in measures):
+        return df.select("*", *[_agg_over(m, m.expr, w).alias(m.name) for m in measures])
+    numbered = df.withColumn(_POS, F.row_number().over(w))  # one exchange, sorted once more for the way back
+    there, back = Window.partitionBy(*keys).orderBy(_POS), Window.partitionBy(*keys).orderBy(F.col(_POS).desc())
+    return numbered.select("*", *[_agg_over(m, m.expr, back if m.kind == "next" else there).alias(m.name) for m in measures]).drop(_POS)
 
 
 _P, _POS, _HALO = "_rk_p", "_rk_pos", "_rk_halo"
@@ -231,6 +246,8 @@ def _running_chunked(df, keys, order, measures):
             chunk_aggs.append(F.min(e).alias(f"_c{i}"))
         elif m.kind == "max":
             chunk_aggs.append(F.max(e).alias(f"_c{i}"))
+        elif m.kind == "next":
+            chunk_aggs.append(F.min_by(e, F.when(e.isNotNull(), F.col(_POS))).alias(f"_c{i}"))
         else:
             chunk_aggs.append(F.max_by(e, F.when(e.isNotNull(), F.col(_POS))).alias(f"_c{i}"))
     chunks = on_bound.groupBy(*keys, _P).agg(*chunk_aggs)
@@ -249,6 +266,9 @@ def _running_chunked(df, keys, order, measures):
             off_cols.append(F.min(c).over(before).alias(f"_o{i}"))
         elif m.kind == "max":
             off_cols.append(F.max(c).over(before).alias(f"_o{i}"))
+        elif m.kind == "next":
+            later = Window.partitionBy(*keys).orderBy(F.col(_P).desc()).rowsBetween(Window.unboundedPreceding, -1)
+            off_cols.append(F.last(c, ignorenulls=True).over(later).alias(f"_o{i}"))
         else:
             off_cols.append(F.last(c, ignorenulls=True).over(before).alias(f"_o{i}"))
     route_cols = []
@@ -256,7 +276,11 @@ def _running_chunked(df, keys, order, measures):
         route_cols.append(F.lead(_P, j).over(wk).alias(f"_np{j}"))
         route_cols.append(F.lead("_n", j).over(wk).alias(f"_nn{j}"))
     chunk_tab = chunks.select(*keys, _P, "_n", *off_cols, *route_cols)
-    offsets = chunk_tab.where(F.col("_pn") > 0).select(*keys, _P, *[f"_o{i}" for i in range(len(cums))])
+    continued = F.col("_pn") > 0
+    for i, m in enumerate(cums):
+        if m.kind == "next":
+            continued = continued | F.col(f"_o{i}").isNotNull()
+    offsets = chunk_tab.where(continued).select(*keys, _P, *[f"_o{i}" for i in range(len(cums))])
 
     body = ranged.withColumn(_HALO, F.lit(False))
     if halo > 0:
@@ -281,11 +305,12 @@ def _running_chunked(df, keys, order, measures):
 
     # 4. local window per chunk, then offsets.
     wl = Window.partitionBy(*keys, _P).orderBy(_POS)
+    back = Window.partitionBy(*keys, _P).orderBy(F.col(_POS).desc())
     not_halo = ~F.col(_HALO)
     local = []
     for m in measures:
         expr = F.when(not_halo, m.expr) if m.kind in _CUMULATIVE else m.expr
-        local.append(_agg_over(m, expr, wl).alias(m.name))
+        local.append(_agg_over(m, expr, back if m.kind == "next" else wl).alias(m.name))
     win = body.select(*cols, _P, _HALO, *local)
     if cums:
         win = win.join(F.broadcast(offsets), [*keys, _P], "left")

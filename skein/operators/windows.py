@@ -30,13 +30,27 @@ def _order(order: Sequence) -> list[Column]:
 # ---------------------------------------------------------------- W1-W4 running totals
 
 
-def category_values(df: DataFrame, column: str, clean: bool = True, max_categories: int = 1000) -> list:
-    """Distinct category labels (one bounded distinct action, like ``pivot`` discovery)."""
-    label = S.clean_label(column) if clean and _is_string(df, column) else F.col(column)
-    rows = df.select(label.alias("v")).where(F.col("v").isNotNull()).distinct().limit(max_categories + 1).collect()
-    if len(rows) > max_categories:
-        raise ValueError(f"{column} has more than {max_categories} categories; pass categories= explicitly")
-    return sorted(r["v"] for r in rows)
+def _label(df: DataFrame, column: str, clean: bool) -> Column:
+    return S.clean_label(column) if clean and _is_string(df, column) else F.col(column)
+
+
+def category_values(df: DataFrame, column: str, clean: bool = True) -> list:
+    """Distinct category labels: the names of the total columns to come, so as many as the
+    result has columns. For labels that grow with the data use ``category_totals``, whose
+    schema does not depend on them."""
+    found = df.select(_label(df, column, clean).alias("v")).where(F.col("v").isNotNull()).distinct().collect()
+    return sorted(r["v"] for r in found)
+
+
+def category_totals(df: DataFrame, column: str, group_col: str, order: Sequence, clean: bool = True,
+                    strategy: str | None = None) -> DataFrame:
+    """W1 in long form: every row with ``category`` (its own label) and ``total`` (rows of its
+    entity with that label so far). The number of labels does not shape the schema, so it
+    needs no list and has no limit."""
+    _require(df, [group_col, column])
+    labelled = df.withColumn("category", _label(df, column, clean))
+    out = R.running(labelled, [group_col, "category"], _order(order), [R.row_number("total")], strategy)
+    return out.withColumn("total", F.col("total").cast("bigint"))
 
 
 def _is_string(df: DataFrame, column: str) -> bool:
@@ -44,8 +58,7 @@ def _is_string(df: DataFrame, column: str) -> bool:
 
 
 def _dummy_measures(df, column, prefix, categories, clean, qualify, taken, drop_null_category=False):
-    string = _is_string(df, column)
-    label = S.clean_label(column) if clean and string else F.col(column)
+    label = _label(df, column, clean)
     if categories is None:
         categories = category_values(df, column, clean)
     if drop_null_category:  # D2 option: NULL (cleaned to '') gets no total column
@@ -92,7 +105,6 @@ def career_totals(
     sums of that value. Category columns are sorted by label per dummy column.
     """
     _require(df, [group_col, *dummy_cols, *numerical_cols])
-    strategy = R.resolve_strategy(df, group_col, strategy)
     categories = categories or {}
     taken = set(df.columns)
     measures = []
@@ -133,27 +145,40 @@ def row_count(df, group_col, order, name="row_count", strategy=None) -> DataFram
 # ---------------------------------------------------------------- W5 latest snapshot
 
 
-def _as_time(df: DataFrame, column: str) -> Column:
-    dt = df.schema[column].dataType
-    if isinstance(dt, T.StringType):
-        return F.try_to_timestamp(F.col(column))
-    return F.col(column)
+def _as_time(df: DataFrame, column: str, date_format: str | None) -> Column:
+    if not isinstance(df.schema[column].dataType, T.StringType):
+        return F.col(column)
+    text = F.trim(F.col(column))
+    return F.try_to_timestamp(text, F.lit(date_format)) if date_format else F.try_to_timestamp(text)
+
+
+def unparsed_dates(df: DataFrame, date_col: str, date_format: str | None = None) -> DataFrame:
+    """Rows whose text date is there but not readable: the rows that P4 and W5 leave out."""
+    return df.where(F.col(date_col).isNotNull() & _as_time(df, date_col, date_format).isNull())
+
+
+def drop_unparsed(df: DataFrame, date_col: str, date_format: str | None = None) -> DataFrame:
+    """``date_col`` as a timestamp; rows without a readable date are left out."""
+    return df.withColumn(date_col, _as_time(df, date_col, date_format)).where(F.col(date_col).isNotNull())
 
 
 def latest_per_entity(
-    df: DataFrame, entity_col: str, date_col: str, ties: Sequence[str] = (), tie: str = "first"
+    df: DataFrame, entity_col: str, date_col: str, ties: Sequence[str] = (), tie: str = "first",
+    date_format: str | None = None,
 ) -> DataFrame:
     """W5 + P4: one row per entity at its latest date; unparseable dates and NULL entities
     dropped. ``tie='first'`` keeps the first row of the last day in ``ties`` order (reference
     behaviour), ``'last'`` the last one (complete totals).
 
+    Text dates are read by ``date_format`` (a Spark pattern such as ``MMMM d, yyyy``; without
+    one, ISO forms); ``unparsed_dates`` lists the rows this leaves out.
+
     A grouped ``min_by``/``max_by`` (map-side partial aggregation) instead of a window: a hot
     entity is reduced in every map task before the shuffle.
     """
     _require(df, [entity_col, date_col])
     cols = df.columns
-    t = _as_time(df, date_col)
-    base = df.withColumn(date_col, t).where(F.col(date_col).isNotNull() & F.col(entity_col).isNotNull())
+    base = drop_unparsed(df, date_col, date_format).where(F.col(entity_col).isNotNull())
     row = F.struct(*[F.col(c) for c in cols])
     tkey = S.wall_micros(F.col(date_col), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     if tie == "first":
@@ -184,7 +209,6 @@ def results_own_stats(
 ) -> DataFrame:
     """W6 (after), W7 (incoming), W8/W9 (fixed windows), W10 (day gaps) in one pass."""
     _require(df, [entity_col, result_col, time_col] + ([date_col] if time_diffs and date_col else []))
-    strategy = R.resolve_strategy(df, entity_col, strategy)
     base = df.withColumns(
         {
             "win": F.coalesce(F.col(result_col) == "Win", F.lit(False)).cast("int"),
@@ -291,13 +315,16 @@ def metric_stats(
     """W13 (0-based order), W14 (cumulative current/incoming + averages), W15 (rolling
     incoming sums, means and counts) for every metric, in one Window pass."""
     _require(df, [entity_col, *metrics])
-    strategy = R.resolve_strategy(df, entity_col, strategy)
     ms = [R.row_number("_n")]
+    x, total = {}, {}
     for m in metrics:
-        x = F.col(m).cast("double") if isinstance(df.schema[m].dataType, T.BooleanType) else F.col(m)
-        ms += [R.cum_sum(f"_cur_{m}", x), R.cum_sum(f"_in_{m}", x, inclusive=False)]
+        dt = df.schema[m].dataType
+        x[m] = F.col(m).cast("double") if isinstance(dt, T.BooleanType) else F.col(m)
+        floating = isinstance(dt, (T.BooleanType, T.DoubleType, T.FloatType))
+        total[m] = R.exact(x[m]) if floating else x[m]  # exact, so earlier = current - own
+        ms.append(R.cum_sum(f"_cur_{m}", total[m]))
         for w in windows:
-            ms += [R.rows_sum(f"rolling_{w}_{m}_in", x, -w, -1), R.rows_avg(f"rolling_{w}_avg_{m}_in", x, -w, -1)]
+            ms += [R.rows_sum(f"rolling_{w}_{m}_in", x[m], -w, -1), R.rows_avg(f"rolling_{w}_avg_{m}_in", x[m], -w, -1)]
     for w in windows:
         ms.append(R.rows_count(f"rolling_{w}_fights_in", F.lit(1), -w, -1))
     out = R.running(df, entity_col, _order(order), ms, strategy)
@@ -306,8 +333,12 @@ def metric_stats(
     if order_col:
         derived[order_col] = k
     for m in metrics:
-        cur = F.when(F.col(m).isNull(), F.lit(None)).otherwise(F.col(f"_cur_{m}"))
-        cin = F.coalesce(F.col(f"_in_{m}"), F.lit(0))
+        number = "double" if not isinstance(df.schema[m].dataType, (T.IntegralType, T.DecimalType)) else None
+        own, so_far = F.coalesce(total[m], F.lit(0)), F.coalesce(F.col(f"_cur_{m}"), F.lit(0))
+        cur = F.when(F.col(m).isNotNull(), F.col(f"_cur_{m}"))
+        cin = so_far - own
+        if number:
+            cur, cin = cur.cast(number), cin.cast(number)
         derived[f"cum_{m}_current"] = cur
         derived[f"avg_{m}_current"] = cur / (k + 1)
         derived[f"cum_{m}_in"] = cin
@@ -315,7 +346,7 @@ def metric_stats(
     for w in windows:
         derived[f"rolling_{w}_fights_in"] = F.col(f"rolling_{w}_fights_in").cast("bigint")
     out = out.withColumns(derived)
-    return out.drop("_n", *[f"_cur_{m}" for m in metrics], *[f"_in_{m}" for m in metrics])
+    return out.drop("_n", *[f"_cur_{m}" for m in metrics])
 
 
 # ---------------------------------------------------------------- W17

@@ -12,11 +12,9 @@ from skein.functions import scalars as S
 from skein.operators import aggregate as A
 from skein.operators import joins as J
 from skein.operators import opponent as O
-from skein.operators import running as R
 from skein.operators import windows as W
 from skein.operators.cleaners import CLEANERS, schema_of
 from skein.operators.reshape import validate_columns, wide_to_long
-from skein.session import cut_lineage
 from skein.sources import io
 
 # The career table's category and numeric running totals.
@@ -67,11 +65,10 @@ def results_stats(
     windows: Sequence[int] = (3, 5), on: str = "asof", strategy: str | None = None,
 ) -> DataFrame:
     """V1 -> J1 -> P1 -> W6-W10 -> W11 -> W12 -> J3."""
-    validate_columns(results, RESULTS_REQUIRED, "Wide Results DataFrame")
+    validate_columns(results, RESULTS_REQUIRED, "results")
     df = J.merge_events(results, events) if events is not None else results
     long = wide_to_long(df)
     order = ["event_date", "fight_url", "fighter_url"]
-    strategy = R.resolve_strategy(long, "fighter_url", strategy, factor=2)
     own = W.results_own_stats(long, "fighter_url", order, windows=windows, strategy=strategy)
     opp = O.opponent_records(own, on=on, strategy=strategy)
     out = O.opponent_totals(opp, "fighter_url", order, strategy=strategy)
@@ -84,7 +81,7 @@ def fight_stats(
     strategy: str | None = None, materialize: bool = True,
 ) -> DataFrame:
     """V1 -> J2 -> J1 (or W17) -> A1 -> A2 -> W13-W15 -> J8 -> W16 -> J3."""
-    validate_columns(rounds, ROUNDS_REQUIRED, "Raw Rounds DataFrame")
+    validate_columns(rounds, ROUNDS_REQUIRED, "rounds")
     df = J.merge_results(rounds, results) if results is not None else rounds
     if events is not None:
         df = J.merge_events(df, events)
@@ -92,19 +89,16 @@ def fight_stats(
         df = W.synthetic_dates(df, ["fight_url", "fighter", "round"])
     fights = A.accuracy(A.aggregate_rounds(df))
     if "event_date" not in fights.columns:
-        raise ValueError("Missing 'event_date' column in aggregated data. Please merge event dates before calling.")
-    # the per-match table feeds the size check, the opponent mapping, its join back and the
-    # metric window: materialise it once (it is far smaller than the rounds it comes from).
+        raise ValueError("the matches have no event_date: pass events, or rounds that carry it")
     fights = fights.withColumn("event_date", F.col("event_date").cast("timestamp_ntz"))
-    if materialize:
-        fights = cut_lineage(fights)
     keys = ["fight_url", "fighter", "event_date", "fight_order"]
     metrics = W.metric_columns(fights, exclude=keys)
     order = ["event_date", "fight_url", "fighter"]
-    strategy = R.resolve_strategy(fights, "fighter", strategy, factor=2)
     # the opponent mapping only needs (match, participant): attach it while rows are narrow.
-    fights = O.opponent_by_reversal(fights, "fight_url", "fighter", order=["fighter"], strategy=strategy)
+    # one row per participant of a match: bounded by the match, so one window is enough.
+    fights = O.opponent_by_reversal(fights, "fight_url", "fighter", order=["fighter"], strategy="window")
     stats = W.metric_stats(fights, "fighter", order, metrics, windows, strategy=strategy)
-    stats = O.opponent_metrics(stats, metrics, entity_col="fighter", on=on, strategy=strategy)
-    stats = stats.withColumnRenamed("fighter", "fighter_url")
+    # the lookup reads the statistics three times: written once, read back pruned to what each side needs
+    stats = O.opponent_metrics(stats, metrics, entity_col="fighter", on=on, strategy=strategy, materialize=materialize)
+    stats = stats.drop("fight_order").withColumnRenamed("fighter", "fighter_url")
     return J.merge_entities(stats, fighters) if fighters is not None else stats

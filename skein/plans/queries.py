@@ -35,6 +35,11 @@ def r4(c):
     return F.round(F.col(c) if isinstance(c, str) else c, 4)
 
 
+def r4up(c):
+    """``r4`` with ties moved up on both engines, so that the last bit of a mean cannot decide."""
+    return F.round(F.col(c).cast("double") + 1e-9, 4)
+
+
 LONG_ORDER = ["event_date", "fight_url", "fighter_url"]
 W_LONG = "WINDOW w AS (PARTITION BY fighter_url ORDER BY event_date, fight_url ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
@@ -131,6 +136,18 @@ _EVENT_TEXT_SQL = (
 )
 
 
+@query("category_totals", """
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS category,
+  count(*) OVER (PARTITION BY o_orderstatus, o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total
+FROM orders
+""")
+def category_totals(spark, d):
+    """W1 in long form: thousands of labels (customers) within three hot entities (statuses)."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate", F.col("o_custkey").cast("string").alias("cust"))
+    out = W.category_totals(o, "cust", "o_orderstatus", ["o_orderdate", "o_orderkey"])
+    return out.select("o_orderkey", "category", "total")
+
+
 def _event_text(spark, d):
     ev = table(spark, d, "events")
     k = F.get_json_object("props", "$.k")
@@ -373,20 +390,16 @@ _OPP_COLS = ["opp_cumulative_wins_in", "opp_cumulative_losses_in", "opp_cumulati
 
 
 def _own(spark, d, strategy=None):
-    lg = long(spark, d)
-    strategy = RN.resolve_strategy(lg, "fighter_url", strategy, factor=2)
-    own = W.results_own_stats(lg, "fighter_url", LONG_ORDER, rolling=False, time_diffs=False, strategy=strategy)
-    return own, strategy
+    return W.results_own_stats(long(spark, d), "fighter_url", LONG_ORDER, rolling=False, time_diffs=False, strategy=strategy)
 
 
 @query("opponent_asof", f"""
 WITH {_OWN_SQL}
 SELECT fight_url, fighter_url, {", ".join(_OPP_COLS)} FROM oa
 """)
-def opponent_asof(spark, d):
+def opponent_asof(spark, d, strategy=None):
     """W11 (as-of lookups, backward for incoming and forward for after)."""
-    own, st = _own(spark, d)
-    out = OP.opponent_records(own, on="asof", strategy=st)
+    out = OP.opponent_records(_own(spark, d, strategy), on="asof", strategy=strategy)
     return out.select("fight_url", "fighter_url", *[F.col(c).cast("bigint").alias(c) for c in _OPP_COLS])
 
 
@@ -399,8 +412,7 @@ FROM own o LEFT JOIN src s ON s.k = o.opp_url AND s.m = o.fight_url
 """)
 def opponent_match(spark, d):
     """W11 with ``on='match'``: the opponent's own row of the same match."""
-    own, st = _own(spark, d)
-    out = OP.opponent_records(own, on="match", strategy=st)
+    out = OP.opponent_records(_own(spark, d), on="match")
     return out.select("fight_url", "fighter_url", *[F.col(c).cast("bigint").alias(c) for c in _OPP_COLS])
 
 
@@ -412,8 +424,7 @@ FROM oa {W_LONG}
 """)
 def opponent_totals(spark, d):
     """Running sums of the opponents' records over own matches."""
-    own, st = _own(spark, d)
-    out = OP.opponent_totals(OP.opponent_records(own, on="asof", strategy=st), "fighter_url", LONG_ORDER, strategy=st)
+    out = OP.opponent_totals(OP.opponent_records(_own(spark, d), on="asof"), "fighter_url", LONG_ORDER)
     return out.select("fight_url", "fighter_url", *[F.col(f"total_{c}").cast("bigint").alias(f"total_{c}") for c in _OPP_COLS])
 
 
@@ -427,12 +438,22 @@ FROM r a LEFT JOIN r b ON a.fight_url = b.fight_url AND b.rn = a.cnt + 1 - a.rn
 def opponent_swap(spark, d):
     """Opponent by reversing each match's participant list."""
     lg = long(spark, d).select("fight_url", "fighter_url")
-    return OP.opponent_by_reversal(lg, "fight_url", "fighter_url", order=["fighter_url"])
+    return OP.opponent_by_reversal(lg, "fight_url", "fighter_url", order=["fighter_url"], strategy="window")
 
 
 # ---------------------------------------------------------------- A1 / A2 and W13-W16 (rounds)
 
 
+def _round_exprs():
+    """Statistic columns of a round, made from a line item by the same text on both engines."""
+    cols = {"kd": "l_quantity", "ctrl_seconds": "floor(l_discount * 100) * 10"}
+    for i, s in enumerate(AG.FRACTION_STATS):
+        landed = f"(l_partkey * {i + 3} + l_linenumber) % 17"
+        cols[f"{s}_landed"] = f"CASE WHEN l_linenumber = {i + 2} THEN NULL ELSE CAST({landed} AS DOUBLE) END"
+        cols[f"{s}_attempted"] = f"CAST(({landed}) + (l_suppkey + {i}) % 5 AS DOUBLE)"
+    return cols
+
+
 def _rounds_view(spark, d):
     li = table(spark, d, "lineitem")
     return li.select(
@@ -440,31 +461,25 @@ def _rounds_view(spark, d):
         F.col("l_suppkey").alias("fighter"),
         F.col("l_linenumber").alias("round"),
         F.col("l_partkey").alias("part"),
-        F.col("l_quantity").alias("kd"),
-        F.col("l_quantity").alias("sig_str_landed"),
-        (F.col("l_quantity") + F.floor(F.col("l_tax") * 100).cast("double")).alias("sig_str_attempted"),
-        F.floor(F.col("l_discount") * 100).cast("double").alias("td_landed"),
-        F.floor(F.col("l_tax") * 100).cast("double").alias("td_attempted"),
+        *[F.expr(e).cast("double").alias(c) for c, e in _round_exprs().items()],
         F.col("l_returnflag").alias("flag"),
     )
 
 
-_ROUNDS_SQL = """
+_ROUND_SUMS = list(_round_exprs())
+_ROUND_ACCURACY = [f"{s.split('_')[0]}_accuracy" for s in AG.FRACTION_STATS]
+_ROUNDS_SQL = f"""
 rv AS (SELECT l_orderkey AS fight_url, l_suppkey AS fighter, l_linenumber AS round, l_partkey AS part,
-              l_quantity AS kd, l_quantity AS sig_str_landed, l_quantity + floor(l_tax * 100) AS sig_str_attempted,
-              floor(l_discount * 100) AS td_landed, floor(l_tax * 100) AS td_attempted, l_returnflag AS flag
+              {", ".join(f"CAST({e} AS DOUBLE) AS {c}" for c, e in _round_exprs().items())}, l_returnflag AS flag
        FROM lineitem),
-fa AS (SELECT fight_url, fighter, max(round) AS round, coalesce(sum(kd), 0) AS kd,
-              coalesce(sum(sig_str_landed), 0) AS sig_str_landed, coalesce(sum(sig_str_attempted), 0) AS sig_str_attempted,
-              coalesce(sum(td_landed), 0) AS td_landed, coalesce(sum(td_attempted), 0) AS td_attempted,
+fa AS (SELECT fight_url, fighter, max(round) AS round, {", ".join(f"coalesce(sum({c}), 0) AS {c}" for c in _ROUND_SUMS)},
               arg_min(flag, round * 1000000 + part) FILTER (WHERE flag IS NOT NULL) AS flag
        FROM rv WHERE fight_url IS NOT NULL AND fighter IS NOT NULL GROUP BY fight_url, fighter),
-fac AS (SELECT *, CASE WHEN sig_str_attempted > 0 THEN sig_str_landed / sig_str_attempted END AS sig_accuracy,
-                  CASE WHEN td_attempted > 0 THEN td_landed / td_attempted END AS td_accuracy FROM fa),
+fac AS (SELECT *, {", ".join(f"CASE WHEN {s}_attempted > 0 THEN {s}_landed / {s}_attempted END AS {a}" for s, a in zip(AG.FRACTION_STATS, _ROUND_ACCURACY))} FROM fa),
 fd AS (SELECT fac.*, o_orderdate AS event_date FROM fac JOIN orders ON fight_url = o_orderkey)
 """
 
-_FIGHT_METRICS = ["kd", "sig_str_landed", "td_landed", "td_attempted"]
+_FIGHT_METRICS = ["round", *_ROUND_SUMS, *_ROUND_ACCURACY]
 
 
 def _fights(spark, d):
@@ -476,26 +491,22 @@ def _fights(spark, d):
 
 @query("rounds_to_fight", f"""
 WITH {_ROUNDS_SQL}
-SELECT fight_url, fighter, CAST(round AS BIGINT) AS round, round(kd, 4) AS kd, round(sig_str_landed, 4) AS sig_str_landed,
-       round(sig_str_attempted, 4) AS sig_str_attempted, round(td_landed, 4) AS td_landed,
-       round(td_attempted, 4) AS td_attempted, flag FROM fa
+SELECT fight_url, fighter, CAST(round AS BIGINT) AS round, {", ".join(f"round({c}, 4) AS {c}" for c in _ROUND_SUMS)}, flag FROM fa
 """)
 def rounds_to_fight(spark, d):
     """A1: rounds -> one row per (match, participant)."""
     fa = AG.aggregate_rounds(_rounds_view(spark, d), order_col=["round", "part"])
-    return fa.select("fight_url", "fighter", F.col("round").cast("bigint").alias("round"),
-                     *[r4(c).alias(c) for c in ["kd", "sig_str_landed", "sig_str_attempted", "td_landed", "td_attempted"]],
-                     "flag")
+    return fa.select("fight_url", "fighter", F.col("round").cast("bigint").alias("round"), *[r4(c).alias(c) for c in _ROUND_SUMS], "flag")
 
 
 @query("accuracy", f"""
 WITH {_ROUNDS_SQL}
-SELECT fight_url, fighter, round(sig_accuracy, 4) AS sig_accuracy, round(td_accuracy, 4) AS td_accuracy FROM fac
+SELECT fight_url, fighter, {", ".join(f"round({a}, 4) AS {a}" for a in _ROUND_ACCURACY)} FROM fac
 """)
 def accuracy(spark, d):
-    """A2: landed / attempted when attempted > 0."""
+    """A2: landed / attempted when attempted > 0, for all nine pairs."""
     fa = AG.accuracy(AG.aggregate_rounds(_rounds_view(spark, d), order_col=["round", "part"]))
-    return fa.select("fight_url", "fighter", r4("sig_accuracy").alias("sig_accuracy"), r4("td_accuracy").alias("td_accuracy"))
+    return fa.select("fight_url", "fighter", *[r4(a).alias(a) for a in _ROUND_ACCURACY])
 
 
 _W_F = "(PARTITION BY fighter ORDER BY event_date, fight_url ROWS BETWEEN {})"
@@ -507,20 +518,17 @@ def _metric_cum_sql():
         cur = _W_F.format("UNBOUNDED PRECEDING AND CURRENT ROW")
         inn = _W_F.format("UNBOUNDED PRECEDING AND 1 PRECEDING")
         parts += [
-            f"round(CASE WHEN {m} IS NOT NULL THEN sum({m}) OVER {cur} END, 4) AS cum_{m}_current",
-            f"round(CASE WHEN {m} IS NOT NULL THEN sum({m}) OVER {cur} END / (fight_order + 1), 4) AS avg_{m}_current",
-            f"round(coalesce(sum({m}) OVER {inn}, 0), 4) AS cum_{m}_in",
-            f"round(CASE WHEN fight_order > 0 THEN coalesce(sum({m}) OVER {inn}, 0) / fight_order END, 4) AS avg_{m}_in",
+            f"round(CASE WHEN {m} IS NOT NULL THEN sum({m}) OVER {cur} END + 1e-9, 4) AS cum_{m}_current",
+            f"round(CASE WHEN {m} IS NOT NULL THEN sum({m}) OVER {cur} END / (fight_order + 1) + 1e-9, 4) AS avg_{m}_current",
+            f"round(coalesce(sum({m}) OVER {inn}, 0) + 1e-9, 4) AS cum_{m}_in",
+            f"round(CASE WHEN fight_order > 0 THEN coalesce(sum({m}) OVER {inn}, 0) / fight_order END + 1e-9, 4) AS avg_{m}_in",
         ]
     return (f"WITH {_ROUNDS_SQL}, fo AS (SELECT *, row_number() OVER (PARTITION BY fighter ORDER BY event_date, fight_url) - 1 "
             f"AS fight_order FROM fd)\nSELECT fight_url, fighter, " + ",\n".join(parts) + " FROM fo")
 
 
-def _metric_stats(spark, d, with_strategy=False):
-    fights = _fights(spark, d)
-    st = RN.resolve_strategy(fights, "fighter", None, factor=2)
-    out = W.metric_stats(fights, "fighter", ["event_date", "fight_url", "fighter"], _FIGHT_METRICS, strategy=st)
-    return (out, st) if with_strategy else out
+def _metric_stats(spark, d, strategy=None):
+    return W.metric_stats(_fights(spark, d), "fighter", ["event_date", "fight_url", "fighter"], _FIGHT_METRICS, strategy=strategy)
 
 
 @query("metric_cumulative", _metric_cum_sql())
@@ -530,7 +538,7 @@ def metric_cumulative(spark, d):
     cols = []
     for m in _FIGHT_METRICS:
         cols += [f"cum_{m}_current", f"avg_{m}_current", f"cum_{m}_in", f"avg_{m}_in"]
-    return out.select("fight_url", "fighter", *[r4(c).alias(c) for c in cols])
+    return out.select("fight_url", "fighter", *[r4up(c).alias(c) for c in cols])
 
 
 def _metric_roll_sql():
@@ -538,20 +546,20 @@ def _metric_roll_sql():
     for w in (3, 5):
         spec = _W_F.format(f"{w} PRECEDING AND 1 PRECEDING")
         for m in _FIGHT_METRICS:
-            parts += [f"round(sum({m}) OVER {spec}, 4) AS rolling_{w}_{m}_in",
-                      f"round(avg({m}) OVER {spec}, 4) AS rolling_{w}_avg_{m}_in"]
+            parts += [f"round(sum({m}) OVER {spec} + 1e-9, 4) AS rolling_{w}_{m}_in",
+                      f"round(avg({m}) OVER {spec} + 1e-9, 4) AS rolling_{w}_avg_{m}_in"]
         parts.append(f"CAST(count(*) OVER {spec} AS BIGINT) AS rolling_{w}_fights_in")
     return f"WITH {_ROUNDS_SQL}\nSELECT fight_url, fighter, " + ",\n".join(parts) + " FROM fd"
 
 
 @query("metric_rolling", _metric_roll_sql())
-def metric_rolling(spark, d):
+def metric_rolling(spark, d, strategy=None):
     """Rolling incoming sums, means and counts per metric."""
-    out = _metric_stats(spark, d)
+    out = _metric_stats(spark, d, strategy)
     cols = []
     for w in (3, 5):
         for m in _FIGHT_METRICS:
-            cols += [r4(f"rolling_{w}_{m}_in").alias(f"rolling_{w}_{m}_in"), r4(f"rolling_{w}_avg_{m}_in").alias(f"rolling_{w}_avg_{m}_in")]
+            cols += [r4up(f"rolling_{w}_{m}_in").alias(f"rolling_{w}_{m}_in"), r4up(f"rolling_{w}_avg_{m}_in").alias(f"rolling_{w}_avg_{m}_in")]
         cols.append(f"rolling_{w}_fights_in")
     return out.select("fight_url", "fighter", *cols)
 
@@ -596,8 +604,8 @@ fw AS (SELECT * FROM (SELECT l.fight_url, l.fighter, {", ".join(f"s.{c}" for c i
           row_number() OVER (PARTITION BY l.fight_url, l.fighter ORDER BY s.event_date ASC NULLS LAST, s.fight_url ASC NULLS LAST) AS rn
         FROM l LEFT JOIN st s ON s.fighter = l.opp_url AND s.event_date >= l.event_date) WHERE rn = 1)
 SELECT bk.fight_url, bk.fighter AS fighter_url, l.opp_url,
-  {", ".join(f"round(bk.{c}, 4) AS opp_{c}" for c in in_names)},
-  {", ".join(f"round(fw.{c}, 4) AS opp_{c}" for c in cur_names)}
+  {", ".join(f"round(bk.{c} + 1e-9, 4) AS opp_{c}" for c in in_names)},
+  {", ".join(f"round(fw.{c} + 1e-9, 4) AS opp_{c}" for c in cur_names)}
 FROM bk JOIN fw USING (fight_url, fighter) JOIN l USING (fight_url, fighter)
 """
 
@@ -606,13 +614,12 @@ FROM bk JOIN fw USING (fight_url, fighter) JOIN l USING (fight_url, fighter)
 def opponent_metrics(spark, d):
     """J8 + W16: opponent per-metric cumulative stats via as-of lookups."""
     fights = _fights(spark, d)
-    strat = RN.resolve_strategy(fights, "fighter", None, factor=2)
-    fights = OP.opponent_by_reversal(fights, "fight_url", "fighter", order=["fighter"], strategy=strat)
-    st = W.metric_stats(fights, "fighter", ["event_date", "fight_url", "fighter"], _FIGHT_METRICS, strategy=strat)
-    out = OP.opponent_metrics(st, _FIGHT_METRICS, entity_col="fighter", strategy=strat)
+    fights = OP.opponent_by_reversal(fights, "fight_url", "fighter", order=["fighter"], strategy="window")
+    st = W.metric_stats(fights, "fighter", ["event_date", "fight_url", "fighter"], _FIGHT_METRICS)
+    out = OP.opponent_metrics(st, _FIGHT_METRICS, entity_col="fighter", materialize=True)
     names = [f"opp_cum_{m}_in" for m in _FIGHT_METRICS] + [f"opp_avg_{m}_in" for m in _FIGHT_METRICS]
     names += [f"opp_cum_{m}_current" for m in _FIGHT_METRICS] + [f"opp_avg_{m}_current" for m in _FIGHT_METRICS]
-    return out.select("fight_url", F.col("fighter").alias("fighter_url"), "opp_url", *[r4(c).alias(c) for c in names])
+    return out.select("fight_url", F.col("fighter").alias("fighter_url"), "opp_url", *[r4up(c).alias(c) for c in names])
 
 
 @query("synthetic_date", """
@@ -1636,26 +1643,30 @@ FROM tt LEFT JOIN fd ON tt.fighter_url = fd.fighter_url
 
 
 @query("results_stats_full", _g3_sql())
-def results_stats_full(spark, d):
+def results_stats_full(spark, d, strategy=None):
     """G3 end to end: clean results (CL2) + events (CL1) + fighters (CL3) -> J1 -> P1 ->
     W6-W10 -> W11 (as-of) -> W12 -> J3."""
     cr = CL.clean_results(RD.raw_results(spark, d))
     ce = CL.clean_events(RD.raw_events(spark, d)).select("event_url", "date")
     cf = CL.clean_fighters(RD.raw_fighters(spark, d))
-    out = PL.results_stats(cr, ce, cf)
+    out = PL.results_stats(cr, ce, cf, strategy=strategy)
     cols = [r4(c).alias(c) if c in _G3_DOUBLES else F.col(c).cast("bigint").alias(c) for c in _G3_OUT]
     return out.select("fight_url", "fighter_url", "opp_url", "role", "result", _day("event_date").alias("event_date"), *cols,
                       "full_name", r4("height_cm").alias("height_cm"))
 
 
-_G4_METRICS = ["kd", "sig_str_landed", "ctrl_seconds", "td_attempted"]
+_G4_PAIRS = [f"{s}_{x}" for s in AG.FRACTION_STATS for x in ("landed", "attempted")]
+_G4_ACCURACY = [f"{s.split('_')[0]}_accuracy" for s in AG.FRACTION_STATS]
+_G4_SUMS = ["kd", "sub_att", "rev", "ctrl_seconds", "sig_str_pct_num", "td_pct_num", *_G4_PAIRS]
+_G4_METRICS = ["round", *_G4_SUMS, *_G4_ACCURACY]  # every numeric column of the per-match table: 34
 
 
 def _g4_cols():
     cols = []
     for m in _G4_METRICS:
-        cols += [f"cum_{m}_current", f"avg_{m}_current", f"cum_{m}_in", f"avg_{m}_in", f"rolling_3_{m}_in",
-                 f"rolling_5_avg_{m}_in", f"opp_cum_{m}_in", f"opp_avg_{m}_current"]
+        cols += [f"cum_{m}_current", f"avg_{m}_current", f"cum_{m}_in", f"avg_{m}_in"]
+        cols += [f"rolling_{w}_{x}{m}_in" for w in (3, 5) for x in ("", "avg_")]
+        cols += [f"opp_{x}_{m}_{t}" for t in ("in", "current") for x in ("cum", "avg")]
     return cols
 
 
@@ -1669,29 +1680,33 @@ def _g4_sql():
             f"CASE WHEN {m} IS NOT NULL THEN sum({m}) OVER {cur} END / (fight_order + 1) AS avg_{m}_current",
             f"coalesce(sum({m}) OVER {inn}, 0) AS cum_{m}_in",
             f"CASE WHEN fight_order > 0 THEN coalesce(sum({m}) OVER {inn}, 0) / fight_order END AS avg_{m}_in",
-            f"sum({m}) OVER {Wf.format('3 PRECEDING AND 1 PRECEDING')} AS rolling_3_{m}_in",
-            f"avg({m}) OVER {Wf.format('5 PRECEDING AND 1 PRECEDING')} AS rolling_5_avg_{m}_in",
         ]
-    in_names = [f"cum_{m}_in" for m in _G4_METRICS]
-    cur_names = [f"avg_{m}_current" for m in _G4_METRICS]
-    sums = ", ".join(f"coalesce(sum({m}), 0) AS {m}" for m in _G4_METRICS)
+        for w in (3, 5):
+            spec = Wf.format(f"{w} PRECEDING AND 1 PRECEDING")
+            stat += [f"sum({m}) OVER {spec} AS rolling_{w}_{m}_in", f"avg({m}) OVER {spec} AS rolling_{w}_avg_{m}_in"]
+    in_names = [f"{x}_{m}_in" for m in _G4_METRICS for x in ("cum", "avg")]
+    cur_names = [f"{x}_{m}_current" for m in _G4_METRICS for x in ("cum", "avg")]
+    raw = ", ".join(f"{q_frac(s, i)} AS {s}_{x}" for s in AG.FRACTION_STATS for i, x in ((1, "landed"), (2, "attempted")))
+    sums = ", ".join(f"coalesce(sum({m}), 0) AS {m}" for m in _G4_SUMS)
+    ratios = ", ".join(f"CASE WHEN {s}_attempted > 0 THEN {s}_landed / {s}_attempted END AS {a}" for s, a in zip(AG.FRACTION_STATS, _G4_ACCURACY))
     out_cols = []
     for c in _g4_cols():
-        src = f"bk.{c[4:]}" if c.startswith("opp_cum") else (f"fw.{c[4:]}" if c.startswith("opp_avg") else f"st.{c}")
-        out_cols.append(f"round({src}, 4) AS {c}")
+        src = ("bk" if c.endswith("_in") else "fw") + f".{c[4:]}" if c.startswith("opp_") else f"st.{c}"
+        out_cols.append(f"round({src} + 1e-9, 4) AS {c}")
     return f"""
 WITH {RD.RAW_RESULTS_SQL}, {RD.RAW_EVENTS_SQL}, {RD.RAW_FIGHTERS_SQL}, {RD.RAW_ROUNDS_SQL},
 {_clean_results_body()},
-crd AS (SELECT {q_num('round')} AS round, fight_url, fighter, {q_num('kd')} AS kd, {q_frac('sig_str', 1)} AS sig_str_landed,
-               {q_time('ctrl')} AS ctrl_seconds, {q_frac('td', 2)} AS td_attempted FROM rw),
+crd AS (SELECT {q_num('round')} AS round, fight_url, fighter, {q_num('kd')} AS kd, {q_num('sub_att')} AS sub_att, {q_num('rev')} AS rev,
+               {q_time('ctrl')} AS ctrl_seconds, {q_pct('sig_str_pct')} AS sig_str_pct_num, {q_pct('td_pct')} AS td_pct_num, {raw} FROM rw),
 br AS (SELECT DISTINCT fight_url, event_url FROM cr),
 ce AS (SELECT event_url, CAST(try_strptime({q_strip("replace(date, chr(160), chr(32))")}, '%B %d, %Y') AS DATE) AS date FROM re),
 j AS (SELECT crd.*, ce.date AS event_date FROM crd LEFT JOIN br USING (fight_url) LEFT JOIN ce ON br.event_url = ce.event_url),
 fa AS (SELECT fight_url, fighter, max(round) AS round, {sums}, max(event_date) AS event_date
        FROM j WHERE fight_url IS NOT NULL AND fighter IS NOT NULL GROUP BY fight_url, fighter),
-fo AS (SELECT *, row_number() OVER (PARTITION BY fighter ORDER BY event_date ASC NULLS LAST, fight_url) - 1 AS fight_order FROM fa),
+fo AS (SELECT *, {ratios}, row_number() OVER (PARTITION BY fighter ORDER BY event_date ASC NULLS LAST, fight_url) - 1 AS fight_order FROM fa),
 st AS (SELECT fight_url, fighter, event_date, round, fight_order, {", ".join(stat)},
-              CAST(count(*) OVER {Wf.format('3 PRECEDING AND 1 PRECEDING')} AS BIGINT) AS rolling_3_fights_in FROM fo),
+              CAST(count(*) OVER {Wf.format('3 PRECEDING AND 1 PRECEDING')} AS BIGINT) AS rolling_3_fights_in,
+              CAST(count(*) OVER {Wf.format('5 PRECEDING AND 1 PRECEDING')} AS BIGINT) AS rolling_5_fights_in FROM fo),
 rk AS (SELECT fight_url, fighter, row_number() OVER (PARTITION BY fight_url ORDER BY fighter) AS rn,
               count(*) OVER (PARTITION BY fight_url) AS cnt FROM st),
 op AS (SELECT a.fight_url, a.fighter, b.fighter AS opp_url FROM rk a LEFT JOIN rk b ON a.fight_url = b.fight_url AND b.rn = a.cnt + 1 - a.rn),
@@ -1703,8 +1718,8 @@ fw AS (SELECT * FROM (SELECT l.fight_url, l.fighter, {", ".join(f"s.{c}" for c i
           row_number() OVER (PARTITION BY l.fight_url, l.fighter ORDER BY s.event_date ASC NULLS LAST, s.fight_url ASC NULLS LAST) AS rn
         FROM l LEFT JOIN st s ON s.fighter = l.opp_url AND s.event_date >= l.event_date) WHERE rn = 1),
 fd AS (SELECT DISTINCT * FROM rf)
-SELECT st.fight_url, st.fighter AS fighter_url, strftime(st.event_date, '%Y-%m-%d') AS event_date, CAST(st.fight_order AS BIGINT) AS fight_order,
-       l.opp_url, round(st.round, 4) AS round, st.rolling_3_fights_in, {", ".join(out_cols)}, fd.full_name
+SELECT st.fight_url, st.fighter AS fighter_url, strftime(st.event_date, '%Y-%m-%d') AS event_date,
+       l.opp_url, round(st.round, 4) AS round, st.rolling_3_fights_in, st.rolling_5_fights_in, {", ".join(out_cols)}, fd.full_name
 FROM st JOIN l USING (fight_url, fighter) JOIN bk USING (fight_url, fighter) JOIN fw USING (fight_url, fighter)
 LEFT JOIN fd ON st.fighter = fd.fighter_url
 """
@@ -1718,8 +1733,8 @@ def fight_stats_full(spark, d):
     ce = CL.clean_events(RD.raw_events(spark, d)).select("event_url", "date")
     cf = CL.clean_fighters(RD.raw_fighters(spark, d))
     out = PL.fight_stats(crd, results=cr, events=ce, fighters=cf)
-    return out.select("fight_url", "fighter_url", _day("event_date").alias("event_date"), "fight_order", "opp_url",
-                      r4("round").alias("round"), "rolling_3_fights_in", *[r4(c).alias(c) for c in _g4_cols()], "full_name")
+    return out.select("fight_url", "fighter_url", _day("event_date").alias("event_date"), "opp_url",
+                      r4("round").alias("round"), "rolling_3_fights_in", "rolling_5_fights_in", *[r4up(c).alias(c) for c in _g4_cols()], "full_name")
 
 
 # ---------------------------------------------------------------- G2 career table (star join + totals)
@@ -1789,22 +1804,14 @@ def hot_key_asof(spark, d):
                         right_ties=["view_id"], strategy="chunked")
 
 
-def _forced_chunked(fn):
+def _with_strategy(fn, strategy):
     def run(spark, d):
-        old = spark.conf.get("spark.skein.window.strategy", None)
-        spark.conf.set("spark.skein.window.strategy", "chunked")
-        try:
-            return fn(spark, d)
-        finally:
-            if old is None:
-                spark.conf.unset("spark.skein.window.strategy")
-            else:
-                spark.conf.set("spark.skein.window.strategy", old)
-
-    run.__doc__ = f"{fn.__name__} with every running pass forced through the skew-safe chunked strategy."
+        return fn(spark, d, strategy=strategy)
+
+    run.__doc__ = f"{fn.__name__} with strategy={strategy!r}: both strategies meet the same oracle."
     return run
 
 
-# The skew-safe path inside the correctness gate: same SQL oracle, chunked plans.
 for _name in ("career_latest", "opponent_asof", "metric_rolling", "results_stats_full"):
-    query(f"{_name}_chunked", ORACLE[_name])(_forced_chunked(QUERIES[_name]))
+    for _strategy in ("chunked", "window"):
+        query(f"{_name}_{_strategy}", ORACLE[_name])(_with_strategy(QUERIES[_name], _strategy))

@@ -13,8 +13,6 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-STRATEGY_CONF = "spark.skein.window.strategy"
-
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "skein",
                   extra: dict | None = None) -> SparkSession:
@@ -58,33 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
-
-    The rows are persisted (memory, spilling to disk) while the checkpoint is written, so
-    the write job reads them back instead of recomputing the plan; the cache is released
-    once the files exist.
-    """
-    from pyspark import StorageLevel
-
+    """Reliable checkpoint into the shared checkpoint folder (survives executor loss): one
+    job computes the rows and writes them, later readers read the files."""
     ensure_checkpoint_dir(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
-
-
-MAX_GROUP_CONF = "spark.skein.window.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-
-
-def window_strategy(spark: SparkSession, strategy: str | None) -> str:
-    """``auto`` (default: size check, then ``window`` or ``chunked``), ``chunked``
-    (skew-safe) or ``window`` (single exchange, for groups known to be bounded)."""
-    if strategy:
-        return strategy
-    return spark.conf.get(STRATEGY_CONF, "auto")
-
-
-def max_group_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+    return df.checkpoint(eager=True)

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from skein.operators import aggregate as AG
 from skein.operators import cleaners as CL
@@ -152,3 +153,43 @@ def test_validate_raw_required_fields(spark):
     df = spark.createDataFrame([("E", "/e", "March 1, 2020", "X"), ("F", None, "March 2, 2020", "Y")], CL.schema_of("events"))
     ok, bad = CL.validate_raw(df, "events")
     assert rows(ok, "event") == [("E",)] and rows(bad, "_reason") == [("event_url is null",)]
+
+
+def _hot(spark):
+    """Repeated and NULL match ids, repeated participants, a NULL opponent and a NULL date."""
+    d = lambda n: dt.datetime(2020, 1, n)
+    data = [("m1", d(1), "a", "Win", "b")] * 4 + [(None, d(2), "a", "Loss", "b")] * 5 + [("m2", d(3), "b", "Win", "a"), ("m3", d(4), "c", "Win", None), ("m4", None, "b", "Loss", "a")]
+    df = spark.createDataFrame(data, "fight_url string, event_date timestamp, fighter_url string, result string, opp_url string")
+    return df.withColumns({"time_seconds": F.lit(1.0), "kd": F.lit(2.0)})
+
+
+@pytest.mark.parametrize("strategy", ["window", "chunked"])
+@pytest.mark.parametrize("on", ["asof", "match"])
+def test_opponent_lookups_keep_the_rows(spark, strategy, on):
+    df, order = _hot(spark), ["event_date", "fight_url", "fighter_url"]
+    own = W.results_own_stats(df, "fighter_url", order, rolling=False, time_diffs=False, strategy=strategy)
+    records = OP.opponent_records(own, on=on, strategy=strategy)
+    assert rows(records, "fight_url", "fighter_url", "result") == rows(df, "fight_url", "fighter_url", "result")
+    stats = W.metric_stats(df.withColumnRenamed("fighter_url", "fighter"), "fighter", ["event_date", "fight_url", "fighter"], ["kd"], strategy=strategy)
+    metrics = OP.opponent_metrics(stats, ["kd"], on=on, strategy=strategy)
+    assert rows(metrics, "fight_url", "fighter", "result") == rows(df.withColumnRenamed("fighter_url", "fighter"), "fight_url", "fighter", "result")
+    none = [r for r in metrics.collect() if r["opp_url"] is None or r["event_date"] is None]
+    assert all(r["opp_cum_kd_in"] is None and (on == "match" or r["opp_cum_kd_current"] is None) for r in none)
+
+
+@pytest.mark.parametrize("strategy", ["window", "chunked"])
+def test_reversal_keeps_the_rows(spark, strategy):
+    pairs = [("m", "a")] * 3 + [("m", "b"), (None, "a"), (None, "b"), ("n", None), ("n", "z")]
+    df = spark.createDataFrame(pairs, "fight_url string, fighter string")
+    got = rows(OP.opponent_by_reversal(df, "fight_url", "fighter", strategy=strategy))
+    assert got == sorted([("m", "a", "b"), ("m", "a", "a"), ("m", "a", "a"), ("m", "b", "a"), (None, "a", None), (None, "b", None), ("n", None, "z"), ("n", "z", None)], key=repr)
+
+
+def test_opponent_lookup_plan_has_one_pass(spark):
+    stats = W.metric_stats(_hot(spark).withColumnRenamed("fighter_url", "fighter"), "fighter", ["event_date"], ["kd"], strategy="window")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = OP.opponent_metrics(stats, ["kd"], strategy="window", materialize=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan

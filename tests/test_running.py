@@ -42,16 +42,34 @@ def test_chunked_equals_window(spark, partitions):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def test_auto_strategy_picks_by_size(spark):
-    df = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 0)], "k int, t int")
-    old = spark.conf.get("spark.skein.window.maxGroupRows", None)
+def test_double_sums_are_equal_in_every_configuration(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.choice([1, 1, 1, 2, None]), i, rnd.choice([0.1, 1e9 / 3, -7.7e-5, float("nan"), None])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, t int, x double")
+    ms = [R.cum_sum("s", "x"), R.cum_sum("s_in", "x", inclusive=False), R.cum_next("nxt", F.when(F.col("t") % 7 == 0, F.col("t")))]
+    seen = []
+    for strategy, parts in (("window", 8), ("chunked", 8), ("chunked", 3)):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        try:
+            seen.append(sorted(map(repr, R.running(df, "k", R.order_cols("t"), ms, strategy).collect())))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert seen[0] == seen[1] == seen[2]
+    ahead = {r["t"]: r["nxt"] for r in R.running(df.where("k = 1"), "k", R.order_cols("t"), ms).collect()}
+    marks = [t for t in sorted(ahead) if t % 7 == 0]
+    assert all(n == next((m for m in marks if m >= t), None) for t, n in ahead.items())
+
+
+def test_no_job_runs_while_a_window_plan_is_built(spark):
+    df = spark.range(10).select(F.lit(1).alias("k"), F.col("id").alias("t"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "plan only")
     try:
-        spark.conf.set("spark.skein.window.maxGroupRows", "10")
-        assert R.resolve_strategy(df, "k") == "chunked"
-        spark.conf.set("spark.skein.window.maxGroupRows", "100")
-        assert R.resolve_strategy(df, "k") == "window"
+        R.running(df, "k", R.order_cols("t"), [R.row_number("n")], "window")
+        assert not tracker.getJobIdsForGroup("building")
     finally:
-        spark.conf.unset("spark.skein.window.maxGroupRows") if old is None else spark.conf.set("spark.skein.window.maxGroupRows", old)
+        spark.sparkContext.setJobGroup("tests", "tests")
 
 
 def _brute_asof(left, right, direction):
