@@ -15,7 +15,7 @@ from skein.operators import asof as AS
 from skein.operators import joins as J
 from skein.operators import running as RN
 from skein.operators import windows as W
-from skein.plans.testdata import MATCHES_SQL, long, table
+from skein.plans.testdata import MATCHES_SQL, long, matches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -865,8 +865,6 @@ WITH {MATCHES_SQL} SELECT event_url FROM m
 """)
 def worklist_urls(spark, d):
     """K1: projection of the event URL column, duplicates kept."""
-    from skein.plans.testdata import matches
-
     return RS.event_urls(matches(spark, d))
 
 
@@ -1111,10 +1109,11 @@ def page_table_zip(spark, d):
     return out.select("event", "event_url", "date", "location")
 
 
-def _results_pages(spark, d):
-    from skein.plans.testdata import matches
+_SECOND = "coalesce(fighter2_url, -fighter1_url)"  # a page always lists two: a made-up opponent for the only participant
+
 
-    m = matches(spark, d)
+def _results_pages(spark, d):
+    m = matches(spark, d).withColumn("fighter2_url", F.expr(_SECOND))
     winner = F.when(F.col("fighter1_result") == "Win", "win").when(F.col("fighter1_result") == "Draw", "draw").otherwise("nc")
     imgs = F.concat(
         F.when(F.col("method") == "KO/TKO", F.lit('<img src="/i/belt.png"/>')).otherwise(F.lit("")),
@@ -1144,7 +1143,7 @@ def _results_pages(spark, d):
 WITH {MATCHES_SQL}
 SELECT '/fight/' || fight_url AS fight_url,
   CASE WHEN fighter1_result = 'Win' THEN 'win' WHEN fighter1_result = 'Draw' THEN 'draw' ELSE 'nc' END AS winner,
-  array_to_string(['/fighter/' || fighter1_url, '/fighter/' || fighter2_url], '|') AS fighters_urls,
+  array_to_string(['/fighter/' || fighter1_url, '/fighter/' || {_SECOND}], '|') AS fighters_urls,
   'Class ' || CAST(event_url % 9 AS VARCHAR) AS weight_class, method,
   CAST(year(event_date) % 5 + 1 AS VARCHAR) AS round,
   CAST(CAST(trunc(time_seconds / 60) AS INTEGER) AS VARCHAR) || ':' || lpad(CAST(CAST(trunc(time_seconds % 60) AS INTEGER) AS VARCHAR), 2, '0') AS time,
@@ -1188,9 +1187,7 @@ def _round_values(fu, ts, i, j):
 
 
 def _round_pages(spark, d):
-    from skein.plans.testdata import matches
-
-    m = matches(spark, d).select("fight_url", "fighter1_url", "fighter2_url",
+    m = matches(spark, d).select("fight_url", "fighter1_url", F.expr(_SECOND).alias("fighter2_url"),
                                  F.col("time_seconds").cast("int").alias("ts"))
     fu, ts = F.col("fight_url"), F.col("ts")
     fighters = F.concat(F.lit('<td><a href="/fighter/'), F.col("fighter1_url").cast("string"), F.lit('">A</a><a href="/fighter/'),
@@ -1244,7 +1241,7 @@ def _round_values_sql(j: int) -> str:
 
 @query("page_rounds", f"""
 WITH {MATCHES_SQL},
-mm AS (SELECT fight_url, fighter1_url, fighter2_url, CAST(time_seconds AS INTEGER) AS ts FROM m),
+mm AS (SELECT fight_url, fighter1_url, {_SECOND} AS fighter2_url, CAST(time_seconds AS INTEGER) AS ts FROM m),
 r AS (SELECT mm.*, CAST(g.i AS BIGINT) AS i FROM mm, LATERAL (SELECT unnest(range(1, 2 + CAST(fight_url % 3 AS INTEGER))) AS i) g)
 SELECT CAST(i AS INTEGER) AS round, '/fight/' || fight_url || '/rounds' AS fight_url, '/fighter/' || fighter1_url AS fighter,
        {_round_values_sql(1)} FROM r

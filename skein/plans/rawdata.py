@@ -58,7 +58,7 @@ def raw_results(spark, d):
         F.col("method") == "DQ", "Illegal Knee").otherwise("")
     method = F.when(F.col("fight_url") % 11 == 0, F.lit("")).otherwise(
         F.concat(F.col("method"), F.lit("\n\n      \n\n        "), detail))
-    urls = F.when(F.col("fight_url") % 13 == 0, F.array(F.concat(F.lit("/fighter/"), F.col("fighter1_url").cast("string")))).otherwise(
+    urls = F.when((F.col("fight_url") % 13 == 0) | F.col("fighter2_url").isNull(), F.array(F.concat(F.lit("/fighter/"), F.col("fighter1_url").cast("string")))).otherwise(
         F.array(F.concat(F.lit("/fighter/"), F.col("fighter1_url").cast("string")),
                 F.concat(F.lit("/fighter/"), F.col("fighter2_url").cast("string"))))
     rnd = F.when(F.col("fight_url") % 17 == 0, F.lit("x")).otherwise((F.year("event_date") % 5 + 1).cast("string"))
@@ -80,7 +80,7 @@ def raw_results(spark, d):
 RAW_RESULTS_SQL = MATCHES_SQL + r""",
 rr AS (SELECT '/fight/' || fight_url AS fight_url, '/event/' || fight_url AS event_url,
   CASE WHEN fighter1_result = 'Win' THEN 'win' WHEN fighter1_result = 'Draw' THEN 'draw' ELSE 'nc' END AS winner,
-  CASE WHEN fight_url % 13 = 0 THEN ['/fighter/' || fighter1_url] ELSE ['/fighter/' || fighter1_url, '/fighter/' || fighter2_url] END
+  CASE WHEN fight_url % 13 = 0 OR fighter2_url IS NULL THEN ['/fighter/' || fighter1_url] ELSE ['/fighter/' || fighter1_url, '/fighter/' || fighter2_url] END
     AS fighters_urls,
   ' Women''s ' || CAST(event_url % 9 AS VARCHAR) || ' Class ' AS weight_class,
   CASE WHEN fight_url % 11 = 0 THEN '' ELSE method || chr(10) || chr(10) || '      ' || chr(10) || chr(10) || '        ' ||

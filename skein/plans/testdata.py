@@ -1,8 +1,9 @@
 """Domain-shaped views over the driver's tables, as Spark DataFrames and as SQL CTEs.
 
-``matches``: one row per order whose line items name two different suppliers — the order
-is the match, the smallest and largest supplier are the two participants, the order date
-is the match date, the order status is the result, summed quantity is the match time.
+``matches``: one row per order — the order is the match, the smallest and largest supplier
+of its line items are the two participants (an order with one supplier is a match with one
+participant), the order date is the match date, the order status is the result, summed
+quantity is the match time.
 ``long``: ``matches`` one row per participant (P1).
 """
 
@@ -37,7 +38,7 @@ def matches(spark: SparkSession, d: str) -> DataFrame:
         .groupBy("l_orderkey")
         .agg(F.min("l_suppkey").alias("s1"), F.max("l_suppkey").alias("s2"), F.sum("l_quantity").alias("q"))
     )
-    m = o.join(li, o["o_orderkey"] == li["l_orderkey"]).where(F.col("s1") != F.col("s2"))
+    m = o.join(li, o["o_orderkey"] == li["l_orderkey"])
     r1 = _case("o_orderstatus", STATUS_RESULT, "Draw")
     r2 = _case("o_orderstatus", {"F": "Loss", "O": "Win"}, "Draw")
     return m.select(
@@ -45,7 +46,7 @@ def matches(spark: SparkSession, d: str) -> DataFrame:
         F.col("o_custkey").alias("event_url"),
         F.col("o_orderdate").alias("event_date"),
         F.col("s1").alias("fighter1_url"),
-        F.col("s2").alias("fighter2_url"),
+        F.when(F.col("s1") != F.col("s2"), F.col("s2")).alias("fighter2_url"),
         r1.alias("fighter1_result"),
         r2.alias("fighter2_result"),
         F.col("q").alias("time_seconds"),
@@ -54,23 +55,23 @@ def matches(spark: SparkSession, d: str) -> DataFrame:
 
 
 def long(spark: SparkSession, d: str) -> DataFrame:
-    return wide_to_long(matches(spark, d))
+    return wide_to_long(matches(spark, d)).where(F.col("fighter_url").isNotNull())
 
 
 MATCHES_SQL = """
 li AS (SELECT l_orderkey, min(l_suppkey) AS s1, max(l_suppkey) AS s2, sum(l_quantity) AS q
        FROM lineitem GROUP BY l_orderkey),
 m AS (SELECT o_orderkey AS fight_url, o_custkey AS event_url, o_orderdate AS event_date,
-             s1 AS fighter1_url, s2 AS fighter2_url,
+             s1 AS fighter1_url, CASE WHEN s1 <> s2 THEN s2 END AS fighter2_url,
              CASE o_orderstatus WHEN 'F' THEN 'Win' WHEN 'O' THEN 'Loss' ELSE 'Draw' END AS fighter1_result,
              CASE o_orderstatus WHEN 'F' THEN 'Loss' WHEN 'O' THEN 'Win' ELSE 'Draw' END AS fighter2_result,
              q AS time_seconds,
              CASE o_orderpriority WHEN '1-URGENT' THEN 'KO/TKO' WHEN '2-HIGH' THEN 'SUB'
                   WHEN '3-MEDIUM' THEN 'U-DEC' WHEN '4-NOT SPECIFIED' THEN 'S-DEC' ELSE 'DQ' END AS method
-      FROM orders JOIN li ON o_orderkey = l_orderkey WHERE s1 <> s2),
+      FROM orders JOIN li ON o_orderkey = l_orderkey),
 lg AS (SELECT fight_url, event_url, event_date, fighter1_url AS fighter_url, fighter1_result AS result,
               time_seconds, method, 'fighter1' AS role, fighter2_url AS opp_url FROM m
        UNION ALL
        SELECT fight_url, event_url, event_date, fighter2_url, fighter2_result, time_seconds, method,
-              'fighter2', fighter1_url FROM m)
+              'fighter2', fighter1_url FROM m WHERE fighter2_url IS NOT NULL)
 """
