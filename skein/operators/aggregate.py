@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein.functions import scalars as S
+from skein.session import cut_lineage
 
 # The nine landed/attempted statistic pairs of the round tables.
 FRACTION_STATS = ("sig_str", "total_str", "head", "body", "leg", "distance", "clinch", "ground", "td")
@@ -90,9 +91,11 @@ def dedupe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 def histogram(df: DataFrame, col: str, nbins: int = 40) -> DataFrame:
     """Equal-width histogram between min and max, empty bins included.
 
-    Bounds are one global min/max aggregate (two scalars to the driver); counting is a
-    partial aggregation by bin; the ``nbins`` bin rows come from ``sequence``.
+    The column is stored once (its input may be a long plan), then read for the bounds, one
+    global min/max aggregate (two scalars to the driver), and for the counts, a partial
+    aggregation by bin; the ``nbins`` bin rows come from ``range``.
     """
+    df = cut_lineage(df.select(col))
     lo, hi = df.agg(F.min(col).cast("double"), F.max(col).cast("double")).first()
     spark = df.sparkSession
     if lo is None:

@@ -70,11 +70,12 @@ HISTORY_COLUMNS = (
 
 
 def history(careers: DataFrame, entity_col: str = "fighter_url", entity=None, columns=HISTORY_COLUMNS,
-            date_col: str = "date", duration_col: str = "fight_duration_seconds") -> DataFrame:
+            date_col: str = "date", duration_col: str = "fight_duration_seconds", ties: tuple = ()) -> DataFrame:
     """P6 (+P3, O3): per-match history rows with the duration as a clock string and the date
-    for display, newest first. ``entity`` filters one entity (pushed to the scan)."""
+    for display, newest first, equal dates by the ``ties`` columns. ``entity`` filters one
+    entity (pushed to the scan)."""
     df = careers if entity is None else careers.where(F.col(entity_col) == F.lit(entity))
     derived = {"fight_duration": S.seconds_to_clock(F.col(duration_col)), "_sort_date": F.col(date_col)}
     df = df.withColumns(derived).withColumn(date_col, S.date_display(F.col(date_col)))
     cols = [entity_col] + [c for c in columns if c in df.columns]
-    return df.orderBy(F.col("_sort_date").desc_nulls_last()).select(*cols)
+    return df.orderBy(F.col("_sort_date").desc_nulls_last(), *ties).select(*cols)

@@ -35,11 +35,12 @@ ROUNDS_REQUIRED = (
 )
 
 
-def run_clean(spark: SparkSession, paths: Mapping[str, Mapping[str, str]], location_width: str = "row") -> dict:
-    """G1: raw JSON (explicit schemas) -> cleaners -> clean Parquet layer. Map-only jobs."""
+def run_clean(spark: SparkSession, paths: Mapping[str, Mapping[str, str]], location_width: str = "row", multiline: bool = True) -> dict:
+    """G1: raw JSON (explicit schemas; one array a file, or JSON Lines without ``multiline``)
+    -> cleaners -> clean Parquet layer. Map-only jobs."""
     out = {}
     for table, cleaner in CLEANERS.items():
-        raw = io.read_json(spark, paths["raw"][table], schema_of(table))
+        raw = io.read_json(spark, paths["raw"][table], schema_of(table), multiline)
         clean = cleaner(raw, width=location_width) if table == "events" else cleaner(raw)
         io.write_parquet(clean, paths["clean"][table])
         out[table] = paths["clean"][table]
