@@ -9,7 +9,6 @@ import pytest
 import __spark_entry__ as E
 from skein.operators import running as R
 from skein.plans import queries as Q
-from skein.plans.testdata import long
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
