@@ -275,7 +275,8 @@ def _running_chunked(df, keys, order, measures):
     for j in range(1, halo + 1):
         route_cols.append(F.lead(_P, j).over(wk).alias(f"_np{j}"))
         route_cols.append(F.lead("_n", j).over(wk).alias(f"_nn{j}"))
-    chunk_tab = chunks.select(*keys, _P, "_n", *off_cols, *route_cols)
+    # at most two rows per partition; offsets and halo routes both read it, so it is kept
+    chunk_tab = cut_lineage(chunks.select(*keys, _P, "_n", *off_cols, *route_cols))
     continued = F.col("_pn") > 0
     for i, m in enumerate(cums):
         if m.kind == "next":
