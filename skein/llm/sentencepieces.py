@@ -15,11 +15,12 @@ starts:
   impossible. Words with pieces of equal score, where order of merging is by place, are
   merged directly.
 
-Characters outside the vocabulary become byte pieces (or the unknown id in a model without
-byte pieces, one for each run inside a word).
+Characters outside the vocabulary become byte pieces; a model without byte pieces gives the
+unknown id for each (the library gives one for a run of them).
 
 Cutting into words is exact because no piece has a character before a mark; a model that
-has one is encoded text by text. Known words are kept per task up to fixed bounds
+has one is encoded text by text. Inside a word the search also starts afresh wherever no
+piece has the two neighbouring characters side by side. Known words are kept per task up to fixed bounds
 (``wordcache``), texts pass in slices, and no row leaves its partition.
 
 Defined cases: NULL text has NULL ids and decodes to NULL; the empty text has no ids;
@@ -31,7 +32,7 @@ Other columns are ignored; extra ones may be carried by name.
 from __future__ import annotations
 
 import re
-from os.path import commonprefix
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ MARK = "▁"
 SLICE = 2 << 20
 _BYTE, _NORMAL, _USER = 6, 1, 4  # piece types of the model format
 _UNIGRAM = 1
+_STABLE, _UNSEEN, _TAIL = 1, 2, 4  # a fixed point of the merges; a piece not looked at yet; the end of a longer piece
 
 
 class Pieces:
@@ -75,10 +77,13 @@ class Pieces:
         equal = {a for a, b in zip(scores, scores[1:]) if a == b}
         tied = sorted((p for p, s in self.score.items() if len(p) > 1 and s in equal), key=len)
         self.tied = re.compile("|".join(map(re.escape, tied))).search if tied and not self.unigram else (lambda w: None)
+        self.inside = {pair for p in self.id for pair in zip(p, p[1:])}  # characters that some piece has side by side
         self.halves: dict = {}  # piece -> (left, right) of its last merge; None: one character; False: not a fixed point
         self.fits: dict = {}  # (piece, next piece) -> compatible
-        self.tails = {p[i:] for p in self.id for i in range(1, len(p))}  # proper suffixes: a longer piece may end so
-        self.stable: dict = dict.fromkeys(self.id)  # piece -> fixed point of the merges; None: not looked at yet
+        tails = {p[i:] for p in self.id for i in range(1, len(p))}  # a longer piece may end so
+        self.kinds = {t: _TAIL for t in tails}
+        for p in self.id:
+            self.kinds[p] = self.kinds.get(p, 0) | _UNSEEN
 
     def merge(self, word: str) -> tuple[list, tuple | None]:
         """Pieces after all merges, best score first and leftmost among equals; the last merge."""
@@ -116,84 +121,104 @@ class Pieces:
                 before, strict, b = score[b], False, self._halves(b)[0]
 
     def _remember(self, pair: tuple) -> bool:
-        if len(self.fits) > 500_000:
+        if len(self.fits) > 250_000:
             self.fits.clear()
         self.fits[pair] = good = self._fit(*pair)
         return good
 
     def segment(self, words: list) -> list[list]:
-        """Pieces of each of the sorted ``words``."""
-        out, last, start, total = [], "", [0], [0.0]
-        extend = self._best_starts if self.unigram else self._live_starts
+        """Pieces of each of the sorted ``words``. ``ends[i]`` is the last piece of the first
+        i characters; it is kept for the characters shared with the word before."""
+        out, before, ends, total = [], "", [""], [0.0]
+        extend = self._best_ends if self.unigram else self._live_ends
         for w in words:
             if self.tied(w):
                 out.append(self.merge(w)[0])
                 continue
-            shared = len(commonprefix((last, w)))
-            del start[shared + 1:], total[shared + 1:]
-            extend(w, start, total)
-            last, cuts, i = w, [], len(w)
+            shared = 0
+            for x, y in zip(before, w):
+                if x != y:
+                    break
+                shared += 1
+            del ends[shared + 1:], total[shared + 1:]
+            extend(w, ends, total)
+            before, parts, i = w, [], len(w)
             while i > 0:
-                j = start[i]
-                cuts.append(w[j:i])
-                i = j
-            out.append(cuts[::-1])
+                piece = ends[i]
+                parts.append(piece)
+                i -= len(piece)
+            parts.reverse()
+            out.append(parts)
         return out
 
-    def _live_starts(self, w: str, start: list, _total: list) -> None:
+    def _live_ends(self, w: str, ends: list, _total: list) -> None:
         """Extend the forward table over the rest of ``w``: the one live last piece of each prefix."""
-        tails, stable, fits = self.tails, self.stable, self.fits
-        for i in range(len(start), len(w) + 1):
+        kinds, fits = self.kinds, self.fits
+        for i in range(len(ends), len(w) + 1):
             j, found = i - 1, []
             while True:  # pieces that end here, the shortest first
                 piece = w[j:i]
-                fixed = stable.get(piece, False)
-                if fixed is None:
-                    fixed = stable[piece] = self._halves(piece) is not False
-                if fixed:
+                kind = kinds.get(piece)
+                if kind is None:
+                    break
+                if kind & _UNSEEN:
+                    kind = kinds[piece] = (kind & _TAIL) | (_STABLE if self._halves(piece) is not False else 0)
+                if kind & _STABLE:
                     found.append((j, piece))
-                if j == 0 or piece not in tails:
+                if j == 0 or kind < _TAIL:
                     break
                 j -= 1
-            for j, piece in reversed(found):
-                if j == 0:
-                    break
-                pair = (w[start[j]:j], piece)
-                good = fits.get(pair)
-                if good or (good is None and self._remember(pair)):
-                    break
-            else:
-                j = i - 1  # a character that is in no piece
-            start.append(j)
-
-    def _best_starts(self, w: str, start: list, total: list) -> None:
+            live = w[i - 1]  # also a character that is in no piece
+            while found:
+                j, piece = found.pop()
+                if j:
+                    pair = (ends[j], piece)
+                    good = fits.get(pair)
+                    if not (self._remember(pair) if good is None else good):
+                        continue
+                live = piece
+                break
+            ends.append(live)
+
+    def _best_ends(self, w: str, ends: list, total: list) -> None:
         """Extend the forward table over the rest of ``w``: the best last piece of each prefix."""
-        for i in range(len(start), len(w) + 1):
-            best, at = -np.inf, i - 1
+        for i in range(len(ends), len(w) + 1):
+            best, live = -np.inf, w[i - 1]
             for j in range(max(0, i - self.longest), i):
                 s = self.score.get(w[j:i], self.unknown_score if j == i - 1 else None)
                 if s is not None and total[j] + s > best:
-                    best, at = total[j] + s, j
-            start.append(at)
+                    best, live = total[j] + s, w[j:i]
+            ends.append(live)
             total.append(best)
 
-    def encode(self, words: list) -> list[list]:
-        out = []
-        for parts in self.segment(words):
-            ids: list = []
-            for p in parts:
-                i = self.id.get(p)
-                if i is not None:
-                    ids.append(i)
-                elif self.byte:
-                    ids += [self.byte[x] for x in p.encode()]
-                elif not ids or ids[-1] != self.unk:
-                    ids.append(self.unk)
-            out.append(ids)
-        return out
+    def atoms(self, word: str) -> list[str]:
+        """``word`` cut wherever no piece has the two characters side by side."""
+        inside = self.inside
+        cuts = [i for i, pair in enumerate(zip(word, word[1:]), 1) if pair not in inside]
+        return [word[i:j] for i, j in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
+
+    def encode(self, words: list) -> list[bytes]:
+        """Ids of each word as 32-bit integers. Its atoms are segmented apart, each distinct
+        atom once."""
+        split = [self.atoms(w) for w in words]
+        distinct = sorted({a for parts in split for a in parts})
+        ids = {a: array("i", self._ids(parts)).tobytes() for a, parts in zip(distinct, self.segment(distinct))}
+        return [b"".join([ids[a] for a in parts]) for parts in split]
+
+    def _ids(self, parts: list) -> list:
+        ids: list = []
+        for p in parts:
+            i = self.id.get(p)
+            if i is not None:
+                ids.append(i)
+            elif self.byte:
+                ids += [self.byte[x] for x in p.encode()]
+            else:
+                ids.append(self.unk)
+        return ids
 
     def decode(self, ids: list) -> str:
-        raw = b"".join([self.surface[i] for i in ids])
+        raw = b"".join(map(self.surface.__getitem__, ids))
         text = raw.decode("utf-8", errors="replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
@@ -206,7 +231,7 @@ def _pieces(model: bytes) -> tuple[Pieces, WordIds]:
     if model not in _LOADED:
         _LOADED.clear()
         pieces = Pieces(model)
-        _LOADED[model] = pieces, WordIds(pieces.encode, "<i4")
+        _LOADED[model] = pieces, WordIds(pieces.encode)
     return _LOADED[model]
 
 
@@ -254,7 +279,9 @@ def decode(encoded: DataFrame, model: bytes, id_col: str = "doc_id", ids_col: st
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
-                texts = [pieces.decode(x.values.to_pylist()) if x.is_valid else None for x in part.column(1)]
+                listed = part.column(1)
+                values, ends, gaps = listed.values.to_numpy(zero_copy_only=False), listed.offsets.to_numpy(), listed.is_valid()
+                texts = [pieces.decode(values[i:j].tolist()) if ok.as_py() else None for i, j, ok in zip(ends, ends[1:], gaps)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     narrow = encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))

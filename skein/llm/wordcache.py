@@ -1,35 +1,41 @@
 """Token ids of texts by way of their distinct words.
 
 A text's ids are the ids of its words in a row, so each task encodes a word the first time
-it meets it and afterwards joins stored byte strings. The store is emptied when it passes
-its bounds, which costs time and never changes ids.
+it meets it and afterwards joins stored byte strings. The store holds two generations:
+when the young one passes its bounds the old one is dropped, and a word met again moves to
+the young one. Forgetting costs time and never changes ids.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-import numpy as np
-
-MAX_WORDS = 300_000
+MAX_WORDS = 200_000
 MAX_CHARS = 16 << 20
 
 
 class WordIds:
-    """``encode(words)`` returns the id lists of new words; ids are kept as ``dtype`` bytes."""
+    """``encode(words)`` returns the ids of each of the sorted new words as bytes. A
+    generation holds about ``most`` words."""
 
-    def __init__(self, encode: Callable[[list], Iterable], dtype: str):
-        self.encode, self.dtype, self.known, self.chars = encode, np.dtype(dtype), {}, 0
+    def __init__(self, encode: Callable[[list], Iterable[bytes]], most: int = MAX_WORDS):
+        self.encode, self.most, self.known, self.old, self.chars = encode, most, {}, {}, 0
 
     def learn(self, words: set) -> None:
-        if len(self.known) > MAX_WORDS or self.chars > MAX_CHARS:
-            self.known.clear()
-            self.chars = 0
-        new = sorted(w for w in words if w not in self.known)
-        for w, ids in zip(new, self.encode(new)):
-            self.known[w] = np.array(ids, dtype=self.dtype).tobytes()
-        self.chars += sum(map(len, new))
+        """Make ``ids`` ready for texts made of ``words``."""
+        if len(self.known) > self.most or self.chars > MAX_CHARS:
+            self.old, self.known, self.chars = self.known, {}, 0
+        known, old, new = self.known, self.old, []
+        for w in words:
+            if w not in known:
+                ids = old.get(w)
+                if ids is None:
+                    new.append(w)
+                else:
+                    known[w] = ids
+                self.chars += len(w)
+        new.sort()
+        known.update(zip(new, self.encode(new)))
 
     def ids(self, words: list) -> bytes:
-        known = self.known
-        return b"".join([known[w] for w in words])
+        return b"".join(map(self.known.__getitem__, words))
