@@ -32,11 +32,14 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the smallest id (of
-    repeated ids, one row; rows without any id in their group stay one per group)."""
-    found = simhash.near_duplicates(docs, shingle=3, radius=2)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"])).drop("_id").dropDuplicates(["doc_id"])
+    """One document of each near-duplicate group stays: the one with the smallest id (rows
+    without an id come last, equal ids are ordered by a hash of their text, and of rows equal
+    in both one stays)."""
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), F.xxhash64("text").alias("h"))
+    keyed = docs.withColumn("_key", key)
+    found = simhash.near_duplicates(keyed, id_col="_key", shingle=3, radius=2)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(kept, "_key").dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

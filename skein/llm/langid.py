@@ -222,7 +222,7 @@ def label_texts(model: Model, texts: list, penalty: float, weight: float) -> lis
     """(language, score, spans) of each text; a span is (first word, words, language)."""
     words, runs, ends = _distinct(texts)
     if not model.languages or not words:
-        return [(UND, 0.0, [])] * len(texts) if not model.languages else [(UND, 0.0, []) for _ in texts]
+        return [(UND, 0.0, [])] * len(texts)
     s, lens, known = _scores(model, words, weight)
     has = runs >= 0
     counts = np.add.reduceat(np.r_[has, False].astype(np.int64), np.minimum(ends[:-1], len(runs))) * (ends[1:] > ends[:-1])

@@ -68,8 +68,11 @@ def anchors(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.n
             have += step
         n = len(part) - k + 1
         chosen = np.flatnonzero((inner[:n] == low) | (inner[k - s:k - s + n] == low))
+        h = np.zeros(len(chosen), dtype=np.uint64)
+        for o in [*range(0, k - s, s), k - s]:  # inner s-mers that cover the k-mer
+            h = _mixed((h + inner[chosen + o]) * np.uint64(_MULT))
         at.append(chosen + lo)
-        hashes.append(_rolled(part, k)[chosen])
+        hashes.append(h)
     return np.concatenate(at), np.concatenate(hashes)
 
 

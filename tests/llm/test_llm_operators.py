@@ -154,7 +154,7 @@ def test_pieces_match_the_library(model, unigram):
     for t in texts:
         words = own.words(own.normalize(t)) if t else []
         ids = dict(zip(sorted(set(words)), own.encode(sorted(set(words)))))
-        got = [i for w in words for i in ids[w]]
+        got = np.frombuffer(b"".join(ids[w] for w in words), dtype="<i4").tolist()
         if unigram:  # paths of equal score may differ: compare scores
             cost = lambda x: sum(sp.get_score(i) if not sp.is_byte(i) else 0 for i in x)
             assert cost(got) == pytest.approx(cost(sp.encode(t)), rel=1e-6) and sp.decode(got) == sp.decode(sp.encode(t))
@@ -213,6 +213,20 @@ def test_token_files(docs, spark, tmp_path):
     assert token_files.read(spark, none).count() == 0 and token_files.lookup(docs, none).count() == 0
 
 
+def test_token_words_match_the_library():
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    raw = open(P.path("word_bpe_49k.json"), "rb").read()
+    tok, own = Tokenizer.from_str(raw.decode()), token_files._Words(raw, "<u2")
+    rnd = random.Random(3)
+    odd = ["don't", "DON'T.", "we'll...", "3.14", "v2.", "É.", "e\u0301.", "e\u0301", "İstanbul", "ΣΑΣ", "\u212a", "ﬁn", "한국어", "\u1112\u1161\u11ab", "<|endoftext|>", "<|ENDOFTEXT|>", "x<|startoftext|>Y.", "...", "a.b", "x\u0130.", "\x1c", "A\u00a0B", "\x85", "$$$", "'s", "ſ", "aá."]
+    words = odd + ["".join(rnd.choice("abcXYZé0.,;:'!-<|ñ") for _ in range(rnd.randrange(1, 12))) for _ in range(4000)]
+    listed = sorted({w.encode() for w in words})
+    got = [np.frombuffer(x, dtype="<u2").tolist() for x in own.encode(listed)]
+    assert got == [e.ids for e in tok.encode_batch([w.decode() for w in listed], add_special_tokens=False)]
+
+
 # --- 3 licences
 
 def brute_license(text, threshold=0.8):

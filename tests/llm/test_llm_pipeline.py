@@ -18,6 +18,7 @@ def make(spark):
         rows.append((i, f"{text}\nshared footer line {i // 200}", lang, f"s{i % 14}"))
     rows += [(200 + i, rows[5][1], "en", f"s{i % 3}") for i in range(30)]
     rows += [(300, None, None, None), (301, "", "en", "s1"), (302, "1 2 3", "en", "s1"), (303, rows[7][1], None, None), (303, rows[7][1], None, None), (None, rows[9][1], "en", "s2")]
+    rows += [(None, " ".join(rnd.choice(WORDS["de"]) for _ in range(40)), "de", "s3") for _ in range(3)]
     return rows, spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
 
 
@@ -32,15 +33,17 @@ def test_stages(spark):
     assert [r["doc_id"] for r in lines.where("text LIKE '%footer%'").collect()] == [0]
     assert lines.where("n_chars <> length(text)").count() == 0
     single = corpus_pipeline.near_duplicates(spark, lines, "").cache()
-    ids = [r["doc_id"] for r in single.select("doc_id").collect()]
-    assert single.columns == COLUMNS and len(ids) == len(set(ids)) and not any(i and i >= 200 for i in ids)
+    listed = [r["doc_id"] for r in single.select("doc_id").collect()]
+    ids = [i for i in listed if i is not None]
+    assert single.columns == COLUMNS and len(ids) == len(set(ids)) and not any(i >= 200 for i in ids)
+    assert len(listed) - len(ids) == 3  # texts without an id are groups of their own
     assert set(range(160)) - {0} <= set(ids) | {0}
     mixed = corpus_pipeline.mix(spark, single, "").cache()
-    assert mixed.columns == COLUMNS and max(r["count"] for r in mixed.groupBy("doc_id").count().collect()) <= 2
+    assert mixed.columns == COLUMNS and max(r["count"] for r in mixed.groupBy("doc_id", "text").count().collect()) <= 2
     out = corpus_pipeline.token_ids(spark, mixed, "")
     assert out.count() == mixed.count()
-    texts = {r["doc_id"]: r["text"] for r in mixed.collect()}
-    assert all(texts[r["doc_id"]] == r["text"] for r in out.collect())
+    pairs = sorted((str(r["doc_id"]), r["text"]) for r in mixed.collect())
+    assert pairs == sorted((str(r["doc_id"]), r["text"]) for r in out.collect())
 
 
 def test_stages_on_an_empty_table(spark):
