@@ -28,6 +28,7 @@ their number; an empty table gives empty shards and index. Other columns are ign
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.llm import mph
-from skein.llm.wordcache import WordIds
+from skein.llm.wordcache import MAX_WORDS, WordIds
 
 BLOCK_IDS = 1 << 20
 BUCKET_KEYS = 2048
@@ -46,16 +47,70 @@ DEPTH = 2 << 20  # characters encoded before their words are looked up
 _SHARD = "part int, block int, doc_ids array<bigint>, ends array<bigint>, payload binary"
 
 
-def _encoder(model: bytes):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_str(model.decode())
-
-    def encode(words: list) -> list:
-        return [e.ids for e in tok.encode_batch([w.decode() for w in words], add_special_tokens=False)]
-
-    return encode
+class _Words:
+    """Ids of white-space-free words by the ``tokenizers`` library.
+
+    A word is cut where the library cuts anyway: before closing punctuation that follows an
+    ASCII letter or digit; ASCII capitals are folded as the library folds them. Words of
+    letters only are one unit to the library, so they are encoded many in one text, and the
+    units' last tokens (those with the end-of-word suffix) tell them apart."""
+
+    def __init__(self, model: bytes, width: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tok, self.width = Tokenizer.from_str(model.decode()), np.dtype(width)
+        spec = json.loads(model)
+        suffix = spec["model"].get("end_of_word_suffix")
+        kinds = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        self.plain = bool(suffix) and kinds == ["NFC", "Replace", "Lowercase"]
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.units = WordIds(self._encode_units)
+        self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.last[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
+
+    def _atoms(self, word: bytes) -> tuple:
+        if not self.plain or b"<|" in word:  # may be a special token: to the library as it is
+            return (word,)
+        word = word.lower()
+        core = word.rstrip(b".,;:!?")
+        if core and len(core) < len(word) and core[-1:].isalnum():
+            return core, word[len(core):]
+        return (word,)
+
+    def encode(self, words: list) -> list[bytes]:
+        split = [self._atoms(w) for w in words]
+        self.units.learn({a for parts in split for a in parts})
+        ids = self.units.known
+        return [ids[p[0]] if len(p) == 1 else ids[p[0]] + ids[p[1]] for p in split]
+
+    def _encode_units(self, units: list) -> list[bytes]:
+        texts = [u.decode() for u in units]
+        simple = [i for i, t in enumerate(texts) if t.isalpha()] if self.plain else []
+        out: list = [None] * len(units)
+        for lo in range(0, len(simple), 512):
+            part = simple[lo:lo + 512]
+            got = np.array(self.tok.encode(" ".join([texts[i] for i in part]), add_special_tokens=False).ids, dtype=self.width)
+            ends = ((np.flatnonzero(self.last[got]) + 1) * self.width.itemsize).tolist()
+            if len(ends) == len(part):
+                raw = got.tobytes()
+                for i, a, b in zip(part, [0, *ends], ends):
+                    out[i] = raw[a:b]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, e in zip(rest, self.tok.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
+            out[i] = np.array(e.ids, dtype=self.width).tobytes()
+        return out
+
+
+_LOADED: dict = {}
+
+
+def _store(model: bytes, width: str) -> WordIds:
+    """The tokenizer and the words met so far, once per Python worker."""
+    if (model, width) not in _LOADED:
+        _LOADED.clear()
+        _LOADED[model, width] = WordIds(_Words(model, width).encode, 2 * MAX_WORDS)
+    return _LOADED[model, width]
 
 
 def _slices(batches, bound: int = DEPTH):
@@ -89,7 +144,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
     def encode(batches):
         from pyspark import TaskContext
 
-        store, part, block = WordIds(_encoder(model.value), width), TaskContext.get().partitionId(), 0
+        store, part, block = _store(model.value, width), TaskContext.get().partitionId(), 0
         keys, ends, payload, n = [], [], [], 0
         step = np.dtype(width).itemsize
 
@@ -176,8 +231,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 part, block, keys, ends, payload = (b.column(c)[i] for c in range(5))
                 ends = np.array(ends.as_py(), dtype=np.int64)
                 lens = np.diff(ends, prepend=0)
-                ids = np.frombuffer(payload.as_buffer(), dtype=width)
-                crcs = [zlib.crc32(ids[e - n:e].astype("<u4").tobytes()) for e, n in zip(ends, lens)]
+                ids = memoryview(np.frombuffer(payload.as_buffer(), dtype=width).astype("<u4").tobytes())
+                crcs = [zlib.crc32(ids[4 * (e - n):4 * e]) for e, n in zip(ends.tolist(), lens.tolist())]
                 cols = [keys.values, pa.array([part.as_py()] * len(lens), pa.int32()), pa.array([block.as_py()] * len(lens), pa.int32()), pa.array(ends - lens), pa.array(lens), pa.array(crcs, pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in _READ.split(", ")])
 
@@ -196,16 +251,15 @@ def lookup(keys: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     def probe(batches):
         for b in batches:
             for i in range(b.num_rows):
-                keys = np.array(b.column(0)[i].as_py(), dtype=np.int64)
+                keys, *cols = (b.column(c)[i].values.to_numpy() for c in (0, 2, 3, 4, 5, 6, 7))
                 at = mph.slots(b.column(1)[i].as_py(), keys)
-                cols = [np.array(b.column(c)[i].as_py(), dtype=np.int64) for c in range(2, 8)]
                 hit = (at >= 0) & (cols[0][np.maximum(at, 0)] == mph.fingerprint(keys))
                 yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), *[pa.array(c[at[hit]]) for c in cols[1:]]], names=["doc_id", "part", "block", "offset", "n_docs", "n_ids"])
 
     asked = keys.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     index = spark.read.parquet(f"{path}/index")
-    slice_of = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(64))  # many more keys than the index holds split over rows
-    packed = asked.groupBy(_bucket(buckets), slice_of.alias("s")).agg(F.collect_list("doc_id").alias("doc_ids"))
+    share = max(1, -(-asked.count() // (buckets * BUCKET_KEYS)))  # many more keys than the index holds: several rows a bucket
+    packed = asked.groupBy(_bucket(buckets), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(share)).alias("s")).agg(F.collect_list("doc_id").alias("doc_ids"))
     return packed.join(index, "bucket").select("doc_ids", *[c.split()[0] for c in _INDEX.split(", ")][1:]).mapInArrow(probe, "doc_id bigint, part bigint, block bigint, offset bigint, n_docs bigint, n_ids bigint")
 
 
