@@ -12,7 +12,9 @@ HyperLogLog sketches merge map-side and by shuffle; a line whose estimate is wit
 
 Scale: the text is read twice and moved at most once, when the removals are joined to the
 documents; all counting works on (document, site, line) hashes. Every grouping is a partial
-aggregation, so a line on a third of all rows is one row per task. A document's removals
+aggregation, and joins on a line are dealt by (line, salt), the salt being a hash of the
+document: a line on a third of all rows spreads over ``SALTS`` tasks, each of which makes
+a sketch of its share, and the sketches of a line are then merged. A document's removals
 are bounded by its own lines.
 
 Defined cases: a NULL text stays NULL; a NULL site is no site; a NULL id counts as the
@@ -29,19 +31,33 @@ from pyspark.sql import functions as F
 from skein.llm.common import stored, written
 
 
+SALTS = 32
+
+
+def _salted(rows: DataFrame, few: DataFrame) -> DataFrame:
+    """``rows`` (with ``salt``) joined to the lines of ``few``, which are repeated per salt."""
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    return rows.join(few.withColumn("salt", F.explode(salts)), ["line", "salt"])
+
+
 def _hash(line):
     return F.xxhash64(F.trim(line))
 
 
+def _with_salt(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS).cast("long")))
+
+
 def spread(lines: DataFrame, min_sites: int, band: float = 0.1, lg_k: int = 12) -> DataFrame:
     """(line, keeper) of boilerplate lines; ``lines`` holds doc_id, site and line hashes."""
     bound = lines.groupBy("line").agg(F.count("site").alias("n"), F.min("site").alias("a"), F.max("site").alias("b"), F.min("doc_id").alias("keeper"))
     able = stored(bound.where((F.col("n") >= min_sites) & ((F.col("a") < F.col("b")) | F.lit(min_sites <= 1))).select("line", "keeper"))
-    some = lines.where("site IS NOT NULL").join(able.select("line"), "line").select("line", "site")
-    sketched = some.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"))
-    guess = stored(sketched.select("line", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= min_sites * (1 - band)))
+    some = _salted(_with_salt(lines.where("site IS NOT NULL")), able.select("line")).select("line", "salt", "site")
+    shares = some.groupBy("line", "salt").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"))
+    merged = shares.groupBy("line").agg(F.hll_union_agg("sketch").alias("sketch"))
+    guess = stored(merged.select("line", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= min_sites * (1 - band)))
     near = guess.where(F.col("sites") <= min_sites * (1 + band)).select("line")
-    exact = some.join(near, "line").distinct().groupBy("line").agg(F.count("site").alias("sites")).where(F.col("sites") >= min_sites)
+    exact = _salted(some, near).select("line", "site").distinct().groupBy("line").agg(F.count("site").alias("sites")).where(F.col("sites") >= min_sites)
     found = guess.where(F.col("sites") > min_sites * (1 + band)).select("line").unionAll(exact.select("line"))
     return found.join(able, "line")
 
@@ -52,7 +68,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 10, id_col: str = "doc_
     split = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(site_col).alias("h"), F.col(site_col).isNull().alias("none"), each)
     lines = written(split.where(F.trim("l") != "").select("doc_id", F.when(~F.col("none"), F.col("h")).alias("site"), _hash(F.col("l")).alias("line")), "lines")
     common = spread(lines, min_sites, band)
-    hits = lines.join(common, "line").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    hits = _salted(_with_salt(lines), common).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     bad = hits.groupBy("doc_id").agg(F.collect_set("line").alias("_bad")).withColumnRenamed("doc_id", "_id")
     joined = docs.join(bad, docs[id_col].eqNullSafe(F.col("_id")), "left").drop("_id")
     old = F.split(F.col(text_col), "\n")
