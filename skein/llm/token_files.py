@@ -38,11 +38,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.llm import mph
-from skein.llm.wordcache import MAX_WORDS, WordIds
+from skein.llm.wordcache import WordIds
 
 BLOCK_IDS = 1 << 20
 BUCKET_KEYS = 2048
-DEPTH = 2 << 20  # characters encoded before their words are looked up
+DEPTH = 4 << 20  # bytes of text whose words are looked up together
+WORDS, UNITS = 500_000, 300_000  # remembered per generation in a Python worker: some 100 MB at most
 
 _SHARD = "part int, block int, doc_ids array<bigint>, ends array<bigint>, payload binary"
 
@@ -65,7 +66,7 @@ class _Words:
         kinds = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
         self.plain = bool(suffix) and kinds == ["NFC", "Replace", "Lowercase"]
         vocab = self.tok.get_vocab(with_added_tokens=True)
-        self.units = WordIds(self._encode_units)
+        self.units = WordIds(self._encode_units, UNITS)
         self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.last[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
 
@@ -109,7 +110,7 @@ def _store(model: bytes, width: str) -> WordIds:
     """The tokenizer and the words met so far, once per Python worker."""
     if (model, width) not in _LOADED:
         _LOADED.clear()
-        _LOADED[model, width] = WordIds(_Words(model, width).encode, 2 * MAX_WORDS)
+        _LOADED[model, width] = WordIds(_Words(model, width).encode, WORDS)
     return _LOADED[model, width]
 
 
@@ -152,7 +153,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([keys], pa.list_(pa.int64())), pa.array([ends], pa.list_(pa.int64())), pa.array([b"".join(payload)], pa.binary())], names=["part", "block", "doc_ids", "ends", "payload"])
 
         for docs_in in _slices(batches):
-            store.learn({w for _, words in docs_in for w in words})
+            store.learn(set().union(*(words for _, words in docs_in)))
             for key, words in docs_in:
                 ids = store.ids(words) + end
                 n += len(ids) // step

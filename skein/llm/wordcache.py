@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-MAX_WORDS = 200_000
+MAX_WORDS = 150_000
 MAX_CHARS = 16 << 20
 
 
@@ -26,14 +26,13 @@ class WordIds:
         if len(self.known) > self.most or self.chars > MAX_CHARS:
             self.old, self.known, self.chars = self.known, {}, 0
         known, old, new = self.known, self.old, []
-        for w in words:
-            if w not in known:
-                ids = old.get(w)
-                if ids is None:
-                    new.append(w)
-                else:
-                    known[w] = ids
-                self.chars += len(w)
+        for w in words.difference(known):
+            ids = old.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                known[w] = ids
+            self.chars += len(w)
         new.sort()
         known.update(zip(new, self.encode(new)))
 
