@@ -20,9 +20,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or of which no language has half the letters, go; the
     label column becomes the predicted language."""
     model = langid.train(docs)
-    found = langid.identify(docs.select(F.struct(*docs.columns).alias("doc_id"), F.col("text").alias("_text")), model, text_col="_text")
-    kept = found.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col("doc_id")[c].alias(c) for c in docs.columns])
+    found = langid.label_rows(docs, model)
+    kept = found.where((F.col("_lang_pred") != langid.UND) & (F.col("_lang_score") >= LEAST_SCORE))
+    return kept.select(*[F.col("_lang_pred").alias(c) if c == "lang" else F.col(c) for c in docs.columns])
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = sentencepieces.load(public_tokenizers.path("piece_bpe_32k.model"))
-    return sentencepieces.decode(sentencepieces.encode(docs, model), model)
+    return sentencepieces.round_trip(docs, model)
 
 
 STAGES = [

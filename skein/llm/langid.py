@@ -32,11 +32,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CLASSES = 1 << 16
 ORDERS = (1, 2, 3, 4)
 PER_LANGUAGE = 4000
-SLICE = 4 << 20  # characters scored together
+SLICE = 1 << 20  # bytes of text scored together
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 UND = "und"
 
@@ -256,6 +257,16 @@ def label_texts(model: Model, texts: list, penalty: float, weight: float) -> lis
 _SPANS = "array<struct<first_word:bigint,words:bigint,lang:string>>"
 
 
+def _slices(texts):
+    """Row ranges of about ``SLICE`` bytes of text."""
+    lo, n = 0, 0
+    for i, t in enumerate(texts):
+        n += len(t.as_buffer()) if t.is_valid else 0
+        if n >= SLICE or i == len(texts) - 1:
+            yield lo, i + 1
+            lo, n = i + 1, 0
+
+
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", penalty: float = 8.0, weight: float = 0.25) -> DataFrame:
     """(doc_id, lang_pred, score, spans) of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -263,19 +274,29 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     def run(batches):
         for b in batches:
-            lo, n = 0, 0
-            texts = b.column(1)
-            for i in range(b.num_rows):
-                n += len(texts[i].as_buffer() or b"") if texts[i].is_valid else 0
-                if n >= SLICE or i == b.num_rows - 1:
-                    found = list(zip(*label_texts(shared.value, texts[lo:i + 1].to_pylist(), penalty, weight)))
-                    yield pa.RecordBatch.from_arrays([b.column(0)[lo:i + 1], pa.array(found[0], pa.string()), pa.array(found[1], pa.float64()), pa.array(found[2], kind)], names=["doc_id", "lang_pred", "score", "spans"])
-                    lo, n = i + 1, 0
+            for lo, hi in _slices(b.column(1)):
+                found = list(zip(*label_texts(shared.value, b.column(1)[lo:hi].to_pylist(), penalty, weight)))
+                yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], pa.array(found[0], pa.string()), pa.array(found[1], pa.float64()), pa.array(found[2], kind)], names=["doc_id", "lang_pred", "score", "spans"])
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double, spans {_SPANS}")
 
 
+def label_rows(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = 8.0, weight: float = 0.25) -> DataFrame:
+    """``docs`` with the two columns ``_lang_pred`` and ``_lang_score`` added to every row."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            for lo, hi in _slices(b.column(at)):
+                found = label_texts(shared.value, b.column(at)[lo:hi].to_pylist(), penalty, weight)
+                new = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+                yield pa.RecordBatch.from_arrays([*b.slice(lo, hi - lo).columns, *new], names=[*b.schema.names, "_lang_pred", "_lang_score"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_lang_pred", T.StringType()), T.StructField("_lang_score", T.DoubleType())]))
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows kept from training: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -74,7 +74,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = sentencepieces.load(public_tokenizers.path("piece_bpe_32k.model"))
-    return sentencepieces.decode(sentencepieces.encode(table(spark, sf_dir, "documents"), model), model)
+    return sentencepieces.round_trip(table(spark, sf_dir, "documents"), model)
 
 
 @_query

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from skein.llm.wordcache import WordIds
 
 MARK = "▁"
-SLICE = 2 << 20
+SLICE = 1 << 20  # bytes of text encoded together
 _BYTE, _NORMAL, _USER = 6, 1, 4  # piece types of the model format
 _UNIGRAM = 1
 _STABLE, _UNSEEN, _TAIL = 1, 2, 4  # a fixed point of the merges; a piece not looked at yet; the end of a longer piece
@@ -121,7 +121,7 @@ class Pieces:
                 before, strict, b = score[b], False, self._halves(b)[0]
 
     def _remember(self, pair: tuple) -> bool:
-        if len(self.fits) > 250_000:
+        if len(self.fits) > 150_000:
             self.fits.clear()
         self.fits[pair] = good = self._fit(*pair)
         return good
@@ -240,34 +240,57 @@ def load(path: str) -> bytes:
         return f.read()
 
 
-def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): the token ids of every whole text."""
+def _encoded(texts: list, pieces: Pieces, store: WordIds) -> pa.ListArray:
+    words = [pieces.words(pieces.normalize(t)) if t else [] for t in texts]
+    store.learn(set().union(*words))
+    raw = [store.ids(ws) for ws in words]
+    ends = np.cumsum([0] + [len(r) // 4 for r in raw]).astype(np.int32)
+    values = pa.array(np.frombuffer(b"".join(raw), dtype="<i4"))
+    return pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([t is None for t in texts], pa.bool_()))
+
+
+def _decoded(ids: pa.ListArray, pieces: Pieces) -> pa.Array:
+    values, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+    return pa.array([pieces.decode(values[i:j].tolist()) if ok.as_py() else None for i, j, ok in zip(ends, ends[1:], ids.is_valid())], pa.string())
+
+
+def _slices(texts):
+    lo, n = 0, 0
+    for i, t in enumerate(texts):
+        n += len(t.as_buffer()) if t.is_valid else 0
+        if n >= SLICE or i == len(texts) - 1:
+            yield lo, i + 1
+            lo, n = i + 1, 0
+
+
+def _map(docs: DataFrame, model: bytes, id_col: str, text_col: str, back: bool) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one model file
+    names = ["doc_id", "ids", "text"] if back else ["doc_id", "ids"]
 
     def run(batches):
         pieces, store = _pieces(shared.value)
-
-        def flush(keys, texts):
-            words = [pieces.words(pieces.normalize(t)) if t else [] for t in texts]
-            store.learn({w for ws in words for w in ws})
-            raw = [store.ids(ws) for ws in words]
-            ends = np.cumsum([0] + [len(r) // 4 for r in raw]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(raw), dtype="<i4"))
-            gaps = pa.array([t is None for t in texts], pa.bool_())
-            ids = pa.ListArray.from_arrays(pa.array(ends), values, mask=gaps)
-            return pa.RecordBatch.from_arrays([keys, ids], names=["doc_id", "ids"])
-
         for b in batches:
-            lo, n = 0, 0
-            texts = b.column(1)
-            for i in range(b.num_rows):
-                n += len(texts[i].as_buffer()) if texts[i].is_valid else 0
-                if n >= SLICE or i == b.num_rows - 1:
-                    yield flush(b.column(0)[lo:i + 1], texts[lo:i + 1].to_pylist())
-                    lo, n = i + 1, 0
+            for lo, hi in _slices(b.column(1)):
+                ids = _encoded(b.column(1)[lo:hi].to_pylist(), pieces, store)
+                yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], ids, *([_decoded(ids, pieces)] if back else [])], names=names)
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, ids array<int>" + ", text string" * back)
+
+
+def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids): the token ids of every whole text."""
+    return _map(docs, model, id_col, text_col, False)
+
+
+def _sized(rows: DataFrame) -> DataFrame:
+    return rows.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).alias("n_tokens"), "text")
+
+
+def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, n_tokens, text): ``encode`` and ``decode`` in one pass over the rows, so
+    one Python worker a task holds the model; ``text`` is decoded from the ids."""
+    return _sized(_map(docs, model, id_col, text_col, True))
 
 
 def decode(encoded: DataFrame, model: bytes, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -279,11 +302,8 @@ def decode(encoded: DataFrame, model: bytes, id_col: str = "doc_id", ids_col: st
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
-                listed = part.column(1)
-                values, ends, gaps = listed.values.to_numpy(zero_copy_only=False), listed.offsets.to_numpy(), listed.is_valid()
-                texts = [pieces.decode(values[i:j].tolist()) if ok.as_py() else None for i, j, ok in zip(ends, ends[1:], gaps)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+                yield pa.RecordBatch.from_arrays([*part.columns, _decoded(part.column(1), pieces)], names=["doc_id", "ids", "text"])
 
     narrow = encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
     back = narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, ids array<int>, text string")
-    return back.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).alias("n_tokens"), "text")
+    return _sized(back)

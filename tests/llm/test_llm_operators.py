@@ -171,6 +171,8 @@ def test_sentencepiece_round_trip(docs, model):
     want = Counter((r[0], None if r[1] is None else tuple(sp.encode(r[1])), r[1]) for r in EDGE)
     assert Counter((r["doc_id"], None if r["ids"] is None else tuple(r["ids"]), r["text"]) for r in out) == want
     assert all(r["n_tokens"] == len(r["ids"] or []) for r in out)
+    one_pass = sentencepieces.round_trip(docs, model).collect()
+    assert sorted(map(repr, one_pass)) == sorted(map(repr, out))
     assert sentencepieces.encode(empty(docs), model).count() == 0
 
 
