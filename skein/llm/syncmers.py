@@ -119,18 +119,27 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 _LOWEST = -(2**63)
 
 
-def with_next(docs: DataFrame, id_col: str, text_col: str, ranges: int) -> DataFrame:
+RANGES_A_TASK = 4  # several ranges a task even out what hashing the range numbers gives each
+
+
+def with_next(docs: DataFrame, id_col: str, text_col: str, tasks: int) -> DataFrame:
     """(range, copy, doc_id, text) sorted inside each range; ``copy`` marks the row that
     follows the range's last one (the first row of the next range that has rows, the first
     of all after the last)."""
+    ranges = tasks * RANGES_A_TASK
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     place = F.coalesce("doc_id", F.lit(_LOWEST)).alias("place")
     cuts = rows.select(F.coalesce("doc_id", F.lit(_LOWEST)).cast("double").alias("p")).approxQuantile("p", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
     cuts = sorted({int(c) for c in cuts if abs(c) < 2**62})  # at most ``ranges`` numbers
     part = F.lit(0)
-    if cuts:
-        bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
-        part = F.size(F.filter(bounds, lambda c: c <= F.coalesce("doc_id", F.lit(_LOWEST))))
+    if cuts:  # cuts at or below the id, found in two steps: by blocks of about sqrt(n) cuts, then inside one
+        step = max(1, int(len(cuts) ** 0.5))
+        blocks = F.array(*[F.array(*[F.lit(c).cast("long") for c in cuts[i:i + step]]) for i in range(0, len(cuts), step)])
+        heads = F.array(*[F.lit(c).cast("long") for c in cuts[::step]])
+        at = F.coalesce("doc_id", F.lit(_LOWEST))
+        below = F.size(F.filter(heads, lambda c: c <= at))
+        inside = F.size(F.filter(F.get(blocks, below - 1), lambda c: c <= at))
+        part = F.when(below == 0, F.lit(0)).otherwise((below - 1) * step + inside)
     dealt = rows.withColumn("range", part)
     firsts = dealt.groupBy("range").agg(F.min(place).alias("place")).orderBy("range").collect()  # one row per range
     if not firsts:
@@ -140,7 +149,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, ranges: int) -> DataF
     named = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("place"))
     copies = heads.groupBy(named.alias("range")).agg(F.min(F.struct("place", "text", "doc_id")).alias("h")).select("range", F.lit(True).alias("copy"), "h.doc_id", "h.text")
     both = dealt.select("range", F.lit(False).alias("copy"), "doc_id", "text").unionAll(copies)
-    return both.repartition(ranges, "range").sortWithinPartitions("range", "copy", F.col("doc_id").asc_nulls_first(), "text")
+    return both.repartition(tasks, "range").sortWithinPartitions("range", "copy", F.col("doc_id").asc_nulls_first(), "text")
 
 
 _EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -177,5 +186,5 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=[c.split()[0] for c in _EDITED.split(", ")])
 
-    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return with_next(docs, id_col, text_col, ranges).mapInArrow(run, _EDITED)
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return with_next(docs, id_col, text_col, tasks).mapInArrow(run, _EDITED)
