@@ -85,4 +85,5 @@ def test_fight_stats_job_without_events(spark):
     out = fight_stats(spark.createDataFrame(data, cols))  # no events: synthetic dates (W17)
     got = {(r["fight_url"], r["fighter_url"]): r for r in out.collect()}
     assert len(got) == 4 and got[("m0", "a")]["opp_url"] == "b" and got[("m1", "c")]["opp_url"] == "a"
-    assert got[("m1", "a")]["cum_kd_in"] == 2.0 and got[("m1", "a")]["fight_order"] == 1
+    assert got[("m1", "a")]["cum_kd_in"] == 2.0 and got[("m1", "a")]["avg_kd_current"] == 2.0
+    assert "fight_order" not in out.columns  # a helper of the job, as specified
