@@ -30,8 +30,8 @@ size or session settings:
     all go to one task: only for groups that the caller knows to be bounded.
 
 Both give the same values, bit for bit: running sums of DOUBLE and FLOAT input are summed
-as DECIMAL(38, 12), where the order of additions cannot matter, and returned as DOUBLE
-(NaN counts as missing; a value of 1e26 or more, or infinite, raises). Bounded frames see
+as DECIMAL(38, 18), where the order of additions cannot matter, and returned as DOUBLE
+(NaN counts as missing; a sum of 1e20 or more, or an infinite value, raises). Bounded frames see
 the same rows in the same order either way.
 
 The order must be total (append unique tie-breakers) so results and retried tasks are
@@ -50,7 +50,7 @@ from pyspark.sql import types as T
 from skein.session import cut_lineage
 
 DEFAULT = "chunked"
-_EXACT = T.DecimalType(38, 12)
+_EXACT = T.DecimalType(38, 18)
 _CUMULATIVE = ("sum", "count", "min", "max", "last", "next")
 _FRAMED = ("frame_sum", "frame_count", "frame_avg", "frame_min", "frame_max", "lag")
 
