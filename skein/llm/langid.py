@@ -12,9 +12,11 @@ A document whose words never favour other languages by more than one change cost
 its best single language: that is the Viterbi optimum, proved by the largest subsequence
 sum, so only mixed documents run the step-by-step recursion, many documents abreast.
 
-Training reads at most about ``per_language`` labelled documents of each language (chosen
-by a hash of the text); everything else covers all rows and whole texts. The model is a
-table of 2^16 n-gram classes by languages, the one thing that is broadcast.
+Training reads at most about ``per_language`` distinct labelled texts of each language
+(chosen by a hash of the text, each text once however often it is copied); a language with
+fewer distinct texts is learnt from all of them. Everything else covers all rows and whole
+texts. The model is a table of 2^16 n-gram classes by languages, the one thing that is
+broadcast.
 
 Defined cases: NULL text or a text without letters is ``und`` with score 0 and no spans; a
 text whose letters all are of unknown scripts gets the language most frequent in training
@@ -120,12 +122,13 @@ def _distinct(texts: list):
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
     """Fit on rows with a label; rows with a NULL label or text are left out."""
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    keyed = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
+    sizes = {r["lang"]: r["n"] for r in keyed.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
         return Model()
     share = F.element_at(F.create_map(*[F.lit(x) for lang in languages for x in (lang, int(min(1.0, per_language / sizes[lang]) * 2**31))]), F.col("lang"))
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(2**31)) < share)
+    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(2**31)) < share).select("text", "lang").distinct()
 
     def count(batches):
         grams = np.zeros((len(languages), CLASSES), dtype=np.int64)

@@ -290,6 +290,22 @@ def test_language_id_labels_spans(spark, lid, docs):
     assert [r[0] for r in unlearnt] == ["und"]
 
 
+def test_language_of_few_texts_copied_often_is_learnt(spark):
+    # one text copied 20,000 times: by row counts a share of 1/5 is drawn, and the hash of
+    # this text lies above; of 50 texts copied 400 times some would be missed
+    rnd = random.Random(5)
+    once = next(t for t in (speech("cc", 30, rnd) for _ in range(99)) if xxhash.xxh64_intdigest(t.encode(), 42) % 2**31 > 2**30)
+    rows = [(speech(lang, 30, rnd), lang, 1) for lang in ("aa", "bb") for _ in range(100)]
+    rows += [(once, "cc", 20000)] + [(speech("bb", 30, rnd), "dd", 400) for _ in range(50)]
+    copied = spark.createDataFrame(rows, "text string, lang string, n int").select("text", "lang", F.explode(F.array_repeat(F.lit(1), F.col("n")))).drop("col")
+    model = langid.train(copied)
+    assert model.languages == ["aa", "bb", "cc", "dd"] and model.allowed.any(axis=0).all()
+    single = langid.train(spark.createDataFrame(rows, "text string, lang string, n int"))
+    assert np.array_equal(model.weights, single.weights)  # copies count once
+    got = langid.identify(spark.createDataFrame([(1, once), (2, speech("cc", 9, rnd))], "doc_id long, text string"), model).collect()
+    assert [(r["lang_pred"], r["score"]) for r in got] == [("cc", 1.0)] * 2
+
+
 def test_word_labels_are_the_best_path():
     rnd = np.random.default_rng(4)
     for _ in range(60):
