@@ -6,10 +6,13 @@ selecting conserved k-mers", 2021). Whether a k-mer is chosen depends on nothing
 it, so an edit only touches the anchors that overlap it: an edited text's anchors are
 taken from the original's before the edit and computed anew after it.
 
-``anchors`` gives every chosen position and its hash. A fingerprint is the ``sketch``
-smallest distinct anchor hashes, 8 hex digits each, ascending; two fingerprints' likeness
-is the share of common hashes among the smallest of both together (a bottom-k estimate of
-the Jaccard likeness of the anchor sets, exact while the union has at most ``sketch``).
+``anchors`` gives every chosen position and its hash. A fingerprint is all distinct anchor
+hashes of the text, 8 hex digits each, ascending, so it grows with the text; two
+fingerprints' likeness is the Jaccard likeness of these sets, whatever the texts' lengths.
+(With a number for ``sketch`` a fingerprint is only that many smallest hashes and the
+likeness a bottom-k estimate; the query does not do so.) ``fingerprints`` also gives every
+anchor's position and hash in text order, and ``passages`` matches two texts' anchors by
+position: runs of anchors at a constant distance are the passages both texts share.
 
 Defined cases: NULL text is the empty text; the empty text has the empty fingerprint, and
 two empty fingerprints have likeness 1, an empty and another 0; a text shorter than k is
@@ -30,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-K, S, SKETCH = 16, 8, 64
+K, S = 16, 8
+SKETCH = None  # all anchors
 _MULT = 0x9E3779B97F4A7C15
 SLAB = 1 << 18  # code points hashed at a time
 
@@ -76,20 +80,44 @@ def anchors(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.n
     return np.concatenate(at), np.concatenate(hashes)
 
 
-def _smallest(hashes: np.ndarray, sketch: int) -> np.ndarray:
+def _smallest(hashes: np.ndarray, sketch: int | None) -> np.ndarray:
     h = (hashes >> np.uint64(32)).astype(np.uint32)
-    if len(h) > 8 * sketch:  # repeats are rare: a generous selection first, checked below
+    if sketch is not None and len(h) > 8 * sketch:  # repeats are rare: a generous selection first, checked below
         few = np.unique(np.partition(h, 4 * sketch)[: 4 * sketch])
         if len(few) >= sketch:
             return few[:sketch]
     return np.unique(h)[:sketch]
 
 
-def likeness(a: np.ndarray, b: np.ndarray, sketch: int = SKETCH) -> float:
+def likeness(a: np.ndarray, b: np.ndarray, sketch: int | None = SKETCH) -> float:
     if len(a) == 0 or len(b) == 0:
         return float(len(a) == len(b))
+    common = np.intersect1d(a, b, assume_unique=True)
+    if sketch is None:
+        return float(len(common) / (len(a) + len(b) - len(common)))
     union = np.union1d(a, b)[:sketch]
-    return float(len(np.intersect1d(np.intersect1d(a, b), union)) / len(union))
+    return float(len(np.intersect1d(common, union)) / len(union))
+
+
+def passages(at_a: np.ndarray, a: np.ndarray, at_b: np.ndarray, b: np.ndarray, k: int = K) -> list[tuple[int, int, int]]:
+    """(start in a, start in b, code points) of the passages two texts share, by position in
+    a: maximal runs of anchors with equal hashes, neighbours in both texts at the same
+    distance. Arguments are positions and hashes of all anchors in text order. An anchor
+    that stands several times is matched at every place, so a passage repeated r times in a
+    and s times in b gives r * s passages. For texts of k or more code points."""
+    order = np.argsort(b, kind="stable")
+    lo, hi = np.searchsorted(b[order], a, side="left"), np.searchsorted(b[order], a, side="right")
+    n = hi - lo
+    i = np.repeat(np.arange(len(a)), n)
+    j = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - lo, n)]
+    by = np.lexsort((i, j - i))  # neighbours in both texts follow each other
+    i, j = i[by], j[by]
+    shift = np.asarray(at_a)[i] - np.asarray(at_b)[j]
+    new = np.r_[True, (np.diff(i) != 1) | (np.diff(j) != 1) | (np.diff(shift) != 0)][: len(i)]
+    first = np.flatnonzero(new)
+    last = np.r_[first[1:], len(i)][: len(first)] - 1
+    found = zip(np.asarray(at_a)[i[first]], np.asarray(at_b)[j[first]], np.asarray(at_a)[i[last]] + k - np.asarray(at_a)[i[first]])
+    return sorted((int(x), int(y), int(m)) for x, y, m in found)
 
 
 def to_hex(sketched: np.ndarray) -> str:
@@ -100,20 +128,23 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, s: int = S, sketch: int = SKETCH) -> DataFrame:
-    """(id, fingerprint, positions): fingerprint and anchor positions of every whole text."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, s: int = S, sketch: int | None = SKETCH) -> DataFrame:
+    """(id, fingerprint, positions, hashes): fingerprint of every whole text, positions and
+    hashes of all its anchors in text order."""
 
     def run(batches):
         for b in batches:
-            prints, places = [], []
+            prints, places, hashes = [], [], []
             for t in b.column(1):
                 at, h = anchors(_codes(t.as_py() or ""), k, s)
                 prints.append(to_hex(_smallest(h, sketch)))
                 places.append(at)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.string()), pa.array(places, pa.list_(pa.int64()))], names=["doc_id", "fingerprint", "positions"])
+                hashes.append(h.view(np.int64))
+            each = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.string()), pa.array(places, each), pa.array(hashes, each)], names=["doc_id", "fingerprint", "positions", "hashes"])
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, fingerprint string, positions array<long>")
+    return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, fingerprint string, positions array<long>, hashes array<long>")
 
 
 _LOWEST = -(2**63)
@@ -155,7 +186,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, tasks: int) -> DataFr
 _EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, s: int = S, sketch: int = SKETCH) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, s: int = S, sketch: int | None = SKETCH) -> DataFrame:
     """Fingerprints of every text and of its edited text: the last quarter of its code
     points replaced by as many from the start of the next document."""
 

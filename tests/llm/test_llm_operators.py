@@ -427,6 +427,31 @@ def test_edited_fingerprints(docs, spark):
     assert prints[1] == prints[2] and prints[4] == prints[5] == ""
 
 
+def test_long_texts_keep_all_anchors(spark):
+    rnd = random.Random(11)
+    prose = lambda n: "".join(rnd.choice("abcdefghij ") for _ in range(n))
+    shared = prose(300)
+    texts = [prose(30000) + shared + prose(9000), prose(5000) + shared + prose(40000), prose(200)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def whole(t):
+        return set((syncmers.anchors(syncmers._codes(t))[1] >> np.uint64(32)).tolist())
+
+    for r in syncmers.edited_fingerprints(frame).collect():
+        t, nxt = texts[r["doc_id"]], texts[(r["doc_id"] + 1) % 3]
+        q = len(t) // 4
+        a, b, c = whole(t), whole(t[: len(t) - q] + nxt[:q]), whole(nxt)
+        assert r["fingerprint"] == "".join(f"{x:08x}" for x in sorted(a))
+        assert r["near_edited"] == pytest.approx(len(a & b) / len(a | b)) and r["near_next"] == pytest.approx(len(a & c) / len(a | c))
+        assert r["near_next"] > 0 or r["doc_id"] != 0
+    found = {r["doc_id"]: (np.array(r["positions"]), np.array(r["hashes"])) for r in syncmers.fingerprints(frame).collect()}
+    runs = syncmers.passages(*found[0], *found[1])
+    x, y, n = max(runs, key=lambda p: p[2])
+    assert n > 250 and x - y == 25000 and texts[0][x:x + n] == texts[1][y:y + n]
+    assert all(texts[0][x:x + n] == texts[1][y:y + n] for x, y, n in runs)
+    assert syncmers.passages(*found[0], np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)) == []
+
+
 # --- 9 line dedup
 
 def brute_lines(rows, sites):
