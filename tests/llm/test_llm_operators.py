@@ -4,6 +4,7 @@ rows, empty tables and extra columns with clashing names."""
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -257,6 +258,28 @@ def test_license_scan(spark, docs):
     assert licenses.scan(docs, templates={}).where("license IS NOT NULL").count() == 0
 
 
+def test_licenses_inside_lines_and_over_paragraphs(spark):
+    rnd = random.Random(3)
+    prose = lambda n: " ".join(rnd.choice("river under the stone by a lamp of this house and copies without notice".split()) for _ in range(n))
+    apache, mit, bsd = licenses.TEMPLATES["Apache-2.0"][1], licenses.FULL_TEXTS["MIT"][0], licenses.FULL_TEXTS["BSD-2-Clause"][0]
+    apart = lambda t: re.sub(r" (?=http|Unless|[123]\. |THE SOFTWARE IS|THIS SOFTWARE IS|The above)", "\n\n", t)
+    around = lambda t: prose(900) + "\n\n" + t + "\n\n" + prose(900)
+    cases = {
+        "Apache-2.0": [around(apart(apache)), apart(apache), prose(40) + " " + apache + " " + prose(40)],
+        "MIT": [mit, around(apart(mit)), prose(5) + " Released under the MIT License. Copyright 2020 " + prose(30)],
+        "BSD-2-Clause": [bsd, around(apart(bsd)), around(bsd)],
+        "BSD-3-Clause": [around(apart(licenses.FULL_TEXTS["BSD-3-Clause"][0]))],
+        "ISC": [around(apart(licenses.FULL_TEXTS["ISC"][0]))],
+        "GPL-3.0": [prose(9) + " " + licenses.TEMPLATES["GPL-3.0"][1] + " " + prose(20)],
+        "CC-BY-SA-4.0": [prose(20) + " " + licenses.TEMPLATES["CC-BY-SA-4.0"][0] + " " + prose(20)],
+        None: [prose(3000), around(" ".join(mit.split()[:25])), "MIT license " * 500],
+    }
+    rows = [(i, t, name) for i, (name, t) in enumerate((name, t) for name, ts in cases.items() for t in ts)]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id int, text string, want string")).collect()
+    assert [(r["doc_id"], r["license"]) for r in got if r["license"] != r["want"]] == []
+    assert all(r["dice"] >= 0.8 for r in got if r["want"])
+
+
 # --- 5 language ID
 
 VOCAB = {"aa": "the and of with from that which would there".split(), "bb": "der und nicht sich einem werden zwischen über".split(), "cc": "это который было только через между".split()}
