@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import chat, langid, licenses, line_dedup, mixing, sentencepieces, simhash, syncmers, token_files, topk
+from skein.llm import (
+    chat, langid, licenses, line_dedup, mixing, negatives, repair, sentencepieces, simhash, syncmers, token_files, topk, warc,
+)
 from skein.llm.common import shared_path, table
 
 QUERIES: dict = {}
@@ -190,3 +192,61 @@ SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss)
        CAST(formatted_chars AS BIGINT) AS formatted_chars
 FROM s
 """.replace("\\\\", "\\")
+
+
+@_query
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives (chunked framing, segments, revisits) and read back."""
+    path = shared_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    found = warc.read(spark, path).where("complete")
+    return found.select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to_page").cast("long").alias("refers_to"))
+
+
+@_query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 100th vector: for each of its 5 best rows of the same label, the
+    10 best rows of other labels within 30 to 90 hundredths of that score."""
+    vec_id, label = F.col("vec_id"), F.col("label")
+    shifted = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, label=shifted)
+
+
+ORACLE["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id AS vec_id,
+         CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a, v c WHERE a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS nth
+  FROM s WHERE same),
+n AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+  WHERE p.nth <= 5)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+@_query
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations repaired at least cost; one row per conversation of the table."""
+    rows = table(spark, sf_dir, "conversations")
+    report, messages = repair.repair(repair.damaged(rows))
+    found = report.alias("r").join(repair.digests(messages).withColumnRenamed("conv", "c2"), F.col("r.conv").eqNullSafe(F.col("c2")), "left")
+    every = rows.select("conv_id").distinct()
+    whole = every.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return whole.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
