@@ -12,10 +12,11 @@ WARC files (gzip by default) on any file system that Spark writes, and a lost ex
 written again by the commit protocol. Chunk borders are laid so that the letters
 ``WARC/1.`` never stand whole inside a block.
 
-Reading. Spark's text reader splits archives at ``CR LF CR LF WARC/1.``: large files that
-are not compressed are shared among tasks, and a task holds one record at a time. Where a
-foreign block holds those letters, the record is shorter than its ``Content-Length`` says and
-takes up the pieces that follow (within a split; one that ends short is incomplete). Continuation records
+Reading. Spark's text reader splits archives at ``WARC/1.``: large files that are not
+compressed are shared among tasks, and a task holds one record at a time. Where a foreign
+record holds those letters, its piece is shorter than its ``Content-Length`` says and takes up
+the pieces that follow until the length is right (within a split). A record that stays short
+or runs over is reported as not sound, and the pieces after its first are read on their own. Continuation records
 are grouped by their origin's id and ordered by segment number; numbers must run from 1
 without gaps and the lengths must add up to the stated total. Then the HTTP head is cut off
 and the chunked framing decoded.
@@ -50,7 +51,10 @@ SEGMENT = 1 << 20
 CHUNK = 1 << 16
 SALTS = 32
 END = "\r\n\r\n"
-_MARK = END + "WARC/1."
+# The reader's separator. No beginning of it is also its end, so a reader that meets half of it at
+# a buffer's border can't lose a record (with the line breaks in front, Hadoop's does).
+_MARK = "WARC/1."
+_CELL = 1 << 31
 _DATE = "2000-01-01T00:00:00Z"
 _B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -160,16 +164,44 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
 _TEXTS = ("record_id", "record_type", "page_id", "url", "refers_to", "origin", "stated_digest")
 
 
-def _parse(piece: bytes):
-    """(header fields, block as far as it is there, bytes missing)."""
+def _parse(piece: bytes) -> tuple[dict, bytes, int]:
+    """(header fields, block, fit) of a piece after its mark. fit: 0 if the block has the stated
+    length and only line ends follow, -1 if it is short, 1 if there is more."""
     at = piece.find(b"\r\n\r\n")
-    lines = piece[:at].split(b"\r\n") if at >= 0 else []
-    fields = {k.strip().lower(): v.strip().decode("utf-8", "replace") for k, _, v in (x.partition(b":") for x in lines[1:])}
+    if at < 0:
+        return {}, b"", -1
+    fields = {k.strip().lower(): v.strip().decode("utf-8", "replace") for k, _, v in (x.partition(b":") for x in piece[:at].split(b"\r\n")[1:])}
     size = fields.get(b"content-length", "")
-    if at < 0 or not size.isdigit():
-        return fields, b"", None
-    block = piece[at + 4:at + 4 + int(size)]
-    return fields, block, int(size) - len(block)
+    if not size.isdigit():
+        return fields, piece[at + 4:], 1
+    end = at + 4 + int(size)
+    return fields, piece[at + 4:end], -1 if len(piece) < end else 1 if piece[end:].strip(b"\r\n") else 0
+
+
+def _joined(pieces):
+    """(fields, block, sound) of every record in a split's pieces."""
+    held: list[bytes] = []  # the pieces of a record that is still short
+    todo: list[bytes] = []
+    source = iter(pieces)
+    while True:
+        piece = todo.pop() if todo else next(source, None)
+        if piece is not None:
+            fields, block, fit = _parse(_MARK.encode().join([*held, piece]))
+            if fit < 0 and sum(map(len, held)) + len(piece) < _CELL:
+                held.append(piece)
+                continue
+            if fit == 0 or not held:
+                yield fields, block, fit == 0
+                held = []
+                continue
+            todo.append(piece)
+        if not held:
+            return
+        fields, block, _ = _parse(held[0])
+        if fields:
+            yield fields, block, False
+        todo += reversed(held[1:])
+        held = []
 
 
 def dechunked(block: bytes) -> bytes | None:
@@ -228,42 +260,29 @@ def records(spark: SparkSession, path: str, blocks: bool = True, payload: bool =
     lines = spark.read.option("lineSep", _MARK).text(path).select(F.col("value").cast("binary").alias("piece"))
     kind = _fields_type(True, payload)
 
-    def row(fields, block, missing):
+    def row(fields, block, fits):
         get = lambda k: fields.get(k.encode())
         number = lambda k: int(get(k)) if (get(k) or "").isdigit() else None
         stated = get("warc-block-digest")
         values = (get("warc-record-id"), get("warc-type"), get("warc-page-id"), get("warc-target-uri"), get("warc-refers-to"), get("warc-segment-origin-id"),
                   (get("warc-payload-digest") or "").removeprefix("sha1:") or None)
         out = dict(zip(_TEXTS, values), seg=number("warc-segment-number"), total=number("warc-segment-total-length"), bytes=None, digest=None, payload=None)
-        out["sound"] = missing == 0 and (not stated or stated.removeprefix("sha1:") == _base32(hashlib.sha1(block).digest()))
+        out["sound"] = fits and (not stated or stated.removeprefix("sha1:") == _base32(hashlib.sha1(block).digest()))
         if out["seg"] is None and out["record_type"] == "response":
             _decode(out, block)
         out["block"] = block if blocks or out["seg"] is not None else None
         return out
 
     def run(batches):
-        held = None  # a piece that is shorter than its record
-        for b in batches:
-            out, size = [], 0
-            for value in b.column(0):
-                piece = value.as_py()
-                piece = piece if piece.startswith(b"WARC/1.") else b"WARC/1." + piece
-                if held is not None:
-                    joined = held + END.encode() + piece
-                    if _parse(joined)[2] is not None:
-                        piece, held = joined, None
-                fields, block, missing = _parse(piece)
-                if missing:
-                    held = piece
-                elif fields:
-                    out.append(row(fields, block, missing))
-                    size += len(block)
-                if size > 4 << 20:
-                    yield _batch(out, kind)
-                    out, size = [], 0
-            yield _batch(out, kind)
-        if held is not None:
-            yield _batch([row(*_parse(held))], kind)
+        pieces = (value.as_py() for b in batches for value in b.column(0))
+        out, size = [], 0
+        for fields, block, fits in _joined(p for p in pieces if p):  # nothing stands before the first mark
+            out.append(row(fields, block, fits))
+            size += len(block)
+            if size > 4 << 20 or len(out) >= 4096:
+                yield _batch(out, kind)
+                out, size = [], 0
+        yield _batch(out, kind)
 
     return lines.mapInArrow(run, kind)
 

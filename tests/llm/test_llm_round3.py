@@ -138,6 +138,28 @@ def test_warc_reads_foreign_archives(spark):
     assert set(got) == {"good", "mark", "last", "total", "gap", "broken"}
 
 
+def test_warc_pieces_of_damaged_archives():
+    """A short record takes nothing away from those behind it, whatever length it claims."""
+    good = lambda n: record("response", n, b"HTTP/1.1 200 OK\r\n\r\n" + n.encode())
+    for claim in (b"70", b"9" * 30, b"5", b"x"):
+        short = good("short").replace(b"Content-Length: 24", b"Content-Length: " + claim)
+        data = good("a") + short + good("b") + good("c")
+        found = list(warc._joined(p for p in data.split(b"WARC/1.") if p))
+        assert [f[b"warc-record-id"] for f, _, ok in found if ok] == ["<a>", "<b>", "<c>"], claim
+        assert [f[b"warc-record-id"] for f, _, ok in found if not ok] == ["<short>"]
+
+
+def test_warc_record_borders_at_every_buffer_offset(spark):
+    """Many records of all lengths: the text reader's 64 KB borders fall at every place of a
+    record's end."""
+    rows = [(i, f"u{i}", "x" * (i % 211) + ("\r\n\r\n" * (i % 3))) for i in range(9000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    path = shared_path(spark, "test-warc")
+    warc.write(df, path)
+    got = warc.read(spark, path).where("complete").select(F.col("page_id").cast("long"), "payload_bytes")
+    assert sorted(map(tuple, got.collect())) == [(i, len(h)) for i, _, h in rows]
+
+
 # ------------------------------------------------------------------ hard negatives
 
 VEC = "vec_id long, embedding array<float>, label int, anchor int, score double, r string"
