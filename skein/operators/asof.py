@@ -77,14 +77,8 @@ def asof_join(
         F.struct(*[F.col(p).alias(n) for p, n in zip(payload, out_names)]).alias("_ap"),
     )
     unioned = lrows.unionByName(rrows)
-    if direction == "backward":
-        order = [F.col("_at").asc_nulls_last(), F.col("_as").asc()] + [
-            F.col(f"_rt{i}").asc_nulls_last() for i in range(len(tie_t))
-        ]
-    else:
-        order = [F.col("_at").desc_nulls_last(), F.col("_as").asc()] + [
-            F.col(f"_rt{i}").desc_nulls_last() for i in range(len(tie_t))
-        ]
+    back = direction == "forward"
+    order = [R.By("_at", back), R.By("_as"), *[R.By(f"_rt{i}", back) for i in range(len(tie_t))]]
     matched = R.running(unioned, keys, order, [R.cum_last("_m", "_ap")], strategy)
     return matched.where(F.col("_as") == left_side).select(
         "_al.*",

@@ -103,5 +103,5 @@ def natural_join(
 
 def _indexed(df: DataFrame, order: Sequence[str]) -> DataFrame:
     keyed = df.withColumn("_all", F.lit(0))
-    out = R.running(keyed, "_all", [F.col(c).asc_nulls_last() for c in order], [R.row_number("_row")], "chunked")
+    out = R.running(keyed, "_all", order, [R.row_number("_row")], "chunked")
     return out.drop("_all")

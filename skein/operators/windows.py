@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,10 +23,6 @@ def _require(df: DataFrame, cols: Iterable[str], what: str = "DataFrame") -> Non
         raise KeyError(f"Missing required columns in {what}: {missing}")
 
 
-def _order(order: Sequence) -> list[Column]:
-    return [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
-
-
 # ---------------------------------------------------------------- W1-W4 running totals
 
 
@@ -49,10 +45,45 @@ def category_totals(df: DataFrame, column: str, group_col: str, order: Sequence,
     needs no list and has no limit."""
     _require(df, [group_col, column])
     labelled = df.withColumn("category", _label(df, column, clean))
-    out = R.running(labelled, [group_col, "category"], _order(order), [R.row_number("total")], strategy)
+    out = R.running(labelled, [group_col, "category"], order, [R.row_number("total")], strategy)
     return out.withColumn("total", F.col("total").cast("bigint"))
 
 
+def category_maps(df: DataFrame, column: str, group_col: str, order: Sequence, name: str = "totals", clean: bool = True,
+                  block: int = 32, strategy: str | None = None) -> DataFrame:
+    """W1 for labels of any number: every row with a map ``name`` from each label its entity has
+    had so far to its count; a label that has not come yet has no entry (its total is 0).
+
+    Rows are numbered by the running engine and taken in blocks of ``block`` rows. A row's map is
+    the map before its block, to which the block's own rows so far are added: the first
+    is merged from the blocks' counts per label (a label's count at its last block carries over
+    to the blocks up to its next one), the second is a list of at most ``block`` labels. No list
+    of labels reaches the driver, and no row looks further back than its block. Rows without
+    an entity have a NULL map.
+    """
+    _require(df, [group_col, column])
+    label = _label(df, column, clean).alias("_label")
+    rows = R.running(df.select("*", label), group_col, order, [R.row_number("_n")], strategy)
+    rows = rows.withColumn("_block", F.floor((F.col("_n") - 1) / block))
+    counts = rows.where(F.col("_label").isNotNull() & F.col("_n").isNotNull()).groupBy(group_col, "_label", "_block").agg(F.count(F.lit(1)).alias("_c"))
+    last = rows.where(F.col("_n").isNotNull()).groupBy(group_col).agg(F.max("_block").alias("_last"))
+    line = Window.partitionBy(group_col, "_label").orderBy("_block")
+    so_far = counts.select(group_col, "_label", "_block", F.sum("_c").over(line).alias("_c"), F.lead("_block").over(line).alias("_next"))
+    held = so_far.join(last, group_col).withColumn("_until", F.coalesce("_next", "_last"))
+    carried = held.where(F.col("_until") > F.col("_block")).select(
+        group_col, F.explode(F.sequence(F.col("_block") + 1, F.col("_until"))).alias("_block"), F.struct("_label", "_c").alias("_e"))
+    before = carried.groupBy(group_col, "_block").agg(F.map_from_entries(F.collect_list("_e")).alias("_before"))
+    near = Window.partitionBy(group_col, "_block").orderBy("_n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = F.when(F.col("_n").isNotNull(), F.collect_list("_label").over(near))
+    spread = rows.where(F.col("_n").isNotNull()).withColumn("_seen", seen)
+    own = F.map_from_entries(F.transform(F.array_distinct("_seen"), lambda v: F.struct(v, F.size(F.filter("_seen", lambda x: x == v)).cast("bigint"))))
+    none = F.map_from_arrays(F.array().cast(T.ArrayType(label_type := spread.schema["_label"].dataType)), F.array().cast("array<bigint>"))
+    both = F.map_zip_with(own, F.coalesce("_before", none), lambda k, a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+    counted = spread.join(before, [group_col, "_block"], "left").select(*df.columns, both.alias(name))
+    empty = F.lit(None).cast(T.MapType(label_type, T.LongType()))
+    return counted.unionAll(rows.where(F.col("_n").isNull()).select(*df.columns, empty.alias(name)))
+
+
 def _is_string(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.StringType)
 
@@ -120,7 +151,7 @@ def career_totals(
         measures.append(R.cum_sum(name, F.col(c)))
     if row_count_col:
         measures.append(R.row_number(row_count_col))
-    out = R.running(base, group_col, _order(order), measures, strategy)
+    out = R.running(base, group_col, order, measures, strategy)
     if row_count_col:
         out = out.withColumn(row_count_col, F.col(row_count_col).cast("bigint"))
     return out
@@ -138,7 +169,7 @@ def numeric_totals(df, num_col, group_col, order, prefix="total_", **kw) -> Data
 
 def row_count(df, group_col, order, name="row_count", strategy=None) -> DataFrame:
     """1-based running row number."""
-    out = R.running(df, group_col, _order(order), [R.row_number(name)], strategy)
+    out = R.running(df, group_col, order, [R.row_number(name)], strategy)
     return out.withColumn(name, F.col(name).cast("bigint"))
 
 
@@ -190,6 +221,34 @@ def latest_per_entity(
     return base.groupBy(entity_col).agg(pick.alias("_r")).select("_r.*")
 
 
+# The date forms that a column may be written in, most likely first.
+DATE_FORMATS = ("MMMM d, yyyy", "MMM d, yyyy", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy", "d.M.yyyy", "yyyyMMdd")
+
+
+def first_format(df: DataFrame, column: str, order: Sequence[str], formats: Sequence[str] = DATE_FORMATS) -> str | None:
+    """The form of the first value that is there (in ``order``, blanks skipped): the first of
+    ``formats`` that reads it, None if none does. One aggregate with a single row; of the
+    table only the first value reaches the driver."""
+    text = F.trim(F.translate(F.col(column), "\u00a0", " "))
+    kinds = [R.By(o) if isinstance(o, str) else o for o in order]
+    place = F.struct(*[c.alias(f"o{i}_{j}") for i, o in enumerate(kinds) for j, c in enumerate(o.place(df.schema[o.name].dataType))])
+    first = df.where(text != "").agg(F.min_by(text, place).alias("v"))
+    chosen = F.coalesce(*[F.when(_read(F.col("v"), f).isNotNull(), F.lit(f)) for f in formats])
+    return first.select(chosen.alias("f")).first()["f"]
+
+
+def _read(text: Column, fmt: str) -> Column:
+    return F.try_to_timestamp(F.trim(F.translate(text, "\u00a0", " ")), F.lit(fmt))
+
+
+def dates_like_first(df: DataFrame, column: str, order: Sequence[str], name: str | None = None, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """``column`` read by the form of its first value; values of any other form are NULL, as
+    are all of them if the first has no known form. ``name`` (default: the column itself) gets
+    the timestamp; with another name, rows that were not read are those with a text and no date."""
+    fmt = first_format(df, column, order, formats)
+    return df.withColumn(name or column, _read(F.col(column), fmt) if fmt else F.lit(None).cast("timestamp"))
+
+
 # ---------------------------------------------------------------- W6-W10 results stats
 
 
@@ -206,6 +265,7 @@ def results_own_stats(
     rolling: bool = True,
     time_diffs: bool = True,
     strategy: str | None = None,
+    plan: R.Layout | None = None,
 ) -> DataFrame:
     """W6 (after), W7 (incoming), W8/W9 (fixed windows), W10 (day gaps) in one pass."""
     _require(df, [entity_col, result_col, time_col] + ([date_col] if time_diffs and date_col else []))
@@ -222,10 +282,7 @@ def results_own_stats(
         R.cum_sum("_l", loss),
         R.cum_sum("_ts", tm),
         R.cum_count("_tc", tm),
-        R.cum_sum("_wi", win, inclusive=False),
-        R.cum_sum("_li", loss, inclusive=False),
-        R.cum_sum("_tsi", tm, inclusive=False),
-        R.cum_count("_tci", tm, inclusive=False),
+        R.cum_sum_before("_tsi", "_ts", tm),
     ]
     if rolling:
         for w in windows:
@@ -239,7 +296,7 @@ def results_own_stats(
             ]
     if time_diffs and date_col:
         ms += [R.cum_min("_first", date_col), R.lag("_prev", date_col, 1)]
-    out = R.running(base, entity_col, _order(order), ms, strategy)
+    out = R.running(base, entity_col, order, ms, strategy, plan)
     n = F.col("_n").cast("bigint")
     derived = {}
     if after:
@@ -252,14 +309,15 @@ def results_own_stats(
                 "avg_time_seconds_after": S.safe_ratio(F.col("_ts"), F.col("_tc")),
             }
         )
-    if incoming:
+    if incoming:  # what came before is the running total without the row
+        wins_in = F.coalesce(F.col("_w") - win, F.lit(0)).cast("bigint")
         derived.update(
             {
                 "total_fights_in": n - 1,
-                "cumulative_wins_in": F.coalesce(F.col("_wi"), F.lit(0)).cast("bigint"),
-                "cumulative_losses_in": F.coalesce(F.col("_li"), F.lit(0)).cast("bigint"),
-                "win_rate_in": S.safe_ratio(F.coalesce(F.col("_wi"), F.lit(0)), n - 1),
-                "avg_time_seconds_in": S.safe_ratio(F.col("_tsi"), F.col("_tci")),
+                "cumulative_wins_in": wins_in,
+                "cumulative_losses_in": F.coalesce(F.col("_l") - loss, F.lit(0)).cast("bigint"),
+                "win_rate_in": S.safe_ratio(wins_in, n - 1),
+                "avg_time_seconds_in": S.safe_ratio(F.col("_tsi"), F.col("_tc") - tm.isNotNull().cast("bigint")),
             }
         )
     if rolling:
@@ -270,7 +328,7 @@ def results_own_stats(
         derived["time_since_first_fight"] = S.day_diff(F.col(date_col), F.col("_first"))
         derived["time_since_last_fight"] = S.day_diff(F.col(date_col), F.col("_prev"))
     out = out.withColumns(derived)
-    helpers = ["_n", "_w", "_l", "_ts", "_tc", "_wi", "_li", "_tsi", "_tci", "_first", "_prev"]
+    helpers = ["_n", "_w", "_l", "_ts", "_tc", "_tsi", "_first", "_prev"]
     return out.drop(*[h for h in helpers if h in out.columns])
 
 
@@ -279,7 +337,7 @@ def time_differences(
 ) -> DataFrame:
     """W10 alone: days since the entity's first date and since its previous row."""
     ms = [R.cum_min("_first", date_col), R.lag("_prev", date_col, 1)]
-    out = R.running(df, entity_col, _order(order), ms, strategy)
+    out = R.running(df, entity_col, order, ms, strategy)
     return out.withColumns(
         {
             "time_since_first_fight": S.day_diff(F.col(date_col), F.col("_first")),
@@ -316,37 +374,34 @@ def metric_stats(
     incoming sums, means and counts) for every metric, in one Window pass."""
     _require(df, [entity_col, *metrics])
     ms = [R.row_number("_n")]
-    x, total = {}, {}
+    x = {m: F.col(m).cast("double") if isinstance(df.schema[m].dataType, T.BooleanType) else F.col(m) for m in metrics}
+    decimal = {m for m in metrics if isinstance(df.schema[m].dataType, T.DecimalType)}
     for m in metrics:
-        dt = df.schema[m].dataType
-        x[m] = F.col(m).cast("double") if isinstance(dt, T.BooleanType) else F.col(m)
-        floating = isinstance(dt, (T.BooleanType, T.DoubleType, T.FloatType))
-        total[m] = R.exact(x[m]) if floating else x[m]  # exact, so earlier = current - own
-        ms.append(R.cum_sum(f"_cur_{m}", total[m]))
+        ms += [R.cum_sum(f"_cur_{m}", x[m]), R.cum_sum_before(f"_in_{m}", f"_cur_{m}", x[m])]
         for w in windows:
-            ms += [R.rows_sum(f"rolling_{w}_{m}_in", x[m], -w, -1), R.rows_avg(f"rolling_{w}_avg_{m}_in", x[m], -w, -1)]
+            mean = R.rows_avg if m in decimal else R.rows_count  # else the mean is sum over count
+            ms += [R.rows_sum(f"rolling_{w}_{m}_in", x[m], -w, -1), mean(f"rolling_{w}_avg_{m}_in", x[m], -w, -1)]
     for w in windows:
         ms.append(R.rows_count(f"rolling_{w}_fights_in", F.lit(1), -w, -1))
-    out = R.running(df, entity_col, _order(order), ms, strategy)
+    out = R.running(df, entity_col, order, ms, strategy)
     k = F.col("_n").cast("bigint") - 1
     derived = {}
     if order_col:
         derived[order_col] = k
     for m in metrics:
-        number = "double" if not isinstance(df.schema[m].dataType, (T.IntegralType, T.DecimalType)) else None
-        own, so_far = F.coalesce(total[m], F.lit(0)), F.coalesce(F.col(f"_cur_{m}"), F.lit(0))
         cur = F.when(F.col(m).isNotNull(), F.col(f"_cur_{m}"))
-        cin = so_far - own
-        if number:
-            cur, cin = cur.cast(number), cin.cast(number)
+        before = F.col(f"_in_{m}")
         derived[f"cum_{m}_current"] = cur
         derived[f"avg_{m}_current"] = cur / (k + 1)
-        derived[f"cum_{m}_in"] = cin
-        derived[f"avg_{m}_in"] = F.when(k > 0, cin / k)
+        derived[f"cum_{m}_in"] = before
+        derived[f"avg_{m}_in"] = F.when(k > 0, before / k)
+        for w in windows:
+            if m not in decimal:
+                derived[f"rolling_{w}_avg_{m}_in"] = F.col(f"rolling_{w}_{m}_in") / F.nullif(F.col(f"rolling_{w}_avg_{m}_in"), F.lit(0))
     for w in windows:
         derived[f"rolling_{w}_fights_in"] = F.col(f"rolling_{w}_fights_in").cast("bigint")
     out = out.withColumns(derived)
-    return out.drop("_n", *[f"_cur_{m}" for m in metrics])
+    return out.drop("_n", *[f"_{s}_{m}" for m in metrics for s in ("cur", "in")])
 
 
 # ---------------------------------------------------------------- W17
@@ -355,10 +410,9 @@ def metric_stats(
 def synthetic_dates(df: DataFrame, order: Sequence, name: str = "event_date", start: str = "1970-01-01") -> DataFrame:
     """``start + (row index)`` days over a given total order (no event table).
 
-    The row index is a global order: a range-partitioned sort plus per-partition offsets
-    (``zipWithIndex`` semantics) — computed by the running engine with a constant key
-    split into ranges, so no single task sees all rows.
+    The row index is a global order: the running engine with a constant key, which it cuts
+    into chunks like any hot key, so no single task sees all rows.
     """
     keyed = df.withColumn("_all", F.lit(0))
-    out = R.running(keyed, "_all", _order(order), [R.row_number("_i")], "chunked")
+    out = R.running(keyed, "_all", order, [R.row_number("_i")], "chunked")
     return out.withColumn(name, F.date_add(F.to_date(F.lit(start)), (F.col("_i") - 1).cast("int"))).drop("_all", "_i")

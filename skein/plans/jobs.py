@@ -12,9 +12,11 @@ from skein.functions import scalars as S
 from skein.operators import aggregate as A
 from skein.operators import joins as J
 from skein.operators import opponent as O
+from skein.operators import running as R
 from skein.operators import windows as W
 from skein.operators.cleaners import CLEANERS, schema_of
 from skein.operators.reshape import validate_columns, wide_to_long
+from skein.session import stored_table
 from skein.sources import io
 
 # The career table's category and numeric running totals.
@@ -63,16 +65,18 @@ def career_table(
 
 def results_stats(
     results: DataFrame, events: DataFrame | None = None, fighters: DataFrame | None = None,
-    windows: Sequence[int] = (3, 5), on: str = "asof", strategy: str | None = None,
+    windows: Sequence[int] = (3, 5), on: str = "asof", strategy: str | None = None, materialize: bool = True,
 ) -> DataFrame:
     """V1 -> J1 -> P1 -> W6-W10 -> W11 -> W12 -> J3."""
     validate_columns(results, RESULTS_REQUIRED, "results")
     df = J.merge_events(results, events) if events is not None else results
     long = wide_to_long(df)
     order = ["event_date", "fight_url", "fighter_url"]
-    own = W.results_own_stats(long, "fighter_url", order, windows=windows, strategy=strategy)
-    opp = O.opponent_records(own, on=on, strategy=strategy)
-    out = O.opponent_totals(opp, "fighter_url", order, strategy=strategy)
+    # both passes by participant take one layout: the same rows, key and order
+    plan = R.layout(long, "fighter_url", order)[0] if strategy != "window" else None
+    own = W.results_own_stats(long, "fighter_url", order, windows=windows, strategy=strategy, plan=plan)
+    opp = O.opponent_records(own, on=on, strategy=strategy, materialize=materialize)
+    out = O.opponent_totals(opp, "fighter_url", order, strategy=strategy, plan=plan)
     return J.merge_entities(out, fighters) if fighters is not None else out
 
 
@@ -96,10 +100,28 @@ def fight_stats(
     metrics = W.metric_columns(fights, exclude=keys)
     order = ["event_date", "fight_url", "fighter"]
     # the opponent mapping only needs (match, participant): attach it while rows are narrow.
-    # one row per participant of a match: bounded by the match, so one window is enough.
-    fights = O.opponent_by_reversal(fights, "fight_url", "fighter", order=["fighter"], strategy="window")
+    fights = O.opponent_by_reversal(fights, "fight_url", "fighter", order=["fighter"], strategy=strategy)
+    if materialize:  # the statistics ask for row counts and magnitudes before they read the rows
+        fights = stored_table(fights, "fights")
     stats = W.metric_stats(fights, "fighter", order, metrics, windows, strategy=strategy)
-    # the lookup reads the statistics three times: written once, read back pruned to what each side needs
     stats = O.opponent_metrics(stats, metrics, entity_col="fighter", on=on, strategy=strategy, materialize=materialize)
     stats = stats.drop("fight_order").withColumnRenamed("fighter", "fighter_url")
     return J.merge_entities(stats, fighters) if fighters is not None else stats
+
+
+def run_transform(
+    spark: SparkSession, paths: Mapping[str, Mapping[str, str]], years: Sequence[int] | None = None,
+    tables: Sequence[str] = ("results", "rounds"), on: str = "asof",
+) -> dict:
+    """S4 -> G3 and G4 -> S7: the clean layer's tables in, the transformed ``results`` and
+    ``rounds`` (one row per match and participant) out, by event year. Statistics always run
+    over all years, since every row depends on the ones before; ``years`` limits what is
+    written, and years that are not written keep their files."""
+    clean = io.load_layer(spark, paths, "clean")
+    made = {
+        "results": lambda: results_stats(clean["results"], clean["events"], clean["fighters"], on=on),
+        "rounds": lambda: fight_stats(clean["rounds"], clean["results"], clean["events"], clean["fighters"], on=on),
+    }
+    for name in tables:
+        io.write_years(made[name](), paths["transformed"][name], "event_date", years)
+    return {name: paths["transformed"][name] for name in tables}

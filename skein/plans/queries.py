@@ -16,6 +16,7 @@ from skein.operators import joins as J
 from skein.operators import running as RN
 from skein.operators import windows as W
 from skein.plans.testdata import MATCHES_SQL, long, matches, table
+from skein.session import stored_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -438,7 +439,7 @@ FROM r a LEFT JOIN r b ON a.fight_url = b.fight_url AND b.rn = a.cnt + 1 - a.rn
 def opponent_swap(spark, d):
     """Opponent by reversing each match's participant list."""
     lg = long(spark, d).select("fight_url", "fighter_url")
-    return OP.opponent_by_reversal(lg, "fight_url", "fighter_url", order=["fighter_url"], strategy="window")
+    return OP.opponent_by_reversal(lg, "fight_url", "fighter_url", order=["fighter_url"])
 
 
 # ---------------------------------------------------------------- A1 / A2 and W13-W16 (rounds)
@@ -528,7 +529,7 @@ def _metric_cum_sql():
 
 
 def _metric_stats(spark, d, strategy=None):
-    return W.metric_stats(_fights(spark, d), "fighter", ["event_date", "fight_url", "fighter"], _FIGHT_METRICS, strategy=strategy)
+    return W.metric_stats(stored_table(_fights(spark, d), "fights"), "fighter", ["event_date", "fight_url", "fighter"], _FIGHT_METRICS, strategy=strategy)
 
 
 @query("metric_cumulative", _metric_cum_sql())
@@ -614,7 +615,7 @@ FROM bk JOIN fw USING (fight_url, fighter) JOIN l USING (fight_url, fighter)
 def opponent_metrics(spark, d):
     """J8 + W16: opponent per-metric cumulative stats via as-of lookups."""
     fights = _fights(spark, d)
-    fights = OP.opponent_by_reversal(fights, "fight_url", "fighter", order=["fighter"], strategy="window")
+    fights = stored_table(OP.opponent_by_reversal(fights, "fight_url", "fighter", order=["fighter"]), "fights")
     st = W.metric_stats(fights, "fighter", ["event_date", "fight_url", "fighter"], _FIGHT_METRICS)
     out = OP.opponent_metrics(st, _FIGHT_METRICS, entity_col="fighter", materialize=True)
     names = [f"opp_cum_{m}_in" for m in _FIGHT_METRICS] + [f"opp_avg_{m}_in" for m in _FIGHT_METRICS]
@@ -929,24 +930,24 @@ def _scratch_path(spark, tag):
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
-@query("json_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("json_roundtrip", "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders")
 def json_roundtrip(spark, d):
     """S5 + S1: write JSON Lines to the shared folder, read back with an explicit schema."""
     from skein.sources import io
 
     path = _scratch_path(spark, "json")
-    io.write_json(table(spark, d, "nation"), path)
-    return io.read_json(spark, path, "n_nationkey int, n_name string, n_regionkey int", multiline=False)
+    io.write_json(table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), path)
+    return io.read_json(spark, path, "o_orderkey bigint, o_orderstatus string, o_orderpriority string", multiline=False)
 
 
-@query("parquet_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("parquet_roundtrip", "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders")
 def parquet_roundtrip(spark, d):
     """S6/S7 + S3: write Parquet (partitioned) to the shared folder and read back."""
     from skein.sources import io
 
     path = _scratch_path(spark, "parquet")
-    io.write_parquet(table(spark, d, "nation"), path, partition_by=["n_regionkey"])
-    return io.read_parquet(spark, path, ["n_nationkey", "n_name", "n_regionkey"])
+    io.write_parquet(table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), path, partition_by=["o_orderstatus"])
+    return io.read_parquet(spark, path, ["o_orderkey", "o_orderstatus", "o_orderpriority"])
 
 
 @query("sorted_output", f"""
@@ -1646,7 +1647,10 @@ def results_stats_full(spark, d, strategy=None):
     cr = CL.clean_results(RD.raw_results(spark, d))
     ce = CL.clean_events(RD.raw_events(spark, d)).select("event_url", "date")
     cf = CL.clean_fighters(RD.raw_fighters(spark, d))
-    out = PL.results_stats(cr, ce, cf, strategy=strategy)
+    return results_columns(PL.results_stats(cr, ce, cf, strategy=strategy))
+
+
+def results_columns(out):
     cols = [r4(c).alias(c) if c in _G3_DOUBLES else F.col(c).cast("bigint").alias(c) for c in _G3_OUT]
     return out.select("fight_url", "fighter_url", "opp_url", "role", "result", _day("event_date").alias("event_date"), *cols,
                       "full_name", r4("height_cm").alias("height_cm"))

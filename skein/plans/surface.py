@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from skein.functions import scalars as S
 from skein.operators import cleaners as CL
 from skein.operators import joins as J
+from skein.operators import opponent as OP
 from skein.operators import profile as PR
 from skein.operators import reshape as RS
+from skein.operators import running as R
 from skein.operators import windows as W
 from skein.plans import jobs
 from skein.plans import queries as Q
@@ -212,13 +214,13 @@ def suffix_join(spark, d):
 
 @query("positional_concat", """
 WITH c AS (SELECT c_custkey, row_number() OVER (ORDER BY c_name, c_custkey) AS n FROM customer),
-o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders WHERE o_orderstatus = 'P')
+o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders)
 SELECT c_custkey, o_orderkey FROM c FULL JOIN o ON c.n = o.n
 """)
 def positional_concat(spark, d):
     """J7 without common columns, U2: two tables side by side, each in its own order."""
     c = table(spark, d, "customer").select("c_custkey", "c_name")
-    o = table(spark, d, "orders").where("o_orderstatus = 'P'").select("o_orderkey", (-F.unix_micros(F.col("o_orderdate").cast("timestamp"))).alias("a"), (-F.col("o_orderkey")).alias("b"))
+    o = table(spark, d, "orders").select("o_orderkey", (-F.unix_micros(F.col("o_orderdate").cast("timestamp"))).alias("a"), (-F.col("o_orderkey")).alias("b"))
     return J.natural_join(c, o, order_a=["c_name", "c_custkey"], order_b=["a", "b"]).select("c_custkey", "o_orderkey")
 
 
@@ -263,3 +265,109 @@ def bonus_totals(spark, d):
     ct = Q.career_table(spark, d).withColumn("date", F.to_timestamp("date"))
     out = W.latest_per_entity(ct, "fighter_url", "date", ties=["fight_url"])
     return out.select("fighter_url", "total_title_fight", "total_perf_bonus", "total_fight_of_the_night")
+
+
+# ---------------------------------------------------------------- W1 with many labels
+
+
+@query("category_maps", """
+WITH r AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) AS n FROM lineitem),
+c AS (SELECT a.l_suppkey, a.n, b.l_partkey AS part, count(*) AS total FROM r a JOIN r b ON a.l_suppkey = b.l_suppkey AND b.n <= a.n GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, l_partkey, n, CAST(count(*) AS INTEGER) AS labels,
+  string_agg(part || ':' || total, ',' ORDER BY part) AS totals
+FROM r JOIN c USING (l_suppkey, n) GROUP BY ALL
+""")
+def category_maps(spark, d):
+    """W1 for thousands of labels: per line item, how often each part has come from its supplier
+    so far."""
+    li = table(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
+    out = W.category_maps(W.row_count(li, "l_suppkey", order, "n"), "l_partkey", "l_suppkey", order)
+    entries = F.array_sort(F.map_entries("totals"))
+    listed = F.array_join(F.transform(entries, lambda e: F.concat(e["key"].cast("string"), F.lit(":"), e["value"].cast("string"))), ",")
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "n", F.size("totals").alias("labels"), listed.alias("totals"))
+
+
+# ---------------------------------------------------------------- C10: form of the first value
+
+_MIXED_SQL = """
+x AS (SELECT o_orderkey, o_orderdate, CASE WHEN o_orderkey % 7 = 1 THEN '' WHEN o_orderkey % 3 = 2 THEN strftime(o_orderdate, '%Y-%m-%d')
+        WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%-m/%-d/%Y') ELSE strftime(o_orderdate, '%B %-d, %Y') END AS text FROM orders),
+f AS (SELECT CASE WHEN text LIKE '____-__-__' THEN 'iso' WHEN text LIKE '%/%' THEN 'slash' ELSE 'words' END AS form FROM x WHERE text <> '' ORDER BY o_orderkey LIMIT 1),
+p AS (SELECT o_orderkey, text, CASE WHEN text <> '' AND CASE WHEN text LIKE '____-__-__' THEN 'iso' WHEN text LIKE '%/%' THEN 'slash' ELSE 'words' END = (SELECT form FROM f)
+        THEN strftime(o_orderdate, '%Y-%m-%d') END AS day FROM x)
+"""
+
+
+def _mixed_dates(spark, d):
+    k, t = F.col("o_orderkey"), F.col("o_orderdate")
+    text = (F.when(k % 7 == 1, "").when(k % 3 == 2, F.date_format(t, "yyyy-MM-dd")).when(k % 3 == 0, F.date_format(t, "M/d/yyyy"))
+            .otherwise(F.date_format(t, "MMMM d, yyyy")))
+    mixed = table(spark, d, "orders").select("o_orderkey", text.alias("text"))
+    return W.dates_like_first(mixed, "text", ["o_orderkey"], "read").select("o_orderkey", "text", F.date_format("read", "yyyy-MM-dd").alias("day"))
+
+
+@query("first_format_dates", f"WITH {_MIXED_SQL} SELECT * FROM p")
+def first_format_dates(spark, d):
+    """A text column of mixed date forms, read by the form of its first value."""
+    return _mixed_dates(spark, d)
+
+
+@query("first_format_unread", f"WITH {_MIXED_SQL} SELECT o_orderkey, text FROM p WHERE text <> '' AND day IS NULL")
+def first_format_unread(spark, d):
+    """The rows whose dates have another form than the first."""
+    return _mixed_dates(spark, d).where("text <> '' AND day IS NULL").select("o_orderkey", "text")
+
+
+# ---------------------------------------------------------------- J8 with a hot match
+
+
+@query("opponent_hot_match", """
+WITH r AS (SELECT o_orderstatus, o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) AS rn,
+             count(*) OVER (PARTITION BY o_orderstatus) AS cnt FROM orders)
+SELECT a.o_orderstatus, a.o_orderkey, b.o_orderkey AS opp FROM r a JOIN r b ON a.o_orderstatus = b.o_orderstatus AND b.rn = a.cnt + 1 - a.rn
+""")
+def opponent_hot_match(spark, d):
+    """J8 where a match holds half of all rows: the mirror of every order within its status."""
+    o = table(spark, d, "orders").select("o_orderstatus", "o_orderkey", "o_orderdate")
+    return OP.opponent_by_reversal(o, "o_orderstatus", "o_orderkey", ["o_orderdate", "o_orderkey"], "opp").select("o_orderstatus", "o_orderkey", "opp")
+
+
+# ---------------------------------------------------------------- W2: sums of any magnitude
+
+
+@query("exact_totals", """
+SELECT l_orderkey, l_linenumber, l_partkey, CAST(floor(l_quantity) AS DOUBLE) AS large, CAST(sum(floor(l_quantity)) OVER w AS DOUBLE) AS small
+FROM lineitem WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+""")
+def exact_totals(spark, d):
+    """W2 on doubles near 1e30 and near 1e-30 in one running total: every line item adds a large
+    value, a small one and the large one's opposite. What is left after the third is the running
+    sum of the small ones, which ordinary double sums lose."""
+    li = table(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    q, up, down = F.floor("l_quantity").cast("double"), F.lit(2.0**100), F.lit(2.0**-100)
+    rows = li.select("*", F.posexplode(F.array(q * up, q * down, -q * up)).alias("place", "x"))
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "place"]
+    out = W.numeric_totals(rows, "x", "l_suppkey", order)
+    per_line = R.running(out, "l_suppkey", order, [R.lag("with_large", "total_x", 2)]).where("place = 2")
+    return per_line.select("l_orderkey", "l_linenumber", "l_partkey", (F.col("with_large") * down).alias("large"), (F.col("total_x") * up).alias("small"))
+
+
+# ---------------------------------------------------------------- S4 -> G3 -> S7
+
+
+@query("transform_layer", ORACLE["results_stats_full"])
+def transform_layer(spark, d):
+    """The clean layer is written, transformed and written by event year; then one year is
+    spoilt, transformed again and replaced, and the whole layer read back."""
+    paths = io.layer_paths(Q._scratch_path(spark, "layers"))
+    clean = {
+        "results": CL.clean_results(RD.raw_results(spark, d)), "events": CL.clean_events(RD.raw_events(spark, d)).select("event_url", "date"),
+        "fighters": CL.clean_fighters(RD.raw_fighters(spark, d)), "rounds": CL.clean_rounds(RD.raw_rounds(spark, d))}
+    for name, df in clean.items():
+        io.write_parquet(df, paths["clean"][name])
+    path = jobs.run_transform(spark, paths, tables=("results",))["results"]
+    year = F.year("event_date") == 1995
+    io.write_years(io.read_parquet(spark, path).where(year).drop("event_year").withColumn("result", F.lit("spoilt")), path)
+    jobs.run_transform(spark, paths, years=[1995], tables=("results",))
+    return Q.results_columns(io.read_parquet(spark, path))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +61,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     job computes the rows and writes them, later readers read the files."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared checkpoint folder. Lineage ends there as with
+    ``cut_lineage``, and later readers read only the columns they need. The folder's owner
+    clears it; results that are still to be computed may read it."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -39,6 +39,22 @@ def test_window_pass_single_exchange(spark):
     assert "Python" not in plan
 
 
+def test_skew_safe_pass_has_one_exchange_of_full_rows(spark, monkeypatch):
+    """With a hot key: the rows pass one exchange, by (key, chunk); what is joined to them is
+    broadcast by proven size or dealt like them, and no full row is written."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(R, "CHUNK_ROWS", 50)
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("kind", F.lit("all"))
+    ms = [R.row_number("n"), R.cum_sum("s", "value"), R.rows_avg("a", "value", -3, -1), R.lag("p", "ts"), R.cum_last("l", "event_type")]
+    plan = _plan(R.running(ev, "kind", R.order_cols("ts", "event_id"), ms))
+    full = [x for x in plan.splitlines() if "Exchange hashpartitioning(kind" in x and "_rk_chunk" in x]
+    assert len(full) == 1, plan
+    assert plan.count("FileScan parquet") == 1
+    cold = _plan(R.running(ev, "user_id", R.order_cols("ts", "event_id"), ms))
+    assert cold.count("Exchange") == 1
+
+
 def test_no_python_in_career_queries(spark):
     for name in ("career_latest", "stats_after", "opponent_asof", "metric_rolling", "clean_results"):
         plan = _plan(E.queries()[name](spark, SF))
