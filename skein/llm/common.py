@@ -36,6 +36,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(columns, name: str) -> str:
+    """``name``, with underscores appended until no column has it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def word_count(text: Column) -> Column:
     """Number of ``WORD`` runs; 0 for NULL."""
     spaced = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")

@@ -28,6 +28,7 @@ labelled alike; other columns are ignored.
 from __future__ import annotations
 
 import re
+import sys
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -40,7 +41,9 @@ CLASSES = 1 << 16
 ORDERS = (1, 2, 3, 4)
 PER_LANGUAGE = 4000
 SLICE = 1 << 20  # bytes of text scored together
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+# Letters are what Unicode calls so (category L): fractions, circled and Roman numbers are none.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
+_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
 UND = "und"
 
 # First code point of each range and its script; ranges run to the next line.

@@ -13,20 +13,26 @@ distinct (source, size) pairs, joined to the current lambdas. The start is 0; th
 gradient is concave above 0 and convex below, so the steps approach the root from one side.
 
 Rounding: copy c (1 or 2) of a document has the break point c - r - u, u in [0, 1) from a hash
-of its id and text; at cut 0 a document has r copies in expectation. Each source's cut is
-the highest grid value whose copies stay within its target, found from a histogram of the
-break points (at most ``5 * GRID`` rows a source). Documents no longer than the words still
-missing then get a further cut, ``LEVELS`` times in all, so what is missing in the end is
-less than the next document that would fit. Within one size a document with an earlier
-break point always goes first.
+of its id and text; at 0 a document has r copies in expectation. Copies are taken by break
+point while they fit. The first that does not fit ends a round; rows that are equal in id and
+text share a break point, and of such a group as many rows are taken as fit. The next round
+goes on behind it with the copies that are no longer than the words still missing, until
+none is left: no document that was left out would fit. Within one size a document with an
+earlier break point goes first. A histogram of break points (``5 * GRID`` cells a source) says how
+far a round reads; only the rows of those cells are then summed in order, by the
+skew-safe running sums of the library.
 
 Scale: documents are never grouped by source without partial aggregation, the source
 table is joined (broadcast only when Spark knows it to be small), and reruns agree because
-every choice is a function of the row and of sums over all rows.
+every choice is a function of the row and of sums over all rows (the Newton sums are
+decimal, so their order does not matter; of rows equal in id and text those with the least hash
+of all their columns go first).
 
 Defined cases: NULL text has size 0; a NULL source is a source of its own, last in order;
-an empty source (all sizes 0) has target 0; rows equal in id and text get equal copies;
-an empty table gives an empty mix. Other columns are ignored.
+an empty source (all sizes 0) has target 0; of rows equal in id and text some may be taken and
+others not; an empty table gives an empty mix; Newton steps that don't converge raise an error.
+Other columns are passed through; an output whose name the input has gets underscores
+appended.
 """
 
 from __future__ import annotations
@@ -34,12 +40,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.llm.common import stored, word_count, written
+from skein.llm.common import free, stored, word_count, written
+from skein.operators import running as R
 
-GRID = 1024
-LEVELS = 4
+GRID = 1 << 10  # cells of the histogram per copy
+UNIT = 1 << 50  # break points per copy
 TOLERANCE = 1e-7
-MAX_ROUNDS = 60
+MAX_ROUNDS = 200
 
 
 def _ranked(sources: DataFrame) -> DataFrame:
@@ -98,49 +105,104 @@ def balance(docs: DataFrame, source_col: str = "source", text_col: str = "text",
         sigma = 1.0 / (1.0 + F.exp(-F.col("tilt") * _feature(F.col("size"), F.col("mean"))))
         mass = 2.0 * F.col("n") * F.col("size")
         both = hist.join(state.where("tilt IS NOT NULL"), F.col("s").eqNullSafe(F.col("source")))
-        sums = both.groupBy("s").agg(F.sum(mass * sigma).alias("got"), F.sum(mass * _feature(F.col("size"), F.col("mean")) * sigma * (1 - sigma)).alias("slope"))
+        exact = lambda x: F.sum(x.cast("decimal(38,12)")).cast("double")  # noqa: E731 - the order of additions can't matter
+        sums = both.groupBy("s").agg(exact(mass * sigma).alias("got"), exact(mass * _feature(F.col("size"), F.col("mean")) * sigma * (1 - sigma)).alias("slope"))
         state = state.drop("miss").join(sums, F.col("source").eqNullSafe(F.col("s")), "left")
         state = stored(state.select("source", "source_size", "mean", "target", (F.col("tilt") + (F.col("target") - F.col("got")) / F.greatest("slope", F.lit(1e-300))).alias("tilt"), (F.abs(F.col("got") - F.col("target")) / F.col("target")).alias("miss")))
         if (state.agg(F.max("miss")).first()[0] or 0.0) < TOLERANCE:
             break
+    else:
+        raise RuntimeError(f"the dual did not converge in {MAX_ROUNDS} Newton steps")
     return _cuts(docs, state.drop("miss"), source_col, text_col, id_col)
 
 
-def _breaks(size, mean, tilt, id_col: str, text_col: str):
-    """Grid cell at which a document gets its first copy; the second comes ``GRID`` later."""
-    u = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
-    return F.floor((3.0 - _rate(tilt, size, mean) - u) * GRID)
+def _breaks(size, mean, tilt, id_col, text_col):
+    """Break point of a document's first copy, in units of 1 / UNIT from -3; the second comes
+    ``UNIT`` later."""
+    u = F.pmod(F.xxhash64(id_col, text_col, F.lit("copies")), F.lit(UNIT)) / float(UNIT)
+    return F.floor((3.0 - _rate(tilt, size, mean) - u) * UNIT)
+
+
+_CUTS = "array<struct<whole:bigint,longest:double,part:bigint,rows:bigint>>"
 
 
 def _cuts(docs: DataFrame, state: DataFrame, source_col: str, text_col: str, id_col: str) -> DataFrame:
-    """``state`` with ``cuts``: (cut, longest) per level, each for documents up to ``longest``."""
+    """``state`` with ``cuts``, one per round: copies up to break point ``whole`` and no longer than
+    ``longest`` words are taken, and ``rows`` of the equal rows at break point ``part``."""
     state = written(state, "mix-rates")
     s = state.withColumnRenamed("source", "s")
     rows = docs.select(F.col(source_col).alias("source"), F.col(id_col).alias("i"), F.col(text_col).alias("t"), word_count(F.col(text_col)).alias("size")).where("size > 0")
     rows = rows.join(s, F.col("source").eqNullSafe(F.col("s"))).where("target > 0")
-    first = stored(rows.select("source", "size", _breaks(F.col("size"), F.col("mean"), F.col("tilt"), "i", "t").alias("cell")).groupBy("source", "size", "cell").agg(F.sum("size").alias("words")))
-    breaks = first.unionAll(first.select("source", "size", F.col("cell") + GRID, "words"))
-    level = state.select(F.col("source").alias("s"), F.lit(-1).cast("long").alias("cut"), F.col("target").alias("missing"), F.array().cast("array<struct<cut:bigint,longest:double>>").alias("cuts"))
-    for _ in range(LEVELS):
-        open_ = breaks.join(level.drop("cuts"), F.col("source").eqNullSafe(F.col("s"))).where((F.col("cell") > F.col("cut")) & (F.col("size") <= F.col("missing")))
+    point = _breaks(F.col("size"), F.col("mean"), F.col("tilt"), F.col("i"), F.col("t"))
+    one = written(rows.select("source", "size", point.alias("b")).groupBy("source", "b", "size").agg(F.count(F.lit(1)).alias("n")), "mix-points")
+    points = one.unionAll(one.withColumn("b", F.col("b") + UNIT)).withColumn("cell", F.floor(F.col("b") / (UNIT // GRID)))
+    hist = stored(points.groupBy("source", "cell", "size").agg(F.sum(F.col("size") * F.col("n")).alias("words")))
+    none = F.array().cast(_CUTS)
+    level = state.select(F.col("source").alias("s"), F.lit(-1).cast("long").alias("cut"), F.col("target").alias("missing"), none.alias("cuts"))
+    same = F.col("source").eqNullSafe(F.col("s"))
+    by_cell = Window.partitionBy("source").orderBy("cell")
+
+    def upto(open_):
         cells = open_.groupBy("source", "cell").agg(F.sum("words").alias("words"), F.first("missing").alias("missing"))
-        within = cells.withColumn("upto", F.sum("words").over(Window.partitionBy("source").orderBy("cell"))).where(F.col("upto") <= F.col("missing"))
-        best = within.groupBy(F.col("source").alias("c")).agg(F.max("cell").alias("new"), F.max("upto").alias("got"))
-        both = level.join(best, F.col("s").eqNullSafe(F.col("c")), "left")
-        cut = F.coalesce("new", "cut")
-        level = written(both.select("s", cut.alias("cut"), (F.col("missing") - F.coalesce("got", F.lit(0))).alias("missing"), F.concat("cuts", F.array(F.struct(cut.alias("cut"), F.col("missing").alias("longest")))).alias("cuts")), "mix-cuts")
+        return cells.withColumn("upto", F.sum("words").over(by_cell))
+
+    # the first round takes whole cells before it looks at single break points
+    first = upto(hist.join(level.drop("cuts"), same).where(F.col("size") <= F.col("missing"))).where(F.col("upto") <= F.col("missing"))
+    best = first.groupBy(F.col("source").alias("c")).agg(((F.max("cell") + 1) * (UNIT // GRID) - 1).alias("new"), F.max("upto").alias("got"))
+    entry = F.struct(F.col("new").alias("whole"), F.col("missing").alias("longest"), F.lit(-1).cast("long").alias("part"), F.lit(0).cast("long").alias("rows"))
+    level = level.join(best, F.col("s").eqNullSafe(F.col("c")), "left").select(
+        "s", F.coalesce("new", "cut").alias("cut"), (F.col("missing") - F.coalesce("got", F.lit(0))).alias("missing"),
+        F.when(F.col("new").isNotNull(), F.array(entry)).otherwise(none).alias("cuts"))
+    level = written(level, "mix-cuts")
+    while True:
+        here = F.floor(F.col("cut") / (UNIT // GRID))
+        later = upto(hist.join(level.drop("cuts"), same).where((F.col("size") <= F.col("missing")) & (F.col("cell") > here)))
+        far = later.where(F.col("upto") > F.col("missing")).groupBy(F.col("source").alias("c")).agg(F.min("cell").alias("far"))
+        reach = level.join(far, F.col("s").eqNullSafe(F.col("c")), "left").drop("c")
+        fit = points.join(reach.drop("cuts"), same).where(
+            (F.col("b") > F.col("cut")) & (F.col("size") <= F.col("missing")) & (F.col("far").isNull() | (F.col("cell") <= F.col("far"))))
+        groups = stored(fit.groupBy("source", "b", "missing").agg(F.max("size").alias("size"), F.sum("n").alias("n"), F.sum(F.col("size") * F.col("n")).alias("words")))
+        if groups.isEmpty():
+            break
+        summed = R.running(groups.withColumn("key", F.struct(F.col("source").isNull(), "source")), "key", ["b"], [R.cum_sum("upto", "words")])
+        over = F.col("upto") > F.col("missing")
+        found = summed.groupBy(F.col("source").alias("c")).agg(
+            F.max(F.when(~over, F.struct("b", "upto"))).alias("all"), F.min(F.when(over, F.struct("b", "size", (F.col("upto") - F.col("words")).alias("before")))).alias("cut_off"))
+        rest = F.floor((F.col("missing") - F.col("cut_off.before")) / F.col("cut_off.size")).cast("long")
+        whole = F.coalesce(F.col("cut_off.b") - 1, F.col("all.b"))
+        got = F.coalesce(F.col("cut_off.before") + rest * F.col("cut_off.size"), F.col("all.upto"))
+        cut = F.struct(whole.alias("whole"), F.col("missing").alias("longest"), F.coalesce("cut_off.b", F.lit(-1)).cast("long").alias("part"), F.coalesce(rest, F.lit(0)).cast("long").alias("rows"))
+        level = written(level.join(found, F.col("s").eqNullSafe(F.col("c")), "left").select(
+            "s", F.coalesce("cut_off.b", "all.b", "cut").alias("cut"), (F.col("missing") - F.coalesce(got, F.lit(0))).alias("missing"),
+            F.when(F.col("c").isNotNull() | F.col("all").isNotNull() | F.col("cut_off").isNotNull(), F.concat("cuts", F.array(cut))).otherwise(F.col("cuts")).alias("cuts")), "mix-cuts")
     return written(state.join(level.select("s", "cuts"), F.col("source").eqNullSafe(F.col("s"))).drop("s"), "mix")
 
 
 def copies(docs: DataFrame, mix: DataFrame, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with ``mix_size``, ``mix_source_size``, ``mix_target`` and ``mix_copies``
     (0, 1 or 2; a document without words keeps one copy, which takes no words)."""
-    m = mix.select(*[F.col(c).alias(f"mix_{c}") for c in ("source", "source_size", "mean", "target", "tilt", "cuts")])
-    both = docs.withColumn("mix_size", word_count(F.col(text_col))).join(m, F.col(source_col).eqNullSafe(F.col("mix_source")))
-    both = both.withColumn("mix_cell", _breaks(F.col("mix_size"), F.col("mix_mean"), F.col("mix_tilt"), id_col, text_col))
-
-    def has(cell):
-        return F.exists("mix_cuts", lambda c: (cell <= c["cut"]) & (F.col("mix_size") <= c["longest"])).cast("int")
-
-    n = F.when(F.col("mix_size") == 0, 1).otherwise(F.coalesce(has(F.col("mix_cell")) + has(F.col("mix_cell") + GRID), F.lit(0)))
-    return both.withColumn("mix_copies", n).drop("mix_source", "mix_mean", "mix_tilt", "mix_cuts", "mix_cell")
+    m = mix.select(*[F.col(c).alias(f"m_{c}") for c in ("source", "source_size", "mean", "target", "tilt", "cuts")])
+    row = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    source, text, id_ = (F.col("row").getField(c) for c in (source_col, text_col, id_col))
+    both = row.withColumn("size", word_count(text)).join(m, source.eqNullSafe(F.col("m_source")))
+    both = both.withColumn("b", _breaks(F.col("size"), F.col("m_mean"), F.col("m_tilt"), id_, text))
+
+    def has(point, nth):
+        inside = F.exists("m_cuts", lambda c: (point <= c["whole"]) & (F.col("size") <= c["longest"]))
+        part = F.exists("m_cuts", lambda c: (point == c["part"]) & (F.col("size") <= c["longest"]) & (nth <= c["rows"]))
+        return (inside | part).cast("int")
+
+    def counted(rows, nth):
+        n = F.when(F.col("size") == 0, 1).otherwise(F.coalesce(has(F.col("b"), nth) + has(F.col("b") + UNIT, nth), F.lit(0)))
+        outs = {"mix_size": F.col("size"), "mix_source_size": F.col("m_source_size"), "mix_target": F.col("m_target"), "mix_copies": n}
+        return rows.select("row.*", *[c.alias(free(docs.columns, name)) for name, c in outs.items()])
+
+    split = F.exists("cuts", lambda c: c["rows"] > 0)
+    if mix.where(split).isEmpty():
+        return counted(both, F.lit(1))
+    # some of a group of equal rows are taken: these rows, and only these, are numbered
+    at = F.exists("m_cuts", lambda c: (c["rows"] > 0) & ((c["part"] == F.col("b")) | (c["part"] == F.col("b") + UNIT)))
+    simple = [F.col("row").getField(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    several = both.where(at).withColumns({"like": F.xxhash64(*simple), "place": F.monotonically_increasing_id(), "key": F.xxhash64("m_source", "b")})
+    ranked = R.running(several, "key", ["like", "place"], [R.row_number("nth")])
+    return counted(both.where(~at), F.lit(1)).unionAll(counted(ranked, F.col("nth")))

@@ -14,9 +14,9 @@ arrays are bounded by ``QUERY_SLICE`` x the candidate block.
 
 Defined cases: a vector that is NULL or holds a NULL, NaN or infinite component takes no
 part; an empty vector scores 0; vectors of unequal length are compared over the terms both
-have; rows that repeat a vec_id are candidates each, but a (vec_id, score) pair is
-reported once, and no row with the query's own id is its candidate; rows with a NULL id
-take no part; scores beyond a long are clamped to its range. Other columns are ignored.
+have; rows that repeat a vec_id are candidates each, also where they are equal in all; queries
+that are equal in id and vector are one query; no row with the query's own id is its
+candidate; rows with a NULL id take no part; scores beyond a long are clamped to its range. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,11 +41,13 @@ def _whole(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def _blocks(vectors: DataFrame, rows: int, name: str) -> tuple[DataFrame, int]:
-    """(name, ids, vectors): about ``rows`` vectors a row, dealt by a hash of the id and of
-    the vector, so that even rows of one id spread."""
+    """(name, rows): about ``rows`` vectors a row, dealt by a hash of id, vector and the number of
+    the copy, so that rows of one id spread even if they are equal in all."""
     n = max(1, -(-vectors.count() // rows))
-    dealt = F.pmod(F.xxhash64("vec_id", "v"), F.lit(n).cast("long")).alias(name)
-    return vectors.select(dealt, F.struct("vec_id", "v").alias("r")).groupBy(name).agg(F.collect_list("r").alias("r")), n
+    counted = vectors.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("copies"))
+    each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    dealt = F.pmod(F.xxhash64("vec_id", "v", "copy"), F.lit(n).cast("long")).alias(name)
+    return each.select(dealt, F.struct("vec_id", "v").alias("r")).groupBy(name).agg(F.collect_list("r").alias("r")), n
 
 
 def _matrix(rows, scale: float) -> tuple[np.ndarray, np.ndarray]:
@@ -99,32 +101,27 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, id_col: str = "vec
             out = []
             for i in range(b.num_rows):
                 qids, q = _matrix(b.column(0)[i].values, scale)
+                keys = np.arange(len(q)) + (b.column(2)[i].as_py() << 32)  # a query's number: its block and place
                 cids, c = _matrix(b.column(1)[i].values, scale)
                 if q.dtype == object or c.dtype == object or np.abs(q).max(initial=0) * float(np.abs(c).max(initial=0)) * max(c.shape[1], 1) >= 2**62:
                     q, c = q.astype(object), c.astype(object)
-                repeats = len(np.unique(cids)) < len(cids)
                 postings = [(at, c[at, t]) for t in range(c.shape[1]) for at in [np.flatnonzero(c[:, t])]]
                 for lo in range(0, len(q), QUERY_SLICE):
                     scores = _accumulate(q[lo:lo + QUERY_SLICE], postings, len(c))
-                    for qid, s in zip(qids[lo:lo + QUERY_SLICE], scores):
+                    for qid, key, s in zip(qids[lo:lo + QUERY_SLICE], keys[lo:lo + QUERY_SLICE], scores):
                         lo_own, hi_own = np.searchsorted(cids, [qid, qid + 1]) if qid < _LIMIT else (np.searchsorted(cids, qid), len(cids))
                         if hi_own > lo_own:
                             s, ids = np.delete(s, slice(lo_own, hi_own)), np.delete(cids, slice(lo_own, hi_own))
                         else:
                             ids = cids
-                        if repeats and len(ids):  # a (vec_id, score) pair counts once
-                            order = np.argsort(-s, kind="stable")
-                            new = np.r_[True, (ids[order][1:] != ids[order][:-1]) | (s[order][1:] != s[order][:-1])]
-                            at = order[new][:k]
-                        else:
-                            at = _best(s, k)
-                        out += [(qid, ids[j], max(-_LIMIT - 1, min(_LIMIT, int(s[j])))) for j in at]
-            cols = [pa.array([r[j] for r in out], pa.int64()) for j in range(3)]
-            yield pa.RecordBatch.from_arrays(cols, names=["query_id", "vec_id", "score"])
+                        out += [(qid, key, ids[j], max(-_LIMIT - 1, min(_LIMIT, int(s[j])))) for j in _best(s, k)]
+            cols = [pa.array([r[j] for r in out], pa.int64()) for j in range(4)]
+            yield pa.RecordBatch.from_arrays(cols, names=["query_id", "query", "vec_id", "score"])
 
-    asked, n_asked = _blocks(_whole(queries, id_col, vec_col), QUERY_BLOCK, "qb")
+    asked, _ = _blocks(_whole(queries, id_col, vec_col).distinct(), QUERY_BLOCK, "qb")
     pool, n_pool = _blocks(_whole(vectors, id_col, vec_col), CANDIDATE_BLOCK, "cb")
-    sent = asked.select(F.col("r").alias("q"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_pool - 1).cast("long"))).alias("cb"))
-    picked = sent.join(pool.withColumnRenamed("r", "c"), "cb").select("q", "c").mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return picked.distinct().withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    asked = asked.withColumn("r", F.sort_array("r"))  # every task sees a block's queries in one order
+    sent = asked.select(F.col("r").alias("q"), "qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_pool - 1).cast("long"))).alias("cb"))
+    picked = sent.join(pool.withColumnRenamed("r", "c"), "cb").select("q", "c", "qb").mapInArrow(run, "query_id bigint, query bigint, vec_id bigint, score bigint")
+    w = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
+    return picked.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
