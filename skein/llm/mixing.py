@@ -47,6 +47,7 @@ GRID = 1 << 10  # cells of the histogram per copy
 UNIT = 1 << 50  # break points per copy
 TOLERANCE = 1e-7
 MAX_ROUNDS = 200
+SALTS = 32
 
 
 def _ranked(sources: DataFrame) -> DataFrame:
@@ -159,7 +160,9 @@ def _cuts(docs: DataFrame, state: DataFrame, source_col: str, text_col: str, id_
         later = upto(hist.join(level.drop("cuts"), same).where((F.col("size") <= F.col("missing")) & (F.col("cell") > here)))
         far = later.where(F.col("upto") > F.col("missing")).groupBy(F.col("source").alias("c")).agg(F.min("cell").alias("far"))
         reach = level.join(far, F.col("s").eqNullSafe(F.col("c")), "left").drop("c")
-        fit = points.join(reach.drop("cuts"), same).where(
+        # a hot source's points meet the level in SALTS tasks
+        salted = reach.drop("cuts").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        fit = points.join(salted, same & (F.col("salt") == F.pmod(F.col("b"), F.lit(SALTS)).cast("int"))).where(
             (F.col("b") > F.col("cut")) & (F.col("size") <= F.col("missing")) & (F.col("far").isNull() | (F.col("cell") <= F.col("far"))))
         groups = stored(fit.groupBy("source", "b", "missing").agg(F.max("size").alias("size"), F.sum("n").alias("n"), F.sum(F.col("size") * F.col("n")).alias("words")))
         if groups.isEmpty():
