@@ -3,8 +3,9 @@
 A text is normalised by the model (spaces become the mark, one mark in front) and cut into
 marked words. New distinct words are sorted, which lays them out as a trie in depth-first
 order: the forward table of the characters a word shares with the one before it is kept,
-and only the rest is computed. The table holds, for every prefix, where its last piece
-starts:
+and only the rest is computed. Pieces that end at a character come from one step in the
+tree of the vocabulary, whose node is kept beside the table. The table holds the last piece
+of every prefix:
 
 * unigram models: the start that gives the highest sum of piece scores (ties: the longer
   last piece), as in the library;
@@ -19,8 +20,8 @@ Characters outside the vocabulary become byte pieces; a model without byte piece
 unknown id for each (the library gives one for a run of them).
 
 Cutting into words is exact because no piece has a character before a mark; a model that
-has one is encoded text by text. Inside a word the search also starts afresh wherever no
-piece has the two neighbouring characters side by side. Known words are kept per task up to fixed bounds
+has one is encoded text by text. Inside a long word the search also starts afresh wherever
+no piece has the two neighbouring characters side by side. Known words are kept per task up to fixed bounds
 (``wordcache``), texts pass in slices, and no row leaves its partition.
 
 Defined cases: NULL text has NULL ids and decodes to NULL; the empty text has no ids;
@@ -31,6 +32,7 @@ Other columns are ignored; extra ones may be carried by name.
 
 from __future__ import annotations
 
+import gc
 import re
 from array import array
 
@@ -45,7 +47,8 @@ MARK = "▁"
 SLICE = 1 << 20  # bytes of text encoded together
 _BYTE, _NORMAL, _USER = 6, 1, 4  # piece types of the model format
 _UNIGRAM = 1
-_STABLE, _UNSEEN, _TAIL = 1, 2, 4  # a fixed point of the merges; a piece not looked at yet; the end of a longer piece
+LONG = 24  # characters of a word that is cut into atoms
+FITS, MEMOS = 400_000, 500_000  # remembered per Python worker: pairs of pieces; steps between nodes
 
 
 class Pieces:
@@ -63,9 +66,9 @@ class Pieces:
         listed = list(enumerate(spec.pieces))
         self.id = {p.piece: i for i, p in listed if p.type in (_NORMAL, _USER)}
         self.score = {p.piece: p.score for _, p in listed if p.type in (_NORMAL, _USER)}
+        self.piece = [p.piece for _, p in listed]
         self.byte = {int(p.piece[1:-1], 16): i for i, p in listed if p.type == _BYTE}
         self.unk = next((i for i, p in listed if p.type == 2), 0)
-        self.longest = max(map(len, self.id), default=1)
         self.unknown_score = min(self.score.values(), default=0.0) - 10.0
         by_byte = {i: bytes([b]) for b, i in self.byte.items()}
         shown = {i: p.replace(MARK, " ").encode() for p, i in self.id.items()}
@@ -78,12 +81,66 @@ class Pieces:
         tied = sorted((p for p, s in self.score.items() if len(p) > 1 and s in equal), key=len)
         self.tied = re.compile("|".join(map(re.escape, tied))).search if tied and not self.unigram else (lambda w: None)
         self.inside = {pair for p in self.id for pair in zip(p, p[1:])}  # characters that some piece has side by side
-        self.halves: dict = {}  # piece -> (left, right) of its last merge; None: one character; False: not a fixed point
-        self.fits: dict = {}  # (piece, next piece) -> compatible
-        tails = {p[i:] for p in self.id for i in range(1, len(p))}  # a longer piece may end so
-        self.kinds = {t: _TAIL for t in tails}
-        for p in self.id:
-            self.kinds[p] = self.kinds.get(p, 0) | _UNSEEN
+        self.none = len(listed)  # stands for a character that is no piece
+        self.length = [len(p.piece) for _, p in listed] + [1]
+        self.scores = [p.score for _, p in listed] + [self.unknown_score]
+        self.when = [s if n > 1 else np.inf for s, n in zip(self.scores, self.length)]
+        cuts = ((k, p[:i], p[i:]) for p, k in self.id.items() for i in range(1, len(p)))
+        self.joins = {self.id[a] * (self.none + 1) + self.id[b]: self.scores[k] for k, a, b in cuts if a in self.id and b in self.id}
+        self.halves: dict = {}  # id -> ids (left, right) of the piece's last merge; None: one character; False: not a fixed point
+        self.fits: dict = {}  # id * (none + 1) + next id -> compatible
+        self._grow_tree()
+
+    def _grow_tree(self) -> None:
+        """The pieces as a tree of characters with a link from every node to the longest
+        proper end of its string that is in the tree."""
+        self.go, self.fail, self.at, self.memos = [{}], [0], [None], 0
+        for piece, k in self.id.items():
+            node = 0
+            for c in piece:
+                after = self.go[node].get(c)
+                if after is None:
+                    after = self.go[node][c] = len(self.go)
+                    self.go.append({}), self.fail.append(0), self.at.append(None)
+                node = after
+            self.at[node] = k
+        level = list(self.go[0].values())
+        while level:
+            below = []
+            for node in level:
+                for c, after in self.go[node].items():
+                    f = self.fail[node]
+                    while f and c not in self.go[f]:
+                        f = self.fail[f]
+                    self.fail[after] = self.go[f].get(c, 0)
+                    below.append(after)
+            level = below
+        self.out: list = [None] * len(self.go)  # node -> pieces that end there, found when first asked for
+
+    def _step(self, node: int, c: str) -> int:
+        """The node after ``c`` where the tree has none below ``node``."""
+        if c not in self.go[0]:
+            return 0
+        f = node
+        while f and c not in self.go[f]:
+            f = self.fail[f]
+        after = self.go[f].get(c, 0)
+        if self.memos < MEMOS:
+            self.memos += 1
+            self.go[node][c] = after
+        return after
+
+    def _outs(self, node: int) -> tuple:
+        """(id, length) of the pieces that end at ``node``, the longest first; a BPE model
+        wants fixed points of two or more characters."""
+        found, f = [], node
+        while f:
+            k = self.at[f]
+            if k is not None and (self.unigram or (self.length[k] > 1 and self._halves(k) is not False)):
+                found.append((k, self.length[k]))
+            f = self.fail[f]
+        self.out[node] = tuple(found)
+        return self.out[node]
 
     def merge(self, word: str) -> tuple[list, tuple | None]:
         """Pieces after all merges, best score first and leftmost among equals; the last merge."""
@@ -96,125 +153,132 @@ class Pieces:
             last = (parts[i], parts[i + 1])
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
 
-    def _halves(self, piece: str):
-        got = self.halves.get(piece, 0)
+    def _halves(self, k: int):
+        got = self.halves.get(k, 0)
         if got == 0:
-            parts, last = self.merge(piece)
-            got = self.halves[piece] = (last if len(parts) == 1 else False) if len(piece) > 1 else None
+            got = None
+            if self.length[k] > 1:
+                parts, last = self.merge(self.piece[k])
+                got = (self.id[last[0]], self.id[last[1]]) if len(parts) == 1 else False
+            self.halves[k] = got
         return got
 
-    def _fit(self, a: str, b: str) -> bool:
-        """Whether merging ``a + b`` leaves exactly ``a`` and ``b``: going back in time, the
-        later formed of both edges is undone until both are single characters."""
-        score, when = self.score, (lambda p: self.score[p] if len(p) > 1 else np.inf)
+    def _fit(self, a: int, b: int) -> bool:
+        """Whether merging the characters of pieces ``a`` and ``b`` leaves exactly these two:
+        going back in time, the later formed of both edges is undone until both are single
+        characters."""
+        joins, when, base = self.joins, self.when, self.none + 1
         before = -np.inf  # merges across the boundary must come after the step just undone
         strict = True
         while True:
-            joined = score.get(a + b)
+            joined = joins.get(a * base + b)
             if joined is not None and (joined > before or (not strict and joined == before)):
                 return False
-            if len(a) == 1 and len(b) == 1:
-                return True
-            if when(a) < when(b):  # of equal scores the right one merged last
-                before, strict, a = score[a], True, self._halves(a)[1]
+            x, y = when[a], when[b]
+            if x < y:  # of equal scores the right one merged last
+                before, strict, a = x, True, self._halves(a)[1]
+            elif y < np.inf:
+                before, strict, b = y, False, self._halves(b)[0]
             else:
-                before, strict, b = score[b], False, self._halves(b)[0]
+                return True
 
-    def _remember(self, pair: tuple) -> bool:
-        if len(self.fits) > 150_000:
+    def _remember(self, a: int, b: int) -> bool:
+        if len(self.fits) > FITS:
             self.fits.clear()
-        self.fits[pair] = good = self._fit(*pair)
+        self.fits[a * (self.none + 1) + b] = good = self._fit(a, b)
         return good
 
-    def segment(self, words: list) -> list[list]:
-        """Pieces of each of the sorted ``words``. ``ends[i]`` is the last piece of the first
-        i characters; it is kept for the characters shared with the word before."""
-        out, before, ends, total = [], "", [""], [0.0]
+    def segment(self, words: list) -> list[bytes]:
+        """Ids of each of the sorted ``words`` as 32-bit integers. ``ends[i]`` is the last piece of the first i
+        characters and ``path[i]`` the node reached there; both are kept for the characters
+        shared with the word before."""
+        out, before, ends, path, total = [], "", [self.none], [0], [0.0]
         extend = self._best_ends if self.unigram else self._live_ends
+        length, none = self.length, self.none
         for w in words:
             if self.tied(w):
-                out.append(self.merge(w)[0])
+                out.append(array("i", self._ids(self.merge(w)[0])).tobytes())
                 continue
             shared = 0
             for x, y in zip(before, w):
                 if x != y:
                     break
                 shared += 1
-            del ends[shared + 1:], total[shared + 1:]
-            extend(w, ends, total)
-            before, parts, i = w, [], len(w)
+            del ends[shared + 1:], path[shared + 1:], total[shared + 1:]
+            extend(w, ends, path, total)
+            before, ids, i = w, [], len(w)
             while i > 0:
-                piece = ends[i]
-                parts.append(piece)
-                i -= len(piece)
-            parts.reverse()
-            out.append(parts)
+                k = ends[i]
+                if k == none:
+                    ids += self._spelled(w[i - 1])[::-1]
+                else:
+                    ids.append(k)
+                i -= length[k]
+            ids.reverse()
+            out.append(array("i", ids).tobytes())
         return out
 
-    def _live_ends(self, w: str, ends: list, _total: list) -> None:
+    def _live_ends(self, w: str, ends: list, path: list, _total: list) -> None:
         """Extend the forward table over the rest of ``w``: the one live last piece of each prefix."""
-        kinds, fits = self.kinds, self.fits
-        for i in range(len(ends), len(w) + 1):
-            j, found = i - 1, []
-            while True:  # pieces that end here, the shortest first
-                piece = w[j:i]
-                kind = kinds.get(piece)
-                if kind is None:
+        go, out, fits, single, base = self.go, self.out, self.fits, self.id, self.none + 1
+        i = len(ends) - 1
+        node = path[i]
+        for c in w[i:] if i else w:
+            i += 1
+            after = go[node].get(c)
+            node = self._step(node, c) if after is None else after
+            found = out[node]
+            for k, n in self._outs(node) if found is None else found:  # the longest first
+                if n == i:
                     break
-                if kind & _UNSEEN:
-                    kind = kinds[piece] = (kind & _TAIL) | (_STABLE if self._halves(piece) is not False else 0)
-                if kind & _STABLE:
-                    found.append((j, piece))
-                if j == 0 or kind < _TAIL:
+                a = ends[i - n]
+                good = fits.get(a * base + k)
+                if self._remember(a, k) if good is None else good:
                     break
-                j -= 1
-            live = w[i - 1]  # also a character that is in no piece
-            while found:
-                j, piece = found.pop()
-                if j:
-                    pair = (ends[j], piece)
-                    good = fits.get(pair)
-                    if not (self._remember(pair) if good is None else good):
-                        continue
-                live = piece
-                break
-            ends.append(live)
+            else:
+                k = single.get(c, base - 1)
+            ends.append(k)
+            path.append(node)
 
-    def _best_ends(self, w: str, ends: list, total: list) -> None:
+    def _best_ends(self, w: str, ends: list, path: list, total: list) -> None:
         """Extend the forward table over the rest of ``w``: the best last piece of each prefix."""
+        node = path[-1]
         for i in range(len(ends), len(w) + 1):
-            best, live = -np.inf, w[i - 1]
-            for j in range(max(0, i - self.longest), i):
-                s = self.score.get(w[j:i], self.unknown_score if j == i - 1 else None)
-                if s is not None and total[j] + s > best:
-                    best, live = total[j] + s, w[j:i]
+            c = w[i - 1]
+            after = self.go[node].get(c)
+            node = self._step(node, c) if after is None else after
+            found = self.out[node]
+            best, live = (-np.inf, self.none) if c in self.id else (total[i - 1] + self.unknown_score, self.none)
+            for k, n in self._outs(node) if found is None else found:
+                s = total[i - n] + self.scores[k]
+                if s > best or (s == best and live == self.none):
+                    best, live = s, k
             ends.append(live)
+            path.append(node)
             total.append(best)
 
     def atoms(self, word: str) -> list[str]:
         """``word`` cut wherever no piece has the two characters side by side."""
-        inside = self.inside
-        cuts = [i for i, pair in enumerate(zip(word, word[1:]), 1) if pair not in inside]
+        cuts = [i for i, pair in enumerate(zip(word, word[1:]), 1) if pair not in self.inside]
         return [word[i:j] for i, j in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
 
     def encode(self, words: list) -> list[bytes]:
-        """Ids of each word as 32-bit integers. Its atoms are segmented apart, each distinct
-        atom once."""
-        split = [self.atoms(w) for w in words]
-        distinct = sorted({a for parts in split for a in parts})
-        ids = {a: array("i", self._ids(parts)).tobytes() for a, parts in zip(distinct, self.segment(distinct))}
-        return [b"".join([ids[a] for a in parts]) for parts in split]
+        """Ids of each word as 32-bit integers. The atoms of long words are segmented apart,
+        each distinct one once; short words share enough with their neighbours."""
+        long = {w: self.atoms(w) for w in words if len(w) > LONG}
+        distinct = sorted({w for w in words if w not in long}.union(*long.values())) if long else sorted(words)
+        ids = dict(zip(distinct, self.segment(distinct)))
+        return [b"".join([ids[a] for a in long[w]]) if w in long else ids[w] for w in words]
+
+    def _spelled(self, c: str) -> list:
+        """Ids of a character that is no piece."""
+        return [self.byte[x] for x in c.encode()] if self.byte else [self.unk]
 
     def _ids(self, parts: list) -> list:
         ids: list = []
         for p in parts:
-            i = self.id.get(p)
-            if i is not None:
-                ids.append(i)
-            elif self.byte:
-                ids += [self.byte[x] for x in p.encode()]
-            else:
-                ids.append(self.unk)
+            k = self.id.get(p)
+            ids += self._spelled(p) if k is None else [k]
         return ids
 
     def decode(self, ids: list) -> str:
@@ -231,6 +295,7 @@ def _pieces(model: bytes) -> tuple[Pieces, WordIds]:
     if model not in _LOADED:
         _LOADED.clear()
         pieces = Pieces(model)
+        gc.freeze()  # the model's tables stay as long as the worker
         _LOADED[model] = pieces, WordIds(pieces.encode)
     return _LOADED[model]
 
