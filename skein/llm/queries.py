@@ -29,16 +29,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token ids of documents written to files with a minimal perfect hash index and read
-    back; ``index_start`` and ``index_tokens`` are what a keyed access by doc_id finds."""
+    """Token ids of documents written to files and fetched back by doc_id through the
+    minimal perfect hash index; documents without an id have no key and are scanned for."""
     import public_tokenizers
 
     path = shared_path(spark, "token-files")
     docs = table(spark, sf_dir, "documents")
     token_files.write(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
-    back = token_files.read(spark, path)
-    found = token_files.starts(spark, path, token_files.lookup(docs, path))
-    return back.join(found.withColumnRenamed("doc_id", "key"), F.col("doc_id") == F.col("key"), "left").drop("key")
+    return token_files.fetch(docs, path, ids=False).unionByName(token_files.read(spark, path, without_id=True))
 
 
 @_query

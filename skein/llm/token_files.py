@@ -5,7 +5,8 @@ Layout of a dataset folder (every table is Parquet, so any store Spark writes wi
 ``shards``  one row per block: part, block, doc_ids (in order), ``ends`` (ids up to and with
             each document), and ``payload``, the raw little-endian ids of the block's documents end to end
             (unsigned 16-bit if the vocabulary fits, else 32-bit)
-``blocks``  part, block, start (ids before the block in the whole dataset), n_docs, n_ids
+``blocks``  part, block, start (ids before the block in the whole dataset), n_docs, n_ids,
+            first_id, and ``goes_on``: the block before ends with the same document id
 ``index``   one row per key bucket: the bit levels of a minimal perfect hash over the
             bucket's document ids and, by slot, the key's 32-bit fingerprint, part, block,
             offset in the block, and how many documents and ids carry the key
@@ -15,21 +16,24 @@ Documents lie in ascending id order (NULL ids first, equal ids by a hash of thei
 parts being ranges of ids, so a block is a contiguous slice. A key's bucket is its hash
 modulo the bucket count and its slot takes one probe per level: access time does not
 depend on the number of documents. A stranger's key fails the fingerprint (one in 2^32
-passes) and is then compared with the block's stored ids by ``read``.
+passes) and is then compared by ``fetch`` with the id stored at the place found.
 
 Scale: the text is shuffled once, on range bounds that include the text hash, so many rows
 of one id split over parts. A block closes at ``block_ids`` ids; one document never spans
 blocks. Offsets of blocks need one prefix sum over per-part totals, one row per part.
 
 Defined cases: NULL text is an empty document (only the end id); a NULL id is stored but
-not indexed; rows with equal ids are all stored, and the index gives their first place and
-their number; an empty table gives empty shards and index. Other columns are ignored.
+not indexed (``read`` gives it); rows with equal ids are all stored, the index gives their
+first place and their number, and ``fetch`` returns all of them, following ``goes_on``
+into later blocks; an empty table gives empty shards and index. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import gc
 import json
 import os
+import re
 import zlib
 
 import numpy as np
@@ -45,6 +49,8 @@ BUCKET_KEYS = 2048
 DEPTH = 4 << 20  # bytes of text whose words are looked up together
 WORDS, UNITS = 500_000, 300_000  # remembered per generation in a Python worker: some 100 MB at most
 
+_CLOSING = re.compile(rb"(?<=[a-z0-9])[.,;:!?]+(?=\n)").sub  # punctuation that closes a line
+
 _SHARD = "part int, block int, doc_ids array<bigint>, ends array<bigint>, payload binary"
 
 
@@ -70,36 +76,41 @@ class _Words:
         self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.last[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
 
-    def _atoms(self, word: bytes) -> tuple:
-        if not self.plain or b"<|" in word:  # may be a special token: to the library as it is
-            return (word,)
-        word = word.lower()
-        core = word.rstrip(b".,;:!?")
-        if core and len(core) < len(word) and core[-1:].isalnum():
-            return core, word[len(core):]
-        return (word,)
-
     def encode(self, words: list) -> list[bytes]:
-        split = [self._atoms(w) for w in words]
-        self.units.learn({a for parts in split for a in parts})
-        ids = self.units.known
-        return [ids[p[0]] if len(p) == 1 else ids[p[0]] + ids[p[1]] for p in split]
+        if not self.plain:
+            return self._encode_units(words)
+        lines = _CLOSING(rb" \g<0>", b"\n".join(words).lower() + b"\n").split(b"\n")[:-1] if words else []
+        for i, w in enumerate(words) if b"<|" in b"\n".join(words) else ():
+            if b"<|" in w:  # may be a special token: to the library as it is
+                lines[i] = w
+        self.units.learn(set(b"\n".join(lines).replace(b" ", b"\n").split(b"\n")) - {b""})
+        ids, out = self.units.known, []
+        for line in lines:
+            found = ids.get(line)
+            if found is None:
+                core, _, closing = line.partition(b" ")
+                found = ids[core] + ids[closing]
+            out.append(found)
+        return out
 
     def _encode_units(self, units: list) -> list[bytes]:
         texts = [u.decode() for u in units]
         simple = [i for i, t in enumerate(texts) if t.isalpha()] if self.plain else []
         out: list = [None] * len(units)
+        size = self.width.itemsize
         for lo in range(0, len(simple), 512):
             part = simple[lo:lo + 512]
-            got = np.array(self.tok.encode(" ".join([texts[i] for i in part]), add_special_tokens=False).ids, dtype=self.width)
-            ends = ((np.flatnonzero(self.last[got]) + 1) * self.width.itemsize).tolist()
+            got = np.array(self.tok.encode_batch_fast([" ".join([texts[i] for i in part])], add_special_tokens=False)[0].ids, dtype=self.width)
+            ends = ((np.flatnonzero(self.last[got]) + 1) * size).tolist()
             if len(ends) == len(part):
                 raw = got.tobytes()
                 for i, a, b in zip(part, [0, *ends], ends):
                     out[i] = raw[a:b]
         rest = [i for i, x in enumerate(out) if x is None]
-        for i, e in zip(rest, self.tok.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
-            out[i] = np.array(e.ids, dtype=self.width).tobytes()
+        for lo in range(0, len(rest), 4096):
+            part = rest[lo:lo + 4096]
+            for i, e in zip(part, self.tok.encode_batch_fast([texts[i] for i in part], add_special_tokens=False)):
+                out[i] = np.array(e.ids, dtype=self.width).tobytes()
         return out
 
 
@@ -111,6 +122,7 @@ def _store(model: bytes, width: str) -> WordIds:
     if (model, width) not in _LOADED:
         _LOADED.clear()
         _LOADED[model, width] = WordIds(_Words(model, width).encode, WORDS)
+        gc.freeze()  # the vocabulary stays as long as the worker
     return _LOADED[model, width]
 
 
@@ -176,11 +188,15 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
     model.unpersist()
     shards = spark.read.schema(_SHARD).parquet(f"{path}/shards")
 
-    sizes = shards.select("part", "block", F.size("doc_ids").cast("long").alias("n_docs"), F.element_at("ends", -1).alias("n_ids"))
-    totals = sizes.groupBy("part").agg(F.sum("n_ids").alias("part_ids"))
-    before = totals.select("part", (F.sum("part_ids").over(Window.orderBy("part")) - F.col("part_ids")).alias("part_start"))  # one row per part
-    in_part = F.sum("n_ids").over(Window.partitionBy("part").orderBy("block")) - F.col("n_ids")
-    sizes.withColumn("in_part", in_part).join(before, "part").select("part", "block", (F.col("part_start") + F.col("in_part")).alias("start"), "n_docs", "n_ids").write.parquet(f"{path}/blocks")
+    sizes = shards.select("part", "block", F.size("doc_ids").cast("long").alias("n_docs"), F.element_at("ends", -1).alias("n_ids"), F.element_at("doc_ids", 1).alias("first_id"), F.element_at("doc_ids", -1).alias("last_id"))
+    totals = sizes.groupBy("part").agg(F.sum("n_ids").alias("part_ids"), F.max_by("last_id", "block").alias("last_id"))
+    parts_in_order = Window.orderBy("part")  # one row per part
+    before = totals.select("part", (F.sum("part_ids").over(parts_in_order) - F.col("part_ids")).alias("part_start"), F.lag("last_id").over(parts_in_order).alias("id_before"))
+    in_part = Window.partitionBy("part").orderBy("block")
+    placed = sizes.withColumns({"in_part": F.sum("n_ids").over(in_part) - F.col("n_ids"), "nth": F.row_number().over(in_part), "same_part": F.lag("last_id").over(in_part)}).join(before, "part")
+    last = F.when(F.col("nth") == 1, F.col("id_before")).otherwise(F.col("same_part"))
+    goes_on = F.coalesce(F.col("first_id") == last, F.lit(False)).alias("goes_on")
+    placed.select("part", "block", (F.col("part_start") + F.col("in_part")).alias("start"), "n_docs", "n_ids", "first_id", goes_on).write.parquet(f"{path}/blocks")
 
     entries = _places(shards).where(F.col("doc_id").isNotNull())
     keyed = entries.groupBy("doc_id").agg(F.min(F.struct("part", "block", "offset")).alias("at"), F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_ids"))
@@ -221,9 +237,10 @@ def _places(shards: DataFrame) -> DataFrame:
 _READ = "doc_id bigint, part int, block int, offset bigint, n_tokens bigint, ids_crc32 bigint"
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Every stored document from the files: doc_id, start (ids of all documents before
-    it), n_tokens, and the crc32 of its ids as little-endian 32-bit numbers."""
+def read(spark: SparkSession, path: str, without_id: bool = False) -> DataFrame:
+    """Every stored document from the files, or those without an id, which have no key:
+    doc_id, start (ids of all documents before it), n_tokens, and the crc32 of its ids as
+    little-endian 32-bit numbers."""
     width = spark.read.parquet(f"{path}/meta").first()["width"]
 
     def run(batches):
@@ -237,7 +254,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 cols = [keys.values, pa.array([part.as_py()] * len(lens), pa.int32()), pa.array([block.as_py()] * len(lens), pa.int32()), pa.array(ends - lens), pa.array(lens), pa.array(crcs, pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in _READ.split(", ")])
 
-    stored = spark.read.schema(_SHARD).parquet(f"{path}/shards").mapInArrow(run, _READ)
+    shards = spark.read.schema(_SHARD).parquet(f"{path}/shards")
+    stored = (shards.where(F.element_at("doc_ids", 1).isNull()) if without_id else shards).mapInArrow(run, _READ)  # NULL ids come first
+    stored = stored.where("doc_id IS NULL") if without_id else stored
     blocks = spark.read.parquet(f"{path}/blocks").select("part", "block", F.col("start").alias("block_start"))
     # joined after the payload is digested, so only short rows move
     return stored.join(blocks, ["part", "block"]).select("doc_id", (F.col("block_start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
@@ -264,6 +283,62 @@ def lookup(keys: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     return packed.join(index, "bucket").select("doc_ids", *[c.split()[0] for c in _INDEX.split(", ")][1:]).mapInArrow(probe, "doc_id bigint, part bigint, block bigint, offset bigint, n_docs bigint, n_ids bigint")
 
 
+_FETCHED = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+
+
+def fetch(keys: DataFrame, path: str, id_col: str = "doc_id", ids: bool = True) -> DataFrame:
+    """Documents by key: doc_id, start, n_tokens and ids_crc32 as ``read`` gives them, and
+    ``ids`` (array<int>, or bigint where ids have 32 bits) if asked for. Every stored
+    document of a key comes back, keys are taken once each, and keys that the files do not
+    hold give no row.
+
+    Places from the index are gathered by block (at most the block's documents, each of
+    which has an id at least), so a block is opened once for all its keys and other blocks
+    are not decoded."""
+    spark = keys.sparkSession
+    width = spark.read.parquet(f"{path}/meta").first()["width"]
+    item, kind = (pa.int32(), "int") if width == "<u2" else (pa.int64(), "bigint")
+    schema = _FETCHED + f", ids array<{kind}>" * ids
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                start, asked, ends = b.column(0)[i].as_py(), b.column(1)[i].values, b.column(3)[i].values.to_numpy()
+                stored = b.column(2)[i].values
+                blank, held = stored.null_count, stored.drop_null().to_numpy()
+                lens = np.diff(ends, prepend=0)
+                begins = ends - lens
+                want, offset = asked.field(0).to_numpy(), asked.field(1).to_numpy()
+                at = np.minimum(np.searchsorted(begins, offset), len(ends) - 1)
+                own = np.maximum(at - blank, 0)  # place among the documents with an id
+                hit = (begins[at] == offset) & (at >= blank)
+                if len(held):
+                    hit &= held[np.minimum(own, len(held) - 1)] == want
+                at, want = at[hit], want[hit]
+                n = np.searchsorted(held, want, side="right") + blank - at
+                docs = np.repeat(at - np.cumsum(n) + n, n) + np.arange(n.sum())
+                raw = np.frombuffer(b.column(4)[i].as_buffer(), dtype=width)
+                wide = memoryview(raw.astype("<u4").tobytes())
+                crcs = [zlib.crc32(wide[4 * s:4 * e]) for s, e in zip(begins[docs].tolist(), ends[docs].tolist())]
+                cols = [pa.array(np.repeat(want, n)), pa.array(start + begins[docs]), pa.array(lens[docs]), pa.array(crcs, pa.int64())]
+                if ids:
+                    sizes = lens[docs]
+                    to = np.cumsum(sizes)
+                    flat = raw[np.repeat(begins[docs] - to + sizes, sizes) + np.arange(sizes.sum())]
+                    cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], to]).astype(np.int32)), pa.array(flat).cast(item)))
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    shards, blocks = spark.read.schema(_SHARD).parquet(f"{path}/shards"), spark.read.parquet(f"{path}/blocks")
+    first = lookup(keys, path, id_col).select("part", "block", "doc_id", "offset")
+    asked = keys.select(F.col(id_col).cast("long").alias("doc_id"))
+    later = blocks.where("goes_on").withColumnRenamed("first_id", "doc_id").join(asked, "doc_id", "left_semi")
+    places = first.unionByName(later.select("part", "block", "doc_id", F.lit(0).cast("long").alias("offset")))
+    by_block = places.groupBy("part", "block").agg(F.collect_list(F.struct("doc_id", "offset")).alias("asked"))
+    opened = by_block.join(blocks.select("part", "block", "start"), ["part", "block"]).join(shards, ["part", "block"])
+    return opened.select("start", "asked", "doc_ids", "ends", "payload").mapInArrow(run, schema)
+
+
 def starts(spark: SparkSession, path: str, found: DataFrame) -> DataFrame:
     """(doc_id, index_start, index_tokens) from the rows of ``lookup``: place in the whole
     dataset and number of ids of all documents with the key."""

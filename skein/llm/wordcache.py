@@ -15,7 +15,7 @@ MAX_CHARS = 16 << 20
 
 
 class WordIds:
-    """``encode(words)`` returns the ids of each of the sorted new words as bytes. A
+    """``encode(words)`` returns the ids of each of the new words as bytes. A
     generation holds about ``most`` words."""
 
     def __init__(self, encode: Callable[[list], Iterable[bytes]], most: int = MAX_WORDS):
@@ -25,15 +25,12 @@ class WordIds:
         """Make ``ids`` ready for texts made of ``words``."""
         if len(self.known) > self.most or self.chars > MAX_CHARS:
             self.old, self.known, self.chars = self.known, {}, 0
-        known, old, new = self.known, self.old, []
-        for w in words.difference(known):
-            ids = old.get(w)
-            if ids is None:
-                new.append(w)
-            else:
-                known[w] = ids
-            self.chars += len(w)
-        new.sort()
+        known, old = self.known, self.old
+        new = words.difference(known)
+        self.chars += sum(map(len, new))
+        again = new.intersection(old)
+        known.update((w, old[w]) for w in again)
+        new = list(new - again)
         known.update(zip(new, self.encode(new)))
 
     def ids(self, words: list) -> bytes:

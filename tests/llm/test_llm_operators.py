@@ -214,6 +214,33 @@ def test_token_files(docs, spark, tmp_path):
     none = str(tmp_path / "none")
     token_files.write(empty(docs), none, P.path("word_bpe_49k.json"))
     assert token_files.read(spark, none).count() == 0 and token_files.lookup(docs, none).count() == 0
+    assert token_files.fetch(docs, none).count() == 0
+
+
+def test_token_files_fetch_by_key(docs, spark, tmp_path):
+    """Keyed access returns every stored document of a key, also where one key's documents
+    fill several blocks and parts, and nothing for strangers."""
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    rows = [(77 if i % 3 == 0 else i, f"text {i} " * (i % 9)) for i in range(200)] + [(77, None), (77, "")] + [(None, f"none {i}") for i in range(9)]
+    many = docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string")).repartition(5)
+    path = str(tmp_path / "many")
+    token_files.write(many, path, P.path("word_bpe_49k.json"), block_ids=40)
+    scanned = [tuple(r) for r in token_files.read(spark, path).collect()]
+    order = lambda r: r[1]  # noqa: E731 - starts are distinct
+    got = token_files.fetch(many, path).collect()
+    assert sorted((tuple(r)[:4] for r in got), key=order) == sorted((r for r in scanned if r[0] is not None), key=order)
+    assert sorted(map(tuple, token_files.read(spark, path, without_id=True).collect()), key=order) == sorted((r for r in scanned if r[0] is None), key=order)
+    assert spark.read.parquet(f"{path}/blocks").where("goes_on AND first_id = 77").count() > 3
+    texts: dict = {}
+    for key, text in [(r[0], r[1]) for r in EDGE] + rows:
+        texts.setdefault(key, []).append(tok.encode(text or "", add_special_tokens=False).ids + [1])
+    for key in (77, 9, 12, 8, 4):
+        assert sorted(r["ids"] for r in got if r["doc_id"] == key) == sorted(texts[key])
+    asked = spark.createDataFrame([(12,), (12,), (9,), (1000,), (-5,), (None,)], "k long")
+    assert sorted(r["doc_id"] for r in token_files.fetch(asked, path, id_col="k", ids=False).collect()) == [9, 9, 12]
 
 
 def test_token_words_match_the_library():
