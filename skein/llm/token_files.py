@@ -9,7 +9,7 @@ Layout of a dataset folder (every table is Parquet, so any store Spark writes wi
             first_id, and ``goes_on``: the block before ends with the same document id
 ``index``   one row per key bucket: the bit levels of a minimal perfect hash over the
             bucket's document ids and, by slot, the key's 32-bit fingerprint, part, block,
-            offset in the block, and how many documents and ids carry the key
+            place in the block (whose ``ends`` give the offset), and how many documents and ids carry the key
 ``meta``    one row: number of buckets, id width, end id
 
 Documents lie in ascending id order (NULL ids first, equal ids by a hash of their text),
@@ -72,6 +72,10 @@ class _Words:
         kinds = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
         self.plain = bool(suffix) and kinds == ["NFC", "Replace", "Lowercase"]
         vocab = self.tok.get_vocab(with_added_tokens=True)
+        if self.plain:  # a-z only: nothing to normalise or to cut but at white space
+            last_step = spec["pre_tokenizer"]["pretokenizers"][-1]
+            spec |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, last_step]}}
+            self.lean = Tokenizer.from_str(json.dumps(spec))
         self.units = WordIds(self._encode_units, UNITS)
         self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.last[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
@@ -95,17 +99,11 @@ class _Words:
 
     def _encode_units(self, units: list) -> list[bytes]:
         texts = [u.decode() for u in units]
-        simple = [i for i, t in enumerate(texts) if t.isalpha()] if self.plain else []
         out: list = [None] * len(units)
-        size = self.width.itemsize
-        for lo in range(0, len(simple), 512):
-            part = simple[lo:lo + 512]
-            got = np.array(self.tok.encode_batch_fast([" ".join([texts[i] for i in part])], add_special_tokens=False)[0].ids, dtype=self.width)
-            ends = ((np.flatnonzero(self.last[got]) + 1) * size).tolist()
-            if len(ends) == len(part):
-                raw = got.tobytes()
-                for i, a, b in zip(part, [0, *ends], ends):
-                    out[i] = raw[a:b]
+        if self.plain:
+            letters = [i for i, t in enumerate(texts) if t.isalpha()]
+            self._encode_letters(texts, [i for i in letters if texts[i].isascii()], self.lean, out)
+            self._encode_letters(texts, [i for i in letters if not texts[i].isascii()], self.tok, out)
         rest = [i for i, x in enumerate(out) if x is None]
         for lo in range(0, len(rest), 4096):
             part = rest[lo:lo + 4096]
@@ -113,6 +111,18 @@ class _Words:
                 out[i] = np.array(e.ids, dtype=self.width).tobytes()
         return out
 
+    def _encode_letters(self, texts: list, places: list, tok, out: list) -> None:
+        """Fill ``out`` at the ``places`` of units of letters only, many in one text."""
+        size = self.width.itemsize
+        for lo in range(0, len(places), 512):
+            part = places[lo:lo + 512]
+            got = np.array(tok.encode_batch_fast([" ".join([texts[i] for i in part])], add_special_tokens=False)[0].ids, dtype=self.width)
+            ends = ((np.flatnonzero(self.last[got]) + 1) * size).tolist()
+            if len(ends) == len(part):
+                raw = got.tobytes()
+                for i, a, b in zip(part, [0, *ends], ends):
+                    out[i] = raw[a:b]
+
 
 _LOADED: dict = {}
 
@@ -131,9 +141,9 @@ def _slices(batches, bound: int = DEPTH):
     space, which the tokenizer drops and never joins across."""
     held, n = [], 0
     for b in batches:
-        for key, text in zip(b.column(0), b.column(1)):
-            raw = (text.as_py() or "").encode()
-            held.append((key.as_py(), raw.split()))
+        for key, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary())):
+            raw = text.as_py() or b""
+            held.append((key, raw.split()))
             n += len(raw)
             if n >= bound:
                 yield held
@@ -199,7 +209,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
     placed.select("part", "block", (F.col("part_start") + F.col("in_part")).alias("start"), "n_docs", "n_ids", "first_id", goes_on).write.parquet(f"{path}/blocks")
 
     entries = _places(shards).where(F.col("doc_id").isNotNull())
-    keyed = entries.groupBy("doc_id").agg(F.min(F.struct("part", "block", "offset")).alias("at"), F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_ids"))
+    keyed = entries.groupBy("doc_id").agg(F.min(F.struct("part", "block", "nth")).alias("at"), F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_ids"))
     n_docs = spark.read.parquet(f"{path}/blocks").agg(F.sum("n_docs")).first()[0] or 0
     buckets = max(1, -(-n_docs // BUCKET_KEYS))
 
@@ -211,15 +221,15 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
                 levels = mph.build(keys)
                 order = np.argsort(mph.slots(levels, keys))
                 take = [rows[i] for i in order]
-                cols = [bucket.as_py(), levels, mph.fingerprint(keys[order]).astype(np.int64).tolist()] + [[r[c] for r in take] for c in ("part", "block", "offset", "n_docs", "n_ids")]
+                cols = [bucket.as_py(), levels, mph.fingerprint(keys[order]).astype(np.int64).tolist()] + [[r[c] for r in take] for c in ("part", "block", "nth", "n_docs", "n_ids")]
                 yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cols, (pa.int64(), pa.list_(pa.binary()), *[pa.list_(pa.int64())] * 6))], names=[c.split()[0] for c in _INDEX.split(", ")])
 
-    grouped = keyed.select(_bucket(buckets), F.struct("doc_id", "at.part", "at.block", "at.offset", "n_docs", "n_ids").alias("r")).groupBy("bucket").agg(F.collect_list("r").alias("rows"))
+    grouped = keyed.select(_bucket(buckets), F.struct("doc_id", "at.part", "at.block", "at.nth", "n_docs", "n_ids").alias("r")).groupBy("bucket").agg(F.collect_list("r").alias("rows"))
     grouped.mapInArrow(index, _INDEX).write.parquet(f"{path}/index")
     spark.range(1).select(F.lit(buckets).cast("long").alias("buckets"), F.lit(width).alias("width"), F.lit(end_id).alias("end_id")).write.parquet(f"{path}/meta")
 
 
-_INDEX = "bucket bigint, levels array<binary>, fingerprint array<bigint>, part array<bigint>, block array<bigint>, offset array<bigint>, n_docs array<bigint>, n_ids array<bigint>"
+_INDEX = "bucket bigint, levels array<binary>, fingerprint array<bigint>, part array<bigint>, block array<bigint>, nth array<bigint>, n_docs array<bigint>, n_ids array<bigint>"
 
 
 def _bucket(buckets):
@@ -227,11 +237,11 @@ def _bucket(buckets):
 
 
 def _places(shards: DataFrame) -> DataFrame:
-    """(doc_id, part, block, offset, n_tokens) of every stored document."""
-    ends = F.col("ends")
-    offsets = F.transform(ends, lambda e, i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get(ends, i - 1)))
-    both = shards.select("part", "block", F.explode(F.arrays_zip("doc_ids", "ends", offsets.alias("offset"))).alias("e"))
-    return both.select(F.col("e.doc_ids").alias("doc_id"), "part", "block", "e.offset", (F.col("e.ends") - F.col("e.offset")).alias("n_tokens"))
+    """(doc_id, part, block, nth, n_tokens) of every stored document; ``nth`` is its place in
+    the block, from 0."""
+    before = F.concat(F.array(F.lit(0).cast("long")), "ends")
+    both = shards.select("part", "block", F.posexplode(F.arrays_zip("doc_ids", F.zip_with("ends", F.slice(before, F.lit(1), F.size("ends")), lambda e, s: e - s).alias("n"))))
+    return both.select(F.col("col.doc_ids").alias("doc_id"), "part", "block", F.col("pos").cast("long").alias("nth"), F.col("col.n").alias("n_tokens"))
 
 
 _READ = "doc_id bigint, part int, block int, offset bigint, n_tokens bigint, ids_crc32 bigint"
@@ -263,7 +273,7 @@ def read(spark: SparkSession, path: str, without_id: bool = False) -> DataFrame:
 
 
 def lookup(keys: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
-    """Places of the keys by the index: doc_id, part, block, offset, n_docs, n_ids. Keys are
+    """Places of the keys by the index: doc_id, part, block, nth, n_docs, n_ids. Keys are
     taken once each; keys the index does not hold give no row."""
     spark = keys.sparkSession
     buckets = spark.read.parquet(f"{path}/meta").first()["buckets"]
@@ -274,13 +284,13 @@ def lookup(keys: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
                 keys, *cols = (b.column(c)[i].values.to_numpy() for c in (0, 2, 3, 4, 5, 6, 7))
                 at = mph.slots(b.column(1)[i].as_py(), keys)
                 hit = (at >= 0) & (cols[0][np.maximum(at, 0)] == mph.fingerprint(keys))
-                yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), *[pa.array(c[at[hit]]) for c in cols[1:]]], names=["doc_id", "part", "block", "offset", "n_docs", "n_ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), *[pa.array(c[at[hit]]) for c in cols[1:]]], names=["doc_id", "part", "block", "nth", "n_docs", "n_ids"])
 
     asked = keys.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     index = spark.read.parquet(f"{path}/index")
     share = max(1, -(-asked.count() // (buckets * BUCKET_KEYS)))  # many more keys than the index holds: several rows a bucket
     packed = asked.groupBy(_bucket(buckets), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(share)).alias("s")).agg(F.collect_list("doc_id").alias("doc_ids"))
-    return packed.join(index, "bucket").select("doc_ids", *[c.split()[0] for c in _INDEX.split(", ")][1:]).mapInArrow(probe, "doc_id bigint, part bigint, block bigint, offset bigint, n_docs bigint, n_ids bigint")
+    return packed.join(index, "bucket").select("doc_ids", *[c.split()[0] for c in _INDEX.split(", ")][1:]).mapInArrow(probe, "doc_id bigint, part bigint, block bigint, nth bigint, n_docs bigint, n_ids bigint")
 
 
 _FETCHED = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
@@ -292,55 +302,56 @@ def fetch(keys: DataFrame, path: str, id_col: str = "doc_id", ids: bool = True)
     document of a key comes back, keys are taken once each, and keys that the files do not
     hold give no row.
 
-    Places from the index are gathered by block (at most the block's documents, each of
-    which has an id at least), so a block is opened once for all its keys and other blocks
-    are not decoded."""
+    Places from the index are gathered by block (at most the block's documents), so a block
+    is opened once for all its keys and other blocks are not. The documents' slices are cut
+    from the payload in the JVM; Python gets slices only."""
     spark = keys.sparkSession
     width = spark.read.parquet(f"{path}/meta").first()["width"]
-    item, kind = (pa.int32(), "int") if width == "<u2" else (pa.int64(), "bigint")
+    size, (item, kind) = np.dtype(width).itemsize, (pa.int32(), "int") if width == "<u2" else (pa.int64(), "bigint")
     schema = _FETCHED + f", ids array<{kind}>" * ids
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
         for b in batches:
-            for i in range(b.num_rows):
-                start, asked, ends = b.column(0)[i].as_py(), b.column(1)[i].values, b.column(3)[i].values.to_numpy()
-                stored = b.column(2)[i].values
-                blank, held = stored.null_count, stored.drop_null().to_numpy()
-                lens = np.diff(ends, prepend=0)
-                begins = ends - lens
-                want, offset = asked.field(0).to_numpy(), asked.field(1).to_numpy()
-                at = np.minimum(np.searchsorted(begins, offset), len(ends) - 1)
-                own = np.maximum(at - blank, 0)  # place among the documents with an id
-                hit = (begins[at] == offset) & (at >= blank)
-                if len(held):
-                    hit &= held[np.minimum(own, len(held) - 1)] == want
-                at, want = at[hit], want[hit]
-                n = np.searchsorted(held, want, side="right") + blank - at
-                docs = np.repeat(at - np.cumsum(n) + n, n) + np.arange(n.sum())
-                raw = np.frombuffer(b.column(4)[i].as_buffer(), dtype=width)
-                wide = memoryview(raw.astype("<u4").tobytes())
-                crcs = [zlib.crc32(wide[4 * s:4 * e]) for s, e in zip(begins[docs].tolist(), ends[docs].tolist())]
-                cols = [pa.array(np.repeat(want, n)), pa.array(start + begins[docs]), pa.array(lens[docs]), pa.array(crcs, pa.int64())]
+            for lo in range(0, b.num_rows, 1024):
+                part = b.slice(lo, 1024)
+                docs = [np.frombuffer(raw.as_buffer(), dtype=width) for raw in part.column(2)]
+                crcs = [zlib.crc32(d.astype("<u4")) for d in docs]
+                lens = [len(d) for d in docs]
+                cols = [part.column(0), part.column(1), pa.array(lens, pa.int64()), pa.array(crcs, pa.int64())]
                 if ids:
-                    sizes = lens[docs]
-                    to = np.cumsum(sizes)
-                    flat = raw[np.repeat(begins[docs] - to + sizes, sizes) + np.arange(sizes.sum())]
-                    cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], to]).astype(np.int32)), pa.array(flat).cast(item)))
+                    to = np.cumsum([0, *lens]).astype(np.int32)
+                    cols.append(pa.ListArray.from_arrays(pa.array(to), pa.array(np.concatenate(docs)).cast(item)))
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     shards, blocks = spark.read.schema(_SHARD).parquet(f"{path}/shards"), spark.read.parquet(f"{path}/blocks")
-    first = lookup(keys, path, id_col).select("part", "block", "doc_id", "offset")
+    first = lookup(keys, path, id_col).select("part", "block", "doc_id", "nth", "n_docs")
     asked = keys.select(F.col(id_col).cast("long").alias("doc_id"))
     later = blocks.where("goes_on").withColumnRenamed("first_id", "doc_id").join(asked, "doc_id", "left_semi")
-    places = first.unionByName(later.select("part", "block", "doc_id", F.lit(0).cast("long").alias("offset")))
-    by_block = places.groupBy("part", "block").agg(F.collect_list(F.struct("doc_id", "offset")).alias("asked"))
+    places = first.unionByName(later.select("part", "block", "doc_id", F.lit(0).cast("long").alias("nth"), "n_docs"))
+    by_block = places.groupBy("part", "block").agg(F.collect_list(F.struct("doc_id", "nth", "n_docs")).alias("asked"))
     opened = by_block.join(blocks.select("part", "block", "start"), ["part", "block"]).join(shards, ["part", "block"])
-    return opened.select("start", "asked", "doc_ids", "ends", "payload").mapInArrow(run, schema)
+
+    def document(i):
+        end = F.get("ends", i)
+        begin = F.coalesce(F.get("ends", i - 1), F.lit(0).cast("long"))
+        raw = F.substring("payload", (begin * size + 1).cast("int"), ((end - begin) * size).cast("int"))
+        return F.struct(F.get("doc_ids", i).alias("doc_id"), (F.col("start") + begin).alias("start"), raw.alias("raw"))
+
+    def documents(a):
+        """Those from the place on that carry the key: none if a stranger was led there."""
+        last = F.least(a["nth"] + a["n_docs"], F.size("doc_ids").cast("long")) - 1
+        own = F.filter(F.sequence(a["nth"], last), lambda i: F.get("doc_ids", i.cast("int")) == a["doc_id"])
+        return F.transform(own, lambda i: document(i.cast("int")))
+
+    found = opened.select(F.inline(F.flatten(F.transform("asked", documents))))
+    return found.mapInArrow(run, schema)
 
 
 def starts(spark: SparkSession, path: str, found: DataFrame) -> DataFrame:
     """(doc_id, index_start, index_tokens) from the rows of ``lookup``: place in the whole
     dataset and number of ids of all documents with the key."""
     blocks = spark.read.parquet(f"{path}/blocks").select("part", "block", F.col("start").alias("block_start"))
-    return found.join(blocks, ["part", "block"]).select("doc_id", (F.col("block_start") + F.col("offset")).alias("index_start"), F.col("n_ids").alias("index_tokens"))
+    shards = spark.read.schema(_SHARD).parquet(f"{path}/shards").select("part", "block", "ends")
+    offset = F.coalesce(F.get("ends", F.col("nth").cast("int") - 1), F.lit(0).cast("long"))
+    return found.join(blocks, ["part", "block"]).join(shards, ["part", "block"]).select("doc_id", (F.col("block_start") + offset).alias("index_start"), F.col("n_ids").alias("index_tokens"))
