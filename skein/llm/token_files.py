@@ -286,10 +286,10 @@ def lookup(keys: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
                 hit = (at >= 0) & (cols[0][np.maximum(at, 0)] == mph.fingerprint(keys))
                 yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), *[pa.array(c[at[hit]]) for c in cols[1:]]], names=["doc_id", "part", "block", "nth", "n_docs", "n_ids"])
 
-    asked = keys.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+    asked = keys.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
     index = spark.read.parquet(f"{path}/index")
     share = max(1, -(-asked.count() // (buckets * BUCKET_KEYS)))  # many more keys than the index holds: several rows a bucket
-    packed = asked.groupBy(_bucket(buckets), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(share)).alias("s")).agg(F.collect_list("doc_id").alias("doc_ids"))
+    packed = asked.groupBy(_bucket(buckets), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(share)).alias("s")).agg(F.collect_set("doc_id").alias("doc_ids"))
     return packed.join(index, "bucket").select("doc_ids", *[c.split()[0] for c in _INDEX.split(", ")][1:]).mapInArrow(probe, "doc_id bigint, part bigint, block bigint, nth bigint, n_docs bigint, n_ids bigint")
 
 
@@ -303,25 +303,36 @@ def fetch(keys: DataFrame, path: str, id_col: str = "doc_id", ids: bool = True)
     hold give no row.
 
     Places from the index are gathered by block (at most the block's documents), so a block
-    is opened once for all its keys and other blocks are not. The documents' slices are cut
-    from the payload in the JVM; Python gets slices only."""
+    is opened once for all its keys and other blocks are not. Blocks are dealt over as many
+    tasks as wrote them, not merged into fewer, since a task is handed whole payloads."""
     spark = keys.sparkSession
     width = spark.read.parquet(f"{path}/meta").first()["width"]
-    size, (item, kind) = np.dtype(width).itemsize, (pa.int32(), "int") if width == "<u2" else (pa.int64(), "bigint")
+    item, kind = (pa.int32(), "int") if width == "<u2" else (pa.int64(), "bigint")
     schema = _FETCHED + f", ids array<{kind}>" * ids
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
         for b in batches:
-            for lo in range(0, b.num_rows, 1024):
-                part = b.slice(lo, 1024)
-                docs = [np.frombuffer(raw.as_buffer(), dtype=width) for raw in part.column(2)]
-                crcs = [zlib.crc32(d.astype("<u4")) for d in docs]
-                lens = [len(d) for d in docs]
-                cols = [part.column(0), part.column(1), pa.array(lens, pa.int64()), pa.array(crcs, pa.int64())]
+            for i in range(b.num_rows):
+                start, asked, ends = b.column(0)[i].as_py(), b.column(1)[i].values, b.column(3)[i].values.to_numpy()
+                stored = b.column(2)[i].values
+                blank, held = stored.null_count, stored.drop_null().to_numpy()  # NULL ids come first, the others ascend
+                want, at, n = (asked.field(c).to_numpy() for c in range(3))
+                hit = (at >= blank) & (at < len(ends))
+                want, at, n = want[hit], at[hit], n[hit]
+                hit = held[at - blank] == want  # else a stranger was led there
+                want, at, n = want[hit], at[hit], n[hit]
+                n = np.minimum(n, np.searchsorted(held, want, side="right") + blank - at)
+                docs = np.repeat(at - np.cumsum(n) + n, n) + np.arange(n.sum())
+                lens = np.diff(ends, prepend=0)[docs]
+                begins = ends[docs] - lens
+                raw = np.frombuffer(b.column(4)[i].as_buffer(), dtype=width)
+                crcs = [zlib.crc32(raw[s:s + k].astype("<u4")) for s, k in zip(begins.tolist(), lens.tolist())]
+                cols = [pa.array(np.repeat(want, n)), pa.array(start + begins), pa.array(lens), pa.array(crcs, pa.int64())]
                 if ids:
-                    to = np.cumsum([0, *lens]).astype(np.int32)
-                    cols.append(pa.ListArray.from_arrays(pa.array(to), pa.array(np.concatenate(docs)).cast(item)))
+                    to = np.cumsum(lens)
+                    flat = raw[np.repeat(begins - to + lens, lens) + np.arange(lens.sum())]
+                    cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], to]).astype(np.int32)), pa.array(flat).cast(item)))
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     shards, blocks = spark.read.schema(_SHARD).parquet(f"{path}/shards"), spark.read.parquet(f"{path}/blocks")
@@ -330,22 +341,10 @@ def fetch(keys: DataFrame, path: str, id_col: str = "doc_id", ids: bool = True)
     later = blocks.where("goes_on").withColumnRenamed("first_id", "doc_id").join(asked, "doc_id", "left_semi")
     places = first.unionByName(later.select("part", "block", "doc_id", F.lit(0).cast("long").alias("nth"), "n_docs"))
     by_block = places.groupBy("part", "block").agg(F.collect_list(F.struct("doc_id", "nth", "n_docs")).alias("asked"))
-    opened = by_block.join(blocks.select("part", "block", "start"), ["part", "block"]).join(shards, ["part", "block"])
-
-    def document(i):
-        end = F.get("ends", i)
-        begin = F.coalesce(F.get("ends", i - 1), F.lit(0).cast("long"))
-        raw = F.substring("payload", (begin * size + 1).cast("int"), ((end - begin) * size).cast("int"))
-        return F.struct(F.get("doc_ids", i).alias("doc_id"), (F.col("start") + begin).alias("start"), raw.alias("raw"))
-
-    def documents(a):
-        """Those from the place on that carry the key: none if a stranger was led there."""
-        last = F.least(a["nth"] + a["n_docs"], F.size("doc_ids").cast("long")) - 1
-        own = F.filter(F.sequence(a["nth"], last), lambda i: F.get("doc_ids", i.cast("int")) == a["doc_id"])
-        return F.transform(own, lambda i: document(i.cast("int")))
-
-    found = opened.select(F.inline(F.flatten(F.transform("asked", documents))))
-    return found.mapInArrow(run, schema)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = by_block.join(blocks.select("part", "block", "start"), ["part", "block"])
+    opened = shards.withColumn("part", F.col("part").cast("long")).withColumn("block", F.col("block").cast("long")).repartition(parts, "part", "block").join(placed, ["part", "block"])
+    return opened.select("start", "asked", "doc_ids", "ends", "payload").mapInArrow(run, schema)
 
 
 def starts(spark: SparkSession, path: str, found: DataFrame) -> DataFrame:
