@@ -47,7 +47,7 @@ from skein.llm.wordcache import WordIds
 BLOCK_IDS = 1 << 20
 BUCKET_KEYS = 2048
 DEPTH = 4 << 20  # bytes of text whose words are looked up together
-WORDS, UNITS = 500_000, 300_000  # remembered per generation in a Python worker: some 100 MB at most
+WORDS, UNITS = 800_000, 600_000  # remembered per generation in a Python worker: some 200 MB at most
 
 _CLOSING = re.compile(rb"(?<=[a-z0-9])[.,;:!?]+(?=\n)").sub  # punctuation that closes a line
 
@@ -174,18 +174,22 @@ def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", te
         def row():
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([keys], pa.list_(pa.int64())), pa.array([ends], pa.list_(pa.int64())), pa.array([b"".join(payload)], pa.binary())], names=["part", "block", "doc_ids", "ends", "payload"])
 
-        for docs_in in _slices(batches):
-            store.learn(set().union(*(words for _, words in docs_in)))
-            for key, words in docs_in:
-                ids = store.ids(words) + end
-                n += len(ids) // step
-                keys.append(key), ends.append(n), payload.append(ids)
-                if n >= block_ids:
-                    yield row()
-                    block, n = block + 1, 0
-                    keys, ends, payload = [], [], []
-        if keys:
-            yield row()
+        gc.disable()  # lists of words are many and never in a cycle
+        try:
+            for docs_in in _slices(batches):
+                store.learn(set().union(*(words for _, words in docs_in)))
+                for key, words in docs_in:
+                    ids = store.ids(words) + end
+                    n += len(ids) // step
+                    keys.append(key), ends.append(n), payload.append(ids)
+                    if n >= block_ids:
+                        yield row()
+                        block, n = block + 1, 0
+                        keys, ends, payload = [], [], []
+            if keys:
+                yield row()
+        finally:
+            gc.enable()
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
