@@ -43,6 +43,16 @@ def free(columns, name: str) -> str:
     return name
 
 
+def aside(docs: DataFrame, taken) -> tuple[DataFrame, dict]:
+    """``docs`` with the columns that are called like one of the names ``taken`` renamed, and
+    the present name of every column of ``docs``."""
+    names, used = {}, {*docs.columns, *taken}
+    for c in docs.columns:
+        names[c] = free(used, c) if c.lower() in taken else c
+        used.add(names[c])
+    return docs.withColumnsRenamed({c: n for c, n in names.items() if c != n}), names
+
+
 def word_count(text: Column) -> Column:
     """Number of ``WORD`` runs; 0 for NULL."""
     spaced = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")

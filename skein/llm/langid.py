@@ -37,6 +37,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skein.llm.common import free
+
 CLASSES = 1 << 16
 ORDERS = (1, 2, 3, 4)
 PER_LANGUAGE = 4000
@@ -289,7 +291,9 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def label_rows(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = 8.0, weight: float = 0.25) -> DataFrame:
-    """``docs`` with the two columns ``_lang_pred`` and ``_lang_score`` added to every row."""
+    """``docs`` with two columns added to every row, ``_lang_pred`` and ``_lang_score``
+    (underscores are appended to names that ``docs`` has)."""
+    names = [free(docs.columns, "_lang_pred"), free(docs.columns, "_lang_score")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
@@ -298,9 +302,9 @@ def label_rows(docs: DataFrame, model: Model, text_col: str = "text", penalty: f
             for lo, hi in _slices(b.column(at)):
                 found = label_texts(shared.value, b.column(at)[lo:hi].to_pylist(), penalty, weight)
                 new = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-                yield pa.RecordBatch.from_arrays([*b.slice(lo, hi - lo).columns, *new], names=[*b.schema.names, "_lang_pred", "_lang_score"])
+                yield pa.RecordBatch.from_arrays([*b.slice(lo, hi - lo).columns, *new], names=[*b.schema.names, *names])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_lang_pred", T.StringType()), T.StructField("_lang_score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -35,6 +35,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skein.llm.common import aside, free
+
 # Licence notices and short licence texts by SPDX identifier.
 TEMPLATES = {
     "Apache-2.0": [
@@ -214,13 +216,24 @@ def _windows(found: DataFrame, listed: list, threshold: float) -> DataFrame:
     return found.withColumn("_v", hits).drop("_m", "_n", "_p", "_r", "_b")
 
 
+_HELPERS = {"license", "dice", "license_pieces", *(f"_{c}" for c in "bghlmnoprtvw")}  # columns that ``scan`` makes
+
+
 def scan(docs: DataFrame, text_col: str = "text", templates: dict | None = None, threshold: float = 0.8) -> DataFrame:
     """``docs`` with ``license`` (best name), ``dice`` and ``license_pieces`` (how many
-    pieces reach the threshold, 0 if only a window does); NULL, NULL and 0 without a match."""
+    pieces reach the threshold, 0 if only a window does); NULL, NULL and 0 without a match.
+    Underscores are appended to new names that ``docs`` has."""
+    docs, names = aside(docs, _HELPERS)
+    text_col = names[text_col]
+
+    def passed(found):
+        back = [F.col(now).alias(c) for c, now in names.items()]
+        return found.select(*back, *[F.col(c).alias(free(names, c)) for c in ("license", "dice", "license_pieces")])
+
     listed = _prepared(TEMPLATES if templates is None else templates)
     wide = listed + (_prepared(FULL_TEXTS) if templates is None else [])
     if not listed:
-        return docs.withColumns({"license": F.lit(None).cast("string"), "dice": F.lit(None).cast("double"), "license_pieces": F.lit(0)})
+        return passed(docs.withColumns({"license": F.lit(None).cast("string"), "dice": F.lit(None).cast("double"), "license_pieces": F.lit(0)}))
     sizes = [len(t) for _, t in listed]
     least, most = threshold / (2 - threshold) * min(sizes), (2 - threshold) / threshold * max(sizes)
 
@@ -253,4 +266,4 @@ def scan(docs: DataFrame, text_col: str = "text", templates: dict | None = None,
     other = F.col("_t.dice").isNotNull() & (F.col("license").isNull() | ((F.col("_t.name") != F.col("license")) & (F.col("_t.dice") > F.col("dice"))))
     found = found.withColumn("_o", other)
     found = found.withColumns({"license": F.when(F.col("_o"), F.col("_t.name")).otherwise(F.col("license")), "dice": F.when(F.col("_o"), F.col("_t.dice")).otherwise(F.col("dice"))})
-    return found.drop("_l", "_w", "_v", "_t", "_o")
+    return passed(found)

@@ -376,3 +376,34 @@ def test_damage_by_rule(spark):
         x = "" if kind == 1 else re.sub("[.!?]", "", x) if kind == 2 else x
         want += [(c, t, "user" if kind == 4 else r, x)] * {0: 0, 3: 2}.get(kind, 1)
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_clashing_columns_pass_through(spark):
+    """Columns called like the operators' own keep their values; new ones get another name."""
+    from skein.llm import langid, licenses, line_dedup
+
+    names = ["doc_id", "text", "lang", "source", "_id", "_bad", "_kept", "lines_removed", "_w", "_h", "dice", "license", "_lang_pred", "row", "bad", "kept", "same"]
+    rows = [(i, f"shared line\nown {i}", "en", f"s{i}", *[f"{c}{i}" for c in names[4:]]) for i in range(4)]
+    docs = spark.createDataFrame(rows, ", ".join(f"{c} {'long' if c == 'doc_id' else 'string'}" for c in names))
+    clean = line_dedup.remove_boilerplate(docs, min_sites=3)
+    assert clean.columns == [*names, "lines_removed_"]
+    for r in clean.collect():
+        i = r["doc_id"]
+        assert tuple(r)[2:-1] == rows[i][2:] and r["lines_removed_"] == (i > 0)
+        assert r["text"] == (f"shared line\nown {i}" if i == 0 else f"own {i}")
+    found = licenses.scan(docs)
+    assert found.columns == [*names, "license_", "dice_", "license_pieces"]
+    assert sorted(tuple(r)[:len(names)] for r in found.collect()) == rows
+    told = langid.label_rows(docs, langid.train(docs))
+    assert told.columns == [*names, "_lang_pred_", "_lang_score"]
+    assert sorted(tuple(r)[:len(names)] for r in told.collect()) == rows
+
+
+def test_line_dedup_without_ids(spark):
+    """Documents without an id, or with one id, are cleaned of their own lines, each in a group of its own."""
+    from skein.llm import line_dedup
+
+    rows = [(None, f"shared\nown {i}", f"s{i}") for i in range(6)] + [(5, f"shared\nother {i}", f"s{i}") for i in range(6)] + [(1, "shared", "x")]
+    got = line_dedup.remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string"), min_sites=3)
+    want = [(None, f"own {i}", 1) for i in range(6)] + [(5, f"other {i}", 1) for i in range(6)] + [(1, "shared", 0)]
+    assert sorted(((r["doc_id"], r["text"], r["lines_removed"]) for r in got.collect()), key=str) == sorted(want, key=str)
