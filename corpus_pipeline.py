@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm import langid, line_dedup, mixing, sentencepieces, simhash
-from skein.llm.common import table, written
+from skein.llm.common import free, table, written
 
 LEAST_SCORE = 0.5  # share of the letters that the predicted language must have
 MIN_SITES = 10
@@ -21,8 +21,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     label column becomes the predicted language."""
     model = langid.train(docs)
     found = langid.label_rows(docs, model)
-    kept = found.where((F.col("_lang_pred") != langid.UND) & (F.col("_lang_score") >= LEAST_SCORE))
-    return kept.select(*[F.col("_lang_pred").alias(c) if c == "lang" else F.col(c) for c in docs.columns])
+    pred, score = found.columns[-2:]
+    kept = found.where((F.col(pred) != langid.UND) & (F.col(score) >= LEAST_SCORE))
+    return kept.select(*[F.col(pred).alias(c) if c == "lang" else F.col(c) for c in docs.columns])
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,16 +37,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     without an id come last, equal ids are ordered by a hash of their text, and of rows equal
     in both one stays)."""
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), F.xxhash64("text").alias("h"))
-    keyed = docs.withColumn("_key", key)
-    found = simhash.near_duplicates(keyed, id_col="_key", shingle=3, radius=2)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(kept, "_key").dropDuplicates(["_key"]).select(*docs.columns)
+    name = free(docs.columns, "_key")
+    keyed = docs.withColumn(name, key)
+    found = simhash.near_duplicates(keyed, id_col=name, shingle=3, radius=2)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    return keyed.join(kept, name).dropDuplicates([name]).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it (0, 1 or 2)."""
     taken = mixing.copies(docs, mixing.balance(docs))
-    each = taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("mix_copies"))))
+    each = taken.withColumn(free(taken.columns, "_copy"), F.explode(F.array_repeat(F.lit(1), F.col(taken.columns[-1]))))
     return each.select(*docs.columns)
 
 
