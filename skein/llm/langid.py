@@ -28,7 +28,6 @@ labelled alike; other columns are ignored.
 from __future__ import annotations
 
 import re
-import sys
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -43,9 +42,7 @@ CLASSES = 1 << 16
 ORDERS = (1, 2, 3, 4)
 PER_LANGUAGE = 4000
 SLICE = 1 << 20  # bytes of text scored together
-# Letters are what Unicode calls so (category L): fractions, circled and Roman numbers are none.
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
-_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
+_NOT_LETTERS = re.compile(r"[\W\d_]+")  # leaves fractions, circled and Roman numbers, which are no letters either
 UND = "und"
 
 # First code point of each range and its script; ranges run to the next line.
@@ -113,6 +110,8 @@ def _distinct(texts: list):
         for w in words:
             if w not in seen:
                 bare = strip("", w)
+                if bare and not bare.isalpha():  # letters are what Unicode calls so (category L)
+                    bare = "".join(filter(str.isalpha, bare))
                 if not bare:
                     seen[w] = -1
                 else:
