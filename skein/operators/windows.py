@@ -361,6 +361,9 @@ def metric_columns(df: DataFrame, exclude: Sequence[str] = (), prefixes=("cum_",
     return out
 
 
+LAGGED = 16  # longest rolling frame that is read from lagged rows
+
+
 def metric_stats(
     df: DataFrame,
     entity_col: str,
@@ -371,21 +374,32 @@ def metric_stats(
     strategy: str | None = None,
 ) -> DataFrame:
     """W13 (0-based order), W14 (cumulative current/incoming + averages), W15 (rolling
-    incoming sums, means and counts) for every metric, in one Window pass."""
+    incoming sums, means and counts) for every metric, in one Window pass.
+
+    A rolling frame of up to ``LAGGED`` rows is read from the metrics of the rows before, which
+    travel as one struct per place: one offset function a place, however many metrics there
+    are, in place of two sliding aggregates a metric and window. The sums add from the oldest
+    row on, as the aggregate does. Longer frames and decimals keep the aggregates."""
     _require(df, [entity_col, *metrics])
     ms = [R.row_number("_n")]
-    x = {m: F.col(m).cast("double") if isinstance(df.schema[m].dataType, T.BooleanType) else F.col(m) for m in metrics}
-    decimal = {m for m in metrics if isinstance(df.schema[m].dataType, T.DecimalType)}
+    kinds = {m: df.schema[m].dataType for m in metrics}
+    x = {m: F.col(m).cast("double") if isinstance(kinds[m], T.BooleanType) else F.col(m) for m in metrics}
+    decimal = {m for m in metrics if isinstance(kinds[m], T.DecimalType)}
+    lagged = [w for w in windows if w <= LAGGED]
+    numbers = [m for m in metrics if m not in decimal]
     for m in metrics:
         ms += [R.cum_sum(f"_cur_{m}", x[m]), R.cum_sum_before(f"_in_{m}", f"_cur_{m}", x[m])]
         for w in windows:
-            mean = R.rows_avg if m in decimal else R.rows_count  # else the mean is sum over count
-            ms += [R.rows_sum(f"rolling_{w}_{m}_in", x[m], -w, -1), mean(f"rolling_{w}_avg_{m}_in", x[m], -w, -1)]
-    for w in windows:
-        ms.append(R.rows_count(f"rolling_{w}_fights_in", F.lit(1), -w, -1))
+            if m in decimal or w > LAGGED:
+                mean = R.rows_avg if m in decimal else R.rows_count  # else the mean is sum over count
+                ms += [R.rows_sum(f"rolling_{w}_{m}_in", x[m], -w, -1), mean(f"rolling_{w}_avg_{m}_in", x[m], -w, -1)]
+    places = list(range(1, max(lagged, default=0) + 1)) if numbers else []
+    if places:
+        wide = F.struct(*[x[m].cast("bigint" if isinstance(kinds[m], T.IntegralType) else "double").alias(f"v{i}") for i, m in enumerate(numbers)])
+        ms += [R.lag(f"_lag{j}", wide, j) for j in places]
     out = R.running(df, entity_col, order, ms, strategy)
     k = F.col("_n").cast("bigint") - 1
-    derived = {}
+    derived, means = {}, {}
     if order_col:
         derived[order_col] = k
     for m in metrics:
@@ -395,13 +409,21 @@ def metric_stats(
         derived[f"avg_{m}_current"] = cur / (k + 1)
         derived[f"cum_{m}_in"] = before
         derived[f"avg_{m}_in"] = F.when(k > 0, before / k)
-        for w in windows:
-            if m not in decimal:
-                derived[f"rolling_{w}_avg_{m}_in"] = F.col(f"rolling_{w}_{m}_in") / F.nullif(F.col(f"rolling_{w}_avg_{m}_in"), F.lit(0))
     for w in windows:
-        derived[f"rolling_{w}_fights_in"] = F.col(f"rolling_{w}_fights_in").cast("bigint")
+        for m in numbers:
+            total, count = f"`rolling_{w}_{m}_in`", f"`rolling_{w}_avg_{m}_in`"
+            if w in lagged:
+                values = [f"_lag{j}.v{numbers.index(m)}" for j in range(w, 0, -1)]
+                zero = "0L" if isinstance(kinds[m], T.IntegralType) else "0D"
+                summed = " + ".join(f"coalesce({v}, {zero})" for v in values)
+                derived[f"rolling_{w}_{m}_in"] = F.expr(f"CASE WHEN coalesce({', '.join(values)}) IS NOT NULL THEN {summed} END")
+                count = " + ".join(f"CAST({v} IS NOT NULL AS INT)" for v in values)
+            means[f"rolling_{w}_avg_{m}_in"] = F.expr(f"{total} / nullif({count}, 0)")
+        derived[f"rolling_{w}_fights_in"] = F.when(k.isNotNull(), F.least(k, F.lit(w).cast("bigint")))
     out = out.withColumns(derived)
-    return out.drop("_n", *[f"_{s}_{m}" for m in metrics for s in ("cur", "in")])
+    if means:
+        out = out.withColumns(means)
+    return out.drop("_n", *[f"_{s}_{m}" for m in metrics for s in ("cur", "in")], *[f"_lag{j}" for j in places])
 
 
 # ---------------------------------------------------------------- W17

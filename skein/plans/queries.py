@@ -616,7 +616,7 @@ def opponent_metrics(spark, d):
     """J8 + W16: opponent per-metric cumulative stats via as-of lookups."""
     fights = _fights(spark, d)
     fights = stored_table(OP.opponent_by_reversal(fights, "fight_url", "fighter", order=["fighter"]), "fights")
-    st = W.metric_stats(fights, "fighter", ["event_date", "fight_url", "fighter"], _FIGHT_METRICS)
+    st = W.metric_stats(fights, "fighter", ["event_date", "fight_url", "fighter"], _FIGHT_METRICS, windows=())  # no rolling column is asked for
     out = OP.opponent_metrics(st, _FIGHT_METRICS, entity_col="fighter", materialize=True)
     names = [f"opp_cum_{m}_in" for m in _FIGHT_METRICS] + [f"opp_avg_{m}_in" for m in _FIGHT_METRICS]
     names += [f"opp_cum_{m}_current" for m in _FIGHT_METRICS] + [f"opp_avg_{m}_current" for m in _FIGHT_METRICS]

@@ -3,10 +3,12 @@ results/metric statistics (W6-W15) on hand-computed frames. Every window test ru
 both physical strategies."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from skein.operators import running as R
 from skein.operators import windows as W
 from tests.conftest import rows
 
@@ -176,3 +178,21 @@ def test_null_category_column_and_option(spark):
     out = W.dummy_totals(df, "result", "grp", ["i"])
     assert [r["total_"] for r in out.orderBy("i").collect()] == [0, 1]  # NULL -> category ''
     assert "total_" not in W.dummy_totals(df, "result", "grp", ["i"], drop_null_category=True).columns
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_rolling_metrics_from_lagged_rows_equal_the_aggregates(spark, strategy, monkeypatch):
+    rnd = random.Random(5)
+    some = lambda v: v if rnd.random() < 0.7 else None
+    data = [(rnd.choice(["a", "a", "a", "b", None]), i, some(rnd.randrange(9)), some(rnd.uniform(-5, 5)), some(rnd.random() < 0.5)) for i in range(300)]
+    df = spark.createDataFrame(data, "fighter string, fight_url int, n int, x double, yes boolean")
+    monkeypatch.setattr(R, "CHUNK_ROWS", 20)
+    names = [f"rolling_{w}_{m}" for w in (1, 4) for m in ("n_in", "x_in", "yes_in", "avg_n_in", "avg_x_in", "avg_yes_in", "fights_in")]
+
+    def run():
+        out = W.metric_stats(df, "fighter", ["fight_url"], ["n", "x", "yes"], windows=(1, 4), strategy=strategy)
+        return [f.dataType for f in out.select(*names).schema], sorted(out.select("fight_url", *names).collect())
+
+    lagged = run()
+    monkeypatch.setattr(W, "LAGGED", 0)
+    assert lagged == run()
