@@ -65,7 +65,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 @_query
 def op8_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Syncmer fingerprints of documents and of their edited texts."""
-    return syncmers.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return syncmers.edited_fingerprints(table(spark, sf_dir, "documents"), positions=True)
 
 
 @_query

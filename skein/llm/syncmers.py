@@ -30,13 +30,16 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.llm.common import stored
+
 K, S = 16, 8
 SKETCH = None  # all anchors
 _MULT = 0x9E3779B97F4A7C15
 SLAB = 1 << 18  # code points hashed at a time
+OUT = 1 << 20  # code points of texts whose results are held at a time
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -120,6 +123,23 @@ def passages(at_a: np.ndarray, a: np.ndarray, at_b: np.ndarray, b: np.ndarray, k
     return sorted((int(x), int(y), int(m)) for x, y, m in found)
 
 
+def once(at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors whose hash stands once in the text, in text order: matched by position they
+    give at most one place each, however often a text repeats a line."""
+    _, first, n = np.unique(hashes, return_index=True, return_counts=True)
+    kept = np.sort(first[n == 1])
+    return np.asarray(at)[kept], hashes[kept]
+
+
+def covered(found: list[tuple[int, int, int]]) -> int:
+    """Code points of the first text that lie in at least one passage."""
+    total, end = 0, 0
+    for start, _, n in found:  # ascending starts
+        total += max(start + n - max(start, end), 0)
+        end = max(end, start + n)
+    return total
+
+
 def to_hex(sketched: np.ndarray) -> str:
     return sketched.astype(">u4").tobytes().hex()
 
@@ -147,75 +167,108 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, fingerprint string, positions array<long>, hashes array<long>")
 
 
-_LOWEST = -(2**63)
-
-
 RANGES_A_TASK = 4  # several ranges a task even out what hashing the range numbers gives each
+SAMPLES = 4  # sampled places a range; every fourth is a bound
+HEAD = 16  # characters of a text that order rows of one id
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str, tasks: int) -> DataFrame:
     """(range, copy, doc_id, text) sorted inside each range; ``copy`` marks the row that
     follows the range's last one (the first row of the next range that has rows, the first
-    of all after the last)."""
+    of all after the last).
+
+    Bounds are every ``SAMPLES``-th of a hash sample of the rows' places, about as many as there
+    are ranges; no row count or place reaches the driver but the numbers of rows. A place is
+    the id alone unless some id holds more rows than a range should; then it goes on with
+    what orders rows of one id (the text's first ``HEAD`` characters and its hash) and a row
+    number, so rows without an id and copies of one row are spread too. ``docs`` is read
+    several times and has to give the same rows in the same order each time, as files do."""
     ranges = tasks * RANGES_A_TASK
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    place = F.coalesce("doc_id", F.lit(_LOWEST)).alias("place")
-    cuts = rows.select(F.coalesce("doc_id", F.lit(_LOWEST)).cast("double").alias("p")).approxQuantile("p", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
-    cuts = sorted({int(c) for c in cuts if abs(c) < 2**62})  # at most ``ranges`` numbers
-    part = F.lit(0)
-    if cuts:  # cuts at or below the id, found in two steps: by blocks of about sqrt(n) cuts, then inside one
-        step = max(1, int(len(cuts) ** 0.5))
-        blocks = F.array(*[F.array(*[F.lit(c).cast("long") for c in cuts[i:i + step]]) for i in range(0, len(cuts), step)])
-        heads = F.array(*[F.lit(c).cast("long") for c in cuts[::step]])
-        at = F.coalesce("doc_id", F.lit(_LOWEST))
-        below = F.size(F.filter(heads, lambda c: c <= at))
-        inside = F.size(F.filter(F.get(blocks, below - 1), lambda c: c <= at))
-        part = F.when(below == 0, F.lit(0)).otherwise((below - 1) * step + inside)
-    dealt = rows.withColumn("range", part)
-    firsts = dealt.groupBy("range").agg(F.min(place).alias("place")).orderBy("range").collect()  # one row per range
-    if not firsts:
-        return dealt.select("range", F.lit(False).alias("copy"), "doc_id", "text")
-    before = {f["place"]: firsts[i - 1]["range"] for i, f in enumerate(firsts)}  # the first of all follows the last
-    heads = dealt.withColumn("place", place).where(F.col("place").isin(list(before)))
-    named = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("place"))
-    copies = heads.groupBy(named.alias("range")).agg(F.min(F.struct("place", "text", "doc_id")).alias("h")).select("range", F.lit(True).alias("copy"), "h.doc_id", "h.text")
+    counts = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("all"), F.max("n").alias("most")).first()
+    every = max((counts["all"] or 0) // (ranges * SAMPLES), 1)
+    head, digest = F.substring("text", 1, HEAD), F.xxhash64("text")
+    if (counts["most"] or 0) > every * SAMPLES:
+        ties, row = [head.alias("head"), digest.alias("digest")], F.monotonically_increasing_id()
+    else:
+        ties, row = [F.lit("").alias("head"), F.lit(0).cast("long").alias("digest")], F.lit(0).cast("long")
+    placed = rows.select("doc_id", "text", F.struct("doc_id", *ties).alias("key"), row.alias("row"))
+    place = F.struct("key", "row")
+    sampled = placed.where(F.pmod(F.xxhash64("key", "row"), F.lit(every)) == 0)
+    c = F.col("c")
+    step = max(int(ranges ** 0.5), 1)  # bounds in blocks: a row is compared with the blocks' first ones, then inside one
+    picked = F.sort_array(F.collect_list(place))
+    cut = sampled.agg(F.filter(picked, lambda x, i: i % SAMPLES == SAMPLES - 1).alias("c")).where(F.size("c") > 0)
+    bounds = stored(cut.select(F.transform(F.sequence(F.lit(0), F.floor((F.size(c) - 1) / step).cast("int")), lambda g: F.slice(c, g * step + 1, step)).alias("blocks"), F.lit(0).cast("long").alias("one")))
+    blocks = F.col("blocks")  # one row for all: every row's number modulo 1 meets it
+    below = F.size(F.filter(F.transform(blocks, lambda b: F.get(b, F.lit(0))), lambda x: x <= F.col("place")))
+    inside = F.size(F.filter(F.get(blocks, below - 1), lambda x: x <= F.col("place")))
+    number = F.when(blocks.isNull() | (below == 0), F.lit(0)).otherwise((below - 1) * step + inside)
+    beside = placed.withColumns({"place": place, "one": F.pmod(F.xxhash64("doc_id"), F.lit(1).cast("long"))}).join(F.broadcast(bounds), "one", "left")
+    dealt = beside.select("doc_id", "text", "key", number.alias("range"))
+    # at most one row per range: its first key, and the range before it (the last one before the first)
+    firsts = dealt.groupBy("range").agg(F.min("key").alias("key"))
+    line = Window.orderBy("range")
+    last = F.last("range").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    firsts = stored(firsts.select("range", "key", F.coalesce(F.lag("range").over(line), last).alias("before")))
+    order = F.struct("doc_id", head.alias("head"), digest.alias("digest"), "text")
+    heads = dealt.join(F.broadcast(firsts), ["range", "key"])
+    copies = heads.groupBy(F.col("before").alias("range")).agg(F.min(order).alias("h")).select("range", F.lit(True).alias("copy"), "h.doc_id", "h.text")
     both = dealt.select("range", F.lit(False).alias("copy"), "doc_id", "text").unionAll(copies)
-    return both.repartition(tasks, "range").sortWithinPartitions("range", "copy", F.col("doc_id").asc_nulls_first(), "text")
+    return both.repartition(tasks, "range").sortWithinPartitions("range", "copy", F.col("doc_id").asc_nulls_first(), head, digest, "text")
 
 
 _EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, s: int = S, sketch: int | None = SKETCH) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, s: int = S, sketch: int | None = SKETCH, positions: bool = False) -> DataFrame:
     """Fingerprints of every text and of its edited text: the last quarter of its code
-    points replaced by as many from the start of the next document."""
+    points replaced by as many from the start of the next document. With ``positions`` also
+    ``kept_chars``: code points of the text in passages that the edited text shares, matched
+    by the positions of anchors that stand once in each (texts of k or more code points)."""
 
     def pair(now, nxt):
         key, text, codes, at, h = now
         cut = len(codes) - len(codes) // 4
         edited = np.concatenate([codes[:cut], nxt[2][: len(codes) // 4]])
         if len(codes) < k or len(edited) < k:
-            new = anchors(edited, k, s)[1]
+            at_new, new = anchors(edited, k, s)
         else:  # anchors wholly before the edit stand; those that touch it are computed anew
             keep = max(cut - k + 1, 0)
-            new = np.concatenate([h[: np.searchsorted(at, keep)], anchors(edited[keep:], k, s)[1] if len(edited) - keep >= k else h[:0]])
+            stand = np.searchsorted(at, keep)
+            at_more, more = anchors(edited[keep:], k, s) if len(edited) - keep >= k else (at[:0], h[:0])
+            at_new, new = np.concatenate([at[:stand], at_more + keep]), np.concatenate([h[:stand], more])
         mine, theirs, after = _smallest(h, sketch), _smallest(new, sketch), _smallest(nxt[4], sketch)
         sha = hashlib.sha256(edited.astype("<u4").tobytes().decode("utf-32-le").encode()).hexdigest()
-        return (key, len(codes), sha, to_hex(mine), to_hex(theirs), likeness(mine, theirs, sketch), likeness(mine, after, sketch))
+        row = (key, len(codes), sha, to_hex(mine), to_hex(theirs), likeness(mine, theirs, sketch), likeness(mine, after, sketch))
+        if not positions:
+            return row
+        shared = passages(*once(at, h), *once(at_new, new), k) if min(len(codes), len(edited)) >= k else []
+        return (*row, covered(shared))
+
+    columns = _EDITED + (", kept_chars long" if positions else "")
+    names, kinds = [c.split()[0] for c in columns.split(", ")], {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
+    types = [kinds[c.split()[1]] for c in columns.split(", ")]
+
+    def batch(out):
+        cols = list(zip(*out)) or [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
     def run(batches):
         held, last = None, None
         for b in batches:
-            out = []
+            out, held_chars = [], 0
             for r, copy, key, text in zip(*(b.column(c) for c in range(4))):
                 r, key, codes = r.as_py(), key.as_py(), _codes(text.as_py())
                 now = (key, None, codes, *anchors(codes, k, s))
                 if held is not None and r == last:
                     out.append(pair(held, now))
+                    held_chars += len(held[2])
                 held, last = None if copy.as_py() else now, r
-            cols = list(zip(*out)) or [[]] * 7
-            types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=[c.split()[0] for c in _EDITED.split(", ")])
+                if held_chars > OUT:  # a slice of results at a time
+                    yield batch(out)
+                    out, held_chars = [], 0
+            yield batch(out)
 
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return with_next(docs, id_col, text_col, tasks).mapInArrow(run, _EDITED)
+    return with_next(docs, id_col, text_col, tasks).mapInArrow(run, columns)
