@@ -100,3 +100,29 @@ def conversation_events(rows: DataFrame, conv_col: str = "conv_id", turn_col: st
     named = rows.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
     n = F.row_number().over(w).cast("long")
     return named.select("conv_id", n.alias("seq"), n.alias("message"), F.lit("message").alias("kind"), "role", "text")
+
+
+def streamed(events: DataFrame) -> DataFrame:
+    """The log that a chat service would have kept of finished messages (``conversation_events``):
+    by a hash of conversation and message, a message is written whole, streamed in deltas,
+    edited from a draft, or discarded, regenerated and streamed anew. ``fold`` gives the same
+    messages back. Sequence numbers are multiplied by 8 to make room."""
+    text = F.coalesce("text", F.lit(""))
+    half = F.floor(F.length(text) / 2).cast("int")
+    begun, rest = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.length(text))
+
+    def log(*steps):
+        return F.array(*[
+            F.struct(F.lit(i).alias("step"), F.lit(kind).alias("kind"), (F.col("role") if i == 0 else F.lit(None).cast("string")).alias("role"), t.alias("text"))
+            for i, (kind, t) in enumerate(steps)])
+
+    nothing = F.lit(None).cast("string")
+    way = F.pmod(F.xxhash64("conv_id", "message"), F.lit(4))
+    steps = (
+        F.when(way == 0, log(("message", text)))
+        .when(way == 1, log(("message", begun), ("delta", rest)))
+        .when(way == 2, log(("message", begun), ("edit", text)))
+        .otherwise(log(("message", nothing), ("delta", begun), ("regenerate", nothing), ("delta", begun), ("delta", rest)))
+    )
+    each = events.select("conv_id", "seq", "message", F.explode(steps).alias("e"))
+    return each.select("conv_id", (F.col("seq") * 8 + F.col("e.step")).cast("long").alias("seq"), "message", "e.kind", "e.role", "e.text")

@@ -158,10 +158,11 @@ _CONTROL = "\\### Assistant: </turn> ok"
 
 @_query
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations and one made of control strings, formatted and read back."""
+    """All conversations and one made of control strings, as a log of messages, deltas, edits and
+    regenerations that is folded, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(_CONTROL).alias("text"))
-    messages = chat.fold(chat.conversation_events(rows.unionByName(planted)), repeats=True)
+    messages = chat.fold(chat.streamed(chat.conversation_events(rows.unionByName(planted))), repeats=True)
     back = chat.parse(chat.render(messages, trained=("assistant",)))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join("loss", "")
