@@ -167,8 +167,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, fingerprint string, positions array<long>, hashes array<long>")
 
 
-RANGES_A_TASK = 4  # several ranges a task even out what hashing the range numbers gives each
-SAMPLES = 4  # sampled places a range; every fourth is a bound
+RANGES_A_TASK = 4  # a task gets the ranges whose numbers are equal modulo the tasks
+SAMPLES = 16  # sampled places a range; every sixteenth is a bound
 HEAD = 16  # characters of a text that order rows of one id
 
 
@@ -215,7 +215,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, tasks: int) -> DataFr
     heads = dealt.join(F.broadcast(firsts), ["range", "key"])
     copies = heads.groupBy(F.col("before").alias("range")).agg(F.min(order).alias("h")).select("range", F.lit(True).alias("copy"), "h.doc_id", "h.text")
     both = dealt.select("range", F.lit(False).alias("copy"), "doc_id", "text").unionAll(copies)
-    return both.repartition(tasks, "range").sortWithinPartitions("range", "copy", F.col("doc_id").asc_nulls_first(), head, digest, "text")
+    return both.repartitionById(tasks, "range").sortWithinPartitions("range", "copy", F.col("doc_id").asc_nulls_first(), head, digest, "text")
 
 
 _EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
