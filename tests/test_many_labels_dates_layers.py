@@ -27,6 +27,23 @@ def test_category_maps_equal_running_counts(spark, block):
     assert W.category_maps(df.where("false"), "v", "k", ["t"]).count() == 0
 
 
+@pytest.mark.parametrize("block", [4, 512])
+def test_category_maps_come_in_label_order_and_as_text(spark, block):
+    rnd = random.Random(5)
+    rows = [(rnd.choice([1, 2, None]), i, rnd.choice([None, *range(-30, 30)])) for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, t int, v bigint")
+    made = W.category_maps(df, "v", "k", ["t"], block=block).withColumn("totals", F.map_entries("totals"))
+    maps = {r["t"]: r["totals"] for r in made.collect()}
+    texts = {r["t"]: (r["totals"], r["totals_size"]) for r in W.category_maps(df, "v", "k", ["t"], block=block, text=True).collect()}
+    assert len(maps) == len(texts) == 300
+    for (k, t, _v) in rows:
+        if k is None:
+            assert maps[t] is None and texts[t] == (None, None)
+        else:
+            assert [x for x, _ in maps[t]] == sorted(x for x, _ in maps[t])
+            assert texts[t] == (",".join(f"{x}:{n}" for x, n in maps[t]), len(maps[t]))
+
+
 def test_dates_are_read_like_the_first_value(spark):
     rows = [(1, None), (2, "  "), (3, "March 5, 2021"), (4, "2021-03-06"), (5, "March\u00a07, 2021"), (6, "no date"), (7, "Mar 8, 2021")]
     df = spark.createDataFrame(rows, "id int, d string")
