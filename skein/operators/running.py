@@ -284,7 +284,7 @@ class Limbs:
         """The sum as a double: carries first, then the limbs from the top."""
         powers, names = list(range(self.low, self.high + 1)), self.names()
         limbs, mask = [parts[n] for n in names[: len(powers)]], (1 << LIMB) - 1
-        if len(limbs) <= 6:
+        if len(limbs) <= 16:
             carry, digits = "0L", []
             for v in limbs:
                 digits.append(f"(({v} + {carry}) & {mask}L)")
