@@ -55,6 +55,19 @@ def test_skew_safe_pass_has_one_exchange_of_full_rows(spark, monkeypatch):
     assert cold.count("Exchange") == 1
 
 
+def test_fights_pass_one_exchange_of_narrow_rows(spark):
+    """Line items are dealt by match once; neither the roll-up nor the join deals them again."""
+    from skein.plans import queries as PQ
+
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(PQ._fights(spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert plan.count("Exchange hashpartitioning") == 2, plan  # line items and orders
+
+
 def test_no_python_in_career_queries(spark):
     for name in ("career_latest", "stats_after", "opponent_asof", "metric_rolling", "clean_results"):
         plan = _plan(E.queries()[name](spark, SF))
