@@ -106,3 +106,15 @@ def test_results_cross_the_network_twice(spark):
     plan = jobs.results_stats(wide.localCheckpoint(), events.limit(0).localCheckpoint())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(_lk_key") == 1 and plan.count("Exchange hashpartitioning(fighter_url") == 1
     assert "Union" not in plan
+
+
+def test_rates_round_as_decimal_numbers(spark):
+    from skein.plans import queries as Q
+
+    rnd = random.Random(7)
+    values = [rnd.randint(0, 40) / rnd.randint(1, 40) for _ in range(2000)] + [rnd.randint(-10**6, 10**6) / 100000 for _ in range(2000)]
+    values += [0.0, -0.0, -2e-5, 5e-5, None, float("nan"), float("inf"), 1e300, 0.00005, 2.5e5, 123456789.123449999]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert all(repr(r["a"]) == repr(r["b"]) for r in df.select(Q.r4double(F.col("x")).alias("a"), Q.r4("x").alias("b")).collect())
+    out = spark.createDataFrame([("f", 0.5)], "fight_url string, win_rate_after double")
+    assert "rint" in str(Q.r4double(out["win_rate_after"]))
