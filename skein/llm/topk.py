@@ -8,7 +8,7 @@ best are picked by partition selection, and the blocks' picks merge in a per-que
 
 Scale: queries and candidates are dealt into blocks of stated sizes; a pair of blocks is
 one task's unit, joined on block numbers (every query block meets every candidate block
-once). Work is queries x candidates by definition of an exhaustive search; what moves is
+once) by a sort-merge join, so no side is ever collected. Work is queries x candidates by definition of an exhaustive search; what moves is
 each query block once per candidate block and k rows per query and block back. Score
 arrays are bounded by ``QUERY_SLICE`` x the candidate block.
 
@@ -122,6 +122,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, id_col: str = "vec
     pool, n_pool = _blocks(_whole(vectors, id_col, vec_col), CANDIDATE_BLOCK, "cb")
     asked = asked.withColumn("r", F.sort_array("r"))  # every task sees a block's queries in one order
     sent = asked.select(F.col("r").alias("q"), "qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_pool - 1).cast("long"))).alias("cb"))
-    picked = sent.join(pool.withColumnRenamed("r", "c"), "cb").select("q", "c", "qb").mapInArrow(run, "query_id bigint, query bigint, vec_id bigint, score bigint")
+    # a planner that goes by the size of the blocks before they are repeated would broadcast them all
+    picked = sent.hint("merge").join(pool.withColumnRenamed("r", "c"), "cb").select("q", "c", "qb").mapInArrow(run, "query_id bigint, query bigint, vec_id bigint, score bigint")
     w = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     return picked.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
