@@ -81,3 +81,21 @@ def test_many_limbs_stay_out_of_one_method(spark):
     few = R.running(df, "who", ORDER, [R.cum_sum("s_g0", F.col("g0"))])
     assert "lambdafunction" not in few._jdf.queryExecution().optimizedPlan().toString()
     assert rows(out, "match", "who", "s_g0") == rows(few, "match", "who", "s_g0")
+
+
+def test_label_maps_share_one_exchange_and_hand_on_what_is_kept(spark, tmp_path):
+    data = [(i % 5 if i % 11 else None, i, i % 7, float(i)) for i in range(200)]
+    spark.createDataFrame(data, "who long, at long, label long, price double").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    whole = W.category_maps(df, "label", "who", ["at", "price"], block=8, text=True)
+    kept = W.category_maps(df, "label", "who", ["at", "price"], block=8, text=True, keep=["at", "label"])
+    assert kept.columns == ["at", "label", "totals", "totals_size"]
+    assert rows(kept) == rows(whole, *kept.columns)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    moved = plan[plan.index("RepartitionByExpression"):].split("\n")[1:]
+    assert "price" not in next(line for line in moved if "Project" in line and "_block" in line)
+    below, under = [], False  # between the numbering pass and the table
+    for line in plan.split("\n"):
+        under = (under or "Window [" in line and "_n#" in line) and "Relation [" not in line
+        below += [line] if under and "Window [" not in line else []
+    assert not any("_label" in line for line in below)
